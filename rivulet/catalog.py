@@ -533,7 +533,7 @@ def surrogate_keys(spark, sf):
 
 # -------------------------------------------------------------------- metrics
 _SAMPLES_SQL = """
-s AS (SELECT event_id, ts, event_type AS job, CAST(user_id % 4 AS VARCHAR) AS instance, value,
+s AS (SELECT event_id, ts, COALESCE(event_type, '') AS job, COALESCE(CAST(user_id % 4 AS VARCHAR), '') AS instance, value,
              CAST(ROUND(value * 100) AS BIGINT) AS inc, CASE WHEN value >= 10 THEN 1 ELSE 0 END AS up FROM events),
 c AS (SELECT *, CAST(SUM(inc) OVER (PARTITION BY job, instance ORDER BY ts, event_id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS counter FROM s)"""
@@ -561,6 +561,10 @@ def _counters(spark, sf):
                                      out="counter").withColumn("counter", F.col("counter").cast("double"))
 
 
+def _counters_only(spark, sf):
+    return _counters(spark, sf).drop(M.BUCKET)
+
+
 @register("metric_counter", f"""
 WITH {_SAMPLES_SQL}
 SELECT event_id, job, instance, counter FROM c
@@ -578,7 +582,7 @@ SELECT step, job, instance, counter, sample_ts FROM (
 WHERE rn = 1
 """)
 def metric_instant(spark, sf):
-    return M.instant_range(_counters(spark, sf), ["job", "instance"], "ts", "counter",
+    return M.instant_range(_counters_only(spark, sf), ["job", "instance"], "ts", "counter",
                            step_seconds=3600, lookback_seconds=3600, tiebreak="event_id")
 
 
@@ -587,8 +591,8 @@ SELECT window_start, window_end, job, instance, samples, increase,
        CASE WHEN samples >= 2 THEN """ + _rnd('increase / NULLIF(elapsed_s, 0)', 6) + """ END AS rate FROM r
 """)
 def metric_rate_1d(spark, sf):
-    return M.counter_rate(_counters(spark, sf), ["job", "instance"], "ts", "counter", "event_id",
-                          window="1 day", slide="6 hours")
+    return M.counter_rate_from_increments(_samples(spark, sf), ["job", "instance"], "ts", "inc", "event_id",
+                                          window="1 day", slide="6 hours")
 
 
 @register("metric_sum_rate", _RATE_SQL + """
@@ -597,8 +601,8 @@ SELECT window_start, window_end, job, """ + _rnd('SUM(rate)', 6) + """ AS rate F
   FROM r) q GROUP BY window_start, window_end, job
 """)
 def metric_sum_rate(spark, sf):
-    r = M.counter_rate(_counters(spark, sf), ["job", "instance"], "ts", "counter", "event_id",
-                       window="1 day", slide="6 hours")
+    r = M.counter_rate_from_increments(_samples(spark, sf), ["job", "instance"], "ts", "inc", "event_id",
+                                       window="1 day", slide="6 hours")
     return M.sum_by(r, ["job"], "rate")
 
 
@@ -622,7 +626,8 @@ def metric_health(spark, sf):
 @register("metric_uptime", """
 SELECT job, instance, MIN(ts) AS start_ts,
        (epoch_us((SELECT MAX(ts) FROM events)) - epoch_us(MIN(ts))) / CAST(1000000 AS DOUBLE) AS uptime_s
-FROM (SELECT ts, event_type AS job, CAST(user_id % 4 AS VARCHAR) AS instance FROM events) s GROUP BY job, instance
+FROM (SELECT ts, COALESCE(event_type, '') AS job, COALESCE(CAST(user_id % 4 AS VARCHAR), '') AS instance FROM events) s
+GROUP BY job, instance
 """)
 def metric_uptime(spark, sf):
     s = _samples(spark, sf)
@@ -636,7 +641,7 @@ SELECT job, instance, counter AS last, ts AS last_ts FROM c
 QUALIFY ROW_NUMBER() OVER (PARTITION BY job, instance ORDER BY ts DESC, event_id DESC) = 1
 """)
 def metric_last(spark, sf):
-    return M.last_value(_counters(spark, sf), ["job", "instance"], "ts", "counter", "event_id")
+    return M.last_value(_counters_only(spark, sf), ["job", "instance"], "ts", "counter", "event_id")
 
 
 @register("metric_series_count", f"""
@@ -658,7 +663,7 @@ WHERE ts > (SELECT MAX(ts) FROM events) - INTERVAL 6 HOUR
 QUALIFY ROW_NUMBER() OVER (PARTITION BY job, instance ORDER BY ts DESC, event_id DESC) = 1
 """)
 def metric_recent_6h(spark, sf):
-    c = _counters(spark, sf)
+    c = _counters_only(spark, sf)
     as_of = c.select(F.max("ts")).scalar()
     recent = c.filter(F.col("ts") > as_of - F.expr("INTERVAL 6 HOURS"))
     return M.last_value(recent, ["job", "instance"], "ts", "counter", "event_id")

@@ -26,8 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rates_row(spark: SparkSession) -> DataFrame:
-    cols = ", ".join(f"{k} double" for k in RATES) + ", base string, date string"
-    return spark.createDataFrame([(*RATES.values(), RATES_BASE, RATES_DATE)], cols)
+    """The wide one-row rate table (planned as a JVM-side one-row relation)."""
+    return spark.range(1).select(*[F.lit(v).cast("double").alias(k) for k, v in RATES.items()],
+                                 F.lit(RATES_BASE).alias("base"), F.lit(RATES_DATE).alias("date"))
 
 
 def _pick(key: Column, values: list, modulo: int) -> Column:
@@ -156,7 +157,8 @@ def metric_samples(events: DataFrame) -> DataFrame:
 
     ``inc`` is the event value in integer cents, so counters are exact.
     """
-    job, inst = F.col("event_type"), (F.col("user_id") % 4).cast("string")
+    job = F.coalesce(F.col("event_type"), F.lit(""))  # a missing label is ''
+    inst = F.coalesce((F.col("user_id") % 4).cast("string"), F.lit(""))
     return events.select(
         "event_id", "ts", job.alias("job"), inst.alias("instance"),
         F.create_map(F.lit("job"), job, F.lit("instance"), inst).alias("labels"),

@@ -53,52 +53,90 @@ def _ceil_div(a: Column, b: int) -> Column:
     return -_floor_div(-a, b)
 
 
-def _series_cols(series: Sequence[str]) -> list[Column]:
-    return [F.col(s) for s in series]
+def _join_on_series(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left equi-join on series + bucket keys.  Series label values are never
+    null (a missing label is ''), so a plain join keeps the left side's
+    ``(series, bucket)`` hash partitioning: only the small right side moves."""
+    return left.join(right, list(keys), "left")
+
+
+BUCKET = "time_bucket"
+
+
+def with_time_bucket(df: DataFrame, ts: str, bucket_seconds: int = 3600, col: str = BUCKET) -> DataFrame:
+    """Add the fixed time bucket used to split order-dependent work (kept if present).
+
+    Operators chained on the same bucket column share one hash partitioning
+    ``(series..., bucket)``, so Spark plans no second shuffle of the samples.
+    """
+    if col in df.columns:
+        return df
+    return df.withColumn(col, _floor_div(epoch_micros(df, ts), bucket_seconds * MICROS))
+
+
+def _bucket_table(b: DataFrame, series: list[str], ts: str, increment: str, tiebreak: str) -> DataFrame:
+    """One row per (series, bucket): the increments before the bucket (offset)
+    and the time of the series' previous sample before the bucket."""
+    totals = (b.groupBy(*series, BUCKET)
+               .agg(F.sum(increment).alias("_bt"),
+                    F.max(F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("k"))).alias("_lastkey")))
+    w = Window.partitionBy(*series).orderBy(BUCKET)
+    return (totals
+            .withColumn("_off", F.coalesce(F.sum("_bt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                           F.lit(0).cast(totals.schema["_bt"].dataType)))
+            .withColumn("_prev_bucket_ts", F.lag(F.col("_lastkey.t")).over(w))
+            .select(*series, BUCKET, "_off", "_prev_bucket_ts"))
 
 
 def counter_from_increments(df: DataFrame, series: Sequence[str], ts: str, increment: str,
-                            tiebreak: str, out: str = "counter",
-                            bucket_seconds: int = 3600) -> DataFrame:
+                            tiebreak: str, out: str = "counter", bucket_seconds: int = 3600,
+                            prev_ts: str | None = None) -> DataFrame:
     """Running sum of ``increment`` per series in ``(ts, tiebreak)`` order.
 
-    Distributed prefix sum: bucket totals (partial aggregation) -> per-series
-    prefix over buckets (one row per bucket) -> running sum inside each
-    ``(series, bucket)`` partition + the bucket's offset.
+    Distributed prefix sum: bucket totals (partial aggregation, a cheap
+    second scan) -> per-series prefix over buckets (one row per bucket) ->
+    running sum inside each ``(series, bucket)`` partition + the bucket's
+    offset.  The samples are shuffled once.  With ``prev_ts`` the time of the
+    previous sample of the series is added too (from the same bucket table).
+    The output keeps the ``time_bucket`` column for a following operator.
     """
     series = list(series)
-    b = df.withColumn("_b", _floor_div(epoch_micros(df, ts), bucket_seconds * MICROS))
-    totals = b.groupBy(*series, "_b").agg(F.sum(increment).alias("_bt"))
-    offsets = totals.withColumn(
-        "_off", F.coalesce(F.sum("_bt").over(
-            Window.partitionBy(*series).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0).cast(totals.schema["_bt"].dataType)))
-    w = (Window.partitionBy(*series, "_b").orderBy(F.col(ts), F.col(tiebreak))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = b.withColumn("_run", F.sum(increment).over(w))
-    return (within.join(offsets.select(*series, "_b", "_off"), [*series, "_b"], "left")
-                  .withColumn(out, F.col("_off") + F.col("_run"))
-                  .drop("_b", "_off", "_run"))
+    b = with_time_bucket(df, ts, bucket_seconds)
+    buckets = _bucket_table(b, series, ts, increment, tiebreak)
+    w = Window.partitionBy(*series, BUCKET).orderBy(F.col(ts), F.col(tiebreak))
+    within = b.withColumn("_run", F.sum(increment).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    if prev_ts:
+        within = within.withColumn("_pts", F.lag(ts).over(w))
+    out_df = (_join_on_series(within, buckets, [*series, BUCKET])
+              .withColumn(out, F.col("_off") + F.col("_run")))
+    if prev_ts:
+        out_df = out_df.withColumn(prev_ts, F.coalesce(F.col("_pts"), F.col("_prev_bucket_ts"))).drop("_pts")
+    return out_df.drop("_off", "_run", "_prev_bucket_ts")
 
 
 def with_previous(df: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
                   bucket_seconds: int = 3600, prev_ts: str = "prev_ts",
                   prev_value: str = "prev_value") -> DataFrame:
-    """Add the previous sample (ts, value) of the same series (null for the first)."""
+    """Add the previous sample (ts, value) of the same series (null for the first).
+
+    Inside a ``(series, bucket)`` partition this is ``lag``; the first sample
+    of a bucket takes the last sample of the series' previous non-empty
+    bucket, from a table with one row per ``(series, bucket)``.
+    """
     series = list(series)
-    b = df.withColumn("_b", _floor_div(epoch_micros(df, ts), bucket_seconds * MICROS))
+    b = with_time_bucket(df, ts, bucket_seconds)
     order = [F.col(ts), F.col(tiebreak)]
-    w = Window.partitionBy(*series, "_b").orderBy(*order)
+    w = Window.partitionBy(*series, BUCKET).orderBy(*order)
     inner = (b.withColumn("_pts", F.lag(ts).over(w))
               .withColumn("_pv", F.lag(value).over(w)))
-    last = (b.groupBy(*series, "_b")
+    last = (b.groupBy(*series, BUCKET)
              .agg(F.max_by(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")),
                            F.struct(*order)).alias("_last")))
-    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*series).orderBy("_b")))
-    return (inner.join(carry.select(*series, "_b", "_carry"), [*series, "_b"], "left")
+    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*series).orderBy(BUCKET)))
+    return (_join_on_series(inner, carry.select(*series, BUCKET, "_carry"), [*series, BUCKET])
                  .withColumn(prev_ts, F.coalesce(F.col("_pts"), F.col("_carry.t")))
                  .withColumn(prev_value, F.coalesce(F.col("_pv"), F.col("_carry.v")))
-                 .drop("_b", "_pts", "_pv", "_carry"))
+                 .drop("_pts", "_pv", "_carry"))
 
 
 def counter_delta(value: Column, prev: Column) -> Column:
@@ -118,14 +156,32 @@ def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, tieb
     """
     series = list(series)
     p = with_previous(df, series, ts, value, tiebreak, bucket_seconds)
+    return _windowed_rate(p, series, ts, counter_delta(F.col(value), F.col("prev_value")), window, slide, digits)
+
+
+def counter_rate_from_increments(df: DataFrame, series: Sequence[str], ts: str, increment: str,
+                                 tiebreak: str, window: str = "5 minutes", slide: str | None = None,
+                                 bucket_seconds: int = 3600, digits: int | None = 6) -> DataFrame:
+    """``rate()`` of the counter whose increments are given (no resets by
+    construction).  A window's increase is the sum of the increments of its
+    samples whose previous sample is in the window too.  Same output as
+    :func:`counter_rate` on the running counter, one shuffle of the samples.
+    """
+    series = list(series)
+    c = counter_from_increments(df, series, ts, increment, tiebreak, "_counter", bucket_seconds,
+                                prev_ts="prev_ts")
+    return _windowed_rate(c, series, ts, F.col(increment), window, slide, digits)
+
+
+def _windowed_rate(x: DataFrame, series: list[str], ts: str, delta: Column, window: str,
+                   slide: str | None, digits: int | None) -> DataFrame:
     win = F.window(ts, window, slide) if slide else F.window(ts, window)
-    x = p.withColumn("_w", win)
-    delta = F.when(F.col("prev_ts") >= F.col("_w.start"),
-                   counter_delta(F.col(value), F.col("prev_value")))
+    x = x.withColumn("_w", win)
     us = epoch_micros(x, ts)
+    in_window = F.when(F.col("prev_ts") >= F.col("_w.start"), delta)
     agg = (x.groupBy(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *series)
             .agg(F.count(F.lit(1)).alias("samples"),
-                 F.coalesce(F.sum(delta), F.lit(0)).cast("double").alias("increase"),
+                 F.coalesce(F.sum(in_window), F.lit(0)).cast("double").alias("increase"),
                  ((F.max(us) - F.min(us)) / F.lit(float(MICROS))).alias("elapsed_s")))
     rate = F.when(F.col("samples") >= 2, F.try_divide(F.col("increase"), F.col("elapsed_s")))
     agg = agg.withColumn("rate", round_half_even(rate, digits) if digits is not None else rate)
