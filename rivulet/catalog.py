@@ -25,12 +25,14 @@ from rivulet.operators.filters import match_labels, positive
 from rivulet.operators.flatten import flatten_countries, flatten_observations, flatten_rates, json_field
 from rivulet.operators.joins import broadcast_if_small, latest_per_key
 from rivulet.operators.keys import dense_ids
-from rivulet.operators.quality import duplicate_keys, orphans, too_long, violation_counts
+from rivulet.operators.quality import duplicate_keys, fk_summary, too_long, violation_counts
 from rivulet.operators.topk import top_k, top_k_of_group_max
 from rivulet.operators.upsert import append, upsert
 from rivulet.plans.books import gold_books_analytics, gold_books_details
 from rivulet.plans.countries import gold_countries_enriched
-from rivulet.plans.silver import population_silver
+from rivulet.plans.books import books_silver
+from rivulet.plans.countries import countries_silver
+from rivulet.plans.silver import population_silver, wine_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -501,11 +503,7 @@ SELECT COUNT(*) AS checked,
 FROM lineitem WHERE l_orderkey IS NOT NULL
 """)
 def check_fk(spark, sf):
-    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    bad = orphans(li, _t(spark, sf, "orders"), "l_orderkey", "o_orderkey")
-    checked = li.filter(F.col("l_orderkey").isNotNull()).agg(F.count(F.lit(1)).alias("checked"))
-    n_bad = bad.agg(F.count(F.lit(1)).alias("orphans"))
-    return checked.select("checked", n_bad.select("orphans").scalar().alias("orphans"))
+    return fk_summary(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"), "l_orderkey", "o_orderkey")
 
 
 @register("check_not_null", """
@@ -677,3 +675,76 @@ WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
 def stream_rate(spark, sf):
     from rivulet.streaming.rate import run_rate_stream_once
     return run_rate_stream_once(spark, sf, name=f"stream_rate_{uuid.uuid4().hex[:8]}", file_glob="events.parquet")
+
+
+# ------------------------------------------------------------ silver plans
+_AVAIL_SQL = """CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 5 THEN 'Empty'
+             ELSE 'In stock (' || CAST(p_size AS VARCHAR) || ' available)' END"""
+_REVIEWS_SQL = """CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 9 = 4 THEN CAST(p_size AS VARCHAR) || '.0'
+             WHEN p_partkey % 9 = 7 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END"""
+
+
+def _strict_sql(x: str) -> str:
+    t = f"regexp_replace(replace(replace({x}, '£', ''), 'Â', ''), '^\\s+|\\s+$', '', 'g')"
+    return f"CASE WHEN regexp_matches({t}, '{_FLOAT_RE}') THEN TRY_CAST({t} AS DOUBLE) END"
+
+
+@register("books_silver_clean", f"""
+WITH raw AS (SELECT CAST(p_partkey AS VARCHAR) AS url, p_name AS titre, p_type AS categorie, p_brand AS upc,
+                    {_PRICE_TEXT_SQL} AS prix_ttc, {_AVAIL_SQL} AS disponibilite, {_REVIEWS_SQL} AS nombre_davis
+             FROM part)
+SELECT url, titre, upc, categorie AS category, {_strict_sql('prix_ttc')} AS price_gbp,
+       COALESCE(TRY_CAST(regexp_extract(disponibilite, '\\((\\d+)', 1) AS INTEGER), 0) AS stock,
+       COALESCE(TRY_CAST(nombre_davis AS INTEGER), CAST(TRY_CAST(nombre_davis AS DOUBLE) AS INTEGER), 0) AS reviews,
+       {_strict_sql('prix_ttc')} * CAST({_R['EUR']} AS DOUBLE) AS price_eur,
+       {_strict_sql('prix_ttc')} * CAST({_R['USD']} AS DOUBLE) AS price_usd
+FROM raw
+""")
+def books_silver_clean(spark, sf):
+    p = _t(spark, sf, "part")
+    raw = p.select(F.col("p_partkey").cast("string").alias("url"), F.col("p_name").alias("titre"),
+                   F.col("p_type").alias("categorie"), F.col("p_brand").alias("upc"),
+                   fx.price_text(p).alias("prix_ttc"), fx.availability_text(p).alias("disponibilite"),
+                   fx.reviews_text(p).alias("nombre_davis"))
+    return books_silver(raw, fx.rates_row(spark))
+
+
+@register("countries_silver_dedup", f"""
+SELECT name, iso3, region, population, area,
+       population / NULLIF(area, 0) AS population_density
+FROM (SELECT c.c_name AS name, n.n_name AS iso3, r.r_name AS region, CAST(trunc(c.c_acctbal) AS BIGINT) AS population,
+             CAST(c.c_custkey % 50 AS DOUBLE) AS area,
+             ROW_NUMBER() OVER (PARTITION BY n.n_name ORDER BY c.c_custkey) AS rn
+      FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey) t
+WHERE rn = 1
+""")
+def countries_silver_dedup(spark, sf):
+    c, n, r = _t(spark, sf, "customer"), _t(spark, sf, "nation"), _t(spark, sf, "region")
+    geo = broadcast_if_small(n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey)
+                              .select("n_nationkey", "n_name", "r_name"))
+    raw = c.join(geo, c.c_nationkey == geo.n_nationkey).select(
+        F.col("c_name").alias("name"), F.col("n_name").alias("iso3"), F.col("r_name").alias("region"),
+        F.col("c_acctbal").alias("population"), (F.col("c_custkey") % 50).alias("area"), "c_custkey")
+    out = countries_silver(raw, order_by=["c_custkey"])
+    return out.select("name", "iso3", "region", "population", "area", "population_density")
+
+
+@register("wine_silver_clean", """
+SELECT title, country, variety, price, points, price / NULLIF(points, 0) AS price_per_point
+FROM (SELECT p_brand AS title, regexp_replace(' ' || p_type || ' ', '^\s+|\s+$', '', 'g') AS country,
+             regexp_replace(p_name || '  ', '^\s+|\s+$', '', 'g') AS variety,
+             TRY_CAST(CASE WHEN p_partkey % 13 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS DOUBLE) AS price,
+             TRY_CAST(CAST(p_size % 20 AS VARCHAR) AS DOUBLE) AS points,
+             ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn
+      FROM part) t
+WHERE rn = 1 AND price IS NOT NULL AND country IS NOT NULL
+""")
+def wine_silver_clean(spark, sf):
+    p = _t(spark, sf, "part")
+    raw = p.select(F.col("p_brand").alias("title"), F.concat(F.lit(" "), F.col("p_type"), F.lit(" ")).alias("country"),
+                   F.concat(F.col("p_name"), F.lit("  ")).alias("variety"),
+                   F.when(F.col("p_partkey") % 13 == 0, F.lit("n/a"))
+                    .otherwise(F.col("p_retailprice").cast("string")).alias("price"),
+                   (F.col("p_size") % 20).cast("string").alias("points"), "p_partkey")
+    return wine_silver(raw, order_by=["p_partkey"]).select("title", "country", "variety", "price", "points",
+                                                           "price_per_point")

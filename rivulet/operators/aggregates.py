@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.clean import round_half_even
@@ -56,12 +56,13 @@ def share_of_total(df: DataFrame, group: str, value: str, out_sum: str = "total"
                    out_share: str = "share") -> DataFrame:
     """SUM(value) per group and its share of the grand total.
 
-    The grand total is a scalar subquery over the (small) grouped result, so
-    no single-partition ``OVER ()`` window and no cross join is planned.
+    One scan and one (partially aggregated) shuffle.  The grand total is a
+    window over the *grouped* rows: only one row per group reaches the single
+    window partition, never the input rows.  (A scalar subquery would run the
+    whole aggregation a second time.)
     """
     g = df.groupBy(group).agg(F.sum(value).alias(out_sum))
-    total = g.select(F.sum(out_sum)).scalar()
-    return g.withColumn(out_share, F.try_divide(F.col(out_sum), total))
+    return g.withColumn(out_share, F.try_divide(F.col(out_sum), F.sum(out_sum).over(Window.partitionBy())))
 
 
 def totals(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:

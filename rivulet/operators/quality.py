@@ -32,6 +32,18 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
                  .join(p, F.col(child_key) == F.col("_pk"), "left_anti"))
 
 
+def fk_summary(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """One pass over the child: rows with a non-null key checked, and orphans.
+
+    The parent's distinct keys are hash-partitioned once; the left join reuses
+    that partitioning.  AQE splits a hot child key.
+    """
+    p = parent.select(F.col(parent_key).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
+    c = child.select(F.col(child_key)).filter(F.col(child_key).isNotNull())
+    j = c.join(p, F.col(child_key) == F.col("_pk"), "left")
+    return j.agg(F.count(F.lit(1)).alias("checked"), F.count_if(F.col("_hit").isNull()).alias("orphans"))
+
+
 def too_long(df: DataFrame, col: str, max_len: int) -> DataFrame:
     """VARCHAR(n): rows whose text is longer than ``max_len`` characters."""
     return df.filter(F.length(F.col(col)) > max_len)

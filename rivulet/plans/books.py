@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.clean import (
     clean_availability, clean_price_digits, clean_price_strict, clean_reviews, processing_time,
 )
+from rivulet.operators import html as H
 from rivulet.operators.aggregates import category_stats
 from rivulet.operators.columns import rename_existing
 from rivulet.operators.joins import scalar_enrich
@@ -20,9 +21,45 @@ SILVER_RENAMES = {"prix_hors_taxe": "price_excl_tax", "prix_ttc": "price_gbp", "
 ANALYTICS_NAMES = {"category": "categorie", "count": "nombre_livres", "avg_price": "prix_moyen_gbp",
                    "min_price": "prix_min_gbp", "max_price": "prix_max_gbp", "total_stock": "stock_total",
                    "avg_rating": "avis_moyen"}
+# Table labels of a product page and the raw field each one fills.
+PRODUCT_TABLE_FIELDS = {"upc": "UPC", "type_produit": "Product Type", "prix_hors_taxe": "Price (excl. tax)",
+                        "prix_ttc": "Price (incl. tax)", "disponibilite": "Availability",
+                        "nombre_davis": "Number of reviews"}
+DEFAULT_CATEGORY = "Books"
+SITE_BASE = "https://books.toscrape.com/"
 # ---------------------------------------------------------------------------
 
 
+def book_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
+                 base: str = SITE_BASE) -> tuple[DataFrame, DataFrame]:
+    """Product pages -> (raw book rows with the 11 scraped fields, rejected pages).
+
+    A page without a ``div.product_main`` block is rejected with a reason
+    instead of failing the run.  Fields: title (h1 of the main block),
+    category (third breadcrumb item, default "Books"), description (the
+    paragraph after ``#product_description``), the product-table values, and
+    the absolute URL of the active image.
+    """
+    h = H.strip_decoys(F.col(html_col))
+    df = pages.select(F.col(url_col).alias("url"), h.alias("_h"))
+    valid = H.has_element("_h", "div", r'class="[^"]*\bproduct_main\b')
+    good, bad = H.split_valid(df, valid, F.lit("invalid page structure: no product_main block"))
+    main = H.element_inner("_h", "div", r'class="[^"]*\bproduct_main\b')
+    crumbs = H.element_inner("_h", "ul", r'class="[^"]*\bbreadcrumb\b')
+    desc = F.regexp_extract("_h", r'(?is)<div\b[^>]*id="product_description"[^>]*>.*?</div\s*>\s*<p\b[^>]*>(.*?)</p\s*>', 1)
+    img = F.regexp_extract("_h", r'(?is)<div\b[^>]*class="item active"[^>]*>.*?<img\b[^>]*?\bsrc="([^"]*)"', 1)
+    fields = {
+        "url": F.col("url"),
+        "titre": H.text_of(H.element_inner(main, "h1")),
+        "categorie": H.nth_item_text(crumbs, 2, DEFAULT_CATEGORY),
+        "description": H.text_of(desc),
+        **{k: H.table_lookup("_h", label) for k, label in PRODUCT_TABLE_FIELDS.items()},
+        "image_url": F.when(img != "", H.absolute_url(img, base)),
+    }
+    records = good.select(*[e.alias(k) for k, e in fields.items()]).select(*RAW_COLUMNS)
+    return records, bad.select("url", "reject_reason")
+
+
 def books_silver(raw: DataFrame, rates: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """Clean the scraped book rows.
 
@@ -33,12 +70,13 @@ def books_silver(raw: DataFrame, rates: DataFrame | None = None, strict: bool =
     prices are added.
     """
     price = clean_price_strict if strict else clean_price_digits
-    df = raw.withColumns({
-        "prix_hors_taxe": price("prix_hors_taxe"),
-        "prix_ttc": price("prix_ttc"),
-        "disponibilite": clean_availability("disponibilite", default=0 if strict else None),
-        "nombre_davis": clean_reviews("nombre_davis"),
-    })
+    cleaners = {
+        "prix_hors_taxe": price,
+        "prix_ttc": price,
+        "disponibilite": lambda c: clean_availability(c, default=0 if strict else None),
+        "nombre_davis": clean_reviews,
+    }
+    df = raw.withColumns({c: f(c) for c, f in cleaners.items() if c in raw.columns})
     df = rename_existing(df, SILVER_RENAMES)
     return scalar_enrich(df, rates, {"price_eur": ("price_gbp", "EUR"), "price_usd": ("price_gbp", "USD")})
 
