@@ -729,7 +729,7 @@ def countries_silver_dedup(spark, sf):
     return out.select("name", "iso3", "region", "population", "area", "population_density")
 
 
-@register("wine_silver_clean", """
+@register("wine_silver_clean", r"""
 SELECT title, country, variety, price, points, price / NULLIF(points, 0) AS price_per_point
 FROM (SELECT p_brand AS title, regexp_replace(' ' || p_type || ' ', '^\s+|\s+$', '', 'g') AS country,
              regexp_replace(p_name || '  ', '^\s+|\s+$', '', 'g') AS variety,
