@@ -30,6 +30,7 @@ from rivulet.operators.topk import top_k, top_k_of_group_max
 from rivulet.operators.upsert import append, upsert
 from rivulet.plans.books import gold_books_analytics, gold_books_details
 from rivulet.plans.countries import gold_countries_enriched
+from rivulet.plans import bi as BI
 from rivulet.plans.books import books_silver
 from rivulet.plans.countries import countries_silver
 from rivulet.plans.silver import population_silver, wine_silver
@@ -748,3 +749,72 @@ def wine_silver_clean(spark, sf):
                    (F.col("p_size") % 20).cast("string").alias("points"), "p_partkey")
     return wine_silver(raw, order_by=["p_partkey"]).select("title", "country", "variety", "price", "points",
                                                            "price_per_point")
+
+
+# ------------------------------------------------------- BI over gold tables
+def _gold_details(spark, sf):
+    return gold_details_converted(spark, sf)
+
+
+def _enriched(spark, sf):
+    return enriched_left_join(spark, sf)
+
+
+@register("bi_books_by_category", f"""
+WITH gold_books_details AS ({ORACLE['gold_details_converted']})
+SELECT category, COUNT(*) AS nb FROM gold_books_details GROUP BY category
+""")
+def bi_books_by_category(spark, sf):
+    return BI.books_by_category(_gold_details(spark, sf))
+
+
+@register("bi_top_priced_books", f"""
+WITH gold_books_details AS ({ORACLE['gold_details_converted']})
+SELECT titre, price_gbp FROM gold_books_details ORDER BY price_gbp DESC NULLS FIRST, titre LIMIT 10
+""")
+def bi_top_priced_books(spark, sf):
+    return BI.top_priced_books(_gold_details(spark, sf))
+
+
+@register("bi_stock_total", f"""
+WITH gold_books_details AS ({ORACLE['gold_details_converted']})
+SELECT CAST(SUM(stock) AS BIGINT) AS stock_total, COUNT(*) AS books FROM gold_books_details
+""")
+def bi_stock_total(spark, sf):
+    return BI.stock_total(_gold_details(spark, sf))
+
+
+@register("bi_top_populated", f"""
+WITH gold_countries_enriched AS ({ORACLE['enriched_left_join']})
+SELECT pays, population_banque_mondiale, region FROM gold_countries_enriched
+WHERE population_banque_mondiale IS NOT NULL
+ORDER BY population_banque_mondiale DESC, pays LIMIT 20
+""")
+def bi_top_populated(spark, sf):
+    return BI.top_populated(_enriched(spark, sf))
+
+
+@register("bi_rate_by_currency", f"""
+WITH gold_countries_enriched AS ({ORACLE['enriched_left_join']})
+SELECT devise_principale, AVG(taux_change_vs_gbp) AS taux FROM gold_countries_enriched
+WHERE taux_change_vs_gbp IS NOT NULL GROUP BY devise_principale
+""")
+def bi_rate_by_currency(spark, sf):
+    return BI.rate_by_currency(_enriched(spark, sf))
+
+
+@register("bi_countries_by_region", f"""
+WITH gold_countries_enriched AS ({ORACLE['enriched_left_join']})
+SELECT region, COUNT(*) AS nb_pays FROM gold_countries_enriched GROUP BY region
+""")
+def bi_countries_by_region(spark, sf):
+    return BI.countries_by_region(_enriched(spark, sf))
+
+
+@register("bi_sql_avg_price_by_category", f"""
+WITH gold_books_analytics AS ({ORACLE['gold_category_analytics']})
+SELECT categorie, prix_moyen_gbp, prix_moyen_eur, prix_moyen_usd FROM gold_books_analytics
+""")
+def bi_sql_avg_price_by_category(spark, sf):
+    """The SQL-lab form, run through ``spark.sql`` over a temp view of the gold table."""
+    return BI.run_sql(spark, "avg_price_by_category", {"gold_books_analytics": gold_category_analytics(spark, sf)})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rivulet.operators.quality import assert_unique
 from rivulet.operators.upsert import upsert
-from rivulet.sinks.files import append_audit, write_versioned
+from rivulet.sinks.files import load_audit_row, write, write_versioned
 from rivulet.sources.files import _exists, read_latest_version
 
 # --- fixed values: key and updated columns of the population table --------
@@ -21,7 +21,8 @@ def upsert_versioned(spark: SparkSession, batch: DataFrame, table_root: str, aud
                      table_name: str, keys=POPULATION_KEYS, update_cols=POPULATION_UPDATE_COLUMNS,
                      source: str = "local", stamp: str | _dt.datetime | None = None) -> tuple[str, int]:
     """Merge ``batch`` into the newest version of ``table_root`` and publish the
-    result as a new version, then append a load audit row.
+    result as a new version, then append a load audit row
+    (table_name, rows_loaded, source, file_path, loaded_at).
 
     Duplicate keys in the batch are refused (as a primary key would).  The new
     version is a complete table written next to the old ones, so readers never
@@ -34,5 +35,5 @@ def upsert_versioned(spark: SparkSession, batch: DataFrame, table_root: str, aud
     else:
         merged = batch
     path, rows = write_versioned(merged, table_root, stamp)
-    append_audit(spark, audit_root, table_name, rows, path)
+    write(load_audit_row(spark, table_name, rows, path, source), audit_root, mode="append")
     return path, rows

@@ -29,7 +29,8 @@ def books_silver_step(spark: SparkSession, raw_csv: str, out_csv: str, rates_pat
 
 
 def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=None) -> int:
-    return write(countries_silver(spark.read.parquet(raw_path), as_of), out_path, partition_by=["region"])
+    return write(countries_silver(spark.read.parquet(raw_path), as_of), out_path, partition_by=["region"],
+                 skip_empty=True)
 
 
 def population_silver_step(spark: SparkSession, raw_path: str, silver_root: str, audit_root: str,
@@ -41,7 +42,7 @@ def population_silver_step(spark: SparkSession, raw_path: str, silver_root: str,
 
 
 def rates_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=None) -> int:
-    return write(rates_silver(spark.read.parquet(raw_path), as_of), out_path)
+    return write(rates_silver(spark.read.parquet(raw_path), as_of), out_path, skip_empty=True)
 
 
 def wine_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=None) -> int:

@@ -20,8 +20,15 @@ LOAD_AUDIT_SCHEMA = "table_name string, rows_loaded long, source string, file_pa
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-          partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> int:
-    """Write and return the number of rows written (observed during the write)."""
+          partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None,
+          skip_empty: bool = False) -> int:
+    """Write and return the number of rows written (observed during the write).
+
+    ``skip_empty`` leaves the target untouched when the input has no row
+    (checked by reading at most one row).
+    """
+    if skip_empty and df.isEmpty():
+        return 0
     obs = Observation("rows_written")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
@@ -77,6 +84,13 @@ def append_audit(spark: SparkSession, audit_path: str, table_name: str, rows: in
     write(audit_row(spark, table_name, rows, file_path, created_at), audit_path, "parquet", "append")
 
 
+def load_audit_row(spark: SparkSession, table_name: str, rows: int, file_path: str, source: str | None = None,
+                   loaded_at: _dt.datetime | None = None) -> DataFrame:
+    """Load audit row (table_name, rows_loaded, source, file_path, loaded_at); ``source`` may be null."""
+    loaded_at = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return spark.createDataFrame([(table_name, int(rows), source, file_path, loaded_at)], LOAD_AUDIT_SCHEMA)
+
+
 def publish(df: DataFrame, lake_root: str, layer: str, table: str, fmt: str = "parquet",
             partition_by: Sequence[str] = ()) -> tuple[str, int]:
     """Write a table to ``<lake_root>/<layer>/<table>`` (bronze/silver/gold layout)."""

@@ -58,6 +58,12 @@ def test_partitioned_publish_and_pruning(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(region" in plan
 
 
+def test_skip_empty_write(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "empty")
+    assert write(spark.range(0), path, skip_empty=True) == 0 and not os.path.exists(path)
+    assert write(spark.range(3), path, skip_empty=True) == 3
+
+
 def test_fallback_newest_file_and_gates(spark, tmp_dir):
     gold = os.path.join(tmp_dir, "gold")
     silver = os.path.join(tmp_dir, "silver_csv")
@@ -86,7 +92,8 @@ def test_upsert_versioned_end_to_end(spark, tmp_dir):
     got = {r.country_iso2: r for r in read_latest_version(spark, root).collect()}
     assert (got["FR"].population, got["FR"].country_name, got["FR"].ingestion_timestamp) == (5.0, "France", "t2")
     assert got["DE"].population == 7.0
-    assert sorted(r.rows for r in spark.read.parquet(audit).collect()) == [1, 2]
+    audit_rows = spark.read.parquet(audit).collect()
+    assert sorted(r.rows_loaded for r in audit_rows) == [1, 2] and {r.source for r in audit_rows} == {"local"}
     dup = spark.createDataFrame([("P", "IT", "Italy", 2020, 1.0, "t3", "2020-01")] * 2, s)
     try:
         upsert_versioned(spark, dup, root, audit, "population", stamp="20240103_000000")
