@@ -62,20 +62,34 @@ def write_versioned(df: DataFrame, root: str, stamp: str | _dt.datetime | None =
     """Write a new immutable version ``root/version=<stamp>/`` and return (path, rows).
 
     Readers pick the newest version (:func:`rivulet.sources.files.read_latest_version`),
-    so a version becomes visible only once its folder is complete.
+    so a version becomes visible only once its folder is complete.  The
+    version folder is written in overwrite mode so that a retried job
+    replaces the leftovers of a failed attempt of the same version.
     """
     if stamp is None:
         stamp = _dt.datetime.now(_dt.timezone.utc)
     if isinstance(stamp, _dt.datetime):
         stamp = version_of(stamp)
     path = f"{root.rstrip('/')}/{VERSION_COLUMN}={stamp}"
-    return path, write(df, path, fmt, "errorifexists")
+    return path, write(df, path, fmt, "overwrite")
+
+
+def _one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
+    """A one-row frame of literals (planned JVM-side, no Python worker)."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    return spark.range(1).select(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, values)])
+
+
+def _now_utc() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 def audit_row(spark: SparkSession, table_name: str, rows: int, file_path: str,
               created_at: _dt.datetime | None = None) -> DataFrame:
-    created_at = created_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    return spark.createDataFrame([(table_name, int(rows), created_at, file_path)], AUDIT_SCHEMA)
+    """File audit row (table_name, rows, created_at, file_path); times are UTC wall clock."""
+    created = (created_at or _now_utc()).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return _one_row(spark, AUDIT_SCHEMA.replace("created_at timestamp", "created_at timestamp_ntz"),
+                    (table_name, int(rows), created, file_path))
 
 
 def append_audit(spark: SparkSession, audit_path: str, table_name: str, rows: int,
@@ -87,8 +101,9 @@ def append_audit(spark: SparkSession, audit_path: str, table_name: str, rows: in
 def load_audit_row(spark: SparkSession, table_name: str, rows: int, file_path: str, source: str | None = None,
                    loaded_at: _dt.datetime | None = None) -> DataFrame:
     """Load audit row (table_name, rows_loaded, source, file_path, loaded_at); ``source`` may be null."""
-    loaded_at = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    return spark.createDataFrame([(table_name, int(rows), source, file_path, loaded_at)], LOAD_AUDIT_SCHEMA)
+    loaded = (loaded_at or _now_utc()).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return _one_row(spark, LOAD_AUDIT_SCHEMA.replace("loaded_at timestamp", "loaded_at timestamp_ntz"),
+                    (table_name, int(rows), source, file_path, loaded))
 
 
 def publish(df: DataFrame, lake_root: str, layer: str, table: str, fmt: str = "parquet",

@@ -60,13 +60,22 @@ def read_latest_version(spark: SparkSession, root: str, fmt: str = "parquet") ->
 
 
 def read_newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
-    """Rows of the most recently modified file of a flat folder (max mtime)."""
+    """Rows of the most recently modified file of a folder or object-store prefix (max mtime)."""
     df = spark.read.format(fmt).load(folder).select("*", F.col("_metadata.file_path").alias("_path"),
                                                    F.col("_metadata.file_modification_time").alias("_mtime"))
     newest = df.select(F.max_by("_path", "_mtime")).scalar()
     return df.filter(F.col("_path") == newest).drop("_path", "_mtime")
 
 
+def newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> tuple[DataFrame, str | None]:
+    """``(rows of the newest file, its path)``; only the one path reaches the driver."""
+    df = spark.read.format(fmt).load(folder)
+    path = df.select(F.max_by(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time"))).first()[0]
+    if path is None:
+        return df.limit(0), None
+    return df.filter(F.col("_metadata.file_path") == path), path
+
+
 def file_facts(df: DataFrame) -> DataFrame:
     """Per input file: path, size, modification time, rows (from ``_metadata``)."""
     m = F.col("_metadata")

@@ -9,7 +9,7 @@ from rivulet.sinks.files import (
 )
 from rivulet.sources.files import (
     file_facts, is_complete, is_fresh, read_csv, read_first_available, read_latest_version, read_lines,
-    read_newest_file,
+    newest_file, read_newest_file,
 )
 
 
@@ -73,6 +73,8 @@ def test_fallback_newest_file_and_gates(spark, tmp_dir):
     write(spark.createDataFrame([(1,)], "a int"), folder, mode="append")
     write(spark.createDataFrame([(2,)], "a int"), folder, mode="append")
     assert [r.a for r in read_newest_file(spark, folder).collect()] == [2]
+    rows, path = newest_file(spark, folder)
+    assert [r.a for r in rows.collect()] == [2] and path.endswith(".parquet")
     df = spark.read.parquet(folder)
     assert is_fresh(df, dt.datetime.now(dt.timezone.utc).date())
     assert not is_fresh(df, "2000-01-01")
