@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.operators.joins import broadcast_if_small
+
 # --- fixed values: exchange-rate row used by the fixture queries -----------
 RATES = {"USD": 1.27, "EUR": 1.17, "ZAR": 23.5, "NGN": 1650.0, "KES": 164.0, "EGP": 61.5}
 RATES_BASE = "GBP"
@@ -89,11 +91,16 @@ def reviews_text(part: DataFrame) -> Column:
              .otherwise(s))
 
 
+def _geo(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """nation + region names; broadcast after a bounded size check."""
+    r = broadcast_if_small(region.select("r_regionkey", "r_name"), 10_000)
+    geo = nation.join(r, nation.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    return broadcast_if_small(geo, 100_000)
+
+
 def countries_from_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Country-shaped rows: one per customer, with its nation and region."""
-    geo = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-                 .select("n_nationkey", "n_name", "r_name"))
-    c = customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey)
+    c = customer.join(_geo(nation, region), customer.c_nationkey == F.col("n_nationkey"))
     return c.select(
         F.col("c_name").alias("name"), F.upper("c_name").alias("official_name"),
         F.col("r_name").alias("region"), F.col("n_name").alias("subregion"),
@@ -110,9 +117,7 @@ def population_from_orders(orders: DataFrame) -> DataFrame:
 
 def country_payloads(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One countries-API JSON document (an array of one country) per customer."""
-    geo = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-                 .select("n_nationkey", "n_name", "r_name"))
-    c = customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey)
+    c = customer.join(_geo(nation, region), customer.c_nationkey == F.col("n_nationkey"))
     codes = F.filter(F.split(currency_codes(F.col("n_nationkey")), ", "), lambda x: x != "")
     currencies = F.map_from_arrays(codes, F.transform(codes, lambda x: F.struct(F.concat(x, F.lit(" money")).alias("name"))))
     country = F.struct(
