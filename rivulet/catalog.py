@@ -446,12 +446,10 @@ def rejects_split(spark, sf):
     p = p.select("page_id", H.strip_decoys(broken).alias("h"))
     has_article, has_h1 = H.has_element("h", "article"), H.has_element("h", "h1")
     reason = F.when(~has_article, "missing article").when(~has_h1, "missing h1")
-    good, bad = H.split_valid(p, has_article & has_h1, reason)
-    good = good.select("page_id", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reject_reason"),
-                       H.text_of(H.element_inner(H.element_inner("h", "article"), "h1")).alias("h1"))
-    bad = bad.select("page_id", F.lit("rejected").alias("status"), "reject_reason",
-                     F.lit(None).cast("string").alias("h1"))
-    return good.unionByName(bad)
+    tagged = H.with_validity(p, has_article & has_h1, reason)
+    h1 = H.text_of(H.element_inner(H.element_inner("h", "article"), "h1"))
+    return tagged.select("page_id", "status", "reject_reason",
+                         F.when(F.col("status") == "ok", h1).alias("h1"))
 
 
 # ------------------------------------------------------------ writes as frames

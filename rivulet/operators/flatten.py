@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # --- fixed values: shapes of the public API payloads ----------------------
@@ -69,16 +69,24 @@ def flatten_countries(payloads: DataFrame, payload_col: str = "payload") -> Data
             ))
 
 
-def flatten_observations(pages: DataFrame, payload_col: str = "payload") -> DataFrame:
+def flatten_observations(pages: DataFrame, payload_col: str = "payload",
+                         observation: Observation | None = None) -> DataFrame:
     """Two-part page ``[metadata, [observation, ...]]`` -> population records.
 
     Observations with a null value are dropped; a year that is not an integer
     becomes null instead of failing the run.  Many pages are simply many rows.
+    With an ``Observation``, the first action over the result also reports
+    ``observations``, ``dropped_null_value`` and ``bad_year`` counts.
     """
     o = F.col("o")
     rows = F.from_json(F.get_json_object(F.col(payload_col), "$[1]"), OBSERVATION_SCHEMA)
-    return (pages
-            .select(F.explode(rows).alias("o"))
+    exploded = pages.select(F.explode(rows).alias("o"))
+    if observation is not None:
+        exploded = exploded.observe(
+            observation, F.count(F.lit(1)).alias("observations"),
+            F.count_if(o["value"].isNull()).alias("dropped_null_value"),
+            F.count_if(o["value"].isNotNull() & o["date"].try_cast("int").isNull()).alias("bad_year"))
+    return (exploded
             .filter(o["value"].isNotNull())
             .select(
                 o["indicator"]["id"].alias("indicator_id"),

@@ -112,10 +112,19 @@ def relabel(value, pattern: str = r"^/(.*)$", group: int = 1) -> Column:
     return F.regexp_extract(_c(value), pattern, group)
 
 
+def with_validity(df: DataFrame, valid: Column, reason: Column,
+                  status_col: str = "status", reason_col: str = "reject_reason") -> DataFrame:
+    """One pass: ``status`` ('ok' / 'rejected') and the reject reason (null when ok)."""
+    return df.withColumns({status_col: F.when(valid, F.lit("ok")).otherwise(F.lit("rejected")),
+                           reason_col: F.when(~valid, reason)})
+
+
 def split_valid(df: DataFrame, valid: Column, reason: Column) -> tuple[DataFrame, DataFrame]:
     """Per-record error isolation: ``(good, rejected)``; rejected rows carry a reason.
 
     Both are filters over the same input, so bad records never fail the run.
+    When both sides are consumed by one query, :func:`with_validity` does it
+    in a single pass.
     """
     good = df.filter(valid)
     rejected = df.filter(~valid).withColumn("reject_reason", reason)

@@ -46,13 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a scratch folder is created.
+    is.  Only a local-mode session without it (tests) gets a scratch folder;
+    a cluster session without it is an error, because a machine-local folder
+    would not survive the loss of an executor.
     """
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. hdfs:// or s3a://)")
     path = tempfile.mkdtemp(prefix="rivulet-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -31,9 +31,12 @@ def test_flatten_observations_drops_null_values(spark):
         {"indicator": {"id": "SP.POP.TOTL"}, "country": {"id": "NG", "value": "Nigeria"}, "date": "bad", "value": 7.0},
     ]])
     empty = json.dumps([{"page": 2, "pages": 2}, None])
+    from pyspark.sql import Observation
+    obs = Observation("pages")
     got = sorted(tuple(r) for r in flatten_observations(
-        spark.createDataFrame([(page,), (empty,)], "payload string")).collect())
+        spark.createDataFrame([(page,), (empty,)], "payload string"), observation=obs).collect())
     assert got == [("SP.POP.TOTL", "KE", "Kenya", 2022, 5.0), ("SP.POP.TOTL", "NG", "Nigeria", None, 7.0)]
+    assert obs.get == {"observations": 3, "dropped_null_value": 1, "bad_year": 1}
 
 
 def test_flatten_rates_whitelist_and_empty(spark):
@@ -93,6 +96,8 @@ def test_links_and_absolute_urls(spark):
 
 def test_split_valid(spark):
     df = spark.createDataFrame([(1, True), (2, False)], "id int, ok boolean")
+    tagged = {r.id: (r.status, r.reject_reason) for r in H.with_validity(df, F.col("ok"), F.lit("broken")).collect()}
+    assert tagged == {1: ("ok", None), 2: ("rejected", "broken")}
     good, bad = H.split_valid(df, F.col("ok"), F.lit("broken"))
     assert [r.id for r in good.collect()] == [1]
     assert [(r.id, r.reject_reason) for r in bad.collect()] == [(2, "broken")]
