@@ -88,9 +88,25 @@ def _bucket_table(b: DataFrame, series: list[str], ts: str, increment: str, tieb
             .select(*series, BUCKET, "_off", "_prev_bucket_ts"))
 
 
+def _ts_from_micros(df: DataFrame, ts: str, us: Column) -> Column:
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return ntz_from_micros(us)
+    return F.timestamp_micros(us)
+
+
+def _range_counter(df, series, ts, increment, tiebreak, out, prev_ts):
+    from rivulet.operators.ordered_scan import range_scan
+    x = df.withColumn("_ts_us", epoch_micros(df, ts))
+    r = range_scan(x, series, "_ts_us", tiebreak, increment=increment)
+    r = r.withColumn(out, F.col("_run").cast(df.schema[increment].dataType))
+    if prev_ts:
+        r = r.withColumn(prev_ts, _ts_from_micros(df, ts, F.col("_pus")))
+    return r.drop("_run", "_pus", "_ts_us")
+
+
 def counter_from_increments(df: DataFrame, series: Sequence[str], ts: str, increment: str,
                             tiebreak: str, out: str = "counter", bucket_seconds: int = 3600,
-                            prev_ts: str | None = None) -> DataFrame:
+                            prev_ts: str | None = None, layout: str = "time") -> DataFrame:
     """Running sum of ``increment`` per series in ``(ts, tiebreak)`` order.
 
     Distributed prefix sum: bucket totals (partial aggregation, a cheap
@@ -99,8 +115,14 @@ def counter_from_increments(df: DataFrame, series: Sequence[str], ts: str, incre
     offset.  The samples are shuffled once.  With ``prev_ts`` the time of the
     previous sample of the series is added too (from the same bucket table).
     The output keeps the ``time_bucket`` column for a following operator.
+
+    ``layout="range"`` uses :func:`rivulet.operators.ordered_scan.range_scan`
+    instead: balanced range partitions even when one (series, time bucket)
+    holds a large share of all rows (a checkpoint and a vectorised scan).
     """
     series = list(series)
+    if layout == "range":
+        return _range_counter(df, series, ts, increment, tiebreak, out, prev_ts)
     b = with_time_bucket(df, ts, bucket_seconds)
     buckets = _bucket_table(b, series, ts, increment, tiebreak)
     w = Window.partitionBy(*series, BUCKET).orderBy(F.col(ts), F.col(tiebreak))
@@ -116,14 +138,22 @@ def counter_from_increments(df: DataFrame, series: Sequence[str], ts: str, incre
 
 def with_previous(df: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
                   bucket_seconds: int = 3600, prev_ts: str = "prev_ts",
-                  prev_value: str = "prev_value") -> DataFrame:
+                  prev_value: str = "prev_value", layout: str = "time") -> DataFrame:
     """Add the previous sample (ts, value) of the same series (null for the first).
 
     Inside a ``(series, bucket)`` partition this is ``lag``; the first sample
     of a bucket takes the last sample of the series' previous non-empty
     bucket, from a table with one row per ``(series, bucket)``.
+    ``layout="range"``: see :func:`counter_from_increments`.
     """
     series = list(series)
+    if layout == "range":
+        from rivulet.operators.ordered_scan import range_scan
+        x = df.withColumn("_ts_us", epoch_micros(df, ts))
+        r = range_scan(x, series, "_ts_us", tiebreak, value=value)
+        return (r.withColumn(prev_ts, _ts_from_micros(df, ts, F.col("_pus")))
+                 .withColumn(prev_value, F.col("_pv").cast(df.schema[value].dataType))
+                 .drop("_pus", "_pv", "_ts_us"))
     b = with_time_bucket(df, ts, bucket_seconds)
     order = [F.col(ts), F.col(tiebreak)]
     w = Window.partitionBy(*series, BUCKET).orderBy(*order)
@@ -146,7 +176,7 @@ def counter_delta(value: Column, prev: Column) -> Column:
 
 def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
                  window: str = "5 minutes", slide: str | None = None,
-                 bucket_seconds: int = 3600, digits: int | None = 6) -> DataFrame:
+                 bucket_seconds: int = 3600, digits: int | None = 6, layout: str = "time") -> DataFrame:
     """``rate(counter[window])`` evaluated on (sliding) time windows.
 
     For each window and series: the samples inside, their increase (sum over
@@ -155,13 +185,14 @@ def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, tieb
     than two samples).  No extrapolation to the window borders.
     """
     series = list(series)
-    p = with_previous(df, series, ts, value, tiebreak, bucket_seconds)
+    p = with_previous(df, series, ts, value, tiebreak, bucket_seconds, layout=layout)
     return _windowed_rate(p, series, ts, counter_delta(F.col(value), F.col("prev_value")), window, slide, digits)
 
 
 def counter_rate_from_increments(df: DataFrame, series: Sequence[str], ts: str, increment: str,
                                  tiebreak: str, window: str = "5 minutes", slide: str | None = None,
-                                 bucket_seconds: int = 3600, digits: int | None = 6) -> DataFrame:
+                                 bucket_seconds: int = 3600, digits: int | None = 6,
+                                 layout: str = "time") -> DataFrame:
     """``rate()`` of the counter whose increments are given (no resets by
     construction).  A window's increase is the sum of the increments of its
     samples whose previous sample is in the window too.  Same output as
@@ -169,7 +200,7 @@ def counter_rate_from_increments(df: DataFrame, series: Sequence[str], ts: str,
     """
     series = list(series)
     c = counter_from_increments(df, series, ts, increment, tiebreak, "_counter", bucket_seconds,
-                                prev_ts="prev_ts")
+                                prev_ts="prev_ts", layout=layout)
     return _windowed_rate(c, series, ts, F.col(increment), window, slide, digits)
 
 

@@ -112,3 +112,25 @@ def test_uptime_and_last(spark):
     as_of = F.lit(T0 + dt.timedelta(minutes=10)).cast("timestamp_ntz")
     assert M.uptime(df, ["s"], "ts", as_of).first().uptime_s == 600.0
     assert M.last_value(df, ["s"], "ts", "v", "id").first()["last"] == 5.0
+
+
+def test_range_layout_matches_time_layout_under_skew(spark):
+    # one series holds most rows, all inside one hour (one time bucket)
+    rnd = random.Random(5)
+    rows = [(i, T0 + dt.timedelta(milliseconds=i * 7), "hot", rnd.randint(0, 9)) for i in range(3000)]
+    rows += [(10_000 + i, T0 + dt.timedelta(minutes=i), f"s{i % 3}", rnd.randint(0, 9)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, series string, inc long")
+    a = M.counter_from_increments(df, ["series"], "ts", "inc", "id", prev_ts="prev_ts").drop(M.BUCKET)
+    b = M.counter_from_increments(df, ["series"], "ts", "inc", "id", prev_ts="prev_ts", layout="range")
+    assert sorted(map(tuple, a.select("id", "counter", "prev_ts").collect()), key=lambda t: t[0]) == \
+        sorted(map(tuple, b.select("id", "counter", "prev_ts").collect()), key=lambda t: t[0])
+    assert b.schema["counter"].dataType.simpleString() == "bigint"
+    # the hot series is spread over several scan partitions
+    parts = (df.filter("series = 'hot'").repartitionByRange(8, "series", "ts", "id")
+               .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts >= 4
+    vals = [(r[0], r[1], r[2], float(r[3])) for r in dense_samples(2, 200, 3)]
+    c = spark.createDataFrame(vals, "id long, ts timestamp_ntz, series string, value double")
+    ra = M.counter_rate(c, ["series"], "ts", "value", "id", "5 minutes", "1 minute", 600)
+    rb = M.counter_rate(c, ["series"], "ts", "value", "id", "5 minutes", "1 minute", 600, layout="range")
+    assert sorted(map(tuple, ra.collect())) == sorted(map(tuple, rb.collect()))
