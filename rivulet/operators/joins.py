@@ -33,19 +33,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return df
 
 
-def latest_per_key(df: DataFrame, key: str | Sequence[str], order_col: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
+                   strategy: str = "window") -> DataFrame:
     """Rows holding the greatest ``order_col`` per key; ties are all kept.
 
     Rows with a null key or a null order value are dropped (as a grouped max
-    followed by an inner join would do).  Planned as ``rank() = 1``: Spark
-    inserts a partial ``WindowGroupLimit`` before the shuffle, so each map task
-    forwards only its local latest rows per key, which also tames hot keys.
+    followed by an inner join would do).
+
+    ``strategy="window"`` (default) plans ``rank() = 1``: Spark inserts a
+    partial ``WindowGroupLimit`` before the shuffle, so each map task forwards
+    only its local latest rows per key; a hot key costs a few rows per task.
+    ``strategy="join"`` is the grouped max joined back on (key, value): use it
+    when one key may have a huge number of rows *tied* at its latest value,
+    because AQE's skew join then splits that group across tasks.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
     cond = F.col(order_col).isNotNull()
     for k in keys:
         cond = cond & F.col(k).isNotNull()
+    if strategy == "join":
+        src = df.filter(cond)
+        latest = src.groupBy(*keys).agg(F.max(order_col).alias(order_col))
+        return src.join(latest, [*keys, order_col], "inner").select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
     return (df.filter(cond)
               .withColumn("_rk", F.rank().over(w))
               .filter(F.col("_rk") == 1)

@@ -57,6 +57,7 @@ def test_strict_price_matches_python_float(spark, texts):
 def test_latest_per_key_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "k string, y int, v int")
     got = sorted(tuple(r) for r in latest_per_key(df, "k", "y").collect())
+    assert got == sorted(tuple(r) for r in latest_per_key(df, "k", "y", strategy="join").collect())
     top = {}
     for k, y, _ in rows:
         top[k] = max(top.get(k, y), y)
