@@ -30,6 +30,21 @@ SITE_BASE = "https://books.toscrape.com/"
 # ---------------------------------------------------------------------------
 
 
+def book_links(pages: DataFrame, html_col: str = "html", base: str = SITE_BASE) -> DataFrame:
+    """Catalogue pages -> one row per product link (``article.product_pod h3 a``).
+
+    Every ``../../`` is removed from the href and ``<base>catalogue/`` is
+    prefixed.  Pages are rows, so all catalogue pages are read at once.
+    """
+    pods = F.regexp_extract_all(
+        H.strip_decoys(F.col(html_col)),
+        F.lit(r'(?is)<article\b[^>]*class="[^"]*\bproduct_pod\b[^"]*"[^>]*>.*?<h3\b[^>]*>.*?'
+              r'<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'), 1)
+    href = F.explode(pods).alias("href")
+    return pages.select(href).select(
+        F.concat(F.lit(base + "catalogue/"), F.replace(F.col("href"), F.lit("../../"), F.lit(""))).alias("url"))
+
+
 def book_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                  base: str = SITE_BASE) -> tuple[DataFrame, DataFrame]:
     """Product pages -> (raw book rows with the 11 scraped fields, rejected pages).

@@ -1,6 +1,6 @@
 import os
 
-from rivulet.plans.books import RAW_COLUMNS, book_records
+from rivulet.plans.books import RAW_COLUMNS, book_links, book_records
 from rivulet.plans.runs import (
     books_silver_step, countries_silver_step, gold_books_step, gold_countries_step, population_silver_step,
     wine_silver_step,
@@ -73,3 +73,17 @@ def test_steps_end_to_end(spark, tmp_dir):
     wine = spark.createDataFrame([("w", "France", "Red", "10", "5")], "title string, country string, variety string, price string, points string")
     write(wine, os.path.join(tmp_dir, "raw", "wine"))
     assert wine_silver_step(spark, os.path.join(tmp_dir, "raw", "wine"), os.path.join(tmp_dir, "silver", "wine")) == 1
+
+
+CATALOGUE = """<ol class="row"><li><article class="product_pod"><div class="image_container">
+<a href="../../a-light-in-the-attic_1000/index.html"><img src="x.jpg"></a></div>
+<h3><a href="../../a-light-in-the-attic_1000/index.html" title="A Light">A Light ...</a></h3></article></li>
+<li><article class="product_pod"><h3><a href="tipping-the-velvet_999/index.html">Tipping</a></h3></article></li>
+</ol><div class="side"><h3><a href="/not-a-book">x</a></h3></div>"""
+
+
+def test_book_links(spark):
+    pages = spark.createDataFrame([(CATALOGUE,), ("<html></html>",)], "html string")
+    assert [r.url for r in book_links(pages).collect()] == [
+        "https://books.toscrape.com/catalogue/a-light-in-the-attic_1000/index.html",
+        "https://books.toscrape.com/catalogue/tipping-the-velvet_999/index.html"]
