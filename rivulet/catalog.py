@@ -34,6 +34,9 @@ from rivulet.plans import bi as BI
 from rivulet.plans.books import books_silver
 from rivulet.plans.countries import countries_silver
 from rivulet.plans.silver import population_silver, wine_silver
+from rivulet.session import ensure_checkpoint_dir
+from rivulet.sinks.files import append_audit, publish, write_csv, write_versioned
+from rivulet.sources.files import read_csv, read_latest_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -816,3 +819,64 @@ SELECT categorie, prix_moyen_gbp, prix_moyen_eur, prix_moyen_usd FROM gold_books
 def bi_sql_avg_price_by_category(spark, sf):
     """The SQL-lab form, run through ``spark.sql`` over a temp view of the gold table."""
     return BI.run_sql(spark, "avg_price_by_category", {"gold_books_analytics": gold_category_analytics(spark, sf)})
+
+
+# ------------------------------------------------- writes read back (sinks)
+def _io_root(spark, tag: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivulet-io/{tag}-{uuid.uuid4().hex[:10]}"
+
+
+@register("versioned_latest", f"""
+SELECT o_orderkey, o_custkey, {_rnd('o_totalprice * 1.1')} AS o_totalprice FROM orders
+""")
+def versioned_latest(spark, sf):
+    """Two versions of a table written side by side; the reader sees only the newest."""
+    root = _io_root(spark, "versioned")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    write_versioned(o, root, "20240101_000000")
+    write_versioned(o.withColumn("o_totalprice", round_half_even(F.col("o_totalprice") * 1.1, 2)), root,
+                    "20240102_000000")
+    return read_latest_version(spark, root).drop("version")
+
+
+@register("audit_rows", """
+SELECT 'lineitem_silver' AS table_name, COUNT(*) AS rows FROM lineitem
+UNION ALL
+SELECT 'orders_silver' AS table_name, COUNT(*) AS rows FROM orders
+""")
+def audit_rows(spark, sf):
+    """Versioned writes append audit rows whose counts come from the writes themselves."""
+    root = _io_root(spark, "audit")
+    for name in ("lineitem", "orders"):
+        path, rows = write_versioned(_t(spark, sf, name), f"{root}/{name}_silver", "20240101_000000")
+        append_audit(spark, f"{root}/audit", f"{name}_silver", rows, path)
+    return spark.read.parquet(f"{root}/audit").select("table_name", "rows")
+
+
+@register("partitioned_roundtrip", """
+SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+""")
+def partitioned_roundtrip(spark, sf):
+    """Layer publication partitioned by segment; the read prunes partitions."""
+    root = _io_root(spark, "lake")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    path, _ = publish(c, root, "silver", "customers", partition_by=["c_mktsegment"])
+    return (spark.read.parquet(path).filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
+                 .select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"))
+
+
+@register("csv_roundtrip", f"""
+SELECT CAST(p_partkey AS VARCHAR) AS url, p_name AS titre, {_PRICE_TEXT_SQL} AS prix_ttc,
+       {_strict_sql(_PRICE_TEXT_SQL)} AS price_gbp
+FROM part
+""")
+def csv_roundtrip(spark, sf):
+    """Scraped rows through a CSV file (header, quoting) and back, then price cleaning."""
+    root = _io_root(spark, "csv")
+    p = _t(spark, sf, "part")
+    raw = p.select(F.col("p_partkey").cast("string").alias("url"), F.col("p_name").alias("titre"),
+                   fx.price_text(p).alias("prix_ttc"))
+    write_csv(raw, root)
+    back = read_csv(spark, root)
+    return back.select("url", "titre", "prix_ttc", clean_price_strict("prix_ttc").alias("price_gbp"))
