@@ -92,8 +92,8 @@ def reviews_text(part: DataFrame) -> Column:
 
 
 def _geo(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """nation + region names; broadcast after a bounded size check."""
-    r = broadcast_if_small(region.select("r_regionkey", "r_name"), 10_000)
+    """nation + region names; broadcast after one bounded size check."""
+    r = region.select("r_regionkey", "r_name")
     geo = nation.join(r, nation.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
     return broadcast_if_small(geo, 100_000)
 
