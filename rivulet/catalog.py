@@ -33,6 +33,7 @@ from rivulet.plans.countries import gold_countries_enriched
 from rivulet.plans import bi as BI
 from rivulet.plans.books import books_silver
 from rivulet.plans.countries import countries_silver
+from rivulet.plans.load import upsert_versioned
 from rivulet.plans.silver import population_silver, wine_silver
 from rivulet.session import ensure_checkpoint_dir
 from rivulet.sinks.files import append_audit, publish, write_csv, write_versioned
@@ -880,3 +881,20 @@ def csv_roundtrip(spark, sf):
     write_csv(raw, root)
     back = read_csv(spark, root)
     return back.select("url", "titre", "prix_ttc", clean_price_strict("prix_ttc").alias("price_gbp"))
+
+
+@register("upsert_versioned_load", ORACLE["upsert_orders"])
+def upsert_versioned_load(spark, sf):
+    """The load step end to end: initial load, then a merge published as a new
+    version (duplicate keys refused, load audit appended); read the newest."""
+    root = _io_root(spark, "upsert")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    target = o.filter(F.col("o_orderkey") % 3 != 0)
+    updates = (o.filter((F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") % 2 == 0))
+                .withColumn("o_orderstatus", F.lit("U"))
+                .withColumn("o_totalprice", F.when(F.col("o_orderkey") % 10 == 0, F.lit(None).cast("double"))
+                            .otherwise(round_half_even(F.col("o_totalprice") * 1.1, 2))))
+    keys, cols = ["o_orderkey"], ["o_totalprice"]
+    upsert_versioned(spark, target, f"{root}/orders", f"{root}/audit", "orders", keys, cols, stamp="20240101_000000")
+    upsert_versioned(spark, updates, f"{root}/orders", f"{root}/audit", "orders", keys, cols, stamp="20240102_000000")
+    return read_latest_version(spark, f"{root}/orders").drop("version")
