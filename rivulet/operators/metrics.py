@@ -11,7 +11,9 @@ the series alone over raw samples.  Order-dependent steps (previous sample,
 running sums) are split into fixed time buckets: the per-sample work runs in
 ``(series, bucket)`` partitions, and only one summary row per
 ``(series, bucket)`` crosses bucket borders.  Everything else is partial
-(map-side) aggregation.
+(map-side) aggregation.  When a single (series, bucket) may itself be huge,
+``layout="range"`` switches the ordered steps to balanced range partitions
+(:mod:`rivulet.operators.ordered_scan`).
 """
 
 from __future__ import annotations
@@ -24,11 +26,12 @@ from pyspark.sql import types as T
 
 from rivulet.functions.clean import round_half_even
 
+MICROS = 1_000_000
+
+
 def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
-MICROS = 1_000_000
-
 
 def epoch_micros(df: DataFrame, ts: str) -> Column:
     """Microseconds since the epoch for a TIMESTAMP or TIMESTAMP_NTZ column.
