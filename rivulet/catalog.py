@@ -372,7 +372,17 @@ def _text_sql(x: str) -> str:
     t = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
         t = f"replace({t}, '{ent}', '{ch}')"
-    return f"NULLIF(regexp_replace({t}, '^\\s+|\\s+$', '', 'g'), '')"
+    return f"regexp_replace({t}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _has_sql(src: str, tag: str, attrs: str = "") -> str:
+    attr = f"[^>]*{attrs}" if attrs else ""
+    return f"regexp_matches({src}, '(?is)<{tag}\\b{attr}[^>]*>')"
+
+
+def _elem_text_sql(src: str, tag: str, attrs: str = "") -> str:
+    """SQL twin of ``html.element_text``: null when absent, '' when empty."""
+    return f"CASE WHEN {_has_sql(src, tag, attrs)} THEN {_text_sql(_inner_sql(src, tag, attrs))} END"
 
 
 def _inner_sql(src: str, tag: str, attrs: str = "") -> str:
@@ -405,12 +415,12 @@ def html_links(spark, sf):
 WITH c AS (SELECT page_id, html, {_DECOY_SQL} AS h FROM pages)
 SELECT page_id,
        regexp_extract(html, '(?is)<html\\b[^>]*\\blang="([^"]*)"', 1) AS lang,
-       {_text_sql(_inner_sql('h', 'title'))} AS title,
-       {_text_sql(_inner_sql(_inner_sql('h', 'article'), 'h1'))} AS h1,
+       {_elem_text_sql('h', 'title')} AS title,
+       {_elem_text_sql(_inner_sql('h', 'article'), 'h1')} AS h1,
        CAST(len(regexp_extract_all({_inner_sql('h', 'nav')}, {_LI_SQL}, 1)) AS INTEGER) AS nav_items,
        COALESCE({_text_sql(f"regexp_extract_all({_inner_sql('h', 'nav')}, {_LI_SQL}, 1)[3]")}, 'Books') AS third_item,
-       {_text_sql(_inner_sql('h', 'div', 'class="ad"'))} AS ad_text,
-       {_text_sql(_inner_sql(_inner_sql('h', 'article'), 'p'))} AS first_paragraph
+       {_elem_text_sql('h', 'div', 'class="ad"')} AS ad_text,
+       {_elem_text_sql(_inner_sql('h', 'article'), 'p')} AS first_paragraph
 FROM c
 """)
 def html_fields(spark, sf):
@@ -421,11 +431,11 @@ def html_fields(spark, sf):
         "page_id",
         F.regexp_extract("html", r'(?is)<html\b[^>]*\blang="([^"]*)"', 1).alias("lang"),
         H.element_text("h", "title").alias("title"),
-        H.text_of(H.element_inner(article, "h1")).alias("h1"),
+        H.element_text(article, "h1").alias("h1"),
         F.size(H.list_items(nav)).alias("nav_items"),
         H.nth_item_text(nav, 2, "Books").alias("third_item"),
         H.element_text("h", "div", 'class="ad"').alias("ad_text"),
-        H.text_of(H.element_inner(article, "p")).alias("first_paragraph"))
+        H.element_text(article, "p").alias("first_paragraph"))
 
 
 @register("rejects_split", f"""
@@ -437,7 +447,7 @@ SELECT page_id,
        CASE WHEN NOT regexp_matches(h, '(?is)<article\\b[^>]*>') THEN 'missing article'
             WHEN NOT regexp_matches(h, '(?is)<h1\\b[^>]*>') THEN 'missing h1' END AS reject_reason,
        CASE WHEN regexp_matches(h, '(?is)<article\\b[^>]*>') AND regexp_matches(h, '(?is)<h1\\b[^>]*>')
-            THEN {_text_sql(_inner_sql(_inner_sql('h', 'article'), 'h1'))} END AS h1
+            THEN {_elem_text_sql(_inner_sql('h', 'article'), 'h1')} END AS h1
 FROM c
 """)
 def rejects_split(spark, sf):
@@ -449,7 +459,7 @@ def rejects_split(spark, sf):
     has_article, has_h1 = H.has_element("h", "article"), H.has_element("h", "h1")
     reason = F.when(~has_article, "missing article").when(~has_h1, "missing h1")
     tagged = H.with_validity(p, has_article & has_h1, reason)
-    h1 = H.text_of(H.element_inner(H.element_inner("h", "article"), "h1"))
+    h1 = H.element_text(H.element_inner("h", "article"), "h1")
     return tagged.select("page_id", "status", "reject_reason",
                          F.when(F.col("status") == "ok", h1).alias("h1"))
 

@@ -33,11 +33,10 @@ def unescape_basic(text) -> Column:
 def text_of(fragment) -> Column:
     """Visible text of an HTML fragment: tags dropped, entities decoded, stripped.
 
-    Empty text becomes null (an absent element).
+    An empty element gives ''; a null fragment (absent element) gives null.
     """
     t = F.regexp_replace(_c(fragment), r"<[^>]*>", "")
-    t = F.regexp_replace(unescape_basic(t), r"^\s+|\s+$", "")
-    return F.nullif(t, F.lit(""))
+    return F.regexp_replace(unescape_basic(t), r"^\s+|\s+$", "")
 
 
 def element_inner(html, tag: str, attrs: str = "", occurrence_in: str | None = None) -> Column:
@@ -54,7 +53,10 @@ def element_inner(html, tag: str, attrs: str = "", occurrence_in: str | None = N
 
 
 def element_text(html, tag: str, attrs: str = "", within: str | None = None) -> Column:
-    return text_of(element_inner(html, tag, attrs, within))
+    """Text of the first matching element: null when there is no such element,
+    '' when it is empty."""
+    src = _c(html) if within is None else element_inner(html, within)
+    return F.when(has_element(src, tag, attrs), text_of(element_inner(src, tag, attrs)))
 
 
 def has_element(html, tag: str, attrs: str = "") -> Column:

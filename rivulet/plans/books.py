@@ -61,13 +61,14 @@ def book_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     good, bad = H.split_valid(df, valid, F.lit("invalid page structure: no product_main block"))
     main = H.element_inner("_h", "div", r'class="[^"]*\bproduct_main\b')
     crumbs = H.element_inner("_h", "ul", r'class="[^"]*\bbreadcrumb\b')
-    desc = F.regexp_extract("_h", r'(?is)<div\b[^>]*id="product_description"[^>]*>.*?</div\s*>\s*<p\b[^>]*>(.*?)</p\s*>', 1)
+    desc_pattern = r'(?is)<div\b[^>]*id="product_description"[^>]*>.*?</div\s*>\s*<p\b[^>]*>(.*?)</p\s*>'
+    desc = F.regexp_extract("_h", desc_pattern, 1)
     img = F.regexp_extract("_h", r'(?is)<div\b[^>]*class="item active"[^>]*>.*?<img\b[^>]*?\bsrc="([^"]*)"', 1)
     fields = {
         "url": F.col("url"),
-        "titre": H.text_of(H.element_inner(main, "h1")),
+        "titre": H.element_text(main, "h1"),
         "categorie": H.nth_item_text(crumbs, 2, DEFAULT_CATEGORY),
-        "description": H.text_of(desc),
+        "description": F.when(F.col("_h").rlike(desc_pattern), H.text_of(desc)),
         **{k: H.table_lookup("_h", label) for k, label in PRODUCT_TABLE_FIELDS.items()},
         "image_url": F.when(img != "", H.absolute_url(img, base)),
     }

@@ -101,3 +101,9 @@ def test_split_valid(spark):
     good, bad = H.split_valid(df, F.col("ok"), F.lit("broken"))
     assert [r.id for r in good.collect()] == [1]
     assert [(r.id, r.reject_reason) for r in bad.collect()] == [(2, "broken")]
+
+
+def test_absent_vs_empty_elements(spark):
+    df = spark.createDataFrame([("<div class='x'><h1>  </h1></div>",), ("<div class='x'></div>",)], "h string")
+    got = [r[0] for r in df.select(H.element_text("h", "h1")).collect()]
+    assert got == ["", None]
