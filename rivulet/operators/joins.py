@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rivulet.functions.clean import round_half_even
 
@@ -76,19 +75,22 @@ def left_enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return out.drop(r[right_key]) if drop_right_key else out
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+# Columns of a rate table that are never rates.
+NON_RATE_COLUMNS = ("processed_at",)
 
 
 def rates_long(rates_wide: DataFrame, code_col: str = "currency", rate_col: str = "rate") -> DataFrame:
     """First row of a wide rate table -> ``(currency, rate)`` rows.
 
-    Only numeric columns are rates (``base``/``date`` text columns are skipped).
-    The result has one row per numeric column, so it is safe to broadcast.
+    Every column whose first-row value reads as a number is a rate (numeric
+    columns, or text such as "1.17"); ``base``/``date`` and timestamps are
+    skipped.  At most one row per column, so it is safe to broadcast.
     """
-    cols = numeric_columns(rates_wide)
-    first = rates_wide.select(*[F.col(c).cast("double").alias(c) for c in cols]).limit(1)
-    return first.unpivot([], cols, code_col, rate_col)
+    cols = [c for c in rates_wide.columns if c not in NON_RATE_COLUMNS]
+    first = rates_wide.select(*[F.col(c).cast("string").alias(c) for c in cols]).limit(1)
+    long = first.unpivot([], cols, code_col, "_text")
+    return (long.select(code_col, F.col("_text").try_cast("double").alias(rate_col))
+                .filter(F.col(rate_col).isNotNull()))
 
 
 def rate_lookup(df: DataFrame, code_col: str, rates_wide: DataFrame, out_col: str) -> DataFrame:

@@ -29,9 +29,10 @@ def test_left_enrich_fans_out_and_drops_right_key(spark):
         [("DE", 3.0), ("ES", None), ("FR", 1.0), ("FR", 2.0)], key=lambda r: (r[0], r[1] or 0))
 
 
-def test_rate_lookup_unpivots_numeric_columns_only(spark):
-    rates = spark.createDataFrame([(1.27, 1.17, "GBP", "2024-01-01")], "USD double, EUR double, base string, date string")
-    assert sorted(tuple(r) for r in rates_long(rates).collect()) == [("EUR", 1.17), ("USD", 1.27)]
+def test_rate_lookup_takes_columns_that_read_as_numbers(spark):
+    rates = spark.createDataFrame([(1.27, 1.17, "GBP", "2024-01-01", "23.5", None)],
+                                  "USD double, EUR double, base string, date string, ZAR string, KES double")
+    assert sorted(tuple(r) for r in rates_long(rates).collect()) == [("EUR", 1.17), ("USD", 1.27), ("ZAR", 23.5)]
     df = spark.createDataFrame([("USD",), ("GBP",), (None,), ("",)], "code string")
     got = {r.code: r.rate for r in rate_lookup(df, "code", rates, "rate").collect()}
     assert got == {"USD": 1.27, "GBP": None, None: None, "": None}
