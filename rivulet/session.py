@@ -60,3 +60,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="rivulet-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 ** 2,
+               broadcast_bytes: int = 64 * 1024 ** 2) -> dict[str, str]:
+    """Session settings sized for an input volume (e.g. 100 TB on a large cluster).
+
+    - scans split into ``partition_bytes`` pieces; shuffles start with about
+      one partition per ``partition_bytes`` of input (AQE then coalesces small
+      ones and splits skewed ones), so a task's data fits executor memory and
+      spills rather than failing;
+    - broadcasts chosen by the planner stay below ``broadcast_bytes``;
+    - skewed partitions (5x the median and above the advisory size) are split.
+    """
+    shuffle_partitions = max(200, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -67,3 +67,10 @@ def test_year_month_and_version(spark):
     assert col_values(spark, [2021, None], concat_year_month, "int") == ["2021-01", None]
     df = spark.sql("SELECT TIMESTAMP'2024-01-31 23:59:58' AS t")
     assert df.select(version_stamp("t")).first()[0] == "20240131_235958"
+
+
+def test_scale_conf_sizes_partitions():
+    from rivulet.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
