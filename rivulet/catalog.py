@@ -906,3 +906,20 @@ def upsert_versioned_load(spark, sf):
     upsert_versioned(spark, target, f"{root}/orders", f"{root}/audit", "orders", keys, cols, stamp="20240101_000000")
     upsert_versioned(spark, updates, f"{root}/orders", f"{root}/audit", "orders", keys, cols, stamp="20240102_000000")
     return read_latest_version(spark, f"{root}/orders").drop("version")
+
+
+@register("stream_counter_rate", ORACLE["stream_rate"])
+def stream_counter_rate(spark, sf):
+    """Absolute counter readings streamed through the stateful per-series rate
+    (counter resets supported); windows are emitted as the watermark passes them."""
+    from rivulet.streaming.counter_state import stateful_counter_rate
+    root = _io_root(spark, "counters")
+    counters = _counters_only(spark, sf).select("event_id", "ts", "job", "instance", "counter")
+    counters.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(counters.schema).parquet(f"{root}/in")
+    out = stateful_counter_rate(stream, ["job", "instance"], "ts", "counter", "event_id",
+                                window_seconds=86400, slide_seconds=21600, watermark="10 minutes")
+    q = (out.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/out"))
+    q.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")

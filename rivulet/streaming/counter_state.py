@@ -39,24 +39,33 @@ def _rate_state_fn(series: list[str], window_us: int, slide_us: int, digits: int
             last_us, last_v, windows = None, None, {}
         wm_us = state.getCurrentWatermarkMs() * 1000
         if not state.hasTimedOut:
-            batch = pd.concat(list(pdfs), ignore_index=True)
-            batch = batch.sort_values(["_us", "_tb"], kind="mergesort")
-            for us, v in zip(batch["_us"].to_numpy(), batch["_v"].to_numpy()):
-                us, v = int(us), float(v)
-                if last_us is not None and us <= last_us:
-                    continue                                    # out of order for this series
-                delta = None if last_v is None else (v if v < last_v else v - last_v)
+            batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "_tb"], kind="mergesort")
+            us = batch["_us"].to_numpy(dtype=np.int64)
+            v = batch["_v"].to_numpy(dtype=np.float64)
+            if last_us is not None:                      # out of order for this series: dropped
+                keep = us > last_us
+                us, v = us[keep], v[keep]
+            if len(us):
+                prev_us = np.concatenate(([last_us if last_us is not None else np.iinfo(np.int64).min], us[:-1]))
+                prev_v = np.concatenate(([last_v if last_v is not None else np.nan], v[:-1]))
+                delta = np.where(v < prev_v, v, v - prev_v)   # a drop is a reset; nan without a previous
                 base = us - us % slide_us
-                for j in range(k):
-                    start = base - j * slide_us
-                    if start + window_us <= wm_us:
-                        continue                                # window already emitted
-                    w = windows.setdefault(start, [0, 0.0, us, us])
-                    w[0] += 1
-                    w[2], w[3] = min(w[2], us), max(w[3], us)
-                    if delta is not None and last_us >= start:
-                        w[1] += delta
-                last_us, last_v = us, v
+                starts = np.concatenate([base - j * slide_us for j in range(k)])
+                rep_us = np.tile(us, k)
+                contrib = np.where(np.tile(prev_us, k) >= starts, np.tile(delta, k), 0.0)
+                contrib = np.nan_to_num(contrib, nan=0.0)
+                fresh = starts + window_us > wm_us            # windows already emitted are closed
+                g = (pd.DataFrame({"s": starts[fresh], "us": rep_us[fresh], "d": contrib[fresh]})
+                       .groupby("s").agg(n=("us", "size"), inc=("d", "sum"), lo=("us", "min"), hi=("us", "max")))
+                for s, n, inc, lo, hi in zip(g.index, g["n"], g["inc"], g["lo"], g["hi"]):
+                    w = windows.get(int(s))
+                    if w is None:
+                        windows[int(s)] = [int(n), float(inc), int(lo), int(hi)]
+                    else:
+                        w[0] += int(n)
+                        w[1] += float(inc)
+                        w[2], w[3] = min(w[2], int(lo)), max(w[3], int(hi))
+                last_us, last_v = int(us[-1]), float(v[-1])
         closed = sorted(s for s in windows if s + window_us <= wm_us)
         rows = []
         for s in closed:
