@@ -34,9 +34,7 @@ def read_lines(spark: SparkSession, path: str, col: str = "line") -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs_and_path(spark, path)
     return bool(fs.exists(p))
 
 
@@ -48,15 +46,42 @@ def read_first_available(spark: SparkSession, candidates: Sequence[tuple[str, st
     raise FileNotFoundError(f"none of {[p for p, _ in candidates]} exists")
 
 
+def _fs_and_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def latest_version_path(spark: SparkSession, root: str) -> str | None:
+    """Folder of the newest *complete* version under ``root``.
+
+    Lists one directory level (not the files of every version) and skips
+    versions without a ``_SUCCESS`` marker, i.e. writes that failed or are
+    still running.  Version stamps sort as text.
+    """
+    fs, p = _fs_and_path(spark, root)
+    if not fs.exists(p):
+        return None
+    prefix = f"{VERSION_COLUMN}="
+    dirs = sorted((st.getPath() for st in fs.listStatus(p)
+                   if st.isDirectory() and st.getPath().getName().startswith(prefix)),
+                  key=lambda q: q.getName(), reverse=True)
+    for d in dirs:
+        if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(d, "_SUCCESS")):
+            return d.toString()
+    return None
+
+
 def read_latest_version(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """Newest version of a versioned table ``root/version=<yyyyMMdd_HHmmss>/``.
+    """Newest complete version of a versioned table ``root/version=<yyyyMMdd_HHmmss>/``.
 
-    The version is a partition column, so ``version = max(version)`` prunes
-    every older folder at planning time: only the newest files are read.
+    Only that version's folder is read; ``basePath`` keeps ``version`` as a
+    column.
     """
-    df = spark.read.format(fmt).load(root)
-    newest = df.select(F.max(VERSION_COLUMN)).scalar()
-    return df.filter(F.col(VERSION_COLUMN) == newest)
+    path = latest_version_path(spark, root)
+    if path is None:
+        raise FileNotFoundError(f"no complete version under {root}")
+    return spark.read.format(fmt).option("basePath", root).load(path)
 
 
 def read_newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:

@@ -41,6 +41,9 @@ def test_versioned_write_latest_read_and_audit(spark, tmp_dir):
     assert (n1, n2) == (1, 2) and p2.endswith("version=20240102_000000")
     latest = read_latest_version(spark, root)
     assert sorted(r.population for r in latest.collect()) == [2.0, 3.0]
+    assert {r.version for r in latest.collect()} == {"20240102_000000"}
+    os.makedirs(os.path.join(root, "version=20240103_000000"))          # a failed / running write
+    assert read_latest_version(spark, root).first().version == "20240102_000000"
     audit = os.path.join(tmp_dir, "audit_population")
     append_audit(spark, audit, "population_silver", n1, p1)
     append_audit(spark, audit, "population_silver", n2, p2)
