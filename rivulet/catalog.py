@@ -55,6 +55,11 @@ def _t(spark, sf, name):
     return fx.table(spark, sf, name)
 
 
+# RE2 twin of ``functions.clean.STRIP_PATTERN`` (str.strip() whitespace).
+_WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
+_STRIP_RE = f"^{_WS}+|{_WS}+$"
+
+
 def _rnd(x: str, d: int = 2) -> str:
     """SQL twin of ``round_half_even``."""
     return f"(round_even(({x}) * {10 ** d}, 0) / {10 ** d})"
@@ -151,7 +156,7 @@ _FLOAT_RE = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
 SELECT p_partkey, price_text,
        CASE WHEN regexp_matches(t, '{_FLOAT_RE}') THEN TRY_CAST(t AS DOUBLE) END AS price
 FROM (SELECT p_partkey, price_text,
-             regexp_replace(replace(replace(price_text, '£', ''), 'Â', ''), '^\\s+|\\s+$', '', 'g') AS t
+             regexp_replace(replace(replace(price_text, '£', ''), 'Â', ''), '{_STRIP_RE}', '', 'g') AS t
       FROM (SELECT p_partkey, {_PRICE_TEXT_SQL} AS price_text FROM part) a) b
 """)
 def q_clean_price_strict(spark, sf):
@@ -372,7 +377,7 @@ def _text_sql(x: str) -> str:
     t = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
         t = f"replace({t}, '{ent}', '{ch}')"
-    return f"regexp_replace({t}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({t}, '{_STRIP_RE}', '', 'g')"
 
 
 def _has_sql(src: str, tag: str, attrs: str = "") -> str:
@@ -696,7 +701,7 @@ _REVIEWS_SQL = """CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 9 = 4 T
 
 
 def _strict_sql(x: str) -> str:
-    t = f"regexp_replace(replace(replace({x}, '£', ''), 'Â', ''), '^\\s+|\\s+$', '', 'g')"
+    t = f"regexp_replace(replace(replace({x}, '£', ''), 'Â', ''), '{_STRIP_RE}', '', 'g')"
     return f"CASE WHEN regexp_matches({t}, '{_FLOAT_RE}') THEN TRY_CAST({t} AS DOUBLE) END"
 
 
@@ -740,10 +745,10 @@ def countries_silver_dedup(spark, sf):
     return out.select("name", "iso3", "region", "population", "area", "population_density")
 
 
-@register("wine_silver_clean", r"""
+@register("wine_silver_clean", rf"""
 SELECT title, country, variety, price, points, price / NULLIF(points, 0) AS price_per_point
-FROM (SELECT p_brand AS title, regexp_replace(' ' || p_type || ' ', '^\s+|\s+$', '', 'g') AS country,
-             regexp_replace(p_name || '  ', '^\s+|\s+$', '', 'g') AS variety,
+FROM (SELECT p_brand AS title, regexp_replace(' ' || p_type || ' ', '{_STRIP_RE}', '', 'g') AS country,
+             regexp_replace(p_name || '  ', '{_STRIP_RE}', '', 'g') AS variety,
              TRY_CAST(CASE WHEN p_partkey % 13 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS DOUBLE) AS price,
              TRY_CAST(CAST(p_size % 20 AS VARCHAR) AS DOUBLE) AS points,
              ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn

@@ -21,6 +21,9 @@ PRICE_NOISE_CHARS = "£Â"
 AVAILABILITY_PATTERN = r"\((\d+)"
 # Version stamp format of versioned writes: 20240131_235959.
 VERSION_FORMAT = "yyyyMMdd_HHmmss"
+# Whitespace removed by ``str.strip()``: Unicode White_Space plus the
+# information separators \x1c-\x1f.
+STRIP_PATTERN = r"^[\p{IsWhite_Space}\x1c-\x1f]+|[\p{IsWhite_Space}\x1c-\x1f]+$"
 # ---------------------------------------------------------------------------
 
 # Text a Python ``float()`` accepts after stripping: optional sign, digits with
@@ -34,8 +37,9 @@ def _col(c) -> Column:
 
 
 def strip_whitespace(c) -> Column:
-    """Strip leading/trailing whitespace of any kind (``str.strip``), not only spaces."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace of any kind, as ``str.strip()`` does
+    (``F.trim`` removes spaces only)."""
+    return F.regexp_replace(_col(c), STRIP_PATTERN, "")
 
 
 def clean_price_strict(c) -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.functions.clean import strip_whitespace
+
 _DECOYS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 
 
@@ -36,7 +38,7 @@ def text_of(fragment) -> Column:
     An empty element gives ''; a null fragment (absent element) gives null.
     """
     t = F.regexp_replace(_c(fragment), r"<[^>]*>", "")
-    return F.regexp_replace(unescape_basic(t), r"^\s+|\s+$", "")
+    return strip_whitespace(unescape_basic(t))
 
 
 def element_inner(html, tag: str, attrs: str = "", occurrence_in: str | None = None) -> Column:

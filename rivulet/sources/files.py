@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.functions.clean import strip_whitespace
+
 VERSION_COLUMN = "version"
 
 
@@ -29,7 +31,7 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str, col: str = "line") -> DataFrame:
     """Text lines, stripped, blank lines skipped."""
-    t = F.regexp_replace(F.col("value"), r"^\s+|\s+$", "")
+    t = strip_whitespace(F.col("value"))
     return spark.read.text(path).select(t.alias(col)).filter(F.col(col) != "")
 
 

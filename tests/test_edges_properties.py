@@ -74,3 +74,25 @@ def test_upsert_keys_are_the_union(spark, tk, uk):
     for k, (src, v) in out.items():
         assert v == (-float(k) if k in uk else float(k))
         assert src == ("t" if k in tk else "u")
+
+
+WS = st.sampled_from(list(" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0        　ab​"))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(WS, max_size=6), min_size=1, max_size=30))
+def test_strip_matches_python_str_strip(spark, texts):
+    from rivulet.functions.clean import strip_whitespace
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(strip_whitespace("x")).collect()]
+    assert got == [t.strip() for t in texts]
+
+
+def test_strip_sql_twin_matches_python(spark):
+    import duckdb
+
+    from rivulet.catalog import _STRIP_RE
+    samples = ["\xa0 a 　", "\x1c\tb\x85", "​c​", " d ", "e"]
+    con = duckdb.connect()
+    got = [con.execute(f"SELECT regexp_replace(?, '{_STRIP_RE}', '', 'g')", [t]).fetchone()[0] for t in samples]
+    assert got == [t.strip() for t in samples]
