@@ -131,10 +131,10 @@ p AS (
 SELECT c.pays, c.nom_officiel, c.iso2, c.iso3, c.region, c.sous_region, c.capitale, c.superficie_km2,
        c.population_api_countries, p.population_banque_mondiale, p.annee_population,
        {_rnd('c.population_api_countries / NULLIF(CAST(c.superficie_km2 AS DOUBLE), 0)')} AS densite_population,
-       c.codes_devises, trim(split_part(c.codes_devises, ',', 1)) AS devise_principale,
+       c.codes_devises, regexp_replace(split_part(c.codes_devises, ',', 1), '{_STRIP_RE}', '', 'g') AS devise_principale,
        rates.rate AS taux_change_vs_gbp
 FROM c LEFT JOIN p ON c.iso2 = p.o_custkey
-       LEFT JOIN {_RATES_SQL} ON trim(split_part(c.codes_devises, ',', 1)) = rates.currency
+       LEFT JOIN {_RATES_SQL} ON regexp_replace(split_part(c.codes_devises, ',', 1), '{_STRIP_RE}', '', 'g') = rates.currency
 """)
 def enriched_left_join(spark, sf):
     countries = fx.countries_from_customers(_t(spark, sf, "customer"), _t(spark, sf, "nation"),

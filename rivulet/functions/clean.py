@@ -98,8 +98,8 @@ def round2(c) -> Column:
 
 
 def main_currency(c) -> Column:
-    """First entry of a comma separated code list, trimmed ('USD, EUR' -> 'USD')."""
-    return F.trim(F.split(_col(c), ",").getItem(0))
+    """First entry of a comma separated code list, stripped ('USD, EUR' -> 'USD')."""
+    return strip_whitespace(F.split(_col(c), ",").getItem(0))
 
 
 def concat_year_month(year, month: str = "01") -> Column:
