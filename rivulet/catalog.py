@@ -811,7 +811,7 @@ def bi_top_populated(spark, sf):
 
 @register("bi_rate_by_currency", f"""
 WITH gold_countries_enriched AS ({ORACLE['enriched_left_join']})
-SELECT devise_principale, AVG(taux_change_vs_gbp) AS taux FROM gold_countries_enriched
+SELECT devise_principale, {_rnd('AVG(taux_change_vs_gbp)', 6)} AS taux FROM gold_countries_enriched
 WHERE taux_change_vs_gbp IS NOT NULL GROUP BY devise_principale
 """)
 def bi_rate_by_currency(spark, sf):

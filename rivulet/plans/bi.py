@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.functions.clean import round_half_even
 from rivulet.operators.aggregates import avg_by, count_by, share_of_total, totals
 from rivulet.operators.topk import order_desc, top_k, top_k_of_group_max
 
@@ -31,9 +32,12 @@ def top_populated(enriched: DataFrame, k: int = 20) -> DataFrame:
     return top_k(src, "population_banque_mondiale", k, ["pays"])
 
 
-def rate_by_currency(enriched: DataFrame) -> DataFrame:
+def rate_by_currency(enriched: DataFrame, digits: int = 6) -> DataFrame:
+    """Mean rate per main currency, rounded (a mean of one repeated double
+    differs in its last bits with the summation order)."""
     g = avg_by(enriched, "devise_principale", "taux_change_vs_gbp", "taux",
                where=F.col("taux_change_vs_gbp").isNotNull())
+    g = g.withColumn("taux", round_half_even("taux", digits))
     return order_desc(g, "taux", ["devise_principale"])
 
 
