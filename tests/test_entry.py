@@ -20,7 +20,7 @@ def test_every_query_has_an_oracle_or_is_listed():
 
 def _norm(v):
     if isinstance(v, float):
-        return round(v, 9)
+        return repr(v)                      # exact, as a value hash would be
     return v.isoformat() if hasattr(v, "isoformat") else v
 
 
