@@ -32,33 +32,49 @@ from rivulet.session import ensure_checkpoint_dir
 
 
 def _local_scan(series: list[str], has_inc: bool, has_val: bool):
+    """Per-partition scan over Arrow batches (rows sorted by series, time).
+
+    Vectorised: group-wise ``cumsum``/``shift`` inside a batch; the state
+    carried between batches (per series: running total, last time, last
+    value) is applied by index lookups, never row by row in Python.
+    """
+    def index_of(pdf: pd.DataFrame) -> pd.Index:
+        if len(series) == 1:
+            return pd.Index(pdf[series[0]])
+        return pd.MultiIndex.from_frame(pdf[series])
+
     def scan(batches):
         pid = TaskContext.get().partitionId()
-        carry_run, carry_prev = {}, {}
+        carry = None                                  # DataFrame indexed by series
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = list(zip(*[pdf[s] for s in series])) if len(series) > 1 else list(pdf[series[0]])
-            keys = pd.Series(keys, index=pdf.index, dtype=object)
+            pdf = pdf.reset_index(drop=True)
+            idx = index_of(pdf)
+            g = pdf.groupby(series, sort=False, dropna=False)
             pdf["_pid"] = np.int32(pid)
-            g = pdf.groupby(keys, sort=False)
+            prior = carry.reindex(idx) if carry is not None else None
             if has_inc:
-                run = g["_inc"].cumsum().astype("float64")
-                run = run + keys.map(lambda k: carry_run.get(k, 0.0)).astype("float64")
+                run = g["_inc"].cumsum().to_numpy(dtype="float64")
+                if prior is not None:
+                    run = run + prior["run"].fillna(0.0).to_numpy()
                 pdf["_run"] = run
-                last = pd.Series(run.values, index=keys.values).groupby(level=0, sort=False).last()
-                carry_run.update(last.to_dict())
-            prev_us = g["_us"].shift(1)
-            first = prev_us.isna()
-            prev_us = prev_us.where(~first, keys.map(lambda k: carry_prev.get(k, (None, None))[0]))
-            pdf["_pus"] = pd.array(prev_us, dtype="Int64")
+            first = g.cumcount().to_numpy() == 0
+            pus = g["_us"].shift(1).astype("Float64")
+            if prior is not None:
+                pus = pus.where(~first, pd.array(prior["us"].to_numpy(), dtype="Float64"))
+            pdf["_pus"] = pus.astype("Int64")
             if has_val:
-                pv = g["_v"].shift(1)
-                pv = pv.where(~first, keys.map(lambda k: carry_prev.get(k, (None, None))[1]))
-                pdf["_pv"] = pd.array(pv, dtype="Float64")
-            tail = pdf.assign(_k=keys).groupby("_k", sort=False).tail(1)
-            for k, us, v in zip(tail["_k"], tail["_us"], tail["_v"] if has_val else [None] * len(tail)):
-                carry_prev[k] = (int(us), None if v is None or pd.isna(v) else float(v))
+                pv = g["_v"].shift(1).astype("Float64")
+                if prior is not None:
+                    pv = pv.where(~first, pd.array(prior["v"].to_numpy(), dtype="Float64"))
+                pdf["_pv"] = pv
+            last = g.tail(1)
+            upd = pd.DataFrame({"run": last["_run"].to_numpy() if has_inc else np.nan,
+                                "us": last["_us"].to_numpy(dtype="float64"),
+                                "v": last["_v"].to_numpy(dtype="float64") if has_val else np.nan},
+                               index=index_of(last))
+            carry = upd if carry is None else upd.combine_first(carry)
             yield pdf
     return scan
 

@@ -134,3 +134,24 @@ def test_range_layout_matches_time_layout_under_skew(spark):
     ra = M.counter_rate(c, ["series"], "ts", "value", "id", "5 minutes", "1 minute", 600)
     rb = M.counter_rate(c, ["series"], "ts", "value", "id", "5 minutes", "1 minute", 600, layout="range")
     assert sorted(map(tuple, ra.collect())) == sorted(map(tuple, rb.collect()))
+
+
+def test_range_layout_carries_across_batches_and_multi_column_series(spark):
+    rnd = random.Random(9)
+    rows = [(i, T0 + dt.timedelta(seconds=i * 3 + rnd.randint(0, 2)), f"j{i % 2}", f"i{i % 3}", rnd.randint(0, 9))
+            for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, job string, inst string, inc long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {r.id: (r.counter, r.prev_ts) for r in M.counter_from_increments(
+            df, ["job", "inst"], "ts", "inc", "id", prev_ts="prev_ts", layout="range").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    run, last, want = {}, {}, {}
+    for i, t, j, s, inc in sorted(rows, key=lambda r: (r[1], r[0])):
+        k = (j, s)
+        run[k] = run.get(k, 0) + inc
+        want[i] = (run[k], last.get(k))
+        last[k] = t
+    assert got == want
