@@ -111,10 +111,15 @@ def file_facts(df: DataFrame) -> DataFrame:
               .groupBy("file_path", "file_size", "modified_at").agg(F.count(F.lit(1)).alias("rows")))
 
 
+def utc_date(ts: Column) -> Column:
+    """UTC calendar date of a TIMESTAMP, whatever the session time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("int"))
+
+
 def is_fresh(df: DataFrame, day: _dt.date | str | Column) -> bool:
     """True when the newest input file was modified on ``day`` (UTC date)."""
     d = day if isinstance(day, Column) else F.lit(str(day)).cast("date")
-    newest = df.select(F.to_date(F.max("_metadata.file_modification_time")).alias("d"))
+    newest = df.select(utc_date(F.max("_metadata.file_modification_time")).alias("d"))
     return bool(newest.select((F.col("d") == d).alias("ok")).first()["ok"])
 
 

@@ -81,6 +81,14 @@ def test_fallback_newest_file_and_gates(spark, tmp_dir):
     df = spark.read.parquet(folder)
     assert is_fresh(df, dt.datetime.now(dt.timezone.utc).date())
     assert not is_fresh(df, "2000-01-01")
+    from rivulet.sources.files import utc_date
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")      # UTC+14
+    try:
+        t = spark.sql("SELECT TIMESTAMP'2024-01-01 23:30:00Z' AS t").select(utc_date("t")).first()[0]
+        assert str(t) == "2024-01-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
     assert is_complete(df, min_rows=2) and not is_complete(df, min_rows=3)
     assert is_complete(df, min_bytes=10) and not is_complete(df, min_bytes=10**9)
     assert file_facts(df).count() >= 2
