@@ -108,20 +108,27 @@ def concat_year_month(year, month: str = "01") -> Column:
 
 
 def processing_time(as_of=None) -> Column:
-    """Processing timestamp: ``as_of`` when given (reproducible), else the query's clock."""
+    """Processing timestamp as naive UTC wall clock (``TIMESTAMP_NTZ``): ``as_of``
+    when given (reproducible; a naive value is taken as UTC), else the query's
+    clock.  The value does not depend on the session time zone."""
     if as_of is None:
-        return F.current_timestamp()
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), epoch)
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, _dt.datetime):
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         as_of = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.to_timestamp(F.lit(str(as_of)))
+    return F.to_timestamp_ntz(F.lit(str(as_of)))
 
 
 def version_stamp(ts) -> Column:
     return F.date_format(_col(ts), VERSION_FORMAT)
 
 
-def uptime_seconds(start_epoch_seconds, as_of) -> Column:
-    """``time() - start``: seconds elapsed from a start epoch to ``as_of``."""
-    return F.unix_timestamp(processing_time(as_of)).cast("double") - _col(start_epoch_seconds).cast("double")
+def uptime_seconds(start_epoch_seconds, as_of=None) -> Column:
+    """``time() - start``: seconds elapsed from a start epoch (seconds) to ``as_of`` (UTC)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    now_us = F.timestamp_diff("MICROSECOND", epoch, processing_time(as_of))
+    return now_us.cast("double") / F.lit(1e6) - _col(start_epoch_seconds).cast("double")

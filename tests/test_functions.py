@@ -74,3 +74,21 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024 ** 4)
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_processing_time_is_utc_wall_clock(spark):
+    import datetime as dt
+
+    from rivulet.functions.clean import processing_time, uptime_seconds
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = spark.range(1).select(processing_time("2024-01-31 12:00:00").alias("a"),
+                                  processing_time(dt.datetime(2024, 1, 31, 12, 0, tzinfo=dt.timezone.utc)).alias("b"),
+                                  processing_time().alias("c"),
+                                  uptime_seconds(F.lit(1706702400 - 60), "2024-01-31 12:00:00").alias("u")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.a == r.b == dt.datetime(2024, 1, 31, 12, 0)
+    assert abs((r.c - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 120
+    assert r.u == 60.0
