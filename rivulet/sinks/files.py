@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from rivulet.functions.clean import VERSION_FORMAT
 from rivulet.sources.files import VERSION_COLUMN
 
-AUDIT_SCHEMA = "table_name string, rows long, created_at timestamp, file_path string"
-LOAD_AUDIT_SCHEMA = "table_name string, rows_loaded long, source string, file_path string, loaded_at timestamp"
+# Audit times are naive UTC wall clock.
+AUDIT_SCHEMA = "table_name string, rows long, created_at timestamp_ntz, file_path string"
+LOAD_AUDIT_SCHEMA = "table_name string, rows_loaded long, source string, file_path string, loaded_at timestamp_ntz"
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -88,8 +89,7 @@ def audit_row(spark: SparkSession, table_name: str, rows: int, file_path: str,
               created_at: _dt.datetime | None = None) -> DataFrame:
     """File audit row (table_name, rows, created_at, file_path); times are UTC wall clock."""
     created = (created_at or _now_utc()).strftime("%Y-%m-%d %H:%M:%S.%f")
-    return _one_row(spark, AUDIT_SCHEMA.replace("created_at timestamp", "created_at timestamp_ntz"),
-                    (table_name, int(rows), created, file_path))
+    return _one_row(spark, AUDIT_SCHEMA, (table_name, int(rows), created, file_path))
 
 
 def append_audit(spark: SparkSession, audit_path: str, table_name: str, rows: int,
@@ -102,8 +102,7 @@ def load_audit_row(spark: SparkSession, table_name: str, rows: int, file_path: s
                    loaded_at: _dt.datetime | None = None) -> DataFrame:
     """Load audit row (table_name, rows_loaded, source, file_path, loaded_at); ``source`` may be null."""
     loaded = (loaded_at or _now_utc()).strftime("%Y-%m-%d %H:%M:%S.%f")
-    return _one_row(spark, LOAD_AUDIT_SCHEMA.replace("loaded_at timestamp", "loaded_at timestamp_ntz"),
-                    (table_name, int(rows), source, file_path, loaded))
+    return _one_row(spark, LOAD_AUDIT_SCHEMA, (table_name, int(rows), source, file_path, loaded))
 
 
 def publish(df: DataFrame, lake_root: str, layer: str, table: str, fmt: str = "parquet",
