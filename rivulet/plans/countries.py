@@ -59,7 +59,7 @@ def gold_countries_enriched(countries: DataFrame, population: DataFrame | None =
         df = left_enrich(df, latest, "iso2", population_key)
     else:
         df = with_typed_nulls(df, {"population_banque_mondiale": "double", "annee_population": "int"})
-    if rates is not None:
+    if rates is not None and "currency_codes" in df.columns:
         df = df.withColumn("devise_principale", main_currency("currency_codes"))
         df = rate_lookup(df, "devise_principale", rates, "taux_change_vs_gbp")
     else:
