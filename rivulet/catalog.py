@@ -928,3 +928,31 @@ def stream_counter_rate(spark, sf):
             .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/out"))
     q.awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+@register("metric_instant_at", f"""
+WITH {_SAMPLES_SQL},
+a AS (SELECT MIN(ts) + INTERVAL 14 DAY AS eval_ts FROM events)
+SELECT job, instance, counter FROM c, a
+WHERE ts > eval_ts - INTERVAL 1 HOUR AND ts <= eval_ts
+QUALIFY ROW_NUMBER() OVER (PARTITION BY job, instance ORDER BY ts DESC, event_id DESC) = 1
+""")
+def metric_instant_at(spark, sf):
+    """Instant vector at one evaluation time (two weeks after the first sample), 1 h lookback."""
+    c = _counters_only(spark, sf)
+    at = c.select(F.min("ts")).scalar() + F.expr("INTERVAL 14 DAYS")
+    return M.instant_at(c, ["job", "instance"], "ts", "counter", at, lookback_seconds=3600, tiebreak="event_id")
+
+
+@register("metric_up_matched", f"""
+WITH {_SAMPLES_SQL},
+v AS (SELECT step, job, instance, up FROM (SELECT *, {_STEP_SQL} AS step FROM s
+                                           WHERE regexp_full_match(job, 'click|view')) a
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY step, job, instance ORDER BY ts DESC, event_id DESC) = 1)
+SELECT step, CAST(SUM(up) AS BIGINT) AS up FROM v GROUP BY step
+""")
+def metric_up_matched(spark, sf):
+    """``sum(up{{job=~"click|view"}})`` per hourly step."""
+    s = match_labels(_samples(spark, sf), [("job", "=~", "click|view")])
+    v = M.instant_range(s, ["job", "instance"], "ts", "up", 3600, 3600, "event_id")
+    return v.groupBy("step").agg(F.sum("up").alias("up"))
