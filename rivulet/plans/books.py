@@ -97,6 +97,17 @@ def books_silver(raw: DataFrame, rates: DataFrame | None = None, strict: bool =
     return scalar_enrich(df, rates, {"price_eur": ("price_gbp", "EUR"), "price_usd": ("price_gbp", "USD")})
 
 
+# Numeric columns of the book silver table and their types.
+SILVER_TYPES = {"price_excl_tax": "double", "price_gbp": "double", "stock": "int", "reviews": "int",
+                "price_eur": "double", "price_usd": "double"}
+
+
+def typed_books_silver(df: DataFrame) -> DataFrame:
+    """Silver rows read back from text (CSV): numeric columns typed with try_cast,
+    without a schema-inference pass over the data."""
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in SILVER_TYPES.items() if c in df.columns})
+
+
 def gold_books_details(silver: DataFrame, rates: DataFrame | None = None, as_of=None) -> DataFrame:
     """One row per book with EUR/USD prices rounded to cents and a processing time."""
     df = scalar_enrich(silver.drop("price_eur", "price_usd") if rates is not None else silver, rates,

@@ -11,7 +11,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.plans.books import books_silver, gold_books_analytics, gold_books_details
+from rivulet.plans.books import books_silver, gold_books_analytics, gold_books_details, typed_books_silver
 from rivulet.plans.countries import countries_silver, gold_countries_enriched
 from rivulet.plans.silver import population_silver, rates_silver, wine_silver
 from rivulet.sinks.files import append_audit, write, write_csv, write_versioned
@@ -51,7 +51,7 @@ def wine_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=No
 
 def gold_books_step(spark: SparkSession, silver_csv: str, gold_root: str, rates_path: str | None = None,
                     as_of=None) -> dict[str, int]:
-    silver = read_csv(spark, silver_csv, inferSchema="true")
+    silver = typed_books_silver(read_csv(spark, silver_csv))
     rates = optional_parquet(spark, rates_path)
     root = gold_root.rstrip("/")
     return {

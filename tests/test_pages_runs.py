@@ -70,6 +70,8 @@ def test_steps_end_to_end(spark, tmp_dir):
                                         os.path.join(tmp_dir, "silver", "population"), os.path.join(tmp_dir, "audit"),
                                         stamp="20240101_000000")
     assert rows == 1 and read_latest_version(spark, os.path.join(tmp_dir, "silver", "population")).count() == 1
+    from rivulet.plans.runs import rates_silver_step
+    assert rates_silver_step(spark, os.path.join(tmp_dir, "raw", "rates"), os.path.join(tmp_dir, "silver", "rates")) == 1
     wine = spark.createDataFrame([("w", "France", "Red", "10", "5")], "title string, country string, variety string, price string, points string")
     write(wine, os.path.join(tmp_dir, "raw", "wine"))
     assert wine_silver_step(spark, os.path.join(tmp_dir, "raw", "wine"), os.path.join(tmp_dir, "silver", "wine")) == 1
