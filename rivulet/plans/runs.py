@@ -23,9 +23,13 @@ def optional_parquet(spark: SparkSession, path: str | None) -> DataFrame | None:
     return spark.read.parquet(path) if path and _exists(spark, path) else None
 
 
-def books_silver_step(spark: SparkSession, raw_csv: str, out_csv: str, rates_path: str | None = None) -> int:
-    raw = read_csv(spark, raw_csv)
-    return write_csv(books_silver(raw, optional_parquet(spark, rates_path)), out_csv)
+def books_silver_step(spark: SparkSession, raw_csv: str, out_path: str, rates_path: str | None = None,
+                      fmt: str = "csv") -> int:
+    """Raw scraped CSV -> cleaned silver.  ``fmt="parquet"`` is the better
+    choice at scale (splittable, typed, column-pruned); CSV mirrors the
+    reference's silver file."""
+    silver = books_silver(read_csv(spark, raw_csv), optional_parquet(spark, rates_path))
+    return write_csv(silver, out_path) if fmt == "csv" else write(silver, out_path, fmt)
 
 
 def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=None) -> int:
@@ -49,9 +53,10 @@ def wine_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=No
     return write(wine_silver(spark.read.parquet(raw_path), as_of), out_path, partition_by=["country"])
 
 
-def gold_books_step(spark: SparkSession, silver_csv: str, gold_root: str, rates_path: str | None = None,
-                    as_of=None) -> dict[str, int]:
-    silver = typed_books_silver(read_csv(spark, silver_csv))
+def gold_books_step(spark: SparkSession, silver_path: str, gold_root: str, rates_path: str | None = None,
+                    as_of=None, fmt: str = "csv") -> dict[str, int]:
+    silver = (typed_books_silver(read_csv(spark, silver_path)) if fmt == "csv"
+              else spark.read.format(fmt).load(silver_path))
     rates = optional_parquet(spark, rates_path)
     root = gold_root.rstrip("/")
     return {

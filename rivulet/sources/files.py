@@ -17,7 +17,12 @@ VERSION_COLUMN = "version"
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              **options) -> DataFrame:
     """CSV with a header.  Without a schema every column is read as text
-    (cleaning casts with try_cast later); quoted fields may span lines."""
+    (cleaning casts with try_cast later); quoted fields may span lines.
+
+    A multi-line CSV file cannot be split, so each file is read by one task:
+    keep such inputs as many moderate files, or pass ``multiLine="false"``
+    when no field contains a newline.
+    """
     opts = {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8", **options}
     r = spark.read.options(**opts)
     if schema is not None:

@@ -51,6 +51,11 @@ def test_steps_end_to_end(spark, tmp_dir):
     assert counts == {"books_details": 1, "books_analytics": 1}
     g = spark.read.parquet(os.path.join(tmp_dir, "gold", "books_analytics")).first()
     assert (g.categorie, g.prix_moyen_gbp, g.prix_moyen_eur, g.stock_total) == ("Poetry", 51.77, 62.12, 22)
+    silver_pq = os.path.join(tmp_dir, "silver", "books_pq")
+    assert books_silver_step(spark, raw_csv, silver_pq, os.path.join(tmp_dir, "raw", "rates"), fmt="parquet") == 1
+    counts = gold_books_step(spark, silver_pq, os.path.join(tmp_dir, "gold_pq"), os.path.join(tmp_dir, "raw", "rates"),
+                             fmt="parquet")
+    assert counts == {"books_details": 1, "books_analytics": 1}
 
     countries = spark.createDataFrame([("Kenya", "Africa", 50, 10.0, "KES", "KE", "KEN")],
                                       "name string, region string, population long, area double, "
