@@ -956,3 +956,17 @@ def metric_up_matched(spark, sf):
     s = match_labels(_samples(spark, sf), [("job", "=~", "click|view")])
     v = M.instant_range(s, ["job", "instance"], "ts", "up", 3600, 3600, "event_id")
     return v.groupBy("step").agg(F.sum("up").alias("up"))
+
+
+@register("stream_sum_rate", _RATE_SQL + """
+SELECT window_start, window_end, job, """ + _rnd('SUM(rate)', 6) + """ AS rate FROM (
+  SELECT window_start, window_end, job, CASE WHEN samples >= 2 THEN """ + _rnd('increase / NULLIF(elapsed_s, 0)', 6) + """ END AS rate
+  FROM r) q
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
+GROUP BY window_start, window_end, job
+""")
+def stream_sum_rate(spark, sf):
+    """Streaming ``sum(rate()) by (job)``: two chained windowed aggregations, append mode."""
+    from rivulet.streaming.rate import run_rate_stream_once
+    return run_rate_stream_once(spark, sf, name=f"stream_sum_rate_{uuid.uuid4().hex[:8]}",
+                                file_glob="events.parquet", sum_by=["job"])

@@ -29,9 +29,9 @@ def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
     return df.withColumn(out, F.timestamp_micros(epoch_micros(df, ts)))
 
 
-def windowed_increase(stream: DataFrame, series: Sequence[str], ts: str, inc: str, tiebreak: str,
-                      window: str, slide: str | None, watermark: str, digits: int | None = 6) -> DataFrame:
-    """Per (window, series): samples, increase and rate, for a streaming frame."""
+def _window_agg(stream: DataFrame, series: Sequence[str], ts: str, inc: str, tiebreak: str,
+                window: str, slide: str | None, watermark: str, digits: int | None) -> DataFrame:
+    """Per (window struct ``w``, series): samples, increase, rate (streaming)."""
     s = event_time(stream, ts).withWatermark("event_time", watermark)
     w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
     us = F.unix_micros(F.col("event_time"))
@@ -43,16 +43,41 @@ def windowed_increase(stream: DataFrame, series: Sequence[str], ts: str, inc: st
     increase = (F.col("_sum") - F.col("_first")).cast("double")
     elapsed = (F.col("_hi") - F.col("_lo")) / F.lit(float(MICROS))
     rate = F.when(F.col("samples") >= 2, F.try_divide(increase, elapsed))
-    return agg.select(
-        ntz_from_micros(F.unix_micros(F.col("w.start"))).alias("window_start"),
-        ntz_from_micros(F.unix_micros(F.col("w.end"))).alias("window_end"),
-        *series, "samples", increase.alias("increase"),
-        (round_half_even(rate, digits) if digits is not None else rate).alias("rate"))
+    return agg.select("w", *series, "samples", increase.alias("increase"),
+                      (round_half_even(rate, digits) if digits is not None else rate).alias("rate"))
+
+
+def _window_columns(w: str = "w") -> list:
+    return [ntz_from_micros(F.unix_micros(F.col(f"{w}.start"))).alias("window_start"),
+            ntz_from_micros(F.unix_micros(F.col(f"{w}.end"))).alias("window_end")]
+
+
+def windowed_increase(stream: DataFrame, series: Sequence[str], ts: str, inc: str, tiebreak: str,
+                      window: str, slide: str | None, watermark: str, digits: int | None = 6) -> DataFrame:
+    """Per (window, series): samples, increase and rate, for a streaming frame."""
+    agg = _window_agg(stream, series, ts, inc, tiebreak, window, slide, watermark, digits)
+    return agg.select(*_window_columns(), *series, "samples", "increase", "rate")
+
+
+def windowed_rate_sum(stream: DataFrame, series: Sequence[str], by: Sequence[str], ts: str, inc: str,
+                      tiebreak: str, window: str, slide: str | None, watermark: str,
+                      digits: int | None = 6) -> DataFrame:
+    """``sum(rate(...)) by (labels)`` as two chained windowed aggregations.
+
+    The second aggregation groups by the first one's window column, which
+    carries the event-time watermark, so both run in append mode; a window's
+    sum is emitted once the watermark has passed its end.
+    """
+    per_series = _window_agg(stream, series, ts, inc, tiebreak, window, slide, watermark, digits)
+    total = F.sum("rate")
+    summed = per_series.groupBy("w", *by).agg(
+        (round_half_even(total, digits) if digits is not None else total).alias("rate"))
+    return summed.select(*_window_columns(), *by, "rate")
 
 
 def run_rate_stream_once(spark: SparkSession, events_dir: str, name: str, file_glob: str = "*.parquet",
                          window: str = "1 day", slide: str = "6 hours", watermark: str = "10 minutes",
-                         max_files_per_trigger: int | None = None) -> DataFrame:
+                         max_files_per_trigger: int | None = None, sum_by: Sequence[str] | None = None) -> DataFrame:
     """Run the event files of ``events_dir`` matching ``file_glob`` as a stream
     to the end of the input (``availableNow``) into a
         parquet table under the session's checkpoint folder and return that table."""
@@ -61,7 +86,11 @@ def run_rate_stream_once(spark: SparkSession, events_dir: str, name: str, file_g
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     samples = fx.metric_samples(reader.parquet(events_dir))
-    out = windowed_increase(samples, ["job", "instance"], "ts", "inc", "event_id", window, slide, watermark)
+    if sum_by:
+        out = windowed_rate_sum(samples, ["job", "instance"], list(sum_by), "ts", "inc", "event_id",
+                                window, slide, watermark)
+    else:
+        out = windowed_increase(samples, ["job", "instance"], "ts", "inc", "event_id", window, slide, watermark)
     path = f"{root}/streams/{name}/data"
     q = (out.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", f"{root}/streams/{name}/state")
