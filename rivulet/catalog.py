@@ -970,3 +970,23 @@ def stream_sum_rate(spark, sf):
     from rivulet.streaming.rate import run_rate_stream_once
     return run_rate_stream_once(spark, sf, name=f"stream_sum_rate_{uuid.uuid4().hex[:8]}",
                                 file_glob="events.parquet", sum_by=["job"])
+
+
+@register("stream_instant", f"""
+WITH {_SAMPLES_SQL}
+SELECT step, job, instance, up FROM (SELECT *, {_STEP_SQL} AS step FROM s) a
+WHERE step <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE - INTERVAL 1 MICROSECOND
+QUALIFY ROW_NUMBER() OVER (PARTITION BY step, job, instance ORDER BY ts DESC, event_id DESC) = 1
+""")
+def stream_instant(spark, sf):
+    """Streaming ``up`` gauge per hourly step (lookback one step), append mode."""
+    from rivulet.streaming.rate import EVENTS_SCHEMA, instant_steps
+    root = _io_root(spark, "instant")
+    stream = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+              .parquet(sf))
+    out = instant_steps(fx.metric_samples(stream), ["job", "instance"], "ts", "up", "event_id",
+                        "1 hour", "10 minutes")
+    q = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state")
+            .trigger(availableNow=True).start(f"{root}/out"))
+    q.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")

@@ -75,6 +75,25 @@ def windowed_rate_sum(stream: DataFrame, series: Sequence[str], by: Sequence[str
     return summed.select(*_window_columns(), *by, "rate")
 
 
+def instant_steps(stream: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
+                  step: str, watermark: str) -> DataFrame:
+    """Streaming instant vector with lookback = step: the newest value per
+    series in ``(t - step, t]`` for every step ``t``.
+
+    A tumbling window over ``ts - 1µs`` maps a sample at ``ts`` to the step
+    ``t`` with ``t - step < ts <= t``; ``max_by`` keeps the newest (partial
+    aggregation, one state row per open step and series).
+    """
+    s = event_time(stream, ts)
+    # the watermark is declared on the shifted time itself (a derived column
+    # would lose the event-time marker), i.e. it trails by one microsecond more
+    s = (s.withColumn("shifted_time", F.col("event_time") - F.expr("INTERVAL 1 MICROSECOND"))
+          .withWatermark("shifted_time", watermark))
+    agg = (s.groupBy(F.window("shifted_time", step).alias("w"), *series)
+            .agg(F.max_by(F.col(value), F.struct(F.col("event_time"), F.col(tiebreak))).alias(value)))
+    return agg.select(_window_columns()[1].alias("step"), *series, value)
+
+
 def run_rate_stream_once(spark: SparkSession, events_dir: str, name: str, file_glob: str = "*.parquet",
                          window: str = "1 day", slide: str = "6 hours", watermark: str = "10 minutes",
                          max_files_per_trigger: int | None = None, sum_by: Sequence[str] | None = None) -> DataFrame:
