@@ -96,3 +96,38 @@ def test_strip_sql_twin_matches_python(spark):
     con = duckdb.connect()
     got = [con.execute(f"SELECT regexp_replace(?, '{_STRIP_RE}', '', 'g')", [t]).fetchone()[0] for t in samples]
     assert got == [t.strip() for t in samples]
+
+
+def _py_digits(s):
+    """Digits-and-dots price cleaning: '' and '.' are missing, malformed numbers too."""
+    import re
+    if s is None:
+        return None
+    d = re.sub(r"[^0-9.]", "", s)
+    if d in ("", "."):
+        return None
+    try:
+        return float(d)
+    except ValueError:
+        return None
+
+
+def _py_availability(s):
+    import re
+    if s is None:
+        return 0
+    m = re.search(r"\((\d+)", s)
+    return int(m.group(1)) if m else 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from(list("0123456789.£Â-e ab()")), max_size=10)),
+                min_size=1, max_size=40))
+def test_digits_price_and_availability_match_python(spark, texts):
+    from rivulet.functions.clean import clean_availability, clean_price_digits
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    rows = df.select(clean_price_digits("x").alias("p"), clean_availability("x").alias("a")).collect()
+    for t, r in zip(texts, rows):
+        assert r.p == _py_digits(t), (t, r.p)
+        want_a = _py_availability(t)
+        assert r.a == (want_a if want_a < 2 ** 31 else 0), (t, r.a)
