@@ -8,17 +8,22 @@ are passed as ``None`` and the plans add typed null columns.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rivulet.plans.books import books_silver, gold_books_analytics, gold_books_details, typed_books_silver
 from rivulet.plans.countries import countries_silver, gold_countries_enriched
 from rivulet.plans.silver import population_silver, rates_silver, wine_silver
-from rivulet.sinks.files import append_audit, write, write_csv, write_versioned
+from rivulet.sinks.files import append_audit, write, write_observed, write_versioned
 from rivulet.sinks.jdbc import load_plan
 from rivulet.sources.files import _exists, read_csv
 
 
+log = logging.getLogger("rivulet")
+
+
 def optional_parquet(spark: SparkSession, path: str | None) -> DataFrame | None:
     return spark.read.parquet(path) if path and _exists(spark, path) else None
 
@@ -29,7 +34,11 @@ def books_silver_step(spark: SparkSession, raw_csv: str, out_path: str, rates_pa
     choice at scale (splittable, typed, column-pruned); CSV mirrors the
     reference's silver file."""
     silver = books_silver(read_csv(spark, raw_csv), optional_parquet(spark, rates_path))
-    return write_csv(silver, out_path) if fmt == "csv" else write(silver, out_path, fmt)
+    opts = {"header": "true", "escape": '"'} if fmt == "csv" else None
+    m = write_observed(silver, out_path, {"null_titles": F.count_if(F.col("titre").isNull())}, fmt, options=opts)
+    if m["null_titles"]:
+        log.warning("%d of %d books have no title", m["null_titles"], m["rows"])
+    return int(m["rows"])
 
 
 def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=None) -> int:

@@ -9,17 +9,37 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import logging
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.clean import VERSION_FORMAT
 from rivulet.sources.files import VERSION_COLUMN
 
+log = logging.getLogger("rivulet")
+
 # Audit times are naive UTC wall clock.
 AUDIT_SCHEMA = "table_name string, rows long, created_at timestamp_ntz, file_path string"
 LOAD_AUDIT_SCHEMA = "table_name string, rows_loaded long, source string, file_path string, loaded_at timestamp_ntz"
 
 
+def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column] | None = None,
+                   fmt: str = "parquet", mode: str = "overwrite", partition_by: Sequence[str] = (),
+                   options: Mapping[str, str] | None = None) -> dict:
+    """Write and return ``{"rows": n, **metrics}`` observed during the write
+    itself (one pass; each task's update is applied once, retries included)."""
+    obs = Observation("write")
+    exprs = [F.count(F.lit(1)).alias("rows")] + [e.alias(k) for k, e in (metrics or {}).items()]
+    w = df.observe(obs, *exprs).write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w.save(path)
+    return dict(obs.get)
+
+
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
           partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None,
           skip_empty: bool = False) -> int:
@@ -29,15 +49,9 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     (checked by reading at most one row).
     """
     if skip_empty and df.isEmpty():
+        log.warning("no rows for %s: nothing written", path)
         return 0
-    obs = Observation("rows_written")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
-    w.save(path)
-    return int(obs.get.get("rows", 0))
+    return int(write_observed(df, path, None, fmt, mode, partition_by, options).get("rows", 0))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:

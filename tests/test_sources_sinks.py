@@ -61,6 +61,15 @@ def test_partitioned_publish_and_pruning(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(region" in plan
 
 
+def test_write_observed_metrics(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from rivulet.sinks.files import write_observed
+    df = spark.createDataFrame([("a",), (None,), ("c",)], "titre string")
+    m = write_observed(df, os.path.join(tmp_dir, "obs"), {"null_titles": F.count_if(F.col("titre").isNull())})
+    assert m == {"rows": 3, "null_titles": 1}
+
+
 def test_skip_empty_write(spark, tmp_dir):
     path = os.path.join(tmp_dir, "empty")
     assert write(spark.range(0), path, skip_empty=True) == 0 and not os.path.exists(path)
