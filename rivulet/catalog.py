@@ -493,13 +493,21 @@ SELECT COALESCE(t.o_orderkey, u.o_orderkey) AS o_orderkey,
        CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_totalprice ELSE t.o_totalprice END AS o_totalprice
 FROM t FULL OUTER JOIN u ON t.o_orderkey = u.o_orderkey
 """)
-def upsert_orders(spark, sf):
+def _upsert_inputs(spark, sf):
+    """Target: orders whose key is not a multiple of 3.  Batch: keys that are
+    multiples of 2 or 3 (updates and inserts), status 'U', price +10% (null
+    for multiples of 10).  Together they cover every order."""
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     target = o.filter(F.col("o_orderkey") % 3 != 0)
     updates = (o.filter((F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") % 2 == 0))
                 .withColumn("o_orderstatus", F.lit("U"))
                 .withColumn("o_totalprice", F.when(F.col("o_orderkey") % 10 == 0, F.lit(None).cast("double"))
                             .otherwise(round_half_even(F.col("o_totalprice") * 1.1, 2))))
+    return target, updates
+
+
+def upsert_orders(spark, sf):
+    target, updates = _upsert_inputs(spark, sf)
     return upsert(target, updates, ["o_orderkey"], ["o_totalprice"])
 
 
@@ -901,12 +909,7 @@ def upsert_versioned_load(spark, sf):
     """The load step end to end: initial load, then a merge published as a new
     version (duplicate keys refused, load audit appended); read the newest."""
     root = _io_root(spark, "upsert")
-    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    target = o.filter(F.col("o_orderkey") % 3 != 0)
-    updates = (o.filter((F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") % 2 == 0))
-                .withColumn("o_orderstatus", F.lit("U"))
-                .withColumn("o_totalprice", F.when(F.col("o_orderkey") % 10 == 0, F.lit(None).cast("double"))
-                            .otherwise(round_half_even(F.col("o_totalprice") * 1.1, 2))))
+    target, updates = _upsert_inputs(spark, sf)
     keys, cols = ["o_orderkey"], ["o_totalprice"]
     upsert_versioned(spark, target, f"{root}/orders", f"{root}/audit", "orders", keys, cols, stamp="20240101_000000")
     upsert_versioned(spark, updates, f"{root}/orders", f"{root}/audit", "orders", keys, cols, stamp="20240102_000000")
