@@ -697,8 +697,12 @@ SELECT window_start, window_end, job, instance, samples, increase,
 WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
 """)
 def stream_rate(spark, sf):
-    from rivulet.streaming.rate import run_rate_stream_once
-    return run_rate_stream_once(spark, sf, name=f"stream_rate_{uuid.uuid4().hex[:8]}", file_glob="events.parquet")
+    """Events as a stream: watermarked sliding-window rate per series, append mode."""
+    from rivulet.streaming.rate import run_available_now, windowed_increase
+    root = _io_root(spark, "stream_rate")
+    out = windowed_increase(fx.metric_samples(fx.event_stream(spark, sf)), ["job", "instance"], "ts", "inc",
+                            "event_id", "1 day", "6 hours", "10 minutes")
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state")
 
 
 # ------------------------------------------------------------ silver plans
@@ -927,10 +931,8 @@ def stream_counter_rate(spark, sf):
     stream = spark.readStream.schema(counters.schema).parquet(f"{root}/in")
     out = stateful_counter_rate(stream, ["job", "instance"], "ts", "counter", "event_id",
                                 window_seconds=86400, slide_seconds=21600, watermark="10 minutes")
-    q = (out.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/out"))
-    q.awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{root}/out")
+    from rivulet.streaming.rate import run_available_now
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state")
 
 
 @register("metric_instant_at", f"""
@@ -970,9 +972,11 @@ GROUP BY window_start, window_end, job
 """)
 def stream_sum_rate(spark, sf):
     """Streaming ``sum(rate()) by (job)``: two chained windowed aggregations, append mode."""
-    from rivulet.streaming.rate import run_rate_stream_once
-    return run_rate_stream_once(spark, sf, name=f"stream_sum_rate_{uuid.uuid4().hex[:8]}",
-                                file_glob="events.parquet", sum_by=["job"])
+    from rivulet.streaming.rate import run_available_now, windowed_rate_sum
+    root = _io_root(spark, "stream_sum_rate")
+    out = windowed_rate_sum(fx.metric_samples(fx.event_stream(spark, sf)), ["job", "instance"], ["job"], "ts",
+                            "inc", "event_id", "1 day", "6 hours", "10 minutes")
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state")
 
 
 @register("stream_instant", f"""
@@ -983,13 +987,8 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY step, job, instance ORDER BY ts DESC, ev
 """)
 def stream_instant(spark, sf):
     """Streaming ``up`` gauge per hourly step (lookback one step), append mode."""
-    from rivulet.streaming.rate import EVENTS_SCHEMA, instant_steps
+    from rivulet.streaming.rate import instant_steps, run_available_now
     root = _io_root(spark, "instant")
-    stream = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-              .parquet(sf))
-    out = instant_steps(fx.metric_samples(stream), ["job", "instance"], "ts", "up", "event_id",
+    out = instant_steps(fx.metric_samples(fx.event_stream(spark, sf)), ["job", "instance"], "ts", "up", "event_id",
                         "1 hour", "10 minutes")
-    q = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state")
-            .trigger(availableNow=True).start(f"{root}/out"))
-    q.awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{root}/out")
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state")

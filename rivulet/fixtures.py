@@ -23,6 +23,9 @@ LINK_BASE = "https://books.example/catalogue/"
 # ---------------------------------------------------------------------------
 
 
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -157,6 +160,14 @@ def rate_payloads(events: DataFrame) -> DataFrame:
     return g.select(F.to_json(F.struct(F.lit("GBP").alias("base"), F.col("date"), rates.alias("rates"))).alias("payload"))
 
 
+def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The ``events`` table of ``sf_dir`` read as a file stream."""
+    r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(sf_dir)
+
+
 def metric_samples(events: DataFrame) -> DataFrame:
     """Metric samples from events: one counter series per (job, instance).
 

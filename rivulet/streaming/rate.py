@@ -1,12 +1,14 @@
-"""Streaming ``rate()`` over windows with a watermark.
-
-The stream carries counter *increments* (the difference between consecutive
-readings, as an exporter's delta or the event value).  Then a window's
-increase is the sum of its increments minus the first one (the first pair
-starts before the window), which is a plain, partially aggregated streaming
-aggregation: state is one row per open (window, series), never a list of
-samples.  Rows later than the watermark are dropped; a window is emitted once
-the watermark passes its end (append mode).
+"""Streaming metric queries over windows with a watermark (append mode).
+
+``rate()``: the stream carries counter *increments* (the difference between
+consecutive readings, as an exporter's delta or the event value).  Then a
+window's increase is the sum of its increments minus the first one (the first
+pair starts before the window), which is a plain, partially aggregated
+streaming aggregation: state is one row per open (window, series), never a
+list of samples.  ``sum(rate()) by (labels)`` chains a second windowed
+aggregation on the first one's window.  Instant vectors per step are a
+tumbling-window ``max_by``.  Rows later than the watermark are dropped; a
+window is emitted once the watermark passes its end.
 """
 
 from __future__ import annotations
@@ -16,12 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet import fixtures as fx
 from rivulet.functions.clean import round_half_even
 from rivulet.operators.metrics import MICROS, epoch_micros, ntz_from_micros
-from rivulet.session import ensure_checkpoint_dir
-
-EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
@@ -94,25 +92,11 @@ def instant_steps(stream: DataFrame, series: Sequence[str], ts: str, value: str,
     return agg.select(_window_columns()[1].alias("step"), *series, value)
 
 
-def run_rate_stream_once(spark: SparkSession, events_dir: str, name: str, file_glob: str = "*.parquet",
-                         window: str = "1 day", slide: str = "6 hours", watermark: str = "10 minutes",
-                         max_files_per_trigger: int | None = None, sum_by: Sequence[str] | None = None) -> DataFrame:
-    """Run the event files of ``events_dir`` matching ``file_glob`` as a stream
-    to the end of the input (``availableNow``) into a
-        parquet table under the session's checkpoint folder and return that table."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    samples = fx.metric_samples(reader.parquet(events_dir))
-    if sum_by:
-        out = windowed_rate_sum(samples, ["job", "instance"], list(sum_by), "ts", "inc", "event_id",
-                                window, slide, watermark)
-    else:
-        out = windowed_increase(samples, ["job", "instance"], "ts", "inc", "event_id", window, slide, watermark)
-    path = f"{root}/streams/{name}/data"
+def run_available_now(spark: SparkSession, out: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run a streaming frame to the end of its current input (``availableNow``)
+    into a parquet table (file sink: exactly once, committed files only) and
+    return that table.  ``path`` and ``checkpoint`` belong in a shared folder."""
     q = (out.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", f"{root}/streams/{name}/state")
-            .trigger(availableNow=True).start(path))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
     q.awaitTermination()
     return spark.read.schema(out.schema).parquet(path)

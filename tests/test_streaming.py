@@ -4,9 +4,9 @@ import tempfile
 from pyspark.sql import functions as F
 
 from rivulet.catalog import QUERIES
-from rivulet.fixtures import metric_samples, table
+from rivulet.fixtures import EVENTS_SCHEMA, metric_samples, table
 from rivulet.operators import metrics as M
-from rivulet.streaming.rate import EVENTS_SCHEMA, windowed_increase
+from rivulet.streaming.rate import windowed_increase
 
 from .conftest import SF_SMALL
 
