@@ -560,13 +560,19 @@ s AS (SELECT event_id, ts, COALESCE(event_type, '') AS job, COALESCE(CAST(user_i
 c AS (SELECT *, CAST(SUM(inc) OVER (PARTITION BY job, instance ORDER BY ts, event_id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS counter FROM s)"""
 _STEP_SQL = "CASE WHEN ts = date_trunc('hour', ts) THEN ts ELSE date_trunc('hour', ts) + INTERVAL 1 HOUR END"
-_RATE_SQL = f"""
+def _rate_sql(window_minutes: int = 1440, slide_minutes: int = 360) -> str:
+    """Oracle CTEs for rate(): lag per series, every sliding window of each sample."""
+    slide_us = slide_minutes * 60_000_000
+    k = window_minutes // slide_minutes
+    ks = ", ".join(str(i) for i in range(k))
+    return f"""
 WITH {_SAMPLES_SQL},
 p AS (SELECT *, LAG(ts) OVER w AS prev_ts, LAG(counter) OVER w AS prev_value FROM c
       WINDOW w AS (PARTITION BY job, instance ORDER BY ts, event_id)),
-x AS (SELECT p.*, make_timestamp((epoch_us(ts) // 21600000000 - k) * 21600000000) AS window_start
-      FROM p, (SELECT unnest([0, 1, 2, 3]) AS k) ks),
-r AS (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, job, instance, COUNT(*) AS samples,
+x AS (SELECT p.*, make_timestamp((epoch_us(ts) // {slide_us} - k) * {slide_us}) AS window_start
+      FROM p, (SELECT unnest([{ks}]) AS k) ks),
+r AS (SELECT window_start, window_start + INTERVAL {window_minutes} MINUTE AS window_end, job, instance,
+             COUNT(*) AS samples,
              CAST(COALESCE(SUM(CASE WHEN prev_ts >= window_start THEN
                   (CASE WHEN counter < prev_value THEN counter ELSE counter - prev_value END) END), 0) AS DOUBLE) AS increase,
              (epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / CAST(1000000 AS DOUBLE) AS elapsed_s
@@ -574,6 +580,9 @@ r AS (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, job, ins
 """
 
 
+_RATE_SQL = _rate_sql()
+
+
 def _samples(spark, sf):
     return fx.metric_samples(_t(spark, sf, "events"))
 
@@ -992,3 +1001,14 @@ def stream_instant(spark, sf):
     out = instant_steps(fx.metric_samples(fx.event_stream(spark, sf)), ["job", "instance"], "ts", "up", "event_id",
                         "1 hour", "10 minutes")
     return run_available_now(spark, out, f"{root}/out", f"{root}/state")
+
+
+@register("metric_rate_5m", _rate_sql(5, 1) + """
+SELECT window_start, window_end, job, instance, samples, increase,
+       CASE WHEN samples >= 2 THEN """ + _rnd('increase / NULLIF(elapsed_s, 0)', 6) + """ END AS rate FROM r
+""")
+def metric_rate_5m(spark, sf):
+    """The dashboards' ``rate(counter[5m])``, evaluated every minute (sparse events: many
+    windows hold one sample and have no rate)."""
+    return M.counter_rate_from_increments(_samples(spark, sf), ["job", "instance"], "ts", "inc", "event_id",
+                                          window="5 minutes", slide="1 minute")
