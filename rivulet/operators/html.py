@@ -118,9 +118,14 @@ def relabel(value, pattern: str = r"^/(.*)$", group: int = 1) -> Column:
 
 def with_validity(df: DataFrame, valid: Column, reason: Column,
                   status_col: str = "status", reason_col: str = "reject_reason") -> DataFrame:
-    """One pass: ``status`` ('ok' / 'rejected') and the reject reason (null when ok)."""
-    return df.withColumns({status_col: F.when(valid, F.lit("ok")).otherwise(F.lit("rejected")),
-                           reason_col: F.when(~valid, reason)})
+    """One pass: ``status`` ('ok' / 'rejected') and the reject reason (null when ok).
+
+    A null validity (e.g. a null page) counts as invalid, with the reason
+    "missing input" when ``reason`` itself is null.
+    """
+    ok = F.coalesce(valid, F.lit(False))
+    return df.withColumns({status_col: F.when(ok, F.lit("ok")).otherwise(F.lit("rejected")),
+                           reason_col: F.when(~ok, F.coalesce(reason, F.lit("missing input")))})
 
 
 def split_valid(df: DataFrame, valid: Column, reason: Column) -> tuple[DataFrame, DataFrame]:
@@ -130,6 +135,7 @@ def split_valid(df: DataFrame, valid: Column, reason: Column) -> tuple[DataFrame
     When both sides are consumed by one query, :func:`with_validity` does it
     in a single pass.
     """
-    good = df.filter(valid)
-    rejected = df.filter(~valid).withColumn("reject_reason", reason)
+    ok = F.coalesce(valid, F.lit(False))          # a null check is a failed check
+    good = df.filter(ok)
+    rejected = df.filter(~ok).withColumn("reject_reason", F.coalesce(reason, F.lit("missing input")))
     return good, rejected

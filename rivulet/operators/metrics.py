@@ -246,7 +246,12 @@ def instant_range(df: DataFrame, series: Sequence[str], ts: str, value: str,
     k0 = _ceil_div(us, st)
     k1 = _ceil_div(us + F.lit(lb), st) - 1
     order = F.struct(F.col(ts), F.col(tiebreak) if tiebreak else F.col(value))
-    x = (df.withColumn("_k", F.explode(F.sequence(k0, k1)))
+    # no step lies in [ts, ts + lookback) when lookback < step and the sample
+    # falls between steps (k0 > k1): such a sample is seen at no step
+    x = (df.withColumn("_k0", k0).withColumn("_k1", k1)
+           .filter(F.col("_k0") <= F.col("_k1"))
+           .withColumn("_k", F.explode(F.sequence(F.col("_k0"), F.col("_k1"), F.lit(1).cast("long"))))
+           .drop("_k0", "_k1")
            .withColumn("step", ntz_from_micros(F.col("_k") * F.lit(st))))
     return (x.groupBy("step", *series)
              .agg(F.max_by(F.col(value), order).alias(value),

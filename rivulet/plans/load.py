@@ -5,8 +5,8 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rivulet.operators.quality import assert_unique
 from rivulet.operators.upsert import upsert
 from rivulet.sinks.files import load_audit_row, write, write_versioned
 from rivulet.sources.files import _exists, read_latest_version
@@ -17,23 +17,34 @@ POPULATION_UPDATE_COLUMNS = ("population", "ingestion_timestamp")
 # ---------------------------------------------------------------------------
 
 
+def batch_size_checked(batch: DataFrame, keys) -> int:
+    """Rows of an upsert batch, refusing duplicate keys - one aggregation job."""
+    per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    r = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.max("_n").alias("dup")).first()
+    if r["dup"] is not None and r["dup"] > 1:
+        raise ValueError(f"duplicate key in the batch ({r['dup']} rows share a key on {list(keys)})")
+    return int(r["rows"])
+
+
 def upsert_versioned(spark: SparkSession, batch: DataFrame, table_root: str, audit_root: str,
                      table_name: str, keys=POPULATION_KEYS, update_cols=POPULATION_UPDATE_COLUMNS,
-                     source: str = "local", stamp: str | _dt.datetime | None = None) -> tuple[str, int]:
+                     source: str = "local", stamp: str | _dt.datetime | None = None,
+                     source_path: str | None = None) -> tuple[str, int]:
     """Merge ``batch`` into the newest version of ``table_root`` and publish the
     result as a new version, then append a load audit row
-    (table_name, rows_loaded, source, file_path, loaded_at).
+    (table_name, rows_loaded = batch rows, source, file_path = ``source_path``
+    of the batch, loaded_at).  Returns (new version path, rows in the table).
 
     Duplicate keys in the batch are refused (as a primary key would).  The new
     version is a complete table written next to the old ones, so readers never
     see a half-merged state; it also cuts the lineage for the next merge.
     """
-    assert_unique(batch, list(keys))
+    loaded = batch_size_checked(batch, list(keys))
     if _exists(spark, table_root):
         current = read_latest_version(spark, table_root).drop("version")
         merged = upsert(current, batch, keys, update_cols)
     else:
         merged = batch
     path, rows = write_versioned(merged, table_root, stamp)
-    write(load_audit_row(spark, table_name, rows, path, source), audit_root, mode="append")
+    write(load_audit_row(spark, table_name, loaded, source_path or path, source), audit_root, mode="append")
     return path, rows

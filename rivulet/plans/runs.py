@@ -47,9 +47,17 @@ def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_
 
 
 def population_silver_step(spark: SparkSession, raw_path: str, silver_root: str, audit_root: str,
-                           stamp: str | _dt.datetime | None = None, as_of=None) -> tuple[str, int]:
-    """Clean, write a new version, append an audit row (table, rows, created_at, path)."""
-    path, rows = write_versioned(population_silver(spark.read.parquet(raw_path), as_of), silver_root, stamp)
+                           stamp: str | _dt.datetime | None = None, as_of=None) -> tuple[str | None, int]:
+    """Clean, write a new version, append an audit row (table, rows, created_at, path).
+
+    An empty cleaned batch writes nothing (no empty version hides the last
+    good one) and returns ``(None, 0)``.
+    """
+    silver = population_silver(spark.read.parquet(raw_path), as_of)
+    if silver.isEmpty():
+        log.warning("population batch %s has no valid rows: nothing written", raw_path)
+        return None, 0
+    path, rows = write_versioned(silver, silver_root, stamp)
     append_audit(spark, audit_root, "population_silver", rows, path)
     return path, rows
 

@@ -107,3 +107,14 @@ def test_absent_vs_empty_elements(spark):
     df = spark.createDataFrame([("<div class='x'><h1>  </h1></div>",), ("<div class='x'></div>",)], "h string")
     got = [r[0] for r in df.select(H.element_text("h", "h1")).collect()]
     assert got == ["", None]
+
+
+
+def test_null_pages_are_rejected_not_lost(spark):
+    from rivulet.plans.books import book_records
+    pages = spark.createDataFrame([("u1", None), ("u2", "<html></html>")], "url string, html string")
+    good, bad = book_records(pages)
+    assert good.count() == 0 and sorted(r.url for r in bad.collect()) == ["u1", "u2"]
+    df = spark.createDataFrame([(1, None)], "id int, ok boolean")
+    r = H.with_validity(df, F.col("ok"), F.lit(None).cast("string")).first()
+    assert (r.status, r.reject_reason) == ("rejected", "missing input")

@@ -155,3 +155,11 @@ def test_range_layout_carries_across_batches_and_multi_column_series(spark):
         want[i] = (run[k], last.get(k))
         last[k] = t
     assert got == want
+
+
+
+def test_instant_range_lookback_shorter_than_step(spark):
+    rows = [(1, T0 + dt.timedelta(minutes=30), "a", 1.0), (2, T0 + dt.timedelta(minutes=58), "a", 2.0)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, s string, v double")
+    got = [(r.step, r.v) for r in M.instant_range(df, ["s"], "ts", "v", 3600, 300, "id").collect()]
+    assert got == [(T0 + dt.timedelta(hours=1), 2.0)]          # 00:30 is outside every (t-5m, t]

@@ -77,6 +77,12 @@ def test_steps_end_to_end(spark, tmp_dir):
     assert rows == 1 and read_latest_version(spark, os.path.join(tmp_dir, "silver", "population")).count() == 1
     from rivulet.plans.runs import rates_silver_step
     assert rates_silver_step(spark, os.path.join(tmp_dir, "raw", "rates"), os.path.join(tmp_dir, "silver", "rates")) == 1
+    bad = spark.createDataFrame([("P", "KE", "Kenya", 2020, -5.0)],
+                                "indicator_id string, country_iso2 string, country_name string, year int, population double")
+    write(bad, os.path.join(tmp_dir, "raw", "population_bad"))
+    assert population_silver_step(spark, os.path.join(tmp_dir, "raw", "population_bad"),
+                                  os.path.join(tmp_dir, "silver", "population"), os.path.join(tmp_dir, "audit")) == (None, 0)
+    assert read_latest_version(spark, os.path.join(tmp_dir, "silver", "population")).count() == 1
     wine = spark.createDataFrame([("w", "France", "Red", "10", "5")], "title string, country string, variety string, price string, points string")
     write(wine, os.path.join(tmp_dir, "raw", "wine"))
     assert wine_silver_step(spark, os.path.join(tmp_dir, "raw", "wine"), os.path.join(tmp_dir, "silver", "wine")) == 1

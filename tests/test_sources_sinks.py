@@ -116,6 +116,10 @@ def test_upsert_versioned_end_to_end(spark, tmp_dir):
     assert got["DE"].population == 7.0
     audit_rows = spark.read.parquet(audit).collect()
     assert sorted(r.rows_loaded for r in audit_rows) == [1, 2] and {r.source for r in audit_rows} == {"local"}
+    upsert_versioned(spark, b2.limit(1), root, audit, "population", stamp="20240102_120000",
+                     source_path="s3a://lake/raw/population/b3.parquet")
+    last = spark.read.parquet(audit).orderBy("loaded_at").collect()[-1]
+    assert (last.rows_loaded, last.file_path) == (1, "s3a://lake/raw/population/b3.parquet")
     dup = spark.createDataFrame([("P", "IT", "Italy", 2020, 1.0, "t3", "2020-01")] * 2, s)
     try:
         upsert_versioned(spark, dup, root, audit, "population", stamp="20240103_000000")
