@@ -79,6 +79,14 @@ def left_enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 NON_RATE_COLUMNS = ("processed_at",)
 
 
+def rates_first_row(rates: DataFrame, date_col: str = "date") -> DataFrame:
+    """The rate row to use: the only row of a one-row rate file, or the newest
+    ``date`` when the table holds several days (deterministic either way)."""
+    if date_col in rates.columns:
+        rates = rates.orderBy(F.col(date_col).desc_nulls_last())
+    return rates.limit(1)
+
+
 def rates_long(rates_wide: DataFrame, code_col: str = "currency", rate_col: str = "rate") -> DataFrame:
     """First row of a wide rate table -> ``(currency, rate)`` rows.
 
@@ -87,7 +95,7 @@ def rates_long(rates_wide: DataFrame, code_col: str = "currency", rate_col: str
     skipped.  At most one row per column, so it is safe to broadcast.
     """
     cols = [c for c in rates_wide.columns if c not in NON_RATE_COLUMNS]
-    first = rates_wide.select(*[F.col(c).cast("string").alias(c) for c in cols]).limit(1)
+    first = rates_first_row(rates_wide).select(*[F.col(c).cast("string").alias(c) for c in cols])
     long = first.unpivot([], cols, code_col, "_text")
     return (long.select(code_col, F.col("_text").try_cast("double").alias(rate_col))
                 .filter(F.col(rate_col).isNotNull()))
@@ -101,12 +109,12 @@ def rate_lookup(df: DataFrame, code_col: str, rates_wide: DataFrame, out_col: st
 
 
 def first_row_value(rates: DataFrame, col: str) -> Column:
-    """Value of ``col`` in the first row of ``rates`` as a scalar subquery.
+    """Value of ``col`` in the rate row (:func:`rates_first_row`) as a scalar subquery.
 
     Catalyst runs the one-row subquery once and ships the value with the
     plan: no cross join and no driver round trip while building the plan.
     """
-    return rates.select(F.col(col).cast("double")).limit(1).scalar()
+    return rates_first_row(rates).select(F.col(col).cast("double")).scalar()
 
 
 def scalar_enrich(df: DataFrame, rates: DataFrame | None, outputs: dict[str, tuple[str, str]],

@@ -56,6 +56,14 @@ def _ceil_div(a: Column, b: int) -> Column:
     return -_floor_div(-a, b)
 
 
+def series_labels(df: DataFrame, series: Sequence[str]) -> DataFrame:
+    """A missing label is the empty label (the same series), so string series
+    columns are coalesced to ''; the series joins below then never meet a null key."""
+    fix = {c: F.coalesce(F.col(c), F.lit("")) for c in series
+           if isinstance(df.schema[c].dataType, T.StringType)}
+    return df.withColumns(fix) if fix else df
+
+
 def _join_on_series(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left equi-join on series + bucket keys.  Series label values are never
     null (a missing label is ''), so a plain join keeps the left side's
@@ -124,19 +132,21 @@ def counter_from_increments(df: DataFrame, series: Sequence[str], ts: str, incre
     holds a large share of all rows (a checkpoint and a vectorised scan).
     """
     series = list(series)
+    df = series_labels(df, series)
     if layout == "range":
         return _range_counter(df, series, ts, increment, tiebreak, out, prev_ts)
-    b = with_time_bucket(df, ts, bucket_seconds)
-    buckets = _bucket_table(b, series, ts, increment, tiebreak)
+    b = with_time_bucket(df, ts, bucket_seconds).withColumn(
+        "_inc0", F.coalesce(F.col(increment), F.lit(0).cast(df.schema[increment].dataType)))
+    buckets = _bucket_table(b, series, ts, "_inc0", tiebreak)
     w = Window.partitionBy(*series, BUCKET).orderBy(F.col(ts), F.col(tiebreak))
-    within = b.withColumn("_run", F.sum(increment).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    within = b.withColumn("_run", F.sum("_inc0").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     if prev_ts:
         within = within.withColumn("_pts", F.lag(ts).over(w))
     out_df = (_join_on_series(within, buckets, [*series, BUCKET])
               .withColumn(out, F.col("_off") + F.col("_run")))
     if prev_ts:
         out_df = out_df.withColumn(prev_ts, F.coalesce(F.col("_pts"), F.col("_prev_bucket_ts"))).drop("_pts")
-    return out_df.drop("_off", "_run", "_prev_bucket_ts")
+    return out_df.drop("_off", "_run", "_prev_bucket_ts", "_inc0")
 
 
 def with_previous(df: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
@@ -150,6 +160,7 @@ def with_previous(df: DataFrame, series: Sequence[str], ts: str, value: str, tie
     ``layout="range"``: see :func:`counter_from_increments`.
     """
     series = list(series)
+    df = series_labels(df, series)
     if layout == "range":
         from rivulet.operators.ordered_scan import range_scan
         x = df.withColumn("_ts_us", epoch_micros(df, ts))

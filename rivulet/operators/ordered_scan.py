@@ -90,7 +90,7 @@ def range_scan(df: DataFrame, series: Sequence[str], ts_us: str, tiebreak: str,
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     x = df
     if increment:
-        x = x.withColumn("_inc", F.col(increment).cast("double"))
+        x = x.withColumn("_inc", F.coalesce(F.col(increment).cast("double"), F.lit(0.0)))   # null adds nothing
     if value:
         x = x.withColumn("_v", F.col(value).cast("double"))
     x = x.withColumn("_us", F.col(ts_us).cast("long"))

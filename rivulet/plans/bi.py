@@ -50,18 +50,19 @@ def top_max_population(enriched: DataFrame, k: int = 20) -> DataFrame:
 
 
 # The SQL-lab forms of the same charts, run by ``spark.sql`` over temp views.
+# DESC sorts put nulls first, as the SQL database the charts ran on does.
 SQL = {
-    "books_by_category": "SELECT category, count(*) AS nb FROM gold_books_details GROUP BY 1 ORDER BY 2 DESC",
-    "top_priced_books": "SELECT titre, price_gbp FROM gold_books_details ORDER BY 2 DESC, 1 LIMIT 10",
+    "books_by_category": "SELECT category, count(*) AS nb FROM gold_books_details GROUP BY 1 ORDER BY 2 DESC NULLS FIRST",
+    "top_priced_books": "SELECT titre, price_gbp FROM gold_books_details ORDER BY 2 DESC NULLS FIRST, 1 LIMIT 10",
     "stock_total": "SELECT sum(stock) AS stock_total FROM gold_books_details",
     "avg_price_by_category": ("SELECT categorie, prix_moyen_gbp, prix_moyen_eur, prix_moyen_usd "
-                              "FROM gold_books_analytics ORDER BY prix_moyen_gbp DESC"),
+                              "FROM gold_books_analytics ORDER BY prix_moyen_gbp DESC NULLS FIRST"),
     "top_populated": ("SELECT pays, population_banque_mondiale, region FROM gold_countries_enriched "
                       "WHERE population_banque_mondiale IS NOT NULL "
-                      "ORDER BY population_banque_mondiale DESC, pays LIMIT 20"),
+                      "ORDER BY population_banque_mondiale DESC NULLS FIRST, pays LIMIT 20"),
     "rate_by_currency": ("SELECT devise_principale, AVG(taux_change_vs_gbp) AS taux FROM gold_countries_enriched "
-                         "WHERE taux_change_vs_gbp IS NOT NULL GROUP BY 1 ORDER BY 2 DESC"),
-    "countries_by_region": "SELECT region, COUNT(*) AS nb_pays FROM gold_countries_enriched GROUP BY 1 ORDER BY 2 DESC",
+                         "WHERE taux_change_vs_gbp IS NOT NULL GROUP BY 1 ORDER BY 2 DESC NULLS FIRST"),
+    "countries_by_region": "SELECT region, COUNT(*) AS nb_pays FROM gold_countries_enriched GROUP BY 1 ORDER BY 2 DESC NULLS FIRST",
 }
 
 

@@ -64,3 +64,13 @@ def test_dedup_first_is_deterministic(spark):
     got = sorted(((r.k or ""), r.v) for r in dedup_first(df, ["k"], ["o"]).collect())
     assert got == [("", "n0"), ("a", "y"), ("b", "z")]
     assert distinct_rows(spark.createDataFrame([(1,), (1,), (2,)], "a int")).count() == 2
+
+
+
+def test_rates_row_is_the_newest_date(spark):
+    rates = spark.createDataFrame([(1.10, 1.20, "2024-01-30"), (1.15, 1.25, "2024-01-31"), (9.0, 9.0, None)],
+                                  "EUR double, USD double, date string")
+    df = spark.createDataFrame([(10.0,)], "p double")
+    r = scalar_enrich(df, rates, {"eur": ("p", "EUR"), "usd": ("p", "USD")}).first()
+    assert (r.eur, r.usd) == (11.5, 12.5)
+    assert dict(tuple(x) for x in rates_long(rates).collect()) == {"EUR": 1.15, "USD": 1.25}

@@ -163,3 +163,13 @@ def test_instant_range_lookback_shorter_than_step(spark):
     df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, s string, v double")
     got = [(r.step, r.v) for r in M.instant_range(df, ["s"], "ts", "v", 3600, 300, "id").collect()]
     assert got == [(T0 + dt.timedelta(hours=1), 2.0)]          # 00:30 is outside every (t-5m, t]
+
+
+
+def test_null_labels_and_null_increments(spark):
+    rows = [(1, T0, None, 1), (2, T0 + dt.timedelta(minutes=1), None, None), (3, T0 + dt.timedelta(hours=2), None, 2)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, job string, inc long")
+    for layout in ("time", "range"):
+        got = {r.id: (r.job, r.counter) for r in
+               M.counter_from_increments(df, ["job"], "ts", "inc", "id", layout=layout).collect()}
+        assert got == {1: ("", 1), 2: ("", 1), 3: ("", 3)}, layout
