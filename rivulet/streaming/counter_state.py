@@ -8,8 +8,12 @@ watermark passes its end (event-time timeout), so output is append-only.
 
 Per micro-batch, one series' new samples are handled by one task; the batch
 size is bounded by the source's ``maxFilesPerTrigger``/``maxBytesPerTrigger``.
-Samples older than the series' last sample, or belonging to a window that
-was already emitted, are dropped (late data).
+Each series must arrive in time order across micro-batches: a sample not
+after the series' last one (by time, then tiebreak), or belonging to a window
+that was already emitted, is dropped as late data.  A series' state is
+removed once it has no open window: no later on-time sample can share a
+window with its last sample, so nothing is lost, and series that stop
+reporting leave no state behind.
 """
 
 from __future__ import annotations
@@ -25,26 +29,27 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivulet.operators.metrics import epoch_micros, ntz_from_micros
 
-_STATE_SCHEMA = "last_us long, last_v double, windows string"
+_STATE_SCHEMA = "last_us long, last_tb long, last_v double, windows string"
 
 
 def _rate_state_fn(series: list[str], window_us: int, slide_us: int, digits: int):
-    k = window_us // slide_us
+    k = -(-window_us // slide_us)            # windows that can contain a sample
 
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
-            last_us, last_v, wjson = state.get
+            last_us, last_tb, last_v, wjson = state.get
             windows = {int(s): v for s, v in json.loads(wjson).items()}
         else:
-            last_us, last_v, windows = None, None, {}
+            last_us, last_tb, last_v, windows = None, None, None, {}
         wm_us = state.getCurrentWatermarkMs() * 1000
         if not state.hasTimedOut:
             batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "_tb"], kind="mergesort")
             us = batch["_us"].to_numpy(dtype=np.int64)
+            tb = batch["_tb"].to_numpy(dtype=np.int64)
             v = batch["_v"].to_numpy(dtype=np.float64)
-            if last_us is not None:                      # out of order for this series: dropped
-                keep = us > last_us
-                us, v = us[keep], v[keep]
+            if last_us is not None:                      # not after the last sample: late, dropped
+                keep = (us > last_us) | ((us == last_us) & (tb > last_tb))
+                us, tb, v = us[keep], tb[keep], v[keep]
             if len(us):
                 prev_us = np.concatenate(([last_us if last_us is not None else np.iinfo(np.int64).min], us[:-1]))
                 prev_v = np.concatenate(([last_v if last_v is not None else np.nan], v[:-1]))
@@ -54,7 +59,8 @@ def _rate_state_fn(series: list[str], window_us: int, slide_us: int, digits: int
                 rep_us = np.tile(us, k)
                 contrib = np.where(np.tile(prev_us, k) >= starts, np.tile(delta, k), 0.0)
                 contrib = np.nan_to_num(contrib, nan=0.0)
-                fresh = starts + window_us > wm_us            # windows already emitted are closed
+                # the window must contain the sample, and must not be emitted already
+                fresh = (rep_us < starts + window_us) & (starts + window_us > wm_us)
                 g = (pd.DataFrame({"s": starts[fresh], "us": rep_us[fresh], "d": contrib[fresh]})
                        .groupby("s").agg(n=("us", "size"), inc=("d", "sum"), lo=("us", "min"), hi=("us", "max")))
                 for s, n, inc, lo, hi in zip(g.index, g["n"], g["inc"], g["lo"], g["hi"]):
@@ -65,7 +71,7 @@ def _rate_state_fn(series: list[str], window_us: int, slide_us: int, digits: int
                         w[0] += int(n)
                         w[1] += float(inc)
                         w[2], w[3] = min(w[2], int(lo)), max(w[3], int(hi))
-                last_us, last_v = int(us[-1]), float(v[-1])
+                last_us, last_tb, last_v = int(us[-1]), int(tb[-1]), float(v[-1])
         closed = sorted(s for s in windows if s + window_us <= wm_us)
         rows = []
         for s in closed:
@@ -75,10 +81,11 @@ def _rate_state_fn(series: list[str], window_us: int, slide_us: int, digits: int
             if n >= 2 and el > 0:
                 rate = float(np.rint(inc / el * 10 ** digits) / 10 ** digits)
             rows.append((*key, s, s + window_us, n, float(inc), rate))
-        if last_us is not None:
-            state.update((last_us, last_v, json.dumps({str(s): w for s, w in windows.items()})))
-            if windows:
-                state.setTimeoutTimestamp(max((min(windows) + window_us) // 1000, state.getCurrentWatermarkMs() + 1))
+        if windows:
+            state.update((last_us, last_tb, last_v, json.dumps({str(s): w for s, w in windows.items()})))
+            state.setTimeoutTimestamp(max((min(windows) + window_us) // 1000, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
         if rows:
             yield pd.DataFrame(rows, columns=[*series, "_start", "_end", "samples", "increase", "rate"])
 
@@ -93,7 +100,7 @@ def stateful_counter_rate(stream: DataFrame, series: Sequence[str], ts: str, val
     x = (stream.withColumn("_us", epoch_micros(stream, ts))
                .withColumn("event_time", F.timestamp_micros(F.col("_us")))
                .withWatermark("event_time", watermark)
-               .select(*series, "event_time", "_us", F.col(tiebreak).alias("_tb"),
+               .select(*series, "event_time", "_us", F.col(tiebreak).cast("long").alias("_tb"),
                        F.col(value).cast("double").alias("_v")))
     types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
     out_schema = ", ".join(f"{s} {types[s]}" for s in series) + \

@@ -78,3 +78,26 @@ def test_stateful_counter_rate_matches_batch_on_closed_windows(spark):
                   .select("window_start", "series", "samples", "increase", "rate").collect()))
     assert len(got) > 100
     assert got == want
+
+
+def test_stateful_rate_window_not_multiple_of_slide(spark):
+    import datetime as dt
+
+    from rivulet.streaming.counter_state import stateful_counter_rate
+    from .test_metrics import dense_samples
+
+    rows = sorted(dense_samples(n_series=2, n=150, seed=4), key=lambda r: (r[1], r[0]))
+    schema = "id long, ts timestamp_ntz, series string, value double"
+    root = tempfile.mkdtemp(prefix="rivulet-state2-")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(root + "/in")
+    stream = spark.readStream.schema(schema).parquet(root + "/in")
+    out = stateful_counter_rate(stream, ["series"], "ts", "value", "id", 600, 180, "1 minute")
+    from rivulet.streaming.rate import run_available_now
+    got = sorted(map(tuple, run_available_now(spark, out, root + "/out", root + "/ck")
+                 .select("window_start", "series", "samples", "increase", "rate").collect()))
+    horizon = max(r[1] for r in rows) - dt.timedelta(minutes=1)
+    batch = M.counter_rate(spark.createDataFrame(rows, schema), ["series"], "ts", "value", "id",
+                           "10 minutes", "3 minutes", 600)
+    want = sorted(map(tuple, batch.filter(F.col("window_end") <= F.lit(horizon).cast("timestamp_ntz"))
+                  .select("window_start", "series", "samples", "increase", "rate").collect()))
+    assert got == want and len(got) > 20
