@@ -757,8 +757,7 @@ WHERE rn = 1
 """)
 def countries_silver_dedup(spark, sf):
     c, n, r = _t(spark, sf, "customer"), _t(spark, sf, "nation"), _t(spark, sf, "region")
-    geo = broadcast_if_small(n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey)
-                              .select("n_nationkey", "n_name", "r_name"))
+    geo = broadcast_if_small(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name"))
     raw = c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         F.col("c_name").alias("name"), F.col("n_name").alias("iso3"), F.col("r_name").alias("region"),
         F.col("c_acctbal").alias("population"), (F.col("c_custkey") % 50).alias("area"), "c_custkey")

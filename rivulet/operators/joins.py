@@ -13,21 +13,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.functions.clean import round_half_even
 
-# Default bound for an explicit broadcast (rows); dimension tables above it are
-# joined by shuffle.
+# Default bounds for an explicit broadcast; larger sides are joined by shuffle.
 BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it is cheap for small
-    sides and bounded for large ones.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+_FIXED_WIDTH = ((T.BooleanType, 1), (T.ByteType, 1), (T.ShortType, 2), (T.IntegerType, 4), (T.DateType, 4),
+                (T.FloatType, 4), (T.LongType, 8), (T.DoubleType, 8), (T.TimestampType, 8),
+                (T.TimestampNTZType, 8), (T.DecimalType, 16))
+
+
+def _row_bytes(df: DataFrame):
+    """Per-row size: fixed widths plus the actual bytes of text/binary values
+    (nested values counted by their JSON length)."""
+    fixed, var = 0, []
+    for f in df.schema.fields:
+        dt = f.dataType
+        width = next((w for t, w in _FIXED_WIDTH if isinstance(dt, t)), None)
+        if width is not None:
+            fixed += width
+        elif isinstance(dt, (T.StringType, T.BinaryType)):
+            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:
+            var.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
+    expr = F.lit(fixed + 8)
+    for v in var:
+        expr = expr + v
+    return expr
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking it has at most ``max_rows``
+    rows and ``max_bytes`` bytes (fixed widths plus actual text lengths).
+
+    One job over at most ``max_rows + 1`` rows, so it is cheap for small sides
+    and bounded for large ones.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    if r["n"] <= max_rows and (r["b"] or 0) <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -9,8 +9,9 @@ def write_table(df: DataFrame, url: str, table: str, mode: str = "overwrite",
                 properties: dict | None = None, batch_size: int = 10_000,
                 num_partitions: int | None = None) -> None:
     """Replace (or append to) a database table.  Each executor task inserts its
-    partition in batches; ``num_partitions`` caps concurrent connections."""
-    out = df.coalesce(num_partitions) if num_partitions else df
+    partition in batches; ``num_partitions`` caps concurrent connections with a
+    repartition (a coalesce would also shrink the upstream stage's parallelism)."""
+    out = df.repartition(num_partitions) if num_partitions else df
     w = out.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table) \
            .option("batchsize", batch_size)
     for k, v in (properties or {}).items():

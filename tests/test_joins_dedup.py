@@ -56,6 +56,9 @@ def _analyzed(df):
 def test_broadcast_if_small_checks_size(spark):
     assert "broadcast" in _analyzed(broadcast_if_small(spark.range(5), 10)).lower()
     assert "broadcast" not in _analyzed(broadcast_if_small(spark.range(50), 10)).lower()
+    wide = spark.range(5).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert "broadcast" not in _analyzed(broadcast_if_small(wide, 10, max_bytes=4000)).lower()
+    assert "broadcast" in _analyzed(broadcast_if_small(wide, 10, max_bytes=10_000)).lower()
 
 
 def test_dedup_first_is_deterministic(spark):
