@@ -53,16 +53,22 @@ def avg_by(df: DataFrame, group: str, value: str, out: str, where: Column | None
 
 
 def share_of_total(df: DataFrame, group: str, value: str, out_sum: str = "total",
-                   out_share: str = "share") -> DataFrame:
+                   out_share: str = "share", total: str = "window") -> DataFrame:
     """SUM(value) per group and its share of the grand total.
 
-    One scan and one (partially aggregated) shuffle.  The grand total is a
-    window over the *grouped* rows: only one row per group reaches the single
-    window partition, never the input rows.  (A scalar subquery would run the
-    whole aggregation a second time.)
+    ``total="window"`` (default, for chart-sized groupings): one scan and one
+    partially aggregated shuffle; the grand total is a window over the
+    *grouped* rows, so only one row per group reaches the single window
+    partition.  ``total="subquery"`` for high-cardinality groupings: the
+    grand total is a scalar subquery (a second, fully distributed partial
+    aggregation of the grouped sums), so no task ever holds all groups.
     """
     g = df.groupBy(group).agg(F.sum(value).alias(out_sum))
-    return g.withColumn(out_share, F.try_divide(F.col(out_sum), F.sum(out_sum).over(Window.partitionBy())))
+    if total == "subquery":
+        grand = g.select(F.sum(out_sum)).scalar()
+    else:
+        grand = F.sum(out_sum).over(Window.partitionBy())
+    return g.withColumn(out_share, F.try_divide(F.col(out_sum), grand))
 
 
 def totals(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:

@@ -17,6 +17,9 @@ def test_empty_tables(spark):
     assert dedup_first(empty, ["k"], ["y"]).count() == 0
     assert category_stats(empty, "k", "v", "y", "v").count() == 0
     assert share_of_total(empty, "k", "v").count() == 0
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 4.0)], "k string, v double")
+    for mode in ("window", "subquery"):
+        assert {r.k: r.share for r in share_of_total(df, "k", "v", total=mode).collect()} == {"a": 0.5, "b": 0.5}
     assert dense_ids(empty, "k").count() == 0
     target = spark.createDataFrame([("a", 1, 1.0)], "k string, y int, v double")
     assert [tuple(r) for r in upsert(target, empty, ["k", "y"], ["v"]).collect()] == [("a", 1, 1.0)]
