@@ -91,21 +91,62 @@ def read_latest_version(spark: SparkSession, root: str, fmt: str = "parquet") ->
     return spark.read.format(fmt).option("basePath", root).load(path)
 
 
+def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """Data files under ``folder`` (recursive): ``(path, bytes, modified epoch ms)``.
+
+    One metadata listing, no data read; paths with a component starting with
+    '_' or '.' (``_temporary``, ``_SUCCESS``, checksums) are skipped.
+    """
+    fs, p = _fs_and_path(spark, folder)
+    if not fs.exists(p):
+        return []
+    root = p.toString().rstrip("/")
+    out, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        path = st.getPath().toString()
+        rel = path[len(root):] if path.startswith(root) else st.getPath().getName()
+        if any(part.startswith(("_", ".")) for part in rel.strip("/").split("/")):
+            continue
+        out.append((path, int(st.getLen()), int(st.getModificationTime())))
+    return out
+
+
+def newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> tuple[DataFrame | None, str | None]:
+    """``(rows of the most recently modified data file, its path)`` of a folder
+    or object-store prefix.
+
+    Files are listed once; candidates are tried newest first and the first
+    one holding rows wins (Spark writers also leave schema-only part files).
+    Only footers of the candidates tried are read, then the one file.
+    """
+    for path, _, _ in sorted(list_files(spark, folder), key=lambda f: (f[2], f[0]), reverse=True):
+        df = spark.read.format(fmt).option("basePath", folder).load(path)
+        if not df.isEmpty():
+            return df, path
+    return None, None
+
+
 def read_newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
-    """Rows of the most recently modified file of a folder or object-store prefix (max mtime)."""
-    df = spark.read.format(fmt).load(folder).select("*", F.col("_metadata.file_path").alias("_path"),
-                                                   F.col("_metadata.file_modification_time").alias("_mtime"))
-    newest = df.select(F.max_by("_path", "_mtime")).scalar()
-    return df.filter(F.col("_path") == newest).drop("_path", "_mtime")
+    """Rows of the most recently modified file of a folder (max modification time)."""
+    df, path = newest_file(spark, folder, fmt)
+    if df is None:
+        raise FileNotFoundError(f"no data file under {folder}")
+    return df
 
 
-def newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> tuple[DataFrame, str | None]:
-    """``(rows of the newest file, its path)``; only the one path reaches the driver."""
-    df = spark.read.format(fmt).load(folder)
-    path = df.select(F.max_by(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time"))).first()[0]
-    if path is None:
-        return df.limit(0), None
-    return df.filter(F.col("_metadata.file_path") == path), path
+def is_fresh_path(spark: SparkSession, folder: str, day: _dt.date | str) -> bool:
+    """True when the newest data file under ``folder`` was modified on ``day`` (UTC)."""
+    files = list_files(spark, folder)
+    if not files:
+        return False
+    newest = _dt.datetime.fromtimestamp(max(f[2] for f in files) / 1000, _dt.timezone.utc).date()
+    return str(newest) == str(day)
+
+
+def is_complete_path(spark: SparkSession, folder: str, min_bytes: int) -> bool:
+    """True when the data files under ``folder`` hold more than ``min_bytes``."""
+    return sum(f[1] for f in list_files(spark, folder)) > min_bytes
 
 
 def file_facts(df: DataFrame) -> DataFrame:
@@ -122,14 +163,22 @@ def utc_date(ts: Column) -> Column:
 
 
 def is_fresh(df: DataFrame, day: _dt.date | str | Column) -> bool:
-    """True when the newest input file was modified on ``day`` (UTC date)."""
+    """True when the newest input file of ``df`` was modified on ``day`` (UTC date).
+
+    Works on any file-based frame but reads ``_metadata`` of every row; for a
+    folder, :func:`is_fresh_path` only lists files.
+    """
     d = day if isinstance(day, Column) else F.lit(str(day)).cast("date")
     newest = df.select(utc_date(F.max("_metadata.file_modification_time")).alias("d"))
     return bool(newest.select((F.col("d") == d).alias("ok")).first()["ok"])
 
 
 def is_complete(df: DataFrame, min_rows: int | None = None, min_bytes: int | None = None) -> bool:
-    """Completeness gate: enough rows (bounded read) or enough bytes on disk."""
+    """Completeness gate: enough rows (bounded read) or enough bytes on disk.
+
+    The byte test reads ``_metadata`` of every row; for a folder,
+    :func:`is_complete_path` only lists files.
+    """
     if min_rows is not None and df.limit(min_rows).count() >= min_rows:
         return True
     if min_bytes is not None:

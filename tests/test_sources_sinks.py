@@ -9,7 +9,7 @@ from rivulet.sinks.files import (
 )
 from rivulet.sources.files import (
     file_facts, is_complete, is_fresh, read_csv, read_first_available, read_latest_version, read_lines,
-    newest_file, read_newest_file,
+    is_complete_path, is_fresh_path, list_files, newest_file, read_newest_file,
 )
 
 
@@ -87,6 +87,10 @@ def test_fallback_newest_file_and_gates(spark, tmp_dir):
     assert [r.a for r in read_newest_file(spark, folder).collect()] == [2]
     rows, path = newest_file(spark, folder)
     assert [r.a for r in rows.collect()] == [2] and path.endswith(".parquet")
+    assert len(list_files(spark, folder)) >= 2 and newest_file(spark, os.path.join(tmp_dir, "nope")) == (None, None)
+    assert is_fresh_path(spark, folder, dt.datetime.now(dt.timezone.utc).date())
+    assert not is_fresh_path(spark, folder, "2000-01-01")
+    assert is_complete_path(spark, folder, 10) and not is_complete_path(spark, folder, 10 ** 9)
     df = spark.read.parquet(folder)
     assert is_fresh(df, dt.datetime.now(dt.timezone.utc).date())
     assert not is_fresh(df, "2000-01-01")
