@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from html.entities import name2codepoint
+
 from rivulet.functions.clean import strip_whitespace
 
 _DECOYS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -32,13 +34,46 @@ def unescape_basic(text) -> Column:
     return t
 
 
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _named_entities() -> Column:
+    # the HTML 4 named-entity table of the standard library (252 names)
+    items = sorted(name2codepoint.items())
+    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in items]), F.array(*[F.lit(v) for _, v in items]))
+
+
+def _decode_entity(e: Column) -> Column:
+    """'#233' / '#xE9' / 'eacute' -> the character; unknown names stay as written."""
+    cp = (F.when(e.rlike("^#[xX]"), F.conv(F.substring(e, 3, 8), 16, 10).cast("int"))
+           .when(e.startswith("#"), F.substring(e, 2, 8).cast("int"))
+           .otherwise(F.element_at(_named_entities(), e)))
+    ch = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+    return F.when((cp > 0) & (cp <= 0x10FFFF), ch).otherwise(F.concat(F.lit("&"), e, F.lit(";")))
+
+
+def unescape_html(text) -> Column:
+    """Decode character references: named (HTML 4 table), decimal and hex.
+
+    The text is split around the references, each reference is decoded and
+    the pieces are joined again (built-in expressions only); text without
+    '&' is returned as is.  References without the closing ';' stay as written.
+    """
+    t = _c(text)
+    refs = F.transform(F.regexp_extract_all(t, F.lit(_ENTITY), 1), _decode_entity)
+    pieces = F.split(t, _ENTITY, -1)
+    joined = F.array_join(F.zip_with(pieces, F.concat(refs, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    return F.when(t.contains("&"), joined).otherwise(t)
+
+
 def text_of(fragment) -> Column:
-    """Visible text of an HTML fragment: tags dropped, entities decoded, stripped.
+    """Visible text of an HTML fragment: tags dropped, character references
+    decoded, whitespace stripped (as ``str.strip``).
 
     An empty element gives ''; a null fragment (absent element) gives null.
     """
     t = F.regexp_replace(_c(fragment), r"<[^>]*>", "")
-    return strip_whitespace(unescape_basic(t))
+    return strip_whitespace(unescape_html(t))
 
 
 def element_inner(html, tag: str, attrs: str = "", occurrence_in: str | None = None) -> Column:

@@ -118,3 +118,13 @@ def test_null_pages_are_rejected_not_lost(spark):
     df = spark.createDataFrame([(1, None)], "id int, ok boolean")
     r = H.with_validity(df, F.col("ok"), F.lit(None).cast("string")).first()
     assert (r.status, r.reject_reason) == ("rejected", "missing input")
+
+
+
+def test_unescape_matches_python_html_unescape(spark):
+    import html as pyhtml
+    samples = ["caf&eacute; &amp; cr&egrave;me", "&#8217;quote&#x2019; &lt;b&gt; &quot;x&quot;",
+               "&nbsp;a&copy;&middot;", "&amp;lt; stays &lt;", "no refs", "&unknownthing; &#128512;", None]
+    df = spark.createDataFrame([(x,) for x in samples], "t string")
+    got = [r[0] for r in df.select(H.unescape_html("t")).collect()]
+    assert got == [None if x is None else pyhtml.unescape(x) for x in samples]
