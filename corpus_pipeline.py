@@ -8,9 +8,21 @@ return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rivulet.llm import simhash_tiles
-from rivulet.llm.batches import save_and_reread, table
+from rivulet.llm import decontaminate, language_hd, packing, simhash_tiles, toxicity
+from rivulet.llm.batches import crc_part, save_and_reread, table
+from rivulet.llm.queries import toxicity_lexicon
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.7 or more go; the lexicon is learned from the labelled documents of this stage."""
+    return toxicity.drop_toxic(docs, toxicity_lexicon(docs, table(spark, sf_dir, "labels")))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go, and long ones far from every language learned."""
+    return language_hd.drop_unidentified(docs, language_hd.learn(docs, where=crc_part(F.col("doc_id"), 4) != 2))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +30,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash_tiles.drop_near_duplicates(docs)
 
 
-STAGES = [("simhash_near_dedup", near_duplicates)]
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents that are left, with their sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [("toxicity", toxic), ("language_id", language), ("simhash_near_dedup", near_duplicates),
+          ("decontamination", benchmark_passages), ("packing", packed)]
 
 #: Learned models, 64-bit hashes and packing have no SQL form; tests hold run() against the stages run by hand.
 ORACLE_SQL = None

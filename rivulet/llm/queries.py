@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rivulet.llm import simhash_tiles
-from rivulet.llm.batches import table
+from rivulet.llm import (chat_format, decontaminate, language_hd, license_scan, packing, quality_crf, simhash_tiles, token_edits,
+                         toxicity, url_filter)
+from rivulet.llm.batches import crc_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,3 +25,192 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, at most 2 differing bits."""
     found = simhash_tiles.simhash_components(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", simhash_tiles.fingerprint_hex())
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word benchmark windows in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+ORACLE["op3_decontaminate"] = r"""
+WITH words AS (
+    SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    FROM documents),
+items AS (
+    SELECT item_id, list_filter(string_split_regex(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+item_windows AS (
+    SELECT DISTINCT item_id, array_to_string(w[k:k + 9], ' ') AS g, least(len(w), 10) AS n
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+    SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS g
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM words, sizes WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT d.r, d.k, d.n, i.item_id FROM doc_windows d JOIN item_windows i USING (g, n)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of at most 1024 tokens, packed by bin completion."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def toxicity_lexicon(docs: DataFrame, labels: DataFrame) -> toxicity.Lexicon:
+    """Learned without the ids whose crc32 leaves 1 when divided by 3."""
+    return toxicity.fit(docs, labels.filter(crc_part(F.col("doc_id"), 3) != 1))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by the learned lexicon."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_lexicon(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(crc_part(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
+                         "score", "predicted", "n_words", "n_matches")
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; ids whose crc32 leaves 2 when divided by 4 are held out of learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = crc_part(F.col("doc_id"), 4)
+    profiles = language_hd.learn(docs, where=part != 2)
+    found = language_hd.identify(docs.select("doc_id", "text"), profiles, keep=["doc_id"])
+    return found.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_letters")
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and content share of all documents; the line field is trained on documents with a quality label."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_crf.quality(docs, field, keep=["doc_id"])
+
+
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations (and conversation -1, whose texts are control strings) from their event log, read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], rows.schema)
+    return chat_format.digests(chat_format.format_events(chat_format.replayed(rows.union(more))))
+
+
+ORACLE["op9_chat_format"] = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|im_start|>' || regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g') || chr(10)
+                || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+
+def hashed(text, modulus: int):
+    """A number below ``modulus`` from the first six hex digits of the text's md5."""
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int") % modulus
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """Dated list entries derived from the pages: hosts listed, taken off and listed again, parent domains,
+    path prefixes and allowed hosts, chosen by a hash of the pattern."""
+    host = url_filter.host_of(F.col("url"))
+    hosts = pages.select(host.alias("host")).filter("host <> ''").distinct()
+    first = F.regexp_extract("path", "^/([^/]+)", 1)
+    prefixes = (pages.select(host.alias("host"), F.regexp_extract("url", url_filter.PATH, 1).alias("path"))
+                .select(F.concat("host", F.lit("/"), first).alias("pattern"), first.alias("f")).filter("f <> ''").select("pattern").distinct())
+    domains = hosts.select(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("pattern")).filter("pattern <> ''").distinct()
+
+    def events(patterns: DataFrame, name: str, verdict: str, kind: str, keep: int, spans: list[tuple[int, int]]) -> DataFrame:
+        h = hashed(F.concat(F.lit(name), F.col("pattern")), 1000)
+        chosen = patterns.withColumn("h", h).filter(F.col("h") % keep == 0)
+        dates = [F.struct(F.lit(a).alias("action"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("h") % 300 + d).alias("effective"))
+                 for start, stop in spans for a, d in (("add", start), ("remove", stop)) if d >= 0]
+        return chosen.select(F.lit(name).alias("list"), F.lit(verdict).alias("verdict"), F.lit(kind).alias("kind"), "pattern",
+                             F.inline(F.array(*dates)))
+
+    by_host = hosts.withColumnRenamed("host", "pattern")
+    return (events(by_host, "spam", "block", "host", 2, [(0, 120), (200, -1)])
+            .union(events(by_host, "trusted", "allow", "host", 5, [(60, 400)]))
+            .union(events(domains, "abuse", "block", "domain", 3, [(30, 250)]))
+            .union(events(prefixes, "legal", "block", "prefix", 2, [(10, 90), (90, 300)])))
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries active on its day; days and lists are derived from the pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 700).cast("int")))
+    return url_filter.evaluate(captures, dated_lists(pages))
+
+
+ORACLE["op1_url_filter"] = r"""
+WITH captures AS (
+    SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 700 AS INTEGER) AS fetched,
+           regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '^www\.|\.$', '', 'g') AS host,
+           list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), x -> x <> '') AS segments
+    FROM pages),
+patterns AS (
+    SELECT DISTINCT 'spam' AS list, 'block' AS verdict, 'host' AS kind, host AS pattern, 2 AS keep FROM captures WHERE host <> ''
+    UNION ALL SELECT DISTINCT 'trusted', 'allow', 'host', host, 5 FROM captures WHERE host <> ''
+    UNION ALL SELECT DISTINCT 'abuse', 'block', 'domain', regexp_extract(host, '([^.]+\.[^.]+)$', 1), 3 FROM captures
+        WHERE regexp_matches(host, '[^.]+\.[^.]+$')
+    UNION ALL SELECT DISTINCT 'legal', 'block', 'prefix', host || '/' || segments[1], 2 FROM captures WHERE len(segments) > 0),
+spans(list, a, b) AS (VALUES ('spam', 0, 120), ('spam', 200, NULL), ('trusted', 60, 400), ('abuse', 30, 250), ('legal', 10, 90), ('legal', 90, 300)),
+numbered AS (SELECT *, CAST('0x' || substr(md5(list || pattern), 1, 6) AS INTEGER) % 1000 AS h FROM patterns),
+-- the removal on day 90 wins over the listing on the same day, so the second span of 'legal' never opens
+valid AS (
+    SELECT n.list, verdict, kind, pattern, DATE '2024-01-01' + (h % 300 + a) AS since, DATE '2024-01-01' + (h % 300 + b) AS until
+    FROM numbered n JOIN spans s ON n.list = s.list WHERE h % keep = 0 AND NOT (n.list = 'legal' AND a = 90)),
+keys AS (
+    SELECT page_id, url, fetched, 'host' AS kind, host AS pattern, 1 AS rank FROM captures WHERE host <> ''
+    UNION ALL SELECT page_id, url, fetched, 'domain', array_to_string(string_split(host, '.')[i:], '.'), 0
+        FROM (SELECT *, unnest(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)) AS i FROM captures WHERE host <> '')
+    UNION ALL SELECT page_id, url, fetched, 'prefix', host || '/' || array_to_string(segments[1:i], '/'), 2
+        FROM (SELECT *, unnest(range(1, len(segments) + 1)) AS i FROM captures WHERE host <> '')),
+matched AS (
+    SELECT k.page_id, k.fetched, v.*, rank, count(*) OVER (PARTITION BY page_id) AS n_active,
+           row_number() OVER (PARTITION BY page_id ORDER BY rank DESC, length(v.pattern) DESC, verdict = 'allow' DESC, verdict, v.list, v.kind, v.pattern) AS place
+    FROM keys k JOIN valid v ON k.kind = v.kind AND k.pattern = v.pattern AND k.fetched >= since AND (until IS NULL OR k.fetched < until))
+SELECT c.page_id, c.url, c.fetched, coalesce(m.verdict, 'none') AS verdict, m.list, m.kind, m.pattern, CAST(coalesce(n_active, 0) AS BIGINT) AS n_active
+FROM captures c LEFT JOIN (SELECT * FROM matched WHERE place = 1) m ON c.page_id = m.page_id
+"""
+
+
+@query
+def op5_token_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents after three edits each, derived from the id and the text itself."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n, seed = F.length("t"), F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    at = [F.pmod(F.floor(seed / d), n + 1).cast("bigint") for d in (1, 7, 49)]
+    edit = lambda start, deleted, inserted: F.struct(start.alias("start"), F.lit(deleted).cast("bigint").alias("deleted"),
+                                                     inserted.alias("inserted"))
+    edits = F.array(edit(at[0], 5, F.lit(" edited passage")), edit(at[1], 0, F.substr("t", (at[2] + 1).cast("int"), F.lit(40))),
+                    edit(at[2], 20, F.lit("")))
+    trees = token_edits.build_trees(docs.withColumn("t", F.coalesce("text", F.lit(""))).withColumn("edits", edits).drop("t"))
+    return token_edits.apply_edits(trees).select(
+        "doc_id", "n_tokens_before", "n_tokens", "n_edits", "reencoded_chars", F.length("text").cast("bigint").alias("n_chars"),
+        F.size("leaf_chars").cast("bigint").alias("n_leaves"))
