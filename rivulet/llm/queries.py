@@ -38,11 +38,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op3_decontaminate"] = r"""
 WITH words AS (
     SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
     FROM documents),
 items AS (
     SELECT item_id, list_filter(string_split_regex(translate(text,
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
     FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
 item_windows AS (
     SELECT DISTINCT item_id, array_to_string(w[k:k + 9], ' ') AS g, least(len(w), 10) AS n
@@ -171,7 +171,7 @@ ORACLE["op1_url_filter"] = r"""
 WITH captures AS (
     SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 700 AS INTEGER) AS fetched,
            regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '^www\.|\.$', '', 'g') AS host,
-           list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), x -> x <> '') AS segments
+           list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS segments
     FROM pages),
 patterns AS (
     SELECT DISTINCT 'spam' AS list, 'block' AS verdict, 'host' AS kind, host AS pattern, 2 AS keep FROM captures WHERE host <> ''
