@@ -64,7 +64,8 @@ def append_columns(df: DataFrame, text_col: str, make: Callable[[], Callable[[li
     """
     taken = {n.lower() for n, _ in fields}
     names = [n for n in (df.columns if keep is None else keep) if n.lower() not in taken]
-    source = df.select(col(text_col).cast("string").alias("__text"), *[col(n) for n in names])
+    # columns pass the Python side under plain names, so that any name of the caller's works
+    source = df.select(col(text_col).cast("string").alias("__text"), *[col(n).alias(f"c{k}") for k, n in enumerate(names)])
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in source.schema.fields[1:]]
                           + [T.StructField(n, T.DataType.fromDDL(t)) for n, t in fields])
     types, out_names = [ARROW[t] for _, t in fields], [f.name for f in schema.fields]
@@ -77,7 +78,7 @@ def append_columns(df: DataFrame, text_col: str, make: Callable[[], Callable[[li
                 new = [pa.array(v, type=t) for v, t in zip(work(texts), types)]
                 yield pa.RecordBatch.from_arrays(piece.columns[1:] + new, names=out_names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*names, *[n for n, _ in fields])
 
 
 def save_and_reread(df: DataFrame, label: str) -> DataFrame:

@@ -258,7 +258,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def merge_blocks(docs: DataFrame, text_col: str, blocks: list, keep: list[str] | None) -> DataFrame:
     """Several phrase blocks: the spans of each text are united (keyed by the text's hash and length)."""
-    key = [F.xxhash64(col(text_col)).alias("__h"), F.length(col(text_col)).alias("__n")]
+    key = [F.xxhash64(col(text_col)).alias("__h"), F.length(col(text_col)).cast("bigint").alias("__n")]
     base = docs.select("*", *key)
     parts = None
     for b in blocks:
@@ -281,7 +281,7 @@ def merge_blocks(docs: DataFrame, text_col: str, blocks: list, keep: list[str] |
 
     # a text meets each block once at most, so a group holds at most one row per block
     united = parts.groupBy("__h", "__n").applyInArrow(
-        union, "__hh bigint, __nn int, __s array<int>, __e array<int>, __i string")
+        union, "__hh bigint, __nn bigint, __s array<int>, __e array<int>, __i string")
     names = [n for n in (docs.columns if keep is None else keep) if n.lower() not in {x for x, _ in FIELDS}]
 
     def make():

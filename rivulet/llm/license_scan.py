@@ -94,7 +94,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
 
     A merged span is accepted when it covers ``min_coverage`` of the template's
     words (all of them for templates of fewer than ``whole_below`` words) in at
-    most one and a half times its length; diagonals with fewer than
+    most one and a half times its length; of overlapping accepted spans the
+    best covered stay; diagonals with fewer than
     ``min_votes`` votes and further than ``band`` from the next stay out.
     score: the largest accepted coverage, 1 at a phrase, else 0.  Null and
     empty texts have no words; a null id is an id like others; repeated rows
@@ -114,9 +115,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
                    F.min(F.col("diagonal") + F.array_min("at")).alias("place"),
                    F.max(F.col("diagonal") + F.array_max("at") + k).alias("end")))
     covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda t: F.sequence(t, t + (k - 1)))))) / F.col("n")
-    spans = (merged.withColumn("coverage", covered)
-             .filter((F.col("coverage") >= F.when(F.col("n") < whole_below, 1.0).otherwise(min_coverage))
-                     & (F.col("end") - F.col("place") <= 1.5 * F.col("n")))
+    accepted = (merged.withColumn("coverage", covered)
+                .filter((F.col("coverage") >= F.when(F.col("n") < whole_below, 1.0).otherwise(min_coverage))
+                        & (F.col("end") - F.col("place") <= 1.5 * F.col("n"))))
+    # where accepted spans of a document overlap (one license quoting another's wording), the best covered stay
+    ahead = Window.partitionBy("id", "h").orderBy("place", "end").rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.partitionBy("id", "h").orderBy("place", "end").rowsBetween(Window.unboundedPreceding, 0)
+    spans = (accepted.withColumn("fresh", F.coalesce(F.col("place") >= F.max("end").over(ahead), F.lit(True)).cast("int"))
+             .withColumn("heap", F.sum("fresh").over(running))
+             .withColumn("best", F.max("coverage").over(Window.partitionBy("id", "h", "heap"))).filter("coverage = best")
              .select("id", "h", "label", F.col("place").cast("int").alias("place"), "coverage", F.lit(False).alias("base")))
 
     at_base = F.when(F.col("base"), F.col("place"))

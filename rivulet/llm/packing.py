@@ -67,13 +67,12 @@ def default_vocabulary() -> str:
 
 def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
            vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(id, piece, start, length, ids_crc32): each document's ids and ``end_id``, longer ones cut from the end.
+    """(``id``, piece, start, length, ids_crc32): each document's ids and ``end_id``, longer ones cut from the end.
 
     All pieces but the first of a cut document have ``capacity`` ids.  The
     vocabulary is looked up where the task runs unless a path is given.
     """
-    source = df.select(col(text_col).cast("string").alias("__text"), col(id_col))
-    id_name = source.columns[1]
+    source = df.select(col(text_col).cast("string").alias("text"), col(id_col).alias("id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary or default_vocabulary())
@@ -92,10 +91,10 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
                 yield pa.RecordBatch.from_arrays(
                     [part.column(1).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                    names=[id_name, "piece", "start", "length", "ids_crc32"])
+                    names=["id", "piece", "start", "length", "ids_crc32"])
 
     kind = source.schema[1].dataType.simpleString()
-    return source.mapInArrow(run, f"`{id_name}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return source.mapInArrow(run, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 # --- plan -----------------------------------------------------------------------------------
@@ -287,17 +286,17 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     # one count per length (capacity rows at most), as bigint
     histogram = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if not histogram:
-        return cut.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
+        return cut.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}).withColumnRenamed("id", id_col)
     plan, _ = bin_completion(histogram, capacity)
     slots = spark.sparkContext.broadcast(slot_tables(plan))
 
-    keys = [col(id_col), F.col("piece"), F.col("ids_crc32")]
+    keys = [F.col("id"), F.col("piece"), F.col("ids_crc32")]
     salted = cut.withColumn("salt", group_of(histogram, F.col("length"), keys))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))  # capacity + 4096 rows or so at most
     before = sizes.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
     numbered = (salted.withColumn("row", F.row_number().over(Window.partitionBy("length", "salt").orderBy(*keys)))
                 .join(before, ["length", "salt"])
-                .select(col(id_col), "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("row") - 1).alias("number")))
+                .select("id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("row") - 1).alias("number")))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,5 +312,5 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
                                              names=[*batch.schema.names[:5], "sequence_id", "offset"])
 
     kind = cut.schema[0].dataType.simpleString()
-    return numbered.mapInArrow(place, f"`{cut.columns[0]}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
-                                      "sequence_id bigint, offset bigint")
+    return numbered.mapInArrow(place, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
+                                      "sequence_id bigint, offset bigint").withColumnRenamed("id", id_col)

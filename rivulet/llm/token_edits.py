@@ -183,10 +183,10 @@ def apply_edits(trees: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty; ranges are clipped to the text.  Null text is empty.  Repeated rows
     are edited each; an empty table stays empty.
     """
-    source = trees.select(col(text_col).cast("string").alias("__text"), col(id_col), "leaf_chars", "leaf_tokens",
-                          F.col(edits_col).cast(EDITS).alias("edits"))
-    id_name, kind = source.columns[1], source.schema[1].dataType.simpleString()
-    names = [id_name, "text", "leaf_chars", "leaf_tokens", "n_tokens_before", "n_tokens", "n_edits", "reencoded_chars"]
+    source = trees.select(col(text_col).cast("string").alias("text"), col(id_col).alias("id"), "leaf_chars", "leaf_tokens",
+                          col(edits_col).cast(EDITS).alias("edits"))
+    kind = source.schema[1].dataType.simpleString()
+    names = ["id", "text", "leaf_chars", "leaf_tokens", "n_tokens_before", "n_tokens", "n_edits", "reencoded_chars"]
     ints = pa.list_(pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,5 +204,5 @@ def apply_edits(trees: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 types = [pa.string(), ints, ints] + [pa.int64()] * 4
                 yield pa.RecordBatch.from_arrays([part.column(1)] + [pa.array(v, t) for v, t in zip(new, types)], names=names)
 
-    return source.mapInArrow(run, f"`{id_name}` {kind}, text string, leaf_chars array<int>, leaf_tokens array<int>, "
-                                  "n_tokens_before bigint, n_tokens bigint, n_edits bigint, reencoded_chars bigint")
+    return source.mapInArrow(run, f"id {kind}, text string, leaf_chars array<int>, leaf_tokens array<int>, "
+                                  "n_tokens_before bigint, n_tokens bigint, n_edits bigint, reencoded_chars bigint").withColumnRenamed("id", id_col)
