@@ -125,7 +125,7 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Plan:
     return [x for group in room.values() for x in group]
 
 
-def fillings(counts: dict[int, int], lengths: list[int], space: int, most: int, steps: int = 4000) -> list[Filling]:
+def fillings(counts: dict[int, int], lengths: list[int], space: int, most: int, steps: int = 600) -> list[Filling]:
     """Undominated fillings of ``space``, least waste first, at most ``most`` of them.
 
     A filling is dominated when a spare length still fits, or when one spare
@@ -165,12 +165,15 @@ def fillings(counts: dict[int, int], lengths: list[int], space: int, most: int,
                 grow(k, left - x, fill + (x,))
                 if budget[0] < 0 or full[0] >= most:
                     return
-        if not extended and fill not in found and not dominated(fill, left):
-            found[fill] = left
+        if not extended:
+            found.setdefault(fill, left)
 
     if space:
         grow(0, space, ())
-    out = sorted(found, key=lambda f: (found[f], len(f)))[:most]
+    out: list[Filling] = []
+    for fill in sorted(found, key=lambda f: (found[f], len(f))):
+        if len(out) < most and not dominated(fill, found[fill]):
+            out.append(fill)
     return out or [greedy_fill(counts, lengths, space)]
 
 
@@ -196,20 +199,21 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def bin_completion(counts: dict[int, int], capacity: int, width: int = 3, nodes: int = 6000) -> tuple[Plan, int]:
+def bin_completion(counts: dict[int, int], capacity: int, width: int = 3, nodes: int = 300) -> tuple[Plan, int]:
     """Least sequences found for the histogram, and the lower bound.
 
     Branch and bound around the longest piece left: its undominated fillings,
     each used as often as the counts allow, are the branches; a branch is cut
     when its waste exceeds what the incumbent allows.  The incumbent starts as
-    best-fit decreasing.  Search ends at the bound, or after ``nodes`` nodes.
+    best-fit decreasing.  Search ends at the bound, or after ``nodes`` nodes and
+    one for each length (a descent takes a length at least from node to node).
     """
     counts = {x: n for x, n in counts.items() if n}
     bound = lower_bound(counts, capacity)
     best = best_fit_decreasing(counts, capacity)
     used = sum(n for _, n in best)
     total = sum(x * n for x, n in counts.items())
-    left_nodes = nodes
+    left_nodes = nodes + len(counts)
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
 
     def search(left: dict[int, int], path: Plan, bins: int, waste: int) -> bool:

@@ -37,19 +37,38 @@ EXCEPTIONS = ("trash can", "trash cans", "trash bin", "trash bag", "clown fish",
 
 FOLD = {ord(c): k for k, v in HOMOGLYPHS.items() for c in v} | {ord(c): None for c in INVISIBLE}
 SIGN_FOLD = str.maketrans(SIGNS)
-#: A run with a letter and a sign that may stand for one; a sign at the end of a word is punctuation.
-MIXED = re.compile(r"(?=[0-9@$!|]*[^\W\d_])(?=[^\W\d_]*[0-9@$!|])(?:[^\W_]|[@$!|](?=[^\W_]))+")
 LETTERS = re.compile(r"[^\W\d_]+")
+SIGN = re.compile(r"[0-9@$!|]")
+#: Signs inside a token of letters; those at its end are punctuation.
+TRAILING = re.compile(r"[^\w@$|]+$|[@$!|]+$")
+KNOWN_TOKENS = 300_000
 
 
-def words_of(text: bytes | None) -> list[str]:
-    """Folded words of the text; null has none."""
+def fold(token: str) -> tuple[str, ...]:
+    """Folded words of a token without white space."""
+    plain = token.strip(".,;:?\"'()")
+    if plain.isascii() and plain.isalpha():
+        return (plain.lower(),)
+    s = unicodedata.normalize("NFKC", token).lower().translate(FOLD)
+    if SIGN.search(s):
+        s = " ".join(p.translate(SIGN_FOLD) if LETTERS.search(p) else "" for p in re.split(r"[^\w@$!|]+", s) for p in [TRAILING.sub("", p)])
+    return tuple(LETTERS.findall(s))
+
+
+def words_of(text: bytes | None, known: dict[str, tuple[str, ...]] | None = None) -> list[str]:
+    """Folded words of the text; null has none.  ``known`` remembers tokens, a bounded number of them."""
     if not text:
         return []
-    s = unicodedata.normalize("NFKC", text.decode("utf-8", "replace")).lower().translate(FOLD)
-    if re.search(r"[0-9@$!|]", s):
-        s = MIXED.sub(lambda m: m.group().translate(SIGN_FOLD), s)
-    return LETTERS.findall(s)
+    known = {} if known is None else known
+    out: list[str] = []
+    for token in text.decode("utf-8", "replace").split():
+        words = known.get(token)
+        if words is None:
+            if len(known) >= KNOWN_TOKENS:
+                known.clear()
+            words = known[token] = fold(token)
+        out += words
+    return out
 
 
 @dataclass
@@ -72,8 +91,10 @@ class Lexicon:
         if len(automaton):
             automaton.make_automaton()
 
+        known: dict[str, tuple[str, ...]] = {}
+
         def one(text: bytes | None) -> tuple[int, int, float]:
-            words = words_of(text)
+            words = words_of(text, known)
             if not words or not len(automaton):
                 return len(words), 0, 0.0
             at: dict[int, float] = {}
@@ -113,11 +134,12 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 def count_patterns(texts: DataFrame, prefixes: tuple[int, ...]) -> DataFrame:
     """(pattern, toxic, clean): labelled documents with the word or word beginning; summed per slice before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[str, ...]] = {}
         for batch in batches:
             for piece in slices(batch, 0, 8 << 20):
                 seen = (Counter(), Counter())
                 for text, label in zip(piece.column(0).cast(pa.binary()).to_pylist(), piece.column(1).to_pylist()):
-                    words = {w for w in words_of(text) if len(w) > 2}
+                    words = {w for w in words_of(text, known) if len(w) > 2}
                     seen[label > 0].update(f" {w} " for w in words)
                     for k in prefixes:
                         seen[label > 0].update({f" {w[:k]}" for w in words if len(w) >= k})
