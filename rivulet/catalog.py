@@ -35,7 +35,7 @@ from rivulet.plans.load import upsert_versioned
 from rivulet.plans.silver import population_silver, wine_silver
 from rivulet.session import ensure_checkpoint_dir
 from rivulet.sinks.files import append_audit, publish, write_csv, write_versioned
-from rivulet.sources.files import read_csv, read_latest_version
+from rivulet.sources.files import _fs_and_path, csv_rejects, read_csv, read_latest_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,8 +75,8 @@ _CODES_SQL = _sql_case("n_nationkey", fx.NATION_CURRENCIES, len(fx.NATION_CURREN
 _RATES_SQL = "(VALUES " + ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in _R.items()) + ") AS rates(currency, rate)"
 
 # --------------------------------------------------------------------------- gold
-_BOOKS_SQL = "SELECT p_partkey AS upc, p_name AS titre, p_type AS category, p_retailprice AS price_gbp, " \
-             "p_size AS stock, p_partkey % 6 AS reviews FROM part"
+_BOOKS_SQL = "SELECT p_partkey AS upc, p_name AS titre, p_type AS category, " \
+             "CASE WHEN p_partkey % 43 = 0 THEN NULL ELSE p_retailprice END AS price_gbp, p_size AS stock, p_partkey % 6 AS reviews FROM part"
 
 
 @register("gold_category_analytics", f"""
@@ -148,8 +148,9 @@ _MONEY_SQL = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR)"
 _PRICE_TEXT_SQL = f"""CASE WHEN p_partkey % 29 = 0 THEN NULL WHEN p_partkey % 23 = 0 THEN '1d'
   WHEN p_partkey % 19 = 0 THEN '1.2.3' WHEN p_partkey % 17 = 0 THEN '-5.00' WHEN p_partkey % 13 = 0 THEN '.'
   WHEN p_partkey % 11 = 0 THEN 'Â£' || {_MONEY_SQL} WHEN p_partkey % 7 = 0 THEN 'invalid'
+  WHEN p_partkey % 31 = 0 THEN 'nan' WHEN p_partkey % 37 = 0 THEN '£inf' WHEN p_partkey % 41 = 0 THEN ' 12.5e1 '
   ELSE '£' || {_MONEY_SQL} END"""
-_FLOAT_RE = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
+_FLOAT_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 @register("clean_price_strict", f"""
@@ -188,9 +189,9 @@ def q_clean_availability(spark, sf):
 
 @register("clean_reviews", """
 SELECT p_partkey, reviews_text,
-       COALESCE(TRY_CAST(reviews_text AS INTEGER), CAST(TRY_CAST(reviews_text AS DOUBLE) AS INTEGER), 0) AS reviews
+       CASE WHEN regexp_matches(reviews_text, '^[0-9.]+$') THEN CAST(CAST(reviews_text AS DOUBLE) AS INTEGER) ELSE 0 END AS reviews
 FROM (SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 9 = 4 THEN CAST(p_size AS VARCHAR) || '.0'
-             WHEN p_partkey % 9 = 7 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS reviews_text FROM part) a
+             WHEN p_partkey % 9 = 7 THEN 'n/a' WHEN p_partkey % 9 = 5 THEN '1d' ELSE CAST(p_size AS VARCHAR) END AS reviews_text FROM part) a
 """)
 def q_clean_reviews(spark, sf):
     p = _t(spark, sf, "part")
@@ -396,7 +397,7 @@ def _inner_sql(src: str, tag: str, attrs: str = "") -> str:
 
 
 _LI_SQL = r"'(?is)<li\b[^>]*>(.*?)</li\s*>'"
-_HREF_SQL = r"""'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'"""
+_HREF_SQL = r"""'(?is)<a\b[^>]*?\shref\s*=\s*"([^"]*)"'"""
 
 
 @register("html_links", f"""
@@ -643,15 +644,20 @@ v AS (SELECT step, job, instance, up FROM (
         SELECT *, {_STEP_SQL} AS step FROM s) a
       QUALIFY ROW_NUMBER() OVER (PARTITION BY step, job, instance ORDER BY ts DESC, event_id DESC) = 1),
 sums AS (SELECT step, job, CAST(SUM(up) AS BIGINT) AS up FROM v GROUP BY step, job),
-span AS (SELECT job, MIN(step) AS lo, MAX(step) AS hi FROM sums GROUP BY job),
-grid AS (SELECT job, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS step FROM span)
+jobs AS (SELECT DISTINCT job FROM s UNION ALL SELECT 'never_seen'),
+grid AS (SELECT job, unnest(generate_series((SELECT MIN(step) FROM sums), (SELECT MAX(step) + INTERVAL 5 HOUR FROM sums), INTERVAL 1 HOUR)) AS step
+         FROM jobs)
 SELECT g.step, g.job, s.up,
        CASE WHEN s.up IS NULL THEN 'Offline' WHEN s.up >= 1 THEN 'green' ELSE 'red' END AS status
 FROM grid g LEFT JOIN sums s ON g.step = s.step AND g.job = s.job
 """)
 def metric_health(spark, sf):
-    v = M.instant_range(_samples(spark, sf), ["job", "instance"], "ts", "up", 3600, 3600, "event_id")
-    return M.health_status(v, "job", "up", 3600).select("step", "job", "up", "status")
+    """Five hours beyond the last sample, and for a job that never reported."""
+    s = _samples(spark, sf)
+    v = M.instant_range(s, ["job", "instance"], "ts", "up", 3600, 3600, "event_id")
+    jobs = s.select("job").distinct().union(spark.range(1).select(F.lit("never_seen").alias("job")))
+    end = v.select(F.max("step")).scalar() + F.expr("INTERVAL 5 HOURS")
+    return M.health_status(v, "job", "up", 3600, jobs, end=end).select("step", "job", "up", "status")
 
 
 @register("metric_uptime", """
@@ -666,6 +672,75 @@ def metric_uptime(spark, sf):
     return M.uptime(s, ["job", "instance"], "ts", as_of)
 
 
+@register("metric_gauge_uptime", """
+WITH s AS (SELECT ts, event_id, COALESCE(event_type, '') AS job, COALESCE(CAST(user_id % 4 AS VARCHAR), '') AS instance,
+                  CAST(epoch_us(date_trunc('day', ts)) // 1000000 + event_id % 3600 AS DOUBLE) AS start_s FROM events),
+a AS (SELECT MAX(ts) AS now_ts FROM events)
+SELECT job, instance, start_s, epoch_us(now_ts) / CAST(1000000 AS DOUBLE) - start_s AS uptime_s FROM s, a
+WHERE ts > now_ts - INTERVAL 6 HOUR AND ts <= now_ts
+QUALIFY ROW_NUMBER() OVER (PARTITION BY job, instance ORDER BY ts DESC, event_id DESC) = 1
+""")
+def metric_gauge_uptime(spark, sf):
+    """``time() - process_start_time_seconds`` from the start time each series last reported."""
+    s = _samples(spark, sf)
+    day = M.epoch_micros(s, "ts") - F.pmod(M.epoch_micros(s, "ts"), F.lit(86_400_000_000))
+    s = s.withColumn("start_s", ((day / 1_000_000).cast("long") + F.col("event_id") % 3600).cast("double"))
+    return M.gauge_uptime(s, ["job", "instance"], "ts", "start_s", s.select(F.max("ts")).scalar(), 21600, "event_id")
+
+
+_RESET_SQL = f"""
+WITH {_SAMPLES_SQL},
+raw AS (SELECT event_id, ts, job, instance, CAST(counter AS BIGINT) % 20011 AS reading FROM c),
+p AS (SELECT *, LAG(ts) OVER w AS prev_ts, LAG(reading) OVER w AS prev_reading FROM raw
+      WINDOW w AS (PARTITION BY job, instance ORDER BY ts, event_id)),
+x AS (SELECT p.*, make_timestamp((epoch_us(ts) // 21600000000 - k) * 21600000000) AS window_start
+      FROM p, (SELECT unnest([0, 1, 2, 3]) AS k) ks),
+r AS (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, job, instance, COUNT(*) AS samples,
+             CAST(COALESCE(SUM(CASE WHEN prev_ts >= window_start THEN
+                  CASE WHEN reading < prev_reading THEN reading ELSE reading - prev_reading END END), 0) AS DOUBLE) AS increase,
+             (epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / CAST(1000000 AS DOUBLE) AS elapsed_s
+      FROM x GROUP BY ALL)
+SELECT window_start, window_end, job, instance, samples, increase,
+       CASE WHEN samples >= 2 THEN {_rnd('increase / NULLIF(elapsed_s, 0)', 6)} END AS rate FROM r
+"""
+
+
+def _readings(spark, sf):
+    """Raw counter readings that start again from zero whenever they reach 20011."""
+    return _counters_only(spark, sf).select("event_id", "ts", "job", "instance",
+                                            (F.col("counter").cast("long") % 20011).alias("reading"))
+
+
+@register("metric_rate_counter", _RESET_SQL)
+def metric_rate_counter(spark, sf):
+    """``rate()`` of raw readings with resets."""
+    return M.counter_rate(_readings(spark, sf), ["job", "instance"], "ts", "reading", "event_id", "1 day", "6 hours")
+
+
+def in_time_order(spark, folder: str) -> None:
+    """Let the part files' modification times follow their numbers, as if written one after the other."""
+    fs, p = _fs_and_path(spark, folder)
+    files = sorted((st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith("part-")), key=lambda q: q.getName())
+    for i, f in enumerate(files):
+        fs.setTimes(f, 1_700_000_000_000 + 1000 * i, -1)
+
+
+@register("stream_counter_resets", _RESET_SQL + "WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE")
+def stream_counter_resets(spark, sf):
+    """The same readings as a stream of several files, out of order within each file."""
+    from rivulet.streaming.counter_state import stateful_counter_rate
+    from rivulet.streaming.rate import run_available_now
+    root = _io_root(spark, "resets")
+    readings = _readings(spark, sf)
+    # a file per twelfth of the time; inside a file the samples are shuffled by id hash
+    readings.repartitionByRange(12, "ts").sortWithinPartitions(F.xxhash64("event_id")).write.parquet(f"{root}/in")
+    in_time_order(spark, f"{root}/in")
+    stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    out = stateful_counter_rate(stream, ["job", "instance"], "ts", "reading", "event_id", window_seconds=86400,
+                                slide_seconds=21600, watermark="10 minutes")
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state").drop("late")
+
+
 @register("metric_last", f"""
 WITH {_SAMPLES_SQL}
 SELECT job, instance, counter AS last, ts AS last_ts FROM c
@@ -718,7 +793,7 @@ def stream_rate(spark, sf):
 _AVAIL_SQL = """CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 5 THEN 'Empty'
              ELSE 'In stock (' || CAST(p_size AS VARCHAR) || ' available)' END"""
 _REVIEWS_SQL = """CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 9 = 4 THEN CAST(p_size AS VARCHAR) || '.0'
-             WHEN p_partkey % 9 = 7 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END"""
+             WHEN p_partkey % 9 = 7 THEN 'n/a' WHEN p_partkey % 9 = 5 THEN '1d' ELSE CAST(p_size AS VARCHAR) END"""
 
 
 def _strict_sql(x: str) -> str:
@@ -732,7 +807,7 @@ WITH raw AS (SELECT CAST(p_partkey AS VARCHAR) AS url, p_name AS titre, p_type A
              FROM part)
 SELECT url, titre, upc, categorie AS category, {_strict_sql('prix_ttc')} AS price_gbp,
        COALESCE(TRY_CAST(regexp_extract(disponibilite, '\\((\\d+)', 1) AS INTEGER), 0) AS stock,
-       COALESCE(TRY_CAST(nombre_davis AS INTEGER), CAST(TRY_CAST(nombre_davis AS DOUBLE) AS INTEGER), 0) AS reviews,
+       CASE WHEN regexp_matches(nombre_davis, '^[0-9.]+$') THEN CAST(CAST(nombre_davis AS DOUBLE) AS INTEGER) ELSE 0 END AS reviews,
        {_strict_sql('prix_ttc')} * CAST({_R['EUR']} AS DOUBLE) AS price_eur,
        {_strict_sql('prix_ttc')} * CAST({_R['USD']} AS DOUBLE) AS price_usd
 FROM raw
@@ -749,7 +824,8 @@ def books_silver_clean(spark, sf):
 @register("countries_silver_dedup", f"""
 SELECT name, iso3, region, population, area,
        population / NULLIF(area, 0) AS population_density
-FROM (SELECT c.c_name AS name, n.n_name AS iso3, r.r_name AS region, CAST(trunc(c.c_acctbal) AS BIGINT) AS population,
+FROM (SELECT c.c_name AS name, n.n_name AS iso3, r.r_name AS region,
+             CASE WHEN c.c_custkey % 7 < 2 THEN NULL ELSE CAST(trunc(c.c_acctbal) AS BIGINT) END AS population,
              CAST(c.c_custkey % 50 AS DOUBLE) AS area,
              ROW_NUMBER() OVER (PARTITION BY n.n_name ORDER BY c.c_custkey) AS rn
       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey) t
@@ -760,7 +836,8 @@ def countries_silver_dedup(spark, sf):
     geo = broadcast_if_small(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name"))
     raw = c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         F.col("c_name").alias("name"), F.col("n_name").alias("iso3"), F.col("r_name").alias("region"),
-        F.col("c_acctbal").alias("population"), (F.col("c_custkey") % 50).alias("area"), "c_custkey")
+        F.when(F.col("c_custkey") % 7 == 0, "nan").when(F.col("c_custkey") % 7 == 1, "1d")
+         .otherwise(F.col("c_acctbal").cast("string")).alias("population"), (F.col("c_custkey") % 50).alias("area"), "c_custkey")
     out = countries_silver(raw, order_by=["c_custkey"])
     return out.select("name", "iso3", "region", "population", "area", "population_density")
 
@@ -769,7 +846,7 @@ def countries_silver_dedup(spark, sf):
 SELECT title, country, variety, price, points, price / NULLIF(points, 0) AS price_per_point
 FROM (SELECT p_brand AS title, regexp_replace(' ' || p_type || ' ', '{_STRIP_RE}', '', 'g') AS country,
              regexp_replace(p_name || '  ', '{_STRIP_RE}', '', 'g') AS variety,
-             TRY_CAST(CASE WHEN p_partkey % 13 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS DOUBLE) AS price,
+             CASE WHEN p_partkey % 13 IN (0, 2, 5, 7) THEN NULL ELSE p_retailprice END AS price,
              TRY_CAST(CAST(p_size % 20 AS VARCHAR) AS DOUBLE) AS points,
              ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn
       FROM part) t
@@ -779,7 +856,8 @@ def wine_silver_clean(spark, sf):
     p = _t(spark, sf, "part")
     raw = p.select(F.col("p_brand").alias("title"), F.concat(F.lit(" "), F.col("p_type"), F.lit(" ")).alias("country"),
                    F.concat(F.col("p_name"), F.lit("  ")).alias("variety"),
-                   F.when(F.col("p_partkey") % 13 == 0, F.lit("n/a"))
+                   F.when(F.col("p_partkey") % 13 == 0, F.lit("n/a")).when(F.col("p_partkey") % 13 == 2, F.lit("nan"))
+                    .when(F.col("p_partkey") % 13 == 5, F.lit("1d")).when(F.col("p_partkey") % 13 == 7, F.lit("inf"))
                     .otherwise(F.col("p_retailprice").cast("string")).alias("price"),
                    (F.col("p_size") % 20).cast("string").alias("points"), "p_partkey")
     return wine_silver(raw, order_by=["p_partkey"]).select("title", "country", "variety", "price", "points",
@@ -912,7 +990,7 @@ def csv_roundtrip(spark, sf):
     raw = p.select(F.col("p_partkey").cast("string").alias("url"), F.col("p_name").alias("titre"),
                    fx.price_text(p).alias("prix_ttc"))
     write_csv(raw, root)
-    back = read_csv(spark, root)
+    back, _ = csv_rejects(read_csv(spark, root))
     return back.select("url", "titre", "prix_ttc", clean_price_strict("prix_ttc").alias("price_gbp"))
 
 
@@ -940,7 +1018,7 @@ def stream_counter_rate(spark, sf):
     out = stateful_counter_rate(stream, ["job", "instance"], "ts", "counter", "event_id",
                                 window_seconds=86400, slide_seconds=21600, watermark="10 minutes")
     from rivulet.streaming.rate import run_available_now
-    return run_available_now(spark, out, f"{root}/out", f"{root}/state")
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state").drop("late")
 
 
 @register("metric_instant_at", f"""

@@ -60,7 +60,8 @@ def books_silver_from_part(part: DataFrame) -> DataFrame:
     """Book-catalogue silver rows: one per part."""
     return part.select(
         F.col("p_partkey").alias("upc"), F.col("p_name").alias("titre"), F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("price_gbp"), F.col("p_size").alias("stock"),
+        F.when(F.col("p_partkey") % 43 == 0, F.lit(float("nan"))).otherwise(F.col("p_retailprice")).alias("price_gbp"),
+        F.col("p_size").alias("stock"),
         (F.col("p_partkey") % 6).alias("reviews"))
 
 
@@ -75,6 +76,9 @@ def price_text(part: DataFrame) -> Column:
              .when(k % 13 == 0, F.lit("."))
              .when(k % 11 == 0, F.concat(F.lit("Â£"), money))
              .when(k % 7 == 0, F.lit("invalid"))
+             .when(k % 31 == 0, F.lit("nan"))
+             .when(k % 37 == 0, F.lit("£inf"))
+             .when(k % 41 == 0, F.lit(" 12.5e1 "))
              .otherwise(F.concat(F.lit("£"), money)))
 
 
@@ -91,6 +95,7 @@ def reviews_text(part: DataFrame) -> Column:
     return (F.when(k % 9 == 0, F.lit(None).cast("string"))
              .when(k % 9 == 4, F.concat(s, F.lit(".0")))
              .when(k % 9 == 7, F.lit("n/a"))
+             .when(k % 9 == 5, F.lit("1d"))
              .otherwise(s))
 
 
@@ -119,7 +124,7 @@ def population_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def country_payloads(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """One countries-API JSON document (an array of one country) per customer."""
+    """Countries-API JSON documents, each an array of up to five countries (customers)."""
     c = customer.join(_geo(nation, region), customer.c_nationkey == F.col("n_nationkey"))
     codes = F.filter(F.split(currency_codes(F.col("n_nationkey")), ", "), lambda x: x != "")
     currencies = F.map_from_arrays(codes, F.transform(codes, lambda x: F.struct(F.concat(x, F.lit(" money")).alias("name"))))
@@ -132,11 +137,54 @@ def country_payloads(customer: DataFrame, nation: DataFrame, region: DataFrame)
         (F.col("c_custkey") * 1000).alias("population"), F.col("c_acctbal").alias("area"),
         languages(F.col("n_nationkey")).alias("languages"),
         currencies.alias("currencies"))
-    return c.select(F.col("c_custkey").alias("payload_id"), F.to_json(F.array(country)).alias("payload"))
+    return (c.groupBy(F.floor(F.col("c_custkey") / 5).alias("payload_id"))
+            .agg(F.to_json(F.collect_list(country)).alias("payload")))
+
+
+def broken_payloads(payloads: DataFrame) -> DataFrame:
+    """Payloads of which some are cut off, error objects, of another type, or missing (by payload id modulo 7)."""
+    k = F.col("payload_id") % 7
+    return payloads.withColumn("payload", F.when(k == 0, F.expr("left(payload, length(payload) - 5)"))
+                               .when(k == 1, F.lit('{"status":500,"message":"try again"}'))
+                               .when(k == 2, F.lit('[{"name":{"common":"x"},"capital":"text"}]'))
+                               .when(k == 3, F.lit(None).cast("string")).otherwise(F.col("payload")))
+
+
+def product_pages(part: DataFrame) -> DataFrame:
+    """Product pages of the book site, one per part, in varying markup; some without the main block."""
+    k, name = F.col("p_partkey"), F.regexp_replace("p_name", "&", "&amp;")
+    q = F.when(k % 3 == 0, F.lit("'")).otherwise(F.lit('"'))
+    row = lambda head, cell: F.concat(F.lit(f"<tr><th>{head}</th><td>"), cell, F.lit("</td></tr>"))
+    money = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    main = F.when(k % 11 == 0, F.lit("other")).otherwise(F.lit("col-sm-6 product_main"))
+    crumbs = F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("<li><a>"), F.col("p_type"), F.lit("</a></li>")))
+    html = F.concat(
+        F.lit('<html><script>var x = "</ul>";</script><ul class="breadcrumb"><li>Home</li><li>Books</li>'), crumbs, F.lit("</ul>"),
+        F.lit("<div class="), q, F.lit("item active"), q, F.lit("><img src="), q, F.lit("../../media/"), k.cast("string"),
+        F.lit(".jpg?a=1&amp;b=2"), q, F.lit("></div>"),
+        F.lit("<div class="), q, main, q, F.lit("><h1>"), name, F.lit(" &eacute;&#8217;s</h1></div>"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(
+            F.lit("<div id="), q, F.lit("product_description"), q, F.lit("><h2>About</h2></div><p>A "), F.col("p_brand"), F.lit(" &lt;book&gt;</p>"))),
+        F.lit("<table>"), row("UPC", k.cast("string")), row("Product Type", F.lit("Books")),
+        row("Price (excl. tax)", F.concat(F.lit("&pound;"), money)), row("Price (incl. tax)", F.concat(F.lit("£"), money)),
+        row("Availability", F.concat(F.lit("In stock ("), F.col("p_size").cast("string"), F.lit(" available)"))),
+        F.when(k % 6 == 0, F.lit("")).otherwise(row("Number of reviews", (k % 6).cast("string"))), F.lit("</table></html>"))
+    return part.select(F.concat(F.lit("page/"), k.cast("string")).alias("url"), html.alias("html"))
+
+
+def catalogue_pages(part: DataFrame) -> DataFrame:
+    """Catalogue pages of the book site with up to twenty product links, quoted in all three ways."""
+    k = F.col("p_partkey").cast("string")
+    path = F.concat(F.lit("../../book_"), k, F.lit("/index.html"))
+    href = (F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("'"), path, F.lit("'")))
+             .when(F.col("p_partkey") % 3 == 1, F.concat(F.lit('"'), path, F.lit('"'))).otherwise(path))
+    pod = F.concat(F.lit('<article class="product_pod"><a href="#x">pic</a><h3><a title="t" href='), href, F.lit(">t</a></h3></article>"))
+    return (part.groupBy(F.floor(F.col("p_partkey") / 20).alias("page_id"))
+            .agg(F.concat(F.lit("<html><!-- <h3> -->"), F.array_join(F.collect_list(pod), ""), F.lit("</html>")).alias("html")))
 
 
 def population_pages(orders: DataFrame) -> DataFrame:
-    """One two-part population page ``[metadata, [observation]]`` per order."""
+    """Two-part population pages ``[metadata, [observation, ...]]`` of up to a hundred orders."""
     meta = F.to_json(F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"),
                               F.lit(1).alias("per_page"), F.lit(1).alias("total")))
     obs = F.struct(
@@ -146,8 +194,8 @@ def population_pages(orders: DataFrame) -> DataFrame:
          .otherwise(F.year("o_orderdate").cast("string")).alias("date"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("double"))
          .otherwise(F.col("o_totalprice")).alias("value"))
-    return orders.select(F.col("o_orderkey").alias("page_id"),
-                         F.concat(F.lit("["), meta, F.lit(","), F.to_json(F.array(obs)), F.lit("]")).alias("payload"))
+    return (orders.groupBy(F.floor(F.col("o_orderkey") / 100).alias("page_id"))
+            .agg(F.concat(F.lit("["), meta, F.lit(","), F.to_json(F.collect_list(obs)), F.lit("]")).alias("payload")))
 
 
 def rate_payloads(events: DataFrame) -> DataFrame:

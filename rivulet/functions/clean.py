@@ -26,10 +26,10 @@ VERSION_FORMAT = "yyyyMMdd_HHmmss"
 STRIP_PATTERN = r"^[\p{IsWhite_Space}\x1c-\x1f]+|[\p{IsWhite_Space}\x1c-\x1f]+$"
 # ---------------------------------------------------------------------------
 
-# Text a Python ``float()`` accepts after stripping: optional sign, digits with
-# an optional fraction (or a bare fraction), optional exponent, or inf/nan.
-# Spark's cast is laxer (it accepts a trailing 'd'/'f'), so the parse is gated.
-_FLOAT_TEXT = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
+# Finite decimal text: optional sign, digits with an optional fraction (or a
+# bare fraction), optional exponent.  Spark's cast is laxer (it accepts a
+# trailing 'd'/'f', "nan" and "inf"), so every text parse is gated by this.
+_FLOAT_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _col(c) -> Column:
@@ -42,14 +42,21 @@ def strip_whitespace(c) -> Column:
     return F.regexp_replace(_col(c), STRIP_PATTERN, "")
 
 
-def clean_price_strict(c) -> Column:
-    """Price text -> double: drop '£'/'Â', strip, parse; null when not a number.
+def finite(value: Column) -> Column:
+    """NaN and infinities count as missing: null."""
+    v = value.cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), value)
+
+
+def parse_double(text) -> Column:
+    """Finite decimal text (stripped) -> double; anything else, overflow included, is null."""
+    t = strip_whitespace(_col(text).cast("string"))
+    return finite(F.when(t.rlike(_FLOAT_TEXT), t.try_cast("double")))
 
-    A numeric input column is cast as is.
-    """
-    col = _col(c)
-    text = strip_whitespace(F.translate(col.cast("string"), PRICE_NOISE_CHARS, ""))
-    return F.when(text.rlike(_FLOAT_TEXT), text.try_cast("double"))
+
+def clean_price_strict(c) -> Column:
+    """Price text or number -> double: drop '£'/'Â', strip, parse; null when not a finite number."""
+    return parse_double(F.translate(_col(c).cast("string"), PRICE_NOISE_CHARS, ""))
 
 
 def clean_price_digits(c) -> Column:
@@ -69,14 +76,18 @@ def clean_availability(c, default: int | None = 0) -> Column:
 
 def clean_reviews(c) -> Column:
     """Review count as int; null or unparsable -> 0.  '5.0' is read through double."""
-    col = _col(c).cast("string")
-    as_int = F.coalesce(col.try_cast("int"), col.try_cast("double").try_cast("int"))
-    return F.coalesce(as_int, F.lit(0))
+    return F.coalesce(parse_double(c).try_cast("int"), F.lit(0))
 
 
 def to_number(c, dtype: str = "double") -> Column:
-    """``to_numeric(errors='coerce')``: unparsable -> null."""
-    return _col(c).try_cast(dtype)
+    """``to_numeric(errors='coerce')``: text that is no finite decimal number, NaN and infinities -> null.
+
+    Whole-number text keeps all its digits; decimal or exponent text goes
+    through double and is truncated for an integer ``dtype``.
+    """
+    t = strip_whitespace(_col(c).cast("string"))
+    exact = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast(dtype))
+    return F.coalesce(exact, parse_double(t).try_cast(dtype))
 
 
 def safe_ratio(num, den, digits: int | None = None) -> Column:

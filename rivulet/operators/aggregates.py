@@ -8,21 +8,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.functions.clean import round_half_even
+from rivulet.functions.clean import finite, round_half_even
 
 
 def category_stats(df: DataFrame, category: str, price: str, stock: str, rating: str,
                    names: dict[str, str] | None = None, digits: int = 2) -> DataFrame:
     """Per-category count, mean/min/max price, total stock, mean rating.
 
-    Null categories are dropped (as a dataframe groupby does); null prices are
-    skipped by the aggregates; the stock total of an all-null group is 0.
+    Null categories are dropped (as a dataframe groupby does); null and NaN
+    values are skipped by the aggregates; the stock total of a group without
+    any is 0.
     ``names`` renames the outputs (keys: category, count, avg_price, min_price,
     max_price, total_stock, avg_rating).
     """
     n = {"category": category, "count": "count", "avg_price": "avg_price", "min_price": "min_price",
          "max_price": "max_price", "total_stock": "total_stock", "avg_rating": "avg_rating",
          **(names or {})}
+    price, rating = finite(F.col(price)), finite(F.col(rating))
     return (df.filter(F.col(category).isNotNull())
               .groupBy(F.col(category).alias(n["category"]))
               .agg(F.count(F.lit(1)).alias(n["count"]),
@@ -43,10 +45,6 @@ def sum_by(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     return df.groupBy(group).agg(F.sum(value).alias(out))
 
 
-def max_by_group(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
-    return df.groupBy(group).agg(F.max(value).alias(out))
-
-
 def avg_by(df: DataFrame, group: str, value: str, out: str, where: Column | None = None) -> DataFrame:
     src = df if where is None else df.filter(where)
     return src.groupBy(group).agg(F.avg(value).alias(out))
@@ -74,9 +72,3 @@ def share_of_total(df: DataFrame, group: str, value: str, out_sum: str = "total"
 def totals(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """Global aggregates (big numbers): one row."""
     return df.agg(*[e.alias(k) for k, e in exprs.items()])
-
-
-def row_quality(df: DataFrame, null_cols: Sequence[str] = ()) -> DataFrame:
-    """One pass: total rows and null count per column."""
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols])

@@ -24,7 +24,3 @@ def with_typed_nulls(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Add typed null columns (``{'name': 'double'}``) unless they already exist."""
     add = {c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns}
     return df.withColumns(add) if add else df
-
-
-def with_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    return df.withColumns({c: F.lit(v) for c, v in values.items()})

@@ -8,10 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def present(df: DataFrame, col: str) -> Column:
+    """Not null, and not NaN where the column is a fraction."""
+    c = F.col(col)
+    fraction = df.schema[col].dataType.simpleString() in ("double", "float")
+    return c.isNotNull() & ~F.isnan(c) if fraction else c.isNotNull()
+
+
 def not_null(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows with a value in every column; NaN is no value."""
     cond = F.lit(True)
     for c in cols:
-        cond = cond & F.col(c).isNotNull()
+        cond = cond & present(df, c)
     return df.filter(cond)
 
 

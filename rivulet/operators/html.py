@@ -8,11 +8,13 @@ inside them (e.g. ``var t = "</p>"``) cannot end a match early.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from html.entities import name2codepoint
-
 from rivulet.functions.clean import strip_whitespace
 
 _DECOYS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -26,44 +28,60 @@ def strip_decoys(html) -> Column:
     return F.regexp_replace(_c(html), _DECOYS, "")
 
 
-def unescape_basic(text) -> Column:
-    """Decode the five markup entities (``&amp;`` last, so it is decoded once)."""
-    t = _c(text)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
 
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` evaluated once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), 0)
 
-_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
+_ENTITY = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+# The standard library's HTML 5 references, with ';' and (for some) without.
+_NAMES = json.dumps(html5)
+_WITHOUT_SEMICOLON = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+# Numbers 128-159 mean the Windows-1252 characters, where there is one.
+_WINDOWS = json.dumps({str(n): c for n in range(0x80, 0xA0) for c in [bytes([n]).decode("cp1252", "ignore")] if c})
 
-def _named_entities() -> Column:
-    # the HTML 4 named-entity table of the standard library (252 names)
-    items = sorted(name2codepoint.items())
-    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in items]), F.array(*[F.lit(v) for _, v in items]))
+
+def _char(code: Column) -> Column:
+    """The character of a code point; '' for controls and non-characters, U+FFFD for invalid ones."""
+    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    invalid = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    silent = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+              | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    windows = F.element_at(F.from_json(F.lit(_WINDOWS), "map<string,string>"), code.cast("string"))
+    return F.when(invalid, "\ufffd").when(silent, "").otherwise(F.coalesce(windows, text))
 
 
 def _decode_entity(e: Column) -> Column:
-    """'#233' / '#xE9' / 'eacute' -> the character; unknown names stay as written."""
-    cp = (F.when(e.rlike("^#[xX]"), F.conv(F.substring(e, 3, 8), 16, 10).cast("int"))
-           .when(e.startswith("#"), F.substring(e, 2, 8).cast("int"))
-           .otherwise(F.element_at(_named_entities(), e)))
-    ch = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-    return F.when((cp > 0) & (cp <= 0x10FFFF), ch).otherwise(F.concat(F.lit("&"), e, F.lit(";")))
+    """What follows '&' of a reference -> its text; an unknown name stays as written.
+
+    A name without ';' may be the beginning of a longer word ('&eacutex'): the
+    longest reference that needs no ';' counts, as browsers do.
+    """
+    digits = F.regexp_replace(e, "^#[xX]?0*|;$", "")
+    number = F.when(e.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+    code = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(F.coalesce(number, F.lit(0))).cast("long")
+    names = F.from_json(F.lit(_NAMES), "map<string,string>")
+    longer = bind(F.regexp_extract(e, f"^({_WITHOUT_SEMICOLON})", 1), lambda begin: F.when(
+        begin != "", F.concat(F.element_at(names, begin), F.substring(e, F.length(begin) + 1, F.length(e)))))
+    common = F.when(e == "amp;", "&").when(e == "lt;", "<").when(e == "gt;", ">").when(e == "quot;", '"').when(e == "nbsp;", "\u00a0")
+    return (F.when(e.startswith("#"), bind(code, _char))
+             .otherwise(F.coalesce(common, F.element_at(names, e), longer, F.concat(F.lit("&"), e))))
 
 
 def unescape_html(text) -> Column:
-    """Decode character references: named (HTML 4 table), decimal and hex.
+    """Decode character references: named (HTML 5 table), decimal and hex, of any length.
 
     The text is split around the references, each reference is decoded and
     the pieces are joined again (built-in expressions only); text without
-    '&' is returned as is.  References without the closing ';' stay as written.
+    '&' is returned as is.
     """
-    t = _c(text)
-    refs = F.transform(F.regexp_extract_all(t, F.lit(_ENTITY), 1), _decode_entity)
-    pieces = F.split(t, _ENTITY, -1)
-    joined = F.array_join(F.zip_with(pieces, F.concat(refs, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    return F.when(t.contains("&"), joined).otherwise(t)
+    def decode(t: Column) -> Column:
+        refs = F.transform(F.regexp_extract_all(t, F.lit(_ENTITY), 1), _decode_entity)
+        pieces = F.split(t, _ENTITY, -1)
+        joined = F.array_join(F.zip_with(pieces, F.concat(refs, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+        return F.when(t.contains("&"), joined).otherwise(t)
+    return bind(_c(text), decode)
 
 
 def text_of(fragment) -> Column:
@@ -112,9 +130,24 @@ def nth_item_text(fragment, n: int, default: str | None = None) -> Column:
     return item if default is None else F.coalesce(item, F.lit(default))
 
 
+# An attribute's value with its quotes, if any.
+_VALUE = r"(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+
+
+def attribute_value(raw: Column) -> Column:
+    """A matched attribute value: quotes taken off, character references decoded."""
+    return unescape_html(F.regexp_replace(raw, r"^[\"']|[\"']$", ""))
+
+
+def class_attr(name: str) -> str:
+    """Regex of a class attribute that holds ``name``, in any quoting (for ``attrs`` arguments)."""
+    return rf"""\bclass\s*=\s*(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"""
+
+
 def link_hrefs(fragment) -> Column:
-    """``href`` of every ``<a>`` of a fragment, in order."""
-    return F.regexp_extract_all(_c(fragment), F.lit(r"(?is)<a\b[^>]*?\bhref\s*=\s*\"([^\"]*)\""), 1)
+    """``href`` of every ``<a>`` of a fragment, in order; double-quoted, single-quoted or bare."""
+    raw = F.regexp_extract_all(_c(fragment), F.lit(r"(?is)<a\b[^>]*?\shref\s*=\s*" + _VALUE), 1)
+    return F.transform(raw, attribute_value)
 
 
 def absolute_url(href, base: str, strip_prefix: str = r"^(\.\./)+") -> Column:
@@ -131,19 +164,25 @@ def absolute_links(fragment, base: str) -> Column:
     return F.transform(link_hrefs(fragment), lambda h: absolute_url(h, base))
 
 
+_ROW = r"(?is)<tr\b[^>]*>\s*<th\b[^>]*>.*?</th\s*>\s*<td\b[^>]*>.*?</td\s*>"
+
+
+def table_pairs(html) -> Column:
+    """Map of header cell to value cell text (``th`` -> next ``td``) over all table rows; a header's first row counts."""
+    rows = F.regexp_extract_all(_c(html), F.lit(_ROW), 0)
+    pairs = F.transform(rows, lambda r: F.struct(
+        text_of(F.regexp_extract(r, r"(?is)<th\b[^>]*>(.*?)</th\s*>", 1)).alias("head"),
+        text_of(F.regexp_extract(r, r"(?is)<td\b[^>]*>(.*?)</td\s*>", 1)).alias("cell")))
+    return bind(pairs, lambda ps: F.map_from_entries(F.filter(
+        ps, lambda p, i: ~F.exists(F.slice(ps, F.lit(1), i), lambda q: q["head"] == p["head"]))))
+
+
 def table_lookup(html, label: str) -> Column:
-    """Value cell of the row whose header cell reads ``label`` (``th`` -> next ``td``).
+    """Value cell of the row whose header cell reads ``label``; an absent label gives null.
 
-    Pairs are collected as a map (first occurrence of a header wins), then
-    looked up; an absent label gives null.
+    For several labels of one page, take :func:`table_pairs` once.
     """
-    pairs = F.regexp_extract_all(
-        _c(html), F.lit(r"(?is)<tr\b[^>]*>\s*<th\b[^>]*>(.*?)</th\s*>\s*<td\b[^>]*>.*?</td\s*>"), 1)
-    values = F.regexp_extract_all(
-        _c(html), F.lit(r"(?is)<tr\b[^>]*>\s*<th\b[^>]*>.*?</th\s*>\s*<td\b[^>]*>(.*?)</td\s*>"), 1)
-    heads = F.transform(pairs, lambda h: text_of(h))
-    pos = F.array_position(heads, F.lit(label))
-    return F.when(pos > 0, text_of(F.element_at(values, pos.cast("int"))))
+    return F.try_element_at(table_pairs(html), F.lit(label))
 
 
 def relabel(value, pattern: str = r"^/(.*)$", group: int = 1) -> Column:

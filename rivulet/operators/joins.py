@@ -108,11 +108,12 @@ NON_RATE_COLUMNS = ("processed_at",)
 
 
 def rates_first_row(rates: DataFrame, date_col: str = "date") -> DataFrame:
-    """The rate row to use: the only row of a one-row rate file, or the newest
-    ``date`` when the table holds several days (deterministic either way)."""
-    if date_col in rates.columns:
-        rates = rates.orderBy(F.col(date_col).desc_nulls_last())
-    return rates.limit(1)
+    """The rate row to use: the newest ``date`` (nulls last); among rows of one
+    date, or without a date column, the first by all columns' text.  The same
+    row whatever the partitioning."""
+    text = [F.col(f"`{c}`").cast("string").asc_nulls_last() for c in sorted(rates.columns)]
+    newest = [F.col(date_col).desc_nulls_last()] if date_col in rates.columns else []
+    return rates.orderBy(*newest, *text).limit(1)
 
 
 def rates_long(rates_wide: DataFrame, code_col: str = "currency", rate_col: str = "rate") -> DataFrame:
@@ -136,13 +137,15 @@ def rate_lookup(df: DataFrame, code_col: str, rates_wide: DataFrame, out_col: st
               .drop("_code"))
 
 
-def first_row_value(rates: DataFrame, col: str) -> Column:
-    """Value of ``col`` in the rate row (:func:`rates_first_row`) as a scalar subquery.
+def first_row_values(rates: DataFrame, cols: Sequence[str]) -> Column:
+    """The rate row's values of ``cols`` as one struct-valued scalar subquery.
 
-    Catalyst runs the one-row subquery once and ships the value with the
-    plan: no cross join and no driver round trip while building the plan.
+    Catalyst runs the one-row subquery once and ships the struct with the
+    plan: no cross join, no driver round trip while building the plan, and all
+    rates come from the same row.
     """
-    return rates_first_row(rates).select(F.col(col).cast("double")).scalar()
+    row = F.struct(*[F.col(c).cast("double").alias(c) for c in cols])
+    return rates_first_row(rates).select(row).scalar()
 
 
 def scalar_enrich(df: DataFrame, rates: DataFrame | None, outputs: dict[str, tuple[str, str]],
@@ -155,10 +158,12 @@ def scalar_enrich(df: DataFrame, rates: DataFrame | None, outputs: dict[str, tup
     """
     if rates is None:
         return df
+    found = {out: pair for out, pair in outputs.items() if pair[1] in rates.columns}
+    if not found:
+        return df
+    row = first_row_values(rates, sorted({rate for _, rate in found.values()}))
     new = {}
-    for out, (src, rate_col) in outputs.items():
-        if rate_col not in rates.columns:
-            continue
-        v = F.col(src) * first_row_value(rates, rate_col)
+    for out, (src, rate) in found.items():
+        v = F.col(src) * row[rate]
         new[out] = v if digits is None else round_half_even(v, digits)
-    return df.withColumns(new) if new else df
+    return df.withColumns(new)

@@ -11,20 +11,22 @@ the series alone over raw samples.  Order-dependent steps (previous sample,
 running sums) are split into fixed time buckets: the per-sample work runs in
 ``(series, bucket)`` partitions, and only one summary row per
 ``(series, bucket)`` crosses bucket borders.  Everything else is partial
-(map-side) aggregation.  When a single (series, bucket) may itself be huge,
-``layout="range"`` switches the ordered steps to balanced range partitions
-(:mod:`rivulet.operators.ordered_scan`).
+(map-side) aggregation.  Windows and instant vectors first reduce the samples to
+panes (the greatest common divisor of window and slide, or lookback and step), and
+only pane rows are copied into the windows that hold them.  "Newest" and "first"
+are ordered by one fixed-width key, so they stay hash aggregates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.functions.clean import round_half_even
+from rivulet.functions.clean import round_half_even, uptime_seconds
 
 MICROS = 1_000_000
 
@@ -64,6 +66,15 @@ def series_labels(df: DataFrame, series: Sequence[str]) -> DataFrame:
     return df.withColumns(fix) if fix else df
 
 
+def order_key(us: Column, tiebreak: Column | None = None) -> Column:
+    """One decimal that sorts by (time in microseconds, integer tiebreak): fits an in-place aggregation buffer."""
+    if tiebreak is None:
+        return us.cast("decimal(38,0)")
+    shifted = tiebreak.cast("decimal(19,0)") + F.lit("9223372036854775808").cast("decimal(19,0)")
+    return (us.cast("decimal(18,0)") * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)") \
+        + shifted.cast("decimal(38,0)")
+
+
 def _join_on_series(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left equi-join on series + bucket keys.  Series label values are never
     null (a missing label is ''), so a plain join keeps the left side's
@@ -85,102 +96,59 @@ def with_time_bucket(df: DataFrame, ts: str, bucket_seconds: int = 3600, col: st
     return df.withColumn(col, _floor_div(epoch_micros(df, ts), bucket_seconds * MICROS))
 
 
-def _bucket_table(b: DataFrame, series: list[str], ts: str, increment: str, tiebreak: str) -> DataFrame:
-    """One row per (series, bucket): the increments before the bucket (offset)
-    and the time of the series' previous sample before the bucket."""
-    totals = (b.groupBy(*series, BUCKET)
-               .agg(F.sum(increment).alias("_bt"),
-                    F.max(F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("k"))).alias("_lastkey")))
-    w = Window.partitionBy(*series).orderBy(BUCKET)
-    return (totals
-            .withColumn("_off", F.coalesce(F.sum("_bt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                           F.lit(0).cast(totals.schema["_bt"].dataType)))
-            .withColumn("_prev_bucket_ts", F.lag(F.col("_lastkey.t")).over(w))
-            .select(*series, BUCKET, "_off", "_prev_bucket_ts"))
-
-
-def _ts_from_micros(df: DataFrame, ts: str, us: Column) -> Column:
-    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
-        return ntz_from_micros(us)
-    return F.timestamp_micros(us)
-
-
-def _range_counter(df, series, ts, increment, tiebreak, out, prev_ts):
-    from rivulet.operators.ordered_scan import range_scan
-    x = df.withColumn("_ts_us", epoch_micros(df, ts))
-    r = range_scan(x, series, "_ts_us", tiebreak, increment=increment)
-    r = r.withColumn(out, F.col("_run").cast(df.schema[increment].dataType))
-    if prev_ts:
-        r = r.withColumn(prev_ts, _ts_from_micros(df, ts, F.col("_pus")))
-    return r.drop("_run", "_pus", "_ts_us")
-
-
 def counter_from_increments(df: DataFrame, series: Sequence[str], ts: str, increment: str,
-                            tiebreak: str, out: str = "counter", bucket_seconds: int = 3600,
-                            prev_ts: str | None = None, layout: str = "time") -> DataFrame:
+                            tiebreak: str, out: str = "counter", bucket_seconds: int = 3600) -> DataFrame:
     """Running sum of ``increment`` per series in ``(ts, tiebreak)`` order.
 
     Distributed prefix sum: bucket totals (partial aggregation, a cheap
     second scan) -> per-series prefix over buckets (one row per bucket) ->
     running sum inside each ``(series, bucket)`` partition + the bucket's
-    offset.  The samples are shuffled once.  With ``prev_ts`` the time of the
-    previous sample of the series is added too (from the same bucket table).
-    The output keeps the ``time_bucket`` column for a following operator.
-
-    ``layout="range"`` uses :func:`rivulet.operators.ordered_scan.range_scan`
-    instead: balanced range partitions even when one (series, time bucket)
-    holds a large share of all rows (a checkpoint and a vectorised scan).
+    offset.  The samples are shuffled once.  ``bucket_seconds`` bounds what
+    one task sorts: choose it so that a hot series' bucket fits.
     """
     series = list(series)
     df = series_labels(df, series)
-    if layout == "range":
-        return _range_counter(df, series, ts, increment, tiebreak, out, prev_ts)
     b = with_time_bucket(df, ts, bucket_seconds).withColumn(
         "_inc0", F.coalesce(F.col(increment), F.lit(0).cast(df.schema[increment].dataType)))
-    buckets = _bucket_table(b, series, ts, "_inc0", tiebreak)
+    totals = b.groupBy(*series, BUCKET).agg(F.sum("_inc0").alias("_bt"))
+    before = Window.partitionBy(*series).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*series, BUCKET, F.coalesce(F.sum("_bt").over(before),
+                                                        F.lit(0).cast(totals.schema["_bt"].dataType)).alias("_off"))
     w = Window.partitionBy(*series, BUCKET).orderBy(F.col(ts), F.col(tiebreak))
     within = b.withColumn("_run", F.sum("_inc0").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    if prev_ts:
-        within = within.withColumn("_pts", F.lag(ts).over(w))
-    out_df = (_join_on_series(within, buckets, [*series, BUCKET])
-              .withColumn(out, F.col("_off") + F.col("_run")))
-    if prev_ts:
-        out_df = out_df.withColumn(prev_ts, F.coalesce(F.col("_pts"), F.col("_prev_bucket_ts"))).drop("_pts")
-    return out_df.drop("_off", "_run", "_prev_bucket_ts", "_inc0")
+    return (_join_on_series(within, offsets, [*series, BUCKET])
+            .withColumn(out, F.col("_off") + F.col("_run")).drop("_off", "_run", "_inc0"))
 
 
 def with_previous(df: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
-                  bucket_seconds: int = 3600, prev_ts: str = "prev_ts",
-                  prev_value: str = "prev_value", layout: str = "time") -> DataFrame:
+                  bucket_seconds: int = 3600, prev_ts: str = "prev_ts", prev_value: str = "prev_value") -> DataFrame:
     """Add the previous sample (ts, value) of the same series (null for the first).
 
-    Inside a ``(series, bucket)`` partition this is ``lag``; the first sample
-    of a bucket takes the last sample of the series' previous non-empty
-    bucket, from a table with one row per ``(series, bucket)``.
-    ``layout="range"``: see :func:`counter_from_increments`.
+    Inside a ``(series, bucket)`` partition this is ``lag`` of the whole
+    sample, so time and value always come from one row, also where the value
+    is null; the first sample of a bucket takes the last sample of the series'
+    previous non-empty bucket, from a table with one row per
+    ``(series, bucket)``.
     """
     series = list(series)
     df = series_labels(df, series)
-    if layout == "range":
-        from rivulet.operators.ordered_scan import range_scan
-        x = df.withColumn("_ts_us", epoch_micros(df, ts))
-        r = range_scan(x, series, "_ts_us", tiebreak, value=value)
-        return (r.withColumn(prev_ts, _ts_from_micros(df, ts, F.col("_pus")))
-                 .withColumn(prev_value, F.col("_pv").cast(df.schema[value].dataType))
-                 .drop("_pus", "_pv", "_ts_us"))
     b = with_time_bucket(df, ts, bucket_seconds)
-    order = [F.col(ts), F.col(tiebreak)]
-    w = Window.partitionBy(*series, BUCKET).orderBy(*order)
-    inner = (b.withColumn("_pts", F.lag(ts).over(w))
-              .withColumn("_pv", F.lag(value).over(w)))
-    last = (b.groupBy(*series, BUCKET)
-             .agg(F.max_by(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")),
-                           F.struct(*order)).alias("_last")))
+    w = Window.partitionBy(*series, BUCKET).orderBy(F.col(ts), F.col(tiebreak))
+    sample = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
+    inner = b.withColumn("_prev", F.lag(sample).over(w))
+    key = order_key(epoch_micros(b, ts), F.col(tiebreak))
+    last = (b.groupBy(*series, BUCKET).agg(F.max_by(epoch_micros(b, ts), key).alias("_lt"), F.max_by(value, key).alias("_lv"))
+             .withColumn("_last", F.struct(_ts_from_micros(df, ts, F.col("_lt")).alias("t"), F.col("_lv").alias("v"))))
     carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*series).orderBy(BUCKET)))
     return (_join_on_series(inner, carry.select(*series, BUCKET, "_carry"), [*series, BUCKET])
-                 .withColumn(prev_ts, F.coalesce(F.col("_pts"), F.col("_carry.t")))
-                 .withColumn(prev_value, F.coalesce(F.col("_pv"), F.col("_carry.v")))
-                 .drop("_pts", "_pv", "_carry"))
+                 .withColumn("_prev", F.coalesce("_prev", "_carry"))
+                 .withColumns({prev_ts: F.col("_prev.t"), prev_value: F.col("_prev.v")}).drop("_prev", "_carry"))
+
+
+def _ts_from_micros(df: DataFrame, ts: str, us: Column) -> Column:
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return ntz_from_micros(us)
+    return F.timestamp_micros(us)
 
 
 def counter_delta(value: Column, prev: Column) -> Column:
@@ -190,47 +158,70 @@ def counter_delta(value: Column, prev: Column) -> Column:
 
 def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
                  window: str = "5 minutes", slide: str | None = None,
-                 bucket_seconds: int = 3600, digits: int | None = 6, layout: str = "time") -> DataFrame:
-    """``rate(counter[window])`` evaluated on (sliding) time windows.
+                 bucket_seconds: int = 3600, digits: int | None = 6) -> DataFrame:
+    """``rate(counter[window])`` of raw counter readings on (sliding) time windows.
 
     For each window and series: the samples inside, their increase (sum over
     consecutive pairs inside the window, resets counted from zero) and the rate
     = increase / seconds between the first and last sample (null with fewer
-    than two samples).  No extrapolation to the window borders.
+    than two samples).  No extrapolation to the window borders.  Null readings
+    are no samples.
     """
     series = list(series)
-    p = with_previous(df, series, ts, value, tiebreak, bucket_seconds, layout=layout)
-    return _windowed_rate(p, series, ts, counter_delta(F.col(value), F.col("prev_value")), window, slide, digits)
+    p = with_previous(df.filter(F.col(value).isNotNull()), series, ts, value, tiebreak, bucket_seconds)
+    return _windowed_rate(p, series, ts, counter_delta(F.col(value), F.col("prev_value")), tiebreak, window, slide, digits)
 
 
 def counter_rate_from_increments(df: DataFrame, series: Sequence[str], ts: str, increment: str,
                                  tiebreak: str, window: str = "5 minutes", slide: str | None = None,
-                                 bucket_seconds: int = 3600, digits: int | None = 6,
-                                 layout: str = "time") -> DataFrame:
+                                 digits: int | None = 6) -> DataFrame:
     """``rate()`` of the counter whose increments are given (no resets by
     construction).  A window's increase is the sum of the increments of its
-    samples whose previous sample is in the window too.  Same output as
-    :func:`counter_rate` on the running counter, one shuffle of the samples.
+    samples but the first.  Same output as :func:`counter_rate` on the running
+    counter; partial aggregation only, no window over raw samples.
     """
     series = list(series)
-    c = counter_from_increments(df, series, ts, increment, tiebreak, "_counter", bucket_seconds,
-                                prev_ts="prev_ts", layout=layout)
-    return _windowed_rate(c, series, ts, F.col(increment), window, slide, digits)
+    df = series_labels(df, series)
+    inc = F.coalesce(F.col(increment), F.lit(0).cast(df.schema[increment].dataType))
+    return _windowed_rate(df, series, ts, inc, tiebreak, window, slide, digits)
+
 
+def seconds_of(interval: str) -> int:
+    """Whole seconds of '5 minutes', '1 day', '30 seconds', ..."""
+    n, unit = interval.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit.rstrip("s")]
 
-def _windowed_rate(x: DataFrame, series: list[str], ts: str, delta: Column, window: str,
+
+def _windowed_rate(x: DataFrame, series: list[str], ts: str, delta: Column, tiebreak: str, window: str,
                    slide: str | None, digits: int | None) -> DataFrame:
-    win = F.window(ts, window, slide) if slide else F.window(ts, window)
-    x = x.withColumn("_w", win)
+    """Windows of ``window`` every ``slide``, from panes.
+
+    A window's increase is the sum of its samples' deltas without that of its
+    first sample, whose predecessor lies before the window.
+    """
+    win = seconds_of(window)
+    step = seconds_of(slide) if slide else win
+    pane = gcd(win, step) * MICROS
+    win, step = win * MICROS, step * MICROS
     us = epoch_micros(x, ts)
-    in_window = F.when(F.col("prev_ts") >= F.col("_w.start"), delta)
-    agg = (x.groupBy(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *series)
-            .agg(F.count(F.lit(1)).alias("samples"),
-                 F.coalesce(F.sum(in_window), F.lit(0)).cast("double").alias("increase"),
-                 ((F.max(us) - F.min(us)) / F.lit(float(MICROS))).alias("elapsed_s")))
+    key = order_key(us, F.col(tiebreak))
+    panes = (x.withColumn("_d", delta).groupBy(_floor_div(us, pane).alias("_pane"), *series)
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("_d").alias("d"), F.min_by("_d", key).alias("d0"),
+                   F.min(us).alias("lo"), F.max(us).alias("hi")))
+    # the starts of the windows that hold the pane: multiples of step in (pane end - window, pane start]
+    at = F.col("_pane") * pane
+    first, last = _floor_div(at + F.lit(pane - win) + F.lit(step - 1), step), _floor_div(at, step)
+    spread = panes.select(*series, "_pane", "n", "d", "d0", "lo", "hi", F.explode(F.sequence(first, last)).alias("_k"))
+    agg = (spread.groupBy("_k", *series)
+           .agg(F.sum("n").alias("samples"), F.sum("d").alias("_sum"), F.min_by("d0", "_pane").alias("_first"),
+                ((F.max("hi") - F.min("lo")) / F.lit(float(MICROS))).alias("elapsed_s")))
+    increase = F.coalesce(F.col("_sum"), F.lit(0)) - F.coalesce(F.col("_first"), F.lit(0))
     rate = F.when(F.col("samples") >= 2, F.try_divide(F.col("increase"), F.col("elapsed_s")))
-    agg = agg.withColumn("rate", round_half_even(rate, digits) if digits is not None else rate)
-    return agg.drop("elapsed_s")
+    start = F.col("_k") * step
+    return (agg.withColumn("increase", increase.cast("double"))
+            .select(ntz_from_micros(start).alias("window_start"), ntz_from_micros(start + F.lit(win)).alias("window_end"),
+                    *series, "samples", "increase",
+                    (round_half_even(rate, digits) if digits is not None else rate).alias("rate")))
 
 
 def sum_by(df: DataFrame, by: Sequence[str], value: str = "rate", out: str | None = None,
@@ -241,81 +232,98 @@ def sum_by(df: DataFrame, by: Sequence[str], value: str = "rate", out: str | Non
     return df.groupBy(*keep, *by).agg((round_half_even(s, digits) if digits is not None else s).alias(out or value))
 
 
+def _newest(df: DataFrame, ts: str, value: str, tiebreak: str | None) -> tuple[Column, Column]:
+    """(value of the newest sample, its time in microseconds) as aggregates; NaN and nulls are values like others."""
+    us = epoch_micros(df, ts)
+    return F.max_by(F.col(value), order_key(us, F.col(tiebreak) if tiebreak else None)), F.max(us)
+
+
 def instant_range(df: DataFrame, series: Sequence[str], ts: str, value: str,
                   step_seconds: int, lookback_seconds: int = 300,
                   tiebreak: str | None = None) -> DataFrame:
     """Instant vector at every epoch-aligned step: newest sample per series in
     ``(step - lookback, step]``.
 
-    Each sample is assigned to the steps it can be seen from
-    (``lookback / step`` of them), then a partial-aggregating ``max_by``
-    keeps the newest per ``(step, series)``.
+    Samples are reduced to the newest per series and pane (pane ``p`` covers
+    ``((p - 1) * g, p * g]``, g the divisor of step and lookback); the panes,
+    not the samples, are copied to the steps that see them.
     """
     series = list(series)
-    us = epoch_micros(df, ts)
     st, lb = step_seconds * MICROS, lookback_seconds * MICROS
-    k0 = _ceil_div(us, st)
-    k1 = _ceil_div(us + F.lit(lb), st) - 1
-    order = F.struct(F.col(ts), F.col(tiebreak) if tiebreak else F.col(value))
-    # no step lies in [ts, ts + lookback) when lookback < step and the sample
-    # falls between steps (k0 > k1): such a sample is seen at no step
-    x = (df.withColumn("_k0", k0).withColumn("_k1", k1)
-           .filter(F.col("_k0") <= F.col("_k1"))
-           .withColumn("_k", F.explode(F.sequence(F.col("_k0"), F.col("_k1"), F.lit(1).cast("long"))))
-           .drop("_k0", "_k1")
-           .withColumn("step", ntz_from_micros(F.col("_k") * F.lit(st))))
-    return (x.groupBy("step", *series)
-             .agg(F.max_by(F.col(value), order).alias(value),
-                  F.max(F.col(ts)).alias("sample_ts")))
+    g = gcd(st, lb)
+    newest, at = _newest(df, ts, value, tiebreak)
+    panes = (df.groupBy(_ceil_div(epoch_micros(df, ts), g).alias("_p"), *series)
+               .agg(newest.alias(value), at.alias("_us")))
+    k0 = _ceil_div(F.col("_p") * g, st)
+    k1 = _ceil_div(F.col("_p") * g + F.lit(lb), st) - 1
+    seen = panes.withColumn("_k0", k0).withColumn("_k1", k1).filter("_k0 <= _k1")  # else no step looks back on the pane
+    if lb <= st:  # one step at most
+        steps = seen.withColumnRenamed("_k0", "_k")
+        return steps.select(ntz_from_micros(F.col("_k") * F.lit(st)).alias("step"), *series, value, "_p", "_us") \
+            .groupBy("step", *series).agg(F.max_by(value, "_p").alias(value), _ts_from_micros(df, ts, F.max("_us")).alias("sample_ts"))
+    spread = seen.withColumn("_k", F.explode(F.sequence("_k0", "_k1")))
+    return (spread.groupBy("_k", *series).agg(F.max_by(value, "_p").alias(value), F.max("_us").alias("_us"))
+            .select(ntz_from_micros(F.col("_k") * F.lit(st)).alias("step"), *series, value,
+                    _ts_from_micros(df, ts, F.col("_us")).alias("sample_ts")))
 
 
 def instant_at(df: DataFrame, series: Sequence[str], ts: str, value: str, at: Column,
                lookback_seconds: int = 300, tiebreak: str | None = None) -> DataFrame:
     """Instant vector at one evaluation time ``at`` (a timestamp column/literal)."""
-    series = list(series)
     lo = at - F.make_interval(secs=F.lit(lookback_seconds))
-    order = F.struct(F.col(ts), F.col(tiebreak) if tiebreak else F.col(value))
-    return (df.filter((F.col(ts) > lo) & (F.col(ts) <= at))
-              .groupBy(*series).agg(F.max_by(F.col(value), order).alias(value)))
+    inside = df.filter((F.col(ts) > lo) & (F.col(ts) <= at))
+    return inside.groupBy(*series).agg(_newest(inside, ts, value, tiebreak)[0].alias(value))
 
 
-def health_status(vector: DataFrame, job: str, value: str, step_seconds: int,
-                  out: str = "up") -> DataFrame:
+def health_status(vector: DataFrame, job: str, value: str, step_seconds: int, jobs: DataFrame | None = None,
+                  start: Column | None = None, end: Column | None = None, out: str = "up") -> DataFrame:
     """``sum(up) by (job)`` per step with a traffic-light status.
 
-    Steps between a job's first and last step without any sample get
-    ``Offline``; a sum >= 1 is ``green``, else ``red``.  The step grid is
-    generated per job from its own first/last step (a bounded sequence), not
-    by a cross join.
+    The grid holds every step of the query range for every job: ``jobs`` (one
+    column named like ``job``; default: the jobs of the vector) from ``start``
+    to ``end`` (default: the vector's first and last step over all jobs).  A
+    job without a sample at a step, before its first, after its last or at any
+    step, is ``Offline``; a sum >= 1 is ``green``, else ``red``.
     """
     st = step_seconds * MICROS
     sums = vector.groupBy("step", job).agg(F.sum(value).alias(out))
-    kus = F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("step"))
-    span = sums.groupBy(job).agg(F.min(kus).alias("_lo"), F.max(kus).alias("_hi"))
-    grid = span.select(job, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.lit(st))).alias("_us"))
-    grid = grid.select(job, ntz_from_micros(F.col("_us")).alias("step"))
-    j = grid.join(sums, ["step", job], "left")
-    status = (F.when(F.col(out).isNull(), "Offline")
-               .when(F.col(out) >= 1, "green").otherwise("red"))
-    return j.withColumn("status", status)
+    us_of = lambda c: F.timestamp_diff("MICROSECOND", _epoch_ntz(), c)
+    lo = us_of(start) if start is not None else vector.select(F.min(us_of(F.col("step")))).scalar()
+    hi = us_of(end) if end is not None else vector.select(F.max(us_of(F.col("step")))).scalar()
+    listed = (sums if jobs is None else jobs).select(job).distinct()
+    grid = (listed.select(job, (_ceil_div(lo, st) * st).alias("_lo"), hi.alias("_hi")).filter("_lo <= _hi")
+            .select(job, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.lit(st))).alias("_us"))
+            .select(job, ntz_from_micros(F.col("_us")).alias("step")))
+    status = (F.when(F.col(out).isNull(), "Offline").when(F.col(out) >= 1, "green").otherwise("red"))
+    return grid.join(sums, ["step", job], "left").withColumn("status", status)
 
 
 def last_value(df: DataFrame, series: Sequence[str], ts: str, value: str,
                tiebreak: str | None = None, out: str = "last") -> DataFrame:
     """``last`` reducer: the newest value of each series."""
-    order = F.struct(F.col(ts), F.col(tiebreak) if tiebreak else F.col(value))
-    return df.groupBy(*series).agg(F.max_by(F.col(value), order).alias(out),
-                                   F.max(ts).alias("last_ts"))
+    newest, at = _newest(df, ts, value, tiebreak)
+    return df.groupBy(*series).agg(newest.alias(out), at.alias("_us")) \
+        .select(*series, out, _ts_from_micros(df, ts, F.col("_us")).alias("last_ts"))
 
 
 def uptime(df: DataFrame, series: Sequence[str], ts: str, as_of: Column) -> DataFrame:
-    """``time() - process_start``: seconds from each series' first sample to ``as_of``."""
+    """Seconds from each series' first sample to ``as_of`` (for sources without a start-time gauge)."""
     start = df.groupBy(*series).agg(F.min(ts).alias("start_ts"))
     return start.withColumn(
         "uptime_s",
         (F.timestamp_diff("MICROSECOND", F.col("start_ts"), as_of) / F.lit(float(MICROS))))
 
 
+def gauge_uptime(df: DataFrame, series: Sequence[str], ts: str, start_seconds: str, as_of: Column, lookback_seconds: int = 300,
+                 tiebreak: str | None = None) -> DataFrame:
+    """``time() - start``: seconds since the start time (epoch seconds) that each series' gauge last reported.
+
+    Evaluated at ``as_of`` with the usual lookback: a series that stopped reporting has no row.
+    """
+    now = instant_at(df, series, ts, start_seconds, as_of, lookback_seconds, tiebreak)
+    return now.select(*series, start_seconds, uptime_seconds(start_seconds, as_of).alias("uptime_s"))
+
+
 def count_series(vector: DataFrame, by: Sequence[str] = ("step",), out: str = "series") -> DataFrame:
     """``count(vector)``: number of series present per step."""
     return vector.groupBy(*by).agg(F.count(F.lit(1)).alias(out))

@@ -8,10 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """PRIMARY KEY / UNIQUE: key values present more than once, with their count."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") > 1))
+def duplicate_keys(df: DataFrame, keys: Sequence[str], nulls_distinct: bool = False) -> DataFrame:
+    """Key values present more than once, with their count.
+
+    PRIMARY KEY (default): a null key value repeats like any other.  UNIQUE
+    (``nulls_distinct=True``): rows with a null in the key never repeat.
+    """
+    src = df
+    if nulls_distinct:
+        for k in keys:
+            src = src.filter(F.col(k).isNotNull())
+    return (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+               .filter(F.col("n") > 1))
 
 
 def null_violations(df: DataFrame, cols: Sequence[str]) -> DataFrame:

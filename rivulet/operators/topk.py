@@ -28,7 +28,3 @@ def top_k_of_group_max(df: DataFrame, group: str, value: str, k: int, out: str |
     out = out or f"max_{value}"
     g = df.groupBy(group).agg(F.max(value).alias(out))
     return top_k(g, out, k, tie_break=[group])
-
-
-def first_row(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    return (df.orderBy(*order) if order else df).limit(1)

@@ -19,10 +19,18 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
 
     One full outer join on the keys (both sides hash-partitioned once).  Keys
     are unique per side (see :func:`rivulet.operators.quality.assert_unique`),
-    so no key can be hot.  The result has the target's columns and order.
+    so no key can be hot.  The result has the target's columns and order.  As
+    the database would, a batch column that the target lacks is refused, and
+    so is a null key (a row with one fails the job when it is read).
     """
     keys = list(keys)
     upd = set(update_cols)
+    unknown = [c for c in [*updates.columns, *update_cols, *keys] if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no column {unknown}")
+    for k in keys:
+        updates = updates.withColumn(k, F.when(F.col(k).isNull(), F.raise_error(F.lit(f"null key {k} in the batch")))
+                                     .otherwise(F.col(k)))
     t = target.withColumn("_in_t", F.lit(True))
     u = updates.select(*[F.col(c).alias(f"_u_{c}") for c in updates.columns]).withColumn("_in_u", F.lit(True))
     cond = None
@@ -36,7 +44,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     for c in target.columns:
         uc = f"_u_{c}" if c in updates.columns else None
         if c in keys:
-            e = F.coalesce(F.col(c), F.col(uc)) if uc else F.col(c)
+            e = F.coalesce(F.col(c), F.col(uc))
         elif uc is None:
             e = F.col(c)
         elif c in upd:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.clean import (
-    clean_availability, clean_price_digits, clean_price_strict, clean_reviews, processing_time,
+    clean_availability, clean_price_digits, clean_price_strict, clean_reviews, finite, parse_double, processing_time,
 )
 from rivulet.operators import html as H
 from rivulet.operators.aggregates import category_stats
@@ -38,9 +38,8 @@ def book_links(pages: DataFrame, html_col: str = "html", base: str = SITE_BASE)
     """
     pods = F.regexp_extract_all(
         H.strip_decoys(F.col(html_col)),
-        F.lit(r'(?is)<article\b[^>]*class="[^"]*\bproduct_pod\b[^"]*"[^>]*>.*?<h3\b[^>]*>.*?'
-              r'<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'), 1)
-    href = F.explode(pods).alias("href")
+        F.lit(rf"(?is)<article\b[^>]*{H.class_attr('product_pod')}[^>]*>.*?<h3\b[^>]*>.*?<a\b[^>]*?\shref\s*=\s*" + H._VALUE), 1)
+    href = F.explode(F.transform(pods, H.attribute_value)).alias("href")
     return pages.select(href).select(
         F.concat(F.lit(base + "catalogue/"), F.replace(F.col("href"), F.lit("../../"), F.lit(""))).alias("url"))
 
@@ -57,20 +56,24 @@ def book_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     """
     h = H.strip_decoys(F.col(html_col))
     df = pages.select(F.col(url_col).alias("url"), h.alias("_h"))
-    valid = H.has_element("_h", "div", r'class="[^"]*\bproduct_main\b')
+    main_block, crumb_block = H.class_attr("product_main"), H.class_attr("breadcrumb")
+    valid = H.has_element("_h", "div", main_block)
     good, bad = H.split_valid(df, valid, F.lit("invalid page structure: no product_main block"))
-    main = H.element_inner("_h", "div", r'class="[^"]*\bproduct_main\b')
-    crumbs = H.element_inner("_h", "ul", r'class="[^"]*\bbreadcrumb\b')
-    desc_pattern = r'(?is)<div\b[^>]*id="product_description"[^>]*>.*?</div\s*>\s*<p\b[^>]*>(.*?)</p\s*>'
+    main = H.element_inner("_h", "div", main_block)
+    crumbs = H.element_inner("_h", "ul", crumb_block)
+    desc_pattern = (r"""(?is)<div\b[^>]*\bid\s*=\s*["']?product_description\b["']?[^>]*>.*?</div\s*>"""
+                    r"\s*<p\b[^>]*>(.*?)</p\s*>")
     desc = F.regexp_extract("_h", desc_pattern, 1)
-    img = F.regexp_extract("_h", r'(?is)<div\b[^>]*class="item active"[^>]*>.*?<img\b[^>]*?\bsrc="([^"]*)"', 1)
+    img = F.regexp_extract("_h", r"""(?is)<div\b[^>]*\bclass\s*=\s*["']item active["'][^>]*>.*?<img\b[^>]*?\ssrc\s*=\s*"""
+                           + H._VALUE, 1)
+    good = good.withColumn("_t", H.table_pairs("_h"))
     fields = {
         "url": F.col("url"),
         "titre": H.element_text(main, "h1"),
         "categorie": H.nth_item_text(crumbs, 2, DEFAULT_CATEGORY),
         "description": F.when(F.col("_h").rlike(desc_pattern), H.text_of(desc)),
-        **{k: H.table_lookup("_h", label) for k, label in PRODUCT_TABLE_FIELDS.items()},
-        "image_url": F.when(img != "", H.absolute_url(img, base)),
+        **{k: F.try_element_at("_t", F.lit(label)) for k, label in PRODUCT_TABLE_FIELDS.items()},
+        "image_url": F.when(img != "", H.absolute_url(H.attribute_value(img), base)),
     }
     records = good.select(*[e.alias(k) for k, e in fields.items()]).select(*RAW_COLUMNS)
     return records, bad.select("url", "reject_reason")
@@ -105,11 +108,17 @@ SILVER_TYPES = {"price_excl_tax": "double", "price_gbp": "double", "stock": "int
 def typed_books_silver(df: DataFrame) -> DataFrame:
     """Silver rows read back from text (CSV): numeric columns typed with try_cast,
     without a schema-inference pass over the data."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in SILVER_TYPES.items() if c in df.columns})
+    return df.withColumns({c: parse_double(c).try_cast(t) for c, t in SILVER_TYPES.items() if c in df.columns})
+
+
+def finite_prices(silver: DataFrame) -> DataFrame:
+    """NaN and infinite prices become null, so that no aggregate or conversion carries them on."""
+    return silver.withColumns({c: finite(F.col(c)) for c, t in silver.dtypes if c in SILVER_TYPES and t in ("double", "float")})
 
 
 def gold_books_details(silver: DataFrame, rates: DataFrame | None = None, as_of=None) -> DataFrame:
     """One row per book with EUR/USD prices rounded to cents and a processing time."""
+    silver = finite_prices(silver)
     df = scalar_enrich(silver.drop("price_eur", "price_usd") if rates is not None else silver, rates,
                        {"price_eur": ("price_gbp", "EUR"), "price_usd": ("price_gbp", "USD")}, digits=2)
     return df.withColumn("processed_at", processing_time(as_of))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet.operators.upsert import upsert
 from rivulet.sinks.files import load_audit_row, write, write_versioned
-from rivulet.sources.files import _exists, read_latest_version
+from rivulet.sources.files import latest_version_path, newest_dataset, read_latest_version
 
 # --- fixed values: key and updated columns of the population table --------
 POPULATION_KEYS = ("country_iso2", "year")
@@ -18,9 +18,15 @@ POPULATION_UPDATE_COLUMNS = ("population", "ingestion_timestamp")
 
 
 def batch_size_checked(batch: DataFrame, keys) -> int:
-    """Rows of an upsert batch, refusing duplicate keys - one aggregation job."""
+    """Rows of an upsert batch, refusing null and duplicate keys - one aggregation job."""
+    some_null = F.lit(False)
+    for k in keys:
+        some_null = some_null | F.col(k).isNull()
     per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    r = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.max("_n").alias("dup")).first()
+    r = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.max("_n").alias("dup"),
+                    F.count_if(some_null).alias("nulls")).first()
+    if r["nulls"]:
+        raise ValueError(f"null key in the batch on {list(keys)}")
     if r["dup"] is not None and r["dup"] > 1:
         raise ValueError(f"duplicate key in the batch ({r['dup']} rows share a key on {list(keys)})")
     return int(r["rows"])
@@ -37,10 +43,12 @@ def upsert_versioned(spark: SparkSession, batch: DataFrame, table_root: str, aud
 
     Duplicate keys in the batch are refused (as a primary key would).  The new
     version is a complete table written next to the old ones, so readers never
-    see a half-merged state; it also cuts the lineage for the next merge.
+    see a half-merged state; it also cuts the lineage for the next merge.  A
+    table folder without a complete version (a first load that failed) is
+    loaded as a new table.
     """
     loaded = batch_size_checked(batch, list(keys))
-    if _exists(spark, table_root):
+    if latest_version_path(spark, table_root) is not None:
         current = read_latest_version(spark, table_root).drop("version")
         merged = upsert(current, batch, keys, update_cols)
     else:
@@ -48,3 +56,20 @@ def upsert_versioned(spark: SparkSession, batch: DataFrame, table_root: str, aud
     path, rows = write_versioned(merged, table_root, stamp)
     write(load_audit_row(spark, table_name, loaded, source_path or path, source), audit_root, mode="append")
     return path, rows
+
+
+def load_newest(spark: SparkSession, source_root: str, table_root: str, audit_root: str, table_name: str,
+                keys=POPULATION_KEYS, update_cols=POPULATION_UPDATE_COLUMNS, source: str = "local",
+                stamp: str | _dt.datetime | None = None, fmt: str = "parquet") -> tuple[str, int]:
+    """The load step: newest dataset under ``source_root`` -> upsert -> audit row.
+
+    ``source`` names where the files lie (a local folder or an object store);
+    the path's scheme picks the file system.  An empty newest dataset is
+    refused, not replaced by an older one.
+    """
+    batch, path = newest_dataset(spark, source_root, fmt)
+    if batch is None:
+        raise FileNotFoundError(f"no dataset under {source_root}")
+    if batch.isEmpty():
+        raise ValueError(f"the newest dataset {path} has no rows")
+    return upsert_versioned(spark, batch, table_root, audit_root, table_name, keys, update_cols, source, stamp, path)

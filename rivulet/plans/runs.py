@@ -16,14 +16,27 @@ from pyspark.sql import functions as F
 from rivulet.plans.books import books_silver, gold_books_analytics, gold_books_details, typed_books_silver
 from rivulet.plans.countries import countries_silver, gold_countries_enriched
 from rivulet.plans.silver import population_silver, rates_silver, wine_silver
-from rivulet.sinks.files import append_audit, write, write_observed, write_versioned
+from rivulet.sinks.files import CSV_OPTIONS, append_audit, write, write_observed, write_versioned
 from rivulet.sinks.jdbc import load_plan
-from rivulet.sources.files import _exists, read_csv
+from rivulet.sources.files import _exists, csv_rejects, read_csv, read_first_available
 
 
 log = logging.getLogger("rivulet")
 
 
+def whole_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file's whole rows; cut or overlong ones are counted in the log, not padded.
+
+    Book descriptions hold line breaks, so a file is read by one task; use
+    parquet between the steps where the catalogue is large.
+    """
+    good, bad = csv_rejects(read_csv(spark, path, multiline=True))
+    n = bad.count()
+    if n:
+        log.warning("%d lines of %s have another number of fields: left out", n, path)
+    return good
+
+
 def optional_parquet(spark: SparkSession, path: str | None) -> DataFrame | None:
     return spark.read.parquet(path) if path and _exists(spark, path) else None
 
@@ -33,16 +46,17 @@ def books_silver_step(spark: SparkSession, raw_csv: str, out_path: str, rates_pa
     """Raw scraped CSV -> cleaned silver.  ``fmt="parquet"`` is the better
     choice at scale (splittable, typed, column-pruned); CSV mirrors the
     reference's silver file."""
-    silver = books_silver(read_csv(spark, raw_csv), optional_parquet(spark, rates_path))
-    opts = {"header": "true", "escape": '"'} if fmt == "csv" else None
+    silver = books_silver(whole_rows(spark, raw_csv), optional_parquet(spark, rates_path))
+    opts = CSV_OPTIONS if fmt == "csv" else None
     m = write_observed(silver, out_path, {"null_titles": F.count_if(F.col("titre").isNull())}, fmt, options=opts)
     if m["null_titles"]:
         log.warning("%d of %d books have no title", m["null_titles"], m["rows"])
     return int(m["rows"])
 
 
-def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=None) -> int:
-    return write(countries_silver(spark.read.parquet(raw_path), as_of), out_path, partition_by=["region"],
+def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, order_by: list[str], as_of=None) -> int:
+    """``order_by`` names the columns that decide which duplicate of an iso3 is the first."""
+    return write(countries_silver(spark.read.parquet(raw_path), as_of, order_by), out_path, partition_by=["region"],
                  skip_empty=True)
 
 
@@ -66,13 +80,14 @@ def rates_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=N
     return write(rates_silver(spark.read.parquet(raw_path), as_of), out_path, skip_empty=True)
 
 
-def wine_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=None) -> int:
-    return write(wine_silver(spark.read.parquet(raw_path), as_of), out_path, partition_by=["country"])
+def wine_silver_step(spark: SparkSession, raw_path: str, out_path: str, order_by: list[str], as_of=None) -> int:
+    """``order_by`` names the columns that decide which duplicate of a title is the first."""
+    return write(wine_silver(spark.read.parquet(raw_path), as_of, order_by), out_path, partition_by=["country"])
 
 
 def gold_books_step(spark: SparkSession, silver_path: str, gold_root: str, rates_path: str | None = None,
                     as_of=None, fmt: str = "csv") -> dict[str, int]:
-    silver = (typed_books_silver(read_csv(spark, silver_path)) if fmt == "csv"
+    silver = (typed_books_silver(whole_rows(spark, silver_path)) if fmt == "csv"
               else spark.read.format(fmt).load(silver_path))
     rates = optional_parquet(spark, rates_path)
     root = gold_root.rstrip("/")
@@ -89,10 +104,19 @@ def gold_countries_step(spark: SparkSession, countries_path: str, gold_root: str
     return write(df, f"{gold_root.rstrip('/')}/countries_enriched")
 
 
-def load_gold_step(spark: SparkSession, gold_root: str, url: str, properties: dict | None = None,
-                   schema: str = "analytics") -> list[str]:
-    """Replace the gold tables in the database (empty or missing tables skipped)."""
+def gold_tables(spark: SparkSession, gold_root: str, silver_books_csv: str | None = None) -> dict[str, DataFrame | None]:
+    """The gold tables to load; book details fall back to the silver CSV where the gold table is missing."""
     root = gold_root.rstrip("/")
     tables = {name: optional_parquet(spark, f"{root}/{name}")
               for name in ("books_details", "books_analytics", "countries_enriched")}
+    if tables["books_details"] is None and silver_books_csv and _exists(spark, silver_books_csv):
+        tables["books_details"] = typed_books_silver(read_first_available(
+            spark, [(f"{root}/books_details", "parquet"), (silver_books_csv, "csv")]))
+    return tables
+
+
+def load_gold_step(spark: SparkSession, gold_root: str, url: str, properties: dict | None = None,
+                   schema: str = "analytics", silver_books_csv: str | None = None) -> list[str]:
+    """Replace the gold tables in the database (empty or missing tables skipped)."""
+    tables = gold_tables(spark, gold_root, silver_books_csv)
     return load_plan({f"gold_{k}": v for k, v in tables.items() if v is not None}, url, schema, properties)

@@ -9,7 +9,7 @@ from rivulet.functions.clean import (
     concat_year_month, processing_time, safe_ratio, strip_whitespace, to_number,
 )
 from rivulet.operators.dedup import dedup_any, dedup_first
-from rivulet.operators.filters import positive
+from rivulet.operators.filters import not_null, positive
 
 
 def population_silver(raw: DataFrame, as_of=None) -> DataFrame:
@@ -33,7 +33,7 @@ def wine_silver(raw: DataFrame, as_of=None, order_by: list[Column | str] | None
     dropped; country/variety stripped; price per point (null for 0 points)."""
     df = dedup_first(raw, ["title"], order_by) if order_by else dedup_any(raw, ["title"])
     df = df.withColumns({"price": to_number("price"), "points": to_number("points")})
-    df = df.filter(F.col("price").isNotNull() & F.col("country").isNotNull())
+    df = not_null(df, "price", "country")
     return df.withColumns({
         "country": strip_whitespace("country"),
         "variety": strip_whitespace("variety"),

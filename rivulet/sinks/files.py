@@ -14,11 +14,14 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.functions.clean import VERSION_FORMAT
 from rivulet.sources.files import VERSION_COLUMN
 
 log = logging.getLogger("rivulet")
 
+# Fixed value: version stamps as 20240131_235959 (``functions.clean.VERSION_FORMAT`` for Spark).
+VERSION_STRFTIME = "%Y%m%d_%H%M%S"
+# Quotes are doubled, and white space around a value belongs to it (Spark's writer would trim it).
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 # Audit times are naive UTC wall clock.
 AUDIT_SCHEMA = "table_name string, rows long, created_at timestamp_ntz, file_path string"
 LOAD_AUDIT_SCHEMA = "table_name string, rows_loaded long, source string, file_path string, loaded_at timestamp_ntz"
@@ -55,7 +58,7 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    return write(df, path, "csv", mode, options={"header": "true", "escape": '"'})
+    return write(df, path, "csv", mode, options=CSV_OPTIONS)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> int:
@@ -67,9 +70,7 @@ def write_text(df: DataFrame, path: str, col: str, mode: str = "overwrite") -> i
 
 
 def version_of(ts: _dt.datetime) -> str:
-    py = VERSION_FORMAT.replace("yyyy", "%Y").replace("MM", "%m").replace("dd", "%d") \
-                       .replace("HH", "%H").replace("mm", "%M").replace("ss", "%S")
-    return ts.strftime(py)
+    return ts.strftime(VERSION_STRFTIME)
 
 
 def write_versioned(df: DataFrame, root: str, stamp: str | _dt.datetime | None = None,

@@ -14,20 +14,36 @@ from rivulet.functions.clean import strip_whitespace
 VERSION_COLUMN = "version"
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             **options) -> DataFrame:
+             multiline: bool = False, **options) -> DataFrame:
     """CSV with a header.  Without a schema every column is read as text
-    (cleaning casts with try_cast later); quoted fields may span lines.
+    (cleaning casts with try_cast later).
 
-    A multi-line CSV file cannot be split, so each file is read by one task:
-    keep such inputs as many moderate files, or pass ``multiLine="false"``
-    when no field contains a newline.
+    Lines with too few or too many fields are kept and marked: their text is
+    in ``_corrupt_record`` (see :func:`csv_rejects`), which is null for whole
+    rows.  Files are split between tasks; pass ``multiline=True`` where quoted
+    fields span lines, which costs one task per file.
     """
-    opts = {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8", **options}
-    r = spark.read.options(**opts)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.csv(path)
+    opts = {"header": "true", "escape": '"', "encoding": "UTF-8", "multiLine": str(multiline).lower(), **options}
+    if schema is None:
+        schema = T.StructType([T.StructField(f.name, T.StringType()) for f in spark.read.options(**opts).csv(path).schema])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if CORRUPT not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.options(**opts, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(path)
+
+
+def csv_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(whole rows without the marker column, rejected rows)`` of :func:`read_csv`."""
+    bad = F.col(CORRUPT)
+    # Spark refuses a CSV scan of the marker column alone (a plain count would be one): always read a data column too
+    first = next(c for c in df.columns if c != CORRUPT)
+    read = F.length(F.coalesce(F.col(f"`{first}`").cast("string"), F.lit(""))) >= 0
+    return df.filter(bad.isNull() & read).drop(CORRUPT), df.filter(bad.isNotNull() & read)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -49,7 +65,7 @@ def read_first_available(spark: SparkSession, candidates: Sequence[tuple[str, st
     """First ``(path, format)`` that exists (e.g. gold parquet, else silver CSV)."""
     for path, fmt in candidates:
         if _exists(spark, path):
-            return read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+            return csv_rejects(read_csv(spark, path))[0] if fmt == "csv" else spark.read.format(fmt).load(path)
     raise FileNotFoundError(f"none of {[p for p, _ in candidates]} exists")
 
 
@@ -112,26 +128,49 @@ def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> tuple[DataFrame | None, str | None]:
-    """``(rows of the most recently modified data file, its path)`` of a folder
-    or object-store prefix.
+def newest_dataset(spark: SparkSession, root: str, fmt: str = "parquet") -> tuple[DataFrame | None, str | None]:
+    """``(rows, path)`` of the most recently modified dataset of a folder or object-store prefix.
 
-    Files are listed once; candidates are tried newest first and the first
-    one holding rows wins (Spark writers also leave schema-only part files).
-    Only footers of the candidates tried are read, then the one file.
+    A dataset is a folder of part files that belong together (complete when it
+    has a ``_SUCCESS`` marker; the root itself may be one), or a single file
+    that is no part file.  Its time is that of its newest file, ties go to the
+    greater path.  An empty newest dataset is returned as it is, never
+    replaced by an older one.  Folders are listed level by level; no data is
+    read.
     """
-    for path, _, _ in sorted(list_files(spark, folder), key=lambda f: (f[2], f[0]), reverse=True):
-        df = spark.read.format(fmt).option("basePath", folder).load(path)
-        if not df.isEmpty():
-            return df, path
-    return None, None
-
-
-def read_newest_file(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
-    """Rows of the most recently modified file of a folder (max modification time)."""
-    df, path = newest_file(spark, folder, fmt)
+    fs, p = _fs_and_path(spark, root)
+    if not fs.exists(p):
+        return None, None
+    found: list[tuple[int, str]] = []
+    todo = [p]
+    while todo:
+        folder = todo.pop()
+        parts, complete = [], folder.equals(p)
+        for st in fs.listStatus(folder):
+            name = st.getPath().getName()
+            if name == "_SUCCESS":
+                complete = True
+            elif name.startswith(("_", ".")):
+                continue
+            elif st.isDirectory():
+                todo.append(st.getPath())
+            elif name.startswith("part-"):
+                parts.append(int(st.getModificationTime()))
+            else:
+                found.append((int(st.getModificationTime()), st.getPath().toString()))
+        if parts and complete:
+            found.append((max(parts), folder.toString()))
+    if not found:
+        return None, None
+    path = max(found)[1]
+    return spark.read.format(fmt).load(path), path
+
+
+def read_newest_dataset(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """Rows of the most recently modified dataset (max modification time)."""
+    df, path = newest_dataset(spark, root, fmt)
     if df is None:
-        raise FileNotFoundError(f"no data file under {folder}")
+        raise FileNotFoundError(f"no dataset under {root}")
     return df
 
 
@@ -145,8 +184,9 @@ def is_fresh_path(spark: SparkSession, folder: str, day: _dt.date | str) -> bool
 
 
 def is_complete_path(spark: SparkSession, folder: str, min_bytes: int) -> bool:
-    """True when the data files under ``folder`` hold more than ``min_bytes``."""
-    return sum(f[1] for f in list_files(spark, folder)) > min_bytes
+    """True when ``folder`` holds more than ``min_bytes`` (one call to the file system)."""
+    fs, p = _fs_and_path(spark, folder)
+    return bool(fs.exists(p)) and int(fs.getContentSummary(p).getLength()) > min_bytes
 
 
 def file_facts(df: DataFrame) -> DataFrame:

@@ -6,14 +6,14 @@ that may reset, so each series keeps a small state with
 windows (at most window/slide of them).  A window is emitted once the
 watermark passes its end (event-time timeout), so output is append-only.
 
-Per micro-batch, one series' new samples are handled by one task; the batch
-size is bounded by the source's ``maxFilesPerTrigger``/``maxBytesPerTrigger``.
-Each series must arrive in time order across micro-batches: a sample not
-after the series' last one (by time, then tiebreak), or belonging to a window
-that was already emitted, is dropped as late data.  A series' state is
-removed once it has no open window: no later on-time sample can share a
-window with its last sample, so nothing is lost, and series that stop
-reporting leave no state behind.
+Samples may arrive out of order: a series' state holds those newer than the
+watermark and settles them in time order once the watermark passes them, so
+the result does not depend on how the input is cut into micro-batches.  Only a
+sample that arrives behind the watermark is late; it is dropped, and ``late``
+counts how many the series has dropped when a window is emitted.  What one
+task holds is bounded by a batch (the source's ``maxFilesPerTrigger`` or
+``maxBytesPerTrigger``) and the watermark's delay.  The state is removed when
+nothing is pending and no window is open.
 """
 
 from __future__ import annotations
@@ -29,65 +29,61 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivulet.operators.metrics import epoch_micros, ntz_from_micros
 
-_STATE_SCHEMA = "last_us long, last_tb long, last_v double, windows string"
+_STATE_SCHEMA = "last_us long, last_tb long, last_v double, late long, windows string, pending string"
+_FIRST = np.iinfo(np.int64).min
 
 
-def _rate_state_fn(series: list[str], window_us: int, slide_us: int, digits: int):
-    k = -(-window_us // slide_us)            # windows that can contain a sample
+def _settle(us: np.ndarray, v: np.ndarray, last_us: int | None, last_v: float | None, windows: dict[int, list],
+            window_us: int, slide_us: int) -> None:
+    """Add samples in time order, all behind the watermark, to the open windows."""
+    prev_us = np.concatenate(([_FIRST if last_us is None else last_us], us[:-1]))
+    prev_v = np.concatenate(([np.nan if last_v is None else last_v], v[:-1]))
+    delta = np.nan_to_num(np.where(v < prev_v, v, v - prev_v), nan=0.0)  # a drop is a reset; none without a previous
+    base = us - us % slide_us
+    for j in range(-(-window_us // slide_us)):  # the windows that can hold a sample
+        start = base - j * slide_us
+        inside = us < start + window_us
+        part = pd.DataFrame({"s": start[inside], "us": us[inside], "d": np.where(prev_us >= start, delta, 0.0)[inside]})
+        for s, n, inc, lo, hi in part.groupby("s").agg(n=("us", "size"), inc=("d", "sum"), lo=("us", "min"),
+                                                       hi=("us", "max")).itertuples():
+            w = windows.setdefault(int(s), [0, 0.0, int(lo), int(hi)])
+            windows[int(s)] = [w[0] + int(n), w[1] + float(inc), min(w[2], int(lo)), max(w[3], int(hi))]
+
 
+def _rate_state_fn(series: list[str], window_us: int, slide_us: int, digits: int):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last_us, last_tb, last_v, late, windows, pending = None, None, None, 0, {}, []
         if state.exists:
-            last_us, last_tb, last_v, wjson = state.get
-            windows = {int(s): v for s, v in json.loads(wjson).items()}
-        else:
-            last_us, last_tb, last_v, windows = None, None, None, {}
+            last_us, last_tb, last_v, late, w, p = state.get
+            windows, pending = {int(s): x for s, x in json.loads(w).items()}, json.loads(p)
         wm_us = state.getCurrentWatermarkMs() * 1000
         if not state.hasTimedOut:
-            batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "_tb"], kind="mergesort")
-            us = batch["_us"].to_numpy(dtype=np.int64)
-            tb = batch["_tb"].to_numpy(dtype=np.int64)
-            v = batch["_v"].to_numpy(dtype=np.float64)
-            if last_us is not None:                      # not after the last sample: late, dropped
-                keep = (us > last_us) | ((us == last_us) & (tb > last_tb))
-                us, tb, v = us[keep], tb[keep], v[keep]
-            if len(us):
-                prev_us = np.concatenate(([last_us if last_us is not None else np.iinfo(np.int64).min], us[:-1]))
-                prev_v = np.concatenate(([last_v if last_v is not None else np.nan], v[:-1]))
-                delta = np.where(v < prev_v, v, v - prev_v)   # a drop is a reset; nan without a previous
-                base = us - us % slide_us
-                starts = np.concatenate([base - j * slide_us for j in range(k)])
-                rep_us = np.tile(us, k)
-                contrib = np.where(np.tile(prev_us, k) >= starts, np.tile(delta, k), 0.0)
-                contrib = np.nan_to_num(contrib, nan=0.0)
-                # the window must contain the sample, and must not be emitted already
-                fresh = (rep_us < starts + window_us) & (starts + window_us > wm_us)
-                g = (pd.DataFrame({"s": starts[fresh], "us": rep_us[fresh], "d": contrib[fresh]})
-                       .groupby("s").agg(n=("us", "size"), inc=("d", "sum"), lo=("us", "min"), hi=("us", "max")))
-                for s, n, inc, lo, hi in zip(g.index, g["n"], g["inc"], g["lo"], g["hi"]):
-                    w = windows.get(int(s))
-                    if w is None:
-                        windows[int(s)] = [int(n), float(inc), int(lo), int(hi)]
-                    else:
-                        w[0] += int(n)
-                        w[1] += float(inc)
-                        w[2], w[3] = min(w[2], int(lo)), max(w[3], int(hi))
-                last_us, last_tb, last_v = int(us[-1]), int(tb[-1]), float(v[-1])
-        closed = sorted(s for s in windows if s + window_us <= wm_us)
+            new = [x for pdf in pdfs for x in zip(pdf["_us"].tolist(), pdf["_tb"].tolist(), pdf["_v"].tolist())]
+            settled = (_FIRST, 0) if last_us is None else (last_us, last_tb)
+            on_time = [x for x in new if (x[0], x[1]) > settled and x[0] + window_us > wm_us]
+            late += len(new) - len(on_time)
+            pending += on_time
+        pending.sort(key=lambda x: (x[0], x[1]))
+        n = sum(x[0] <= wm_us for x in pending)
+        if n:
+            _settle(np.array([x[0] for x in pending[:n]], np.int64), np.array([x[2] for x in pending[:n]], np.float64),
+                    last_us, last_v, windows, window_us, slide_us)
+            last_us, last_tb, last_v = pending[n - 1]
+            pending = pending[n:]
         rows = []
-        for s in closed:
+        for s in sorted(s for s in windows if s + window_us <= wm_us):
             n, inc, lo, hi = windows.pop(s)
             el = (hi - lo) / 1e6
-            rate = None
-            if n >= 2 and el > 0:
-                rate = float(np.rint(inc / el * 10 ** digits) / 10 ** digits)
-            rows.append((*key, s, s + window_us, n, float(inc), rate))
-        if windows:
-            state.update((last_us, last_tb, last_v, json.dumps({str(s): w for s, w in windows.items()})))
-            state.setTimeoutTimestamp(max((min(windows) + window_us) // 1000, state.getCurrentWatermarkMs() + 1))
+            rate = float(np.rint(inc / el * 10 ** digits) / 10 ** digits) if n >= 2 and el > 0 else None
+            rows.append((*key, s, s + window_us, n, float(inc), rate, late))
+        if windows or pending:
+            state.update((last_us, last_tb, last_v, late, json.dumps({str(s): w for s, w in windows.items()}), json.dumps(pending)))
+            due = min([s + window_us for s in windows] + [x[0] for x in pending[:1]])
+            state.setTimeoutTimestamp(max(-(-due // 1000), state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
         if rows:
-            yield pd.DataFrame(rows, columns=[*series, "_start", "_end", "samples", "increase", "rate"])
+            yield pd.DataFrame(rows, columns=[*series, "_start", "_end", "samples", "increase", "rate", "late"])
 
     return fn
 
@@ -104,10 +100,10 @@ def stateful_counter_rate(stream: DataFrame, series: Sequence[str], ts: str, val
                        F.col(value).cast("double").alias("_v")))
     types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
     out_schema = ", ".join(f"{s} {types[s]}" for s in series) + \
-        ", _start long, _end long, samples long, increase double, rate double"
+        ", _start long, _end long, samples long, increase double, rate double, late long"
     fn = _rate_state_fn(series, window_seconds * 1_000_000, slide_seconds * 1_000_000, digits)
     out = x.groupBy(*series).applyInPandasWithState(fn, out_schema, _STATE_SCHEMA, "append",
                                                     GroupStateTimeout.EventTimeTimeout)
     return out.select(ntz_from_micros(F.col("_start")).alias("window_start"),
                       ntz_from_micros(F.col("_end")).alias("window_end"),
-                      *series, "samples", "increase", "rate")
+                      *series, "samples", "increase", "rate", "late")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.clean import round_half_even
-from rivulet.operators.metrics import MICROS, epoch_micros, ntz_from_micros
+from rivulet.operators.metrics import MICROS, epoch_micros, ntz_from_micros, order_key
 
 
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
@@ -36,7 +36,7 @@ def _window_agg(stream: DataFrame, series: Sequence[str], ts: str, inc: str, tie
     agg = (s.groupBy(w.alias("w"), *series)
             .agg(F.count(F.lit(1)).alias("samples"),
                  F.sum(inc).alias("_sum"),
-                 F.min_by(F.col(inc), F.struct(F.col("event_time"), F.col(tiebreak))).alias("_first"),
+                 F.min_by(F.col(inc), order_key(us, F.col(tiebreak))).alias("_first"),
                  F.min(us).alias("_lo"), F.max(us).alias("_hi")))
     increase = (F.col("_sum") - F.col("_first")).cast("double")
     elapsed = (F.col("_hi") - F.col("_lo")) / F.lit(float(MICROS))
@@ -88,7 +88,7 @@ def instant_steps(stream: DataFrame, series: Sequence[str], ts: str, value: str,
     s = (s.withColumn("shifted_time", F.col("event_time") - F.expr("INTERVAL 1 MICROSECOND"))
           .withWatermark("shifted_time", watermark))
     agg = (s.groupBy(F.window("shifted_time", step).alias("w"), *series)
-            .agg(F.max_by(F.col(value), F.struct(F.col("event_time"), F.col(tiebreak))).alias(value)))
+            .agg(F.max_by(F.col(value), order_key(F.unix_micros("event_time"), F.col(tiebreak))).alias(value)))
     return agg.select(_window_columns()[1].alias("step"), *series, value)
 
 

@@ -73,7 +73,7 @@ def test_rate_from_increments_equals_rate_of_running_counter(spark):
     assert {r.id: r.counter for r in c.collect()} == want
     a = M.counter_rate(c.drop(M.BUCKET).withColumn("counter", F.col("counter").cast("double")),
                        ["series"], "ts", "counter", "id", "10 minutes", "5 minutes", 300)
-    b = M.counter_rate_from_increments(df, ["series"], "ts", "inc", "id", "10 minutes", "5 minutes", 300)
+    b = M.counter_rate_from_increments(df, ["series"], "ts", "inc", "id", "10 minutes", "5 minutes")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
@@ -114,48 +114,50 @@ def test_uptime_and_last(spark):
     assert M.last_value(df, ["s"], "ts", "v", "id").first()["last"] == 5.0
 
 
-def test_range_layout_matches_time_layout_under_skew(spark):
-    # one series holds most rows, all inside one hour (one time bucket)
-    rnd = random.Random(5)
-    rows = [(i, T0 + dt.timedelta(milliseconds=i * 7), "hot", rnd.randint(0, 9)) for i in range(3000)]
-    rows += [(10_000 + i, T0 + dt.timedelta(minutes=i), f"s{i % 3}", rnd.randint(0, 9)) for i in range(300)]
-    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, series string, inc long")
-    a = M.counter_from_increments(df, ["series"], "ts", "inc", "id", prev_ts="prev_ts").drop(M.BUCKET)
-    b = M.counter_from_increments(df, ["series"], "ts", "inc", "id", prev_ts="prev_ts", layout="range")
-    assert sorted(map(tuple, a.select("id", "counter", "prev_ts").collect()), key=lambda t: t[0]) == \
-        sorted(map(tuple, b.select("id", "counter", "prev_ts").collect()), key=lambda t: t[0])
-    assert b.schema["counter"].dataType.simpleString() == "bigint"
-    # the hot series is spread over several scan partitions
-    parts = (df.filter("series = 'hot'").repartitionByRange(8, "series", "ts", "id")
-               .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert parts >= 4
-    vals = [(r[0], r[1], r[2], float(r[3])) for r in dense_samples(2, 200, 3)]
-    c = spark.createDataFrame(vals, "id long, ts timestamp_ntz, series string, value double")
-    ra = M.counter_rate(c, ["series"], "ts", "value", "id", "5 minutes", "1 minute", 600)
-    rb = M.counter_rate(c, ["series"], "ts", "value", "id", "5 minutes", "1 minute", 600, layout="range")
-    assert sorted(map(tuple, ra.collect())) == sorted(map(tuple, rb.collect()))
-
-
-def test_range_layout_carries_across_batches_and_multi_column_series(spark):
-    rnd = random.Random(9)
-    rows = [(i, T0 + dt.timedelta(seconds=i * 3 + rnd.randint(0, 2)), f"j{i % 2}", f"i{i % 3}", rnd.randint(0, 9))
-            for i in range(1200)]
-    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, job string, inst string, inc long")
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
-    try:
-        got = {r.id: (r.counter, r.prev_ts) for r in M.counter_from_increments(
-            df, ["job", "inst"], "ts", "inc", "id", prev_ts="prev_ts", layout="range").collect()}
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-    run, last, want = {}, {}, {}
-    for i, t, j, s, inc in sorted(rows, key=lambda r: (r[1], r[0])):
-        k = (j, s)
-        run[k] = run.get(k, 0) + inc
-        want[i] = (run[k], last.get(k))
-        last[k] = t
-    assert got == want
+def test_null_reading_is_no_sample(spark):
+    rows = [(1, T0, "a", 5.0), (2, T0 + dt.timedelta(seconds=30), "a", None), (3, T0 + dt.timedelta(seconds=60), "a", 9.0)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, s string, v double")
+    r = M.counter_rate(df, ["s"], "ts", "v", "id", "5 minutes").first()
+    assert (r.samples, r.increase, r.rate) == (2, 4.0, round(4 / 60, 6))
+    p = {r.id: (r.prev_ts, r.prev_value) for r in M.with_previous(df, ["s"], "ts", "v", "id").collect()}
+    assert p[3] == (T0 + dt.timedelta(seconds=30), None) and p[2] == (T0, 5.0)   # one row's time and value
+
+
+def test_health_covers_the_query_range_and_silent_jobs(spark):
+    rows = [(h * 10 + k, T0 + dt.timedelta(hours=h, minutes=1), job, "x", 1)
+            for k, (job, hours) in enumerate((("api", range(5)), ("db", range(2)))) for h in hours]
+    v = M.instant_range(spark.createDataFrame(rows, "id long, ts timestamp_ntz, job string, instance string, up int"),
+                        ["job", "instance"], "ts", "up", 3600, 3600, "id")
+    jobs = spark.createDataFrame([("api",), ("db",), ("ghost",)], "job string")
+    got = {(r.job, (r.step - T0).total_seconds() / 3600): r.status for r in M.health_status(v, "job", "up", 3600, jobs).collect()}
+    assert len(got) == 15 and got[("db", 2)] == "green" and got[("db", 3)] == got[("db", 5)] == got[("ghost", 1)] == "Offline"
+    end = F.lit(T0 + dt.timedelta(hours=7)).cast("timestamp_ntz")
+    assert M.health_status(v, "job", "up", 3600, jobs, end=end).count() == 21
+
+
+def test_gauge_uptime(spark):
+    start = (T0 - dt.datetime(1970, 1, 1)).total_seconds()
+    rows = [(1, T0 + dt.timedelta(minutes=1), "a", start), (2, T0 + dt.timedelta(minutes=9), "a", start + 500.0),
+            (3, T0 + dt.timedelta(minutes=1), "gone", start)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, s string, v double")
+    as_of = F.lit(T0 + dt.timedelta(minutes=10)).cast("timestamp_ntz")
+    assert [tuple(r) for r in M.gauge_uptime(df, ["s"], "ts", "v", as_of, 300, "id").collect()] == [("a", start + 500.0, 100.0)]
+
 
+def test_instant_range_lookback_longer_than_step(spark):
+    rnd = random.Random(2)
+    rows = [(i, T0 + dt.timedelta(seconds=rnd.randint(0, 7200)), f"s{i % 2}", float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, s string, v double")
+    for step, back in ((60, 300), (600, 900), (600, 250)):
+        got = {(r.step, r.s): (r.v, r.sample_ts) for r in M.instant_range(df, ["s"], "ts", "v", step, back, "id").collect()}
+        want = {}
+        for k in range(0, (7200 + back) // step + 2):
+            t = T0 + dt.timedelta(seconds=k * step)
+            for s in ("s0", "s1"):
+                inside = [(r[1], r[0], r[3]) for r in rows if r[2] == s and t - dt.timedelta(seconds=back) < r[1] <= t]
+                if inside:
+                    want[(t, s)] = (max(inside)[2], max(inside)[0])
+        assert got == want
 
 
 def test_instant_range_lookback_shorter_than_step(spark):
@@ -169,7 +171,5 @@ def test_instant_range_lookback_shorter_than_step(spark):
 def test_null_labels_and_null_increments(spark):
     rows = [(1, T0, None, 1), (2, T0 + dt.timedelta(minutes=1), None, None), (3, T0 + dt.timedelta(hours=2), None, 2)]
     df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, job string, inc long")
-    for layout in ("time", "range"):
-        got = {r.id: (r.job, r.counter) for r in
-               M.counter_from_increments(df, ["job"], "ts", "inc", "id", layout=layout).collect()}
-        assert got == {1: ("", 1), 2: ("", 1), 3: ("", 3)}, layout
+    got = {r.id: (r.job, r.counter) for r in M.counter_from_increments(df, ["job"], "ts", "inc", "id").collect()}
+    assert got == {1: ("", 1), 2: ("", 1), 3: ("", 3)}

@@ -61,7 +61,8 @@ def test_steps_end_to_end(spark, tmp_dir):
                                       "name string, region string, population long, area double, "
                                       "currency_codes string, iso2 string, iso3 string")
     write(countries, os.path.join(tmp_dir, "raw", "countries"))
-    assert countries_silver_step(spark, os.path.join(tmp_dir, "raw", "countries"), os.path.join(tmp_dir, "silver", "countries")) == 1
+    assert countries_silver_step(spark, os.path.join(tmp_dir, "raw", "countries"), os.path.join(tmp_dir, "silver", "countries"),
+                                 order_by=["name"]) == 1
     n = gold_countries_step(spark, os.path.join(tmp_dir, "silver", "countries"), os.path.join(tmp_dir, "gold"),
                             population_path=os.path.join(tmp_dir, "missing"), rates_path=None)
     assert n == 1

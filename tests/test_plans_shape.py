@@ -42,10 +42,16 @@ def test_partial_window_limits(spark):
         assert "WindowGroupLimit" in plan and "Partial" in plan, name
 
 
-def test_rate_shuffles_raw_samples_once(spark):
+def test_metric_queries_hash_aggregate_and_copy_only_panes(spark):
+    q = E.queries()
+    for name in [n for n in q if n.startswith("metric_")]:
+        plan = _plan(q[name](spark, SF_SMALL))
+        assert "SortAggregate" not in plan, name
+        # an explode or expand of samples would stand below every aggregate, next to the scan
+        for m in re.finditer(r"(Generate|Expand)", plan):
+            assert "HashAggregate" in plan[m.end():], name
+
+
+def test_rate_from_increments_needs_no_window(spark):
     plan = _plan(E.queries()["metric_rate_1d"](spark, SF_SMALL))
-    # two exchanges on (series, time_bucket): the raw samples once, and the
-    # partially aggregated bucket totals; none on the series alone over samples
-    bucket_exchanges = [m for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if "time_bucket" in m]
-    assert len(bucket_exchanges) == 2
-    assert "partial_max" in plan          # the bucket table is partially aggregated
+    assert "Window" not in plan.replace("window_", "") and "partial_min_by" in plan

@@ -9,7 +9,7 @@ from rivulet.sinks.files import (
 )
 from rivulet.sources.files import (
     file_facts, is_complete, is_fresh, read_csv, read_first_available, read_latest_version, read_lines,
-    is_complete_path, is_fresh_path, list_files, newest_file, read_newest_file,
+    is_complete_path, is_fresh_path, list_files, newest_dataset, read_newest_dataset,
 )
 
 
@@ -18,7 +18,9 @@ def test_csv_roundtrip_with_quotes_and_newlines(spark, tmp_dir):
                                "url string, description string, prix_ttc string")
     path = os.path.join(tmp_dir, "books_csv")
     assert write_csv(df, path) == 2
-    back = read_csv(spark, path)
+    from rivulet.sources.files import csv_rejects
+    back, bad = csv_rejects(read_csv(spark, path, multiline=True))
+    assert bad.count() == 0
     assert back.columns == ["url", "description", "prix_ttc"]
     got = {r.url: r for r in back.collect()}
     assert got["a"].description == 'He said "hi",\nthen left' and got["b"].prix_ttc == "Â£10.50"
@@ -82,12 +84,18 @@ def test_fallback_newest_file_and_gates(spark, tmp_dir):
     write_csv(spark.createDataFrame([("x",)], "a string"), silver)
     assert read_first_available(spark, [(gold, "parquet"), (silver, "csv")]).first().a == "x"
     folder = os.path.join(tmp_dir, "flat")
-    write(spark.createDataFrame([(1,)], "a int"), folder, mode="append")
-    write(spark.createDataFrame([(2,)], "a int"), folder, mode="append")
-    assert [r.a for r in read_newest_file(spark, folder).collect()] == [2]
-    rows, path = newest_file(spark, folder)
-    assert [r.a for r in rows.collect()] == [2] and path.endswith(".parquet")
-    assert len(list_files(spark, folder)) >= 2 and newest_file(spark, os.path.join(tmp_dir, "nope")) == (None, None)
+    write(spark.range(1000).repartition(4), os.path.join(folder, "load1"))
+    write(spark.range(500).repartition(4), os.path.join(folder, "load2"))
+    rows, path = newest_dataset(spark, folder)
+    assert rows.count() == 500 and path.endswith("load2") and read_newest_dataset(spark, folder).count() == 500
+    write(spark.range(7).coalesce(1), os.path.join(folder, "load3"))
+    os.remove(os.path.join(folder, "load3", "_SUCCESS"))               # still being written: not a dataset yet
+    assert newest_dataset(spark, folder)[1].endswith("load2")
+    write(spark.range(0), os.path.join(folder, "load4"))
+    assert newest_dataset(spark, folder)[0].isEmpty()                    # empty is empty, no older load instead
+    assert newest_dataset(spark, os.path.join(tmp_dir, "nope")) == (None, None)
+    folder = os.path.join(folder, "load2")
+    assert len(list_files(spark, folder)) == 4
     assert is_fresh_path(spark, folder, dt.datetime.now(dt.timezone.utc).date())
     assert not is_fresh_path(spark, folder, "2000-01-01")
     assert is_complete_path(spark, folder, 10) and not is_complete_path(spark, folder, 10 ** 9)
@@ -102,7 +110,7 @@ def test_fallback_newest_file_and_gates(spark, tmp_dir):
         assert str(t) == "2024-01-01"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
-    assert is_complete(df, min_rows=2) and not is_complete(df, min_rows=3)
+    assert is_complete(df, min_rows=2) and not is_complete(df, min_rows=501)
     assert is_complete(df, min_bytes=10) and not is_complete(df, min_bytes=10**9)
     assert file_facts(df).count() >= 2
 
@@ -130,3 +138,39 @@ def test_upsert_versioned_end_to_end(spark, tmp_dir):
         raise AssertionError("duplicate keys must be refused")
     except ValueError:
         pass
+
+
+def test_upsert_refuses_what_the_database_would_and_recovers(spark, tmp_dir):
+    import pytest
+
+    from rivulet.operators.upsert import upsert
+    from rivulet.plans.load import load_newest
+    s = "k string, v int"
+    target = spark.createDataFrame([("a", 1)], s)
+    with pytest.raises(ValueError):
+        upsert(target, spark.createDataFrame([("a", 1, 2)], "k string, v int, extra int"), ["k"], ["v"])
+    with pytest.raises(Exception, match="null key"):
+        upsert(target, spark.createDataFrame([(None, 1)], s), ["k"], ["v"]).collect()
+    root, raw, audit = (os.path.join(tmp_dir, x) for x in ("table", "raw", "audit"))
+    os.makedirs(os.path.join(root, "version=20240101_000000"))            # a first load that failed
+    write(spark.createDataFrame([("a", 1), ("b", 2)], s).repartition(2), os.path.join(raw, "b1"))
+    load_newest(spark, raw, root, audit, "t", ["k"], ["v"], stamp="20240102_000000")
+    write(spark.createDataFrame([("b", 5), ("c", 6)], s).repartition(2), os.path.join(raw, "b2"))
+    load_newest(spark, raw, root, audit, "t", ["k"], ["v"], "object store", "20240103_000000")
+    assert sorted(tuple(r) for r in read_latest_version(spark, root).select("k", "v").collect()) == [("a", 1), ("b", 5), ("c", 6)]
+    got = [tuple(r) for r in spark.read.parquet(audit).orderBy("loaded_at").select("rows_loaded", "source").collect()]
+    assert got == [(2, "local"), (2, "object store")]
+    with pytest.raises(ValueError, match="null key"):
+        upsert_versioned(spark, spark.createDataFrame([(None, 1)], s), root, audit, "t", ["k"], ["v"])
+
+
+def test_csv_keeps_white_space_and_marks_odd_lines(spark, tmp_dir):
+    from rivulet.sources.files import csv_rejects, read_csv
+    path = os.path.join(tmp_dir, "c")
+    write_csv(spark.createDataFrame([(" x ", 'q"uote, and'), ("y", None)], "a string, b string"), path)
+    good, bad = csv_rejects(read_csv(spark, path))
+    assert sorted(map(tuple, good.collect()), key=str) == [(" x ", 'q"uote, and'), ("y", None)] and bad.count() == 0
+    with open(os.path.join(tmp_dir, "odd.csv"), "w") as f:
+        f.write("a,b\n1,2\n3\n4,5,6\n")
+    good, bad = csv_rejects(read_csv(spark, os.path.join(tmp_dir, "odd.csv")))
+    assert [tuple(r) for r in good.collect()] == [("1", "2")] and sorted(r[-1] for r in bad.collect()) == ["3", "4,5,6"]
