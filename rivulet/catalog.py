@@ -1089,3 +1089,7 @@ def metric_rate_5m(spark, sf):
     windows hold one sample and have no rate)."""
     return M.counter_rate_from_increments(_samples(spark, sf), ["job", "instance"], "ts", "inc", "event_id",
                                           window="5 minutes", slide="1 minute")
+
+
+# further queries register themselves; they use the helpers above
+from rivulet import catalog_bi, catalog_sources  # noqa: E402, F401

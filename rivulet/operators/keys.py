@@ -36,6 +36,21 @@ def dense_ids(df: DataFrame, name_col: str, id_col: str = "id", checkpoint: bool
 
 
 def hashed_ids(df: DataFrame, name_col: str, id_col: str = "id") -> DataFrame:
-    """Stable 64-bit ids from the name alone (no ordering, no extra job)."""
-    return (df.select(name_col).filter(F.col(name_col).isNotNull()).distinct()
-              .select(F.xxhash64(name_col).alias(id_col), name_col))
+    """Stable 64-bit ids from the name alone (no ordering, no extra job); two names of one hash fail the job."""
+    per_id = (df.select(name_col).filter(F.col(name_col).isNotNull()).distinct()
+              .groupBy(F.xxhash64(name_col).alias(id_col)).agg(F.min(name_col).alias(name_col), F.max(name_col).alias("_other")))
+    clash = F.concat(F.lit("hash collision: "), F.col(name_col), F.lit(" / "), F.col("_other"))
+    return per_id.select(id_col, F.when(F.col(name_col) == F.col("_other"), F.col(name_col)).otherwise(F.raise_error(clash)).alias(name_col))
+
+
+def extend_ids(existing: DataFrame, df: DataFrame, name_col: str, id_col: str = "id") -> DataFrame:
+    """``existing`` (id, name) plus the names it lacks, numbered on from its greatest id in name order.
+
+    Stored ids never change, so foreign keys that point at them stay valid
+    across loads, as with a SERIAL column.
+    """
+    known = existing.select(F.col(name_col).alias("_known"))
+    new = df.select(name_col).join(known, F.col(name_col) == F.col("_known"), "left_anti")
+    top = F.coalesce(existing.select(F.max(id_col)).scalar(), F.lit(0))
+    return existing.select(id_col, name_col).union(
+        dense_ids(new, name_col, id_col).select((F.col(id_col) + top).alias(id_col), name_col))

@@ -1,72 +1,129 @@
-"""BI charts of the gold tables, as DataFrames and as SQL over temp views."""
+"""BI charts of the gold tables: one definition, a DataFrame form and a SQL form.
+
+A chart names its table, its group columns, its measures, a filter, its order
+and a row limit.  :meth:`Chart.frame` builds it with the DataFrame API,
+:meth:`Chart.sql` as the text for a SQL lab; both give the same rows.  Descending
+orders put nulls first, as the database the charts ran on does, and end in the
+group columns, so a cut is the same every time.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.clean import round_half_even
-from rivulet.operators.aggregates import avg_by, count_by, share_of_total, totals
-from rivulet.operators.topk import order_desc, top_k, top_k_of_group_max
 
 
-def books_by_category(details: DataFrame) -> DataFrame:
-    return order_desc(count_by(details, "category", "nb"), "nb", ["category"])
+@dataclass(frozen=True)
+class Chart:
+    """``measures``: output name -> (function, column); no function: the plain column.  ``digits`` rounds that many places."""
+    table: str
+    group: tuple[str, ...] = ()
+    measures: dict[str, tuple[str, str]] = field(default_factory=dict)
+    where: str = ""           # a column that must not be null
+    order: str = ""           # the measure or column to sort by, descending
+    limit: int = 0
+    digits: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def aggregates(self) -> bool:
+        return any(fn for fn, _ in self.measures.values())
+
+    def frame(self, df: DataFrame) -> DataFrame:
+        src = df.filter(F.col(self.where).isNotNull()) if self.where else df
+        if self.aggregates:
+            made = [(F.count(F.lit(1)) if c == "*" else getattr(F, fn)(c)).alias(out) for out, (fn, c) in self.measures.items()]
+            src = src.groupBy(*self.group).agg(*made) if self.group else src.agg(*made)
+        else:
+            src = src.select(*self.group, *[F.col(c).alias(out) for out, (_, c) in self.measures.items()])
+        src = src.withColumns({c: round_half_even(c, n) for c, n in self.digits.items()})
+        if self.order:
+            src = src.orderBy(F.col(self.order).desc_nulls_first(), *[c for c in self.group if c != self.order])
+        return src.limit(self.limit) if self.limit else src
+
+    def sql(self) -> str:
+        scale = {c: 10 ** n for c, n in self.digits.items()}
+
+        def shown(out: str, fn: str, c: str) -> str:
+            e = f"{fn}({c})" if fn else c
+            return f"rint(({e}) * {scale[out]}) / {scale[out]} AS {out}" if out in scale else f"{e} AS {out}"
+        text = ["SELECT " + ", ".join([*self.group, *[shown(o, *m) for o, m in self.measures.items()]]), f"FROM {self.table}"]
+        if self.where:
+            text.append(f"WHERE {self.where} IS NOT NULL")
+        if self.aggregates and self.group:
+            text.append("GROUP BY " + ", ".join(self.group))
+        if self.order:
+            text.append("ORDER BY " + ", ".join([f"{self.order} DESC NULLS FIRST", *[c for c in self.group if c != self.order]]))
+        if self.limit:
+            text.append(f"LIMIT {self.limit}")
+        return " ".join(text)
+
+
+# --- fixed values: table and column names of the gold tables ---------------
+DETAILS, ANALYTICS, ENRICHED = "gold_books_details", "gold_books_analytics", "gold_countries_enriched"
+_MEAN_PRICES = {c: ("", c) for c in ("prix_moyen_gbp", "prix_moyen_eur", "prix_moyen_usd")}
+
+#: The thirteen charts, in the dashboard's order.
+CHARTS = {
+    "books_by_category": Chart(DETAILS, ("category",), {"nb": ("count", "*")}, order="nb"),
+    "top_price_per_title": Chart(DETAILS, ("titre",), {"price_gbp": ("max", "price_gbp")}, order="price_gbp", limit=10),
+    "revenue_by_category": Chart(DETAILS, ("category",), {"revenue": ("sum", "price_gbp")}, order="revenue", digits={"revenue": 2}),
+    "stock_total": Chart(DETAILS, (), {"stock_total": ("sum", "stock")}),
+    "books_total": Chart(DETAILS, (), {"books": ("count", "*")}),
+    "mean_prices_by_category": Chart(ANALYTICS, ("categorie",), _MEAN_PRICES, order="prix_moyen_gbp"),
+    "stock_by_category": Chart(ANALYTICS, ("categorie",), {"stock_total": ("", "stock_total")}, order="stock_total"),
+    "countries_by_region": Chart(ENRICHED, ("region",), {"nb_pays": ("count", "*")}, order="nb_pays"),
+    "top_population_per_country": Chart(ENRICHED, ("pays",), {"population": ("max", "population_banque_mondiale")}, order="population", limit=20),
+    "population_and_area": Chart(ENRICHED, ("region", "superficie_km2", "population_api_countries")),
+    "rate_by_currency": Chart(ENRICHED, ("devise_principale",), {"taux": ("avg", "taux_change_vs_gbp")}, "taux_change_vs_gbp", "taux",
+                              digits={"taux": 6}),
+    "countries_total": Chart(ENRICHED, (), {"nb_pays": ("count", "*")}),
+    "country_table": Chart(ENRICHED, ("pays", "region", "capitale", "population_banque_mondiale", "devise_principale", "taux_change_vs_gbp")),
+}
+
+#: The seven SQL-lab forms; two are row lists, the others charts of above.
+SQL = {
+    "books_by_category": CHARTS["books_by_category"],
+    "top_priced_books": Chart(DETAILS, ("titre", "price_gbp"), order="price_gbp", limit=10),
+    "stock_total": CHARTS["stock_total"],
+    "avg_price_by_category": CHARTS["mean_prices_by_category"],
+    "top_populated": Chart(ENRICHED, ("pays", "population_banque_mondiale", "region"), where="population_banque_mondiale",
+                           order="population_banque_mondiale", limit=20),
+    "rate_by_currency": CHARTS["rate_by_currency"],
+    "countries_by_region": CHARTS["countries_by_region"],
+}
 
 
-def top_priced_books(details: DataFrame, k: int = 10) -> DataFrame:
-    return top_k(details.select("titre", "price_gbp"), "price_gbp", k, ["titre"])
+def books_by_category(details: DataFrame) -> DataFrame:
+    return CHARTS["books_by_category"].frame(details)
 
 
-def revenue_share(details: DataFrame) -> DataFrame:
-    return share_of_total(details, "category", "price_gbp", "revenue", "share")
+def top_priced_books(details: DataFrame) -> DataFrame:
+    return SQL["top_priced_books"].frame(details)
 
 
 def stock_total(details: DataFrame) -> DataFrame:
-    return totals(details, {"stock_total": F.sum("stock"), "books": F.count(F.lit(1))})
+    """Charts 4 and 5 in one pass."""
+    return details.agg(F.sum("stock").alias("stock_total"), F.count(F.lit(1)).alias("books"))
 
 
-def top_populated(enriched: DataFrame, k: int = 20) -> DataFrame:
-    src = enriched.filter(F.col("population_banque_mondiale").isNotNull()) \
-                  .select("pays", "population_banque_mondiale", "region")
-    return top_k(src, "population_banque_mondiale", k, ["pays"])
+def top_populated(enriched: DataFrame) -> DataFrame:
+    return SQL["top_populated"].frame(enriched)
 
 
-def rate_by_currency(enriched: DataFrame, digits: int = 6) -> DataFrame:
-    """Mean rate per main currency, rounded (a mean of one repeated double
-    differs in its last bits with the summation order)."""
-    g = avg_by(enriched, "devise_principale", "taux_change_vs_gbp", "taux",
-               where=F.col("taux_change_vs_gbp").isNotNull())
-    g = g.withColumn("taux", round_half_even("taux", digits))
-    return order_desc(g, "taux", ["devise_principale"])
+def rate_by_currency(enriched: DataFrame) -> DataFrame:
+    return CHARTS["rate_by_currency"].frame(enriched)
 
 
 def countries_by_region(enriched: DataFrame) -> DataFrame:
-    return order_desc(count_by(enriched, "region", "nb_pays"), "nb_pays", ["region"])
-
-
-def top_max_population(enriched: DataFrame, k: int = 20) -> DataFrame:
-    return top_k_of_group_max(enriched, "pays", "population_banque_mondiale", k)
-
-
-# The SQL-lab forms of the same charts, run by ``spark.sql`` over temp views.
-# DESC sorts put nulls first, as the SQL database the charts ran on does.
-SQL = {
-    "books_by_category": "SELECT category, count(*) AS nb FROM gold_books_details GROUP BY 1 ORDER BY 2 DESC NULLS FIRST",
-    "top_priced_books": "SELECT titre, price_gbp FROM gold_books_details ORDER BY 2 DESC NULLS FIRST, 1 LIMIT 10",
-    "stock_total": "SELECT sum(stock) AS stock_total FROM gold_books_details",
-    "avg_price_by_category": ("SELECT categorie, prix_moyen_gbp, prix_moyen_eur, prix_moyen_usd "
-                              "FROM gold_books_analytics ORDER BY prix_moyen_gbp DESC NULLS FIRST"),
-    "top_populated": ("SELECT pays, population_banque_mondiale, region FROM gold_countries_enriched "
-                      "WHERE population_banque_mondiale IS NOT NULL "
-                      "ORDER BY population_banque_mondiale DESC NULLS FIRST, pays LIMIT 20"),
-    "rate_by_currency": ("SELECT devise_principale, AVG(taux_change_vs_gbp) AS taux FROM gold_countries_enriched "
-                         "WHERE taux_change_vs_gbp IS NOT NULL GROUP BY 1 ORDER BY 2 DESC NULLS FIRST"),
-    "countries_by_region": "SELECT region, COUNT(*) AS nb_pays FROM gold_countries_enriched GROUP BY 1 ORDER BY 2 DESC NULLS FIRST",
-}
+    return CHARTS["countries_by_region"].frame(enriched)
 
 
 def run_sql(spark: SparkSession, name: str, views: dict[str, DataFrame]) -> DataFrame:
+    """A SQL-lab form over temp views of the gold tables."""
     for v, df in views.items():
         df.createOrReplaceTempView(v)
-    return spark.sql(SQL[name])
+    return spark.sql(SQL[name].sql())

@@ -40,9 +40,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 def csv_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(whole rows without the marker column, rejected rows)`` of :func:`read_csv`."""
     bad = F.col(CORRUPT)
-    # Spark refuses a CSV scan of the marker column alone (a plain count would be one): always read a data column too
-    first = next(c for c in df.columns if c != CORRUPT)
-    read = F.length(F.coalesce(F.col(f"`{first}`").cast("string"), F.lit(""))) >= 0
+    # the marker is right only where all columns are parsed, so the filter names them all: pruned scans miss bad
+    # lines, and Spark refuses a scan of the marker alone
+    texts = [F.length(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) for c in df.columns if c != CORRUPT]
+    read = F.aggregate(F.array(*texts), F.lit(0), lambda x, y: x + y) >= 0
     return df.filter(bad.isNull() & read).drop(CORRUPT), df.filter(bad.isNotNull() & read)
 
 

@@ -86,7 +86,7 @@ def test_steps_end_to_end(spark, tmp_dir):
     assert read_latest_version(spark, os.path.join(tmp_dir, "silver", "population")).count() == 1
     wine = spark.createDataFrame([("w", "France", "Red", "10", "5")], "title string, country string, variety string, price string, points string")
     write(wine, os.path.join(tmp_dir, "raw", "wine"))
-    assert wine_silver_step(spark, os.path.join(tmp_dir, "raw", "wine"), os.path.join(tmp_dir, "silver", "wine")) == 1
+    assert wine_silver_step(spark, os.path.join(tmp_dir, "raw", "wine"), os.path.join(tmp_dir, "silver", "wine"), order_by=["variety"]) == 1
 
 
 CATALOGUE = """<ol class="row"><li><article class="product_pod"><div class="image_container">
