@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet import fixtures as fx
-from rivulet.catalog import _R, _io_root, _rnd, _t, register
+from rivulet.catalog import ORACLE, _R, _io_root, _rnd, _t, _upsert_inputs, register
 from rivulet.functions.clean import clean_availability, version_stamp
 from rivulet.operators.flatten import flatten_rates, split_countries, split_observations, split_rates
 from rivulet.operators.joins import latest_per_key
 from rivulet.operators.keys import dense_ids, extend_ids
 from rivulet.operators.quality import duplicate_keys, fk_summary, null_violations, orphans
 from rivulet.plans.books import book_links, book_records, gold_books_details
+from rivulet.plans.bucketed import read_buckets, upsert_buckets
 from rivulet.plans.countries import gold_countries_enriched
 from rivulet.plans.load import load_newest
 from rivulet.plans.silver import rates_silver
@@ -241,3 +242,13 @@ def surrogate_keys_extended(spark, sf):
     """A second load adds brands: known ones keep their ids, new ones follow."""
     p = _t(spark, sf, "part")
     return extend_ids(dense_ids(p.filter("p_partkey % 40 = 0"), "p_brand", "id"), p, "p_brand", "id")
+
+
+@register("upsert_bucketed_load", ORACLE["upsert_orders"])
+def upsert_bucketed_load(spark, sf):
+    """The same two loads as buckets of a table: only touched buckets are written again."""
+    root = _io_root(spark, "buckets")
+    target, updates = _upsert_inputs(spark, sf)
+    upsert_buckets(spark, target, root, ["o_orderkey"], ["o_totalprice"], "20240101_000000", n_buckets=16)
+    upsert_buckets(spark, updates, root, ["o_orderkey"], ["o_totalprice"], "20240102_000000")
+    return read_buckets(spark, root)

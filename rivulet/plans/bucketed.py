@@ -1,0 +1,104 @@
+"""Upserts that rewrite only the touched part of a table.
+
+Layout under the table's root::
+
+    data/version=<stamp>/bucket=<n>/part-*       rows whose key hashes to the bucket
+    manifest/version=<stamp>/part-*              (bucket, version): where each bucket's rows are ('' while it has none)
+
+A load writes the buckets that its batch touches under its own version and a
+manifest that points to them and, for all other buckets, to where they were.
+Readers take the newest complete manifest, so a load is visible as a whole or
+not at all, and a retried load replaces its own leftovers.  A manifest has one
+row per bucket, whatever the table's size.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rivulet.operators.upsert import upsert
+from rivulet.plans.load import batch_size_checked
+from rivulet.sinks.files import load_audit_row, write
+from rivulet.sources.files import _fs_and_path, latest_version_path
+
+BUCKET = "_bucket"
+
+
+def _manifest(spark: SparkSession, root: str) -> dict[int, str]:
+    path = latest_version_path(spark, f"{root}/manifest")
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(path).collect()} if path else {}
+
+
+def _folder(root: str, bucket: int, version: str) -> str:
+    return f"{root}/data/version={version}/{BUCKET}={bucket}"
+
+
+def read_buckets(spark: SparkSession, root: str) -> DataFrame:
+    """The table as of its newest complete load."""
+    root = root.rstrip("/")
+    where = _manifest(spark, root)
+    if not where:
+        raise FileNotFoundError(f"no complete load under {root}")
+    return spark.read.parquet(*[_folder(root, b, v) for b, v in sorted(where.items()) if v])
+
+
+def upsert_buckets(spark: SparkSession, batch: DataFrame, root: str, keys: Sequence[str], update_cols: Sequence[str], stamp: str,
+                   n_buckets: int = 64, audit_root: str | None = None, table_name: str = "", source: str = "local",
+                   keep: int = 2) -> list[int]:
+    """Merge ``batch`` into the table and return the buckets rewritten.
+
+    The batch is evaluated once, into a staging folder; null and duplicate keys
+    and unknown columns are refused as by :func:`rivulet.operators.upsert.upsert`.
+    ``n_buckets`` is fixed by the first load.  The ``keep`` newest loads stay
+    readable; buckets that none of them points to are deleted.
+    """
+    root, keys = root.rstrip("/"), list(keys)
+    where = _manifest(spark, root)
+    n = (max(where) + 1) if where else n_buckets  # a first load writes a manifest row for every bucket
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+    staged_path = f"{root}/staging/version={stamp}"
+    rows = write(batch.withColumn(BUCKET, bucket), staged_path)
+    staged = spark.read.parquet(staged_path)
+    batch_size_checked(staged, keys)
+    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())  # n_buckets at most
+    old = [_folder(root, b, where[b]) for b in touched if where.get(b)]
+    new = staged.drop(BUCKET)
+    merged = upsert(spark.read.parquet(*old), new, keys, update_cols) if old else new
+    write(merged.withColumn(BUCKET, bucket).repartition(BUCKET), f"{root}/data/version={stamp}", partition_by=[BUCKET])
+    place = {b: where.get(b, "") for b in range(n)} | {b: stamp for b in touched}
+    entries = spark.createDataFrame([(b, v) for b, v in sorted(place.items())], "bucket int, version string")
+    write(entries.coalesce(1), f"{root}/manifest/version={stamp}")
+    if audit_root:
+        write(load_audit_row(spark, table_name, rows, f"{root}/data/version={stamp}", source), audit_root, mode="append")
+    _retain(spark, root, keep)
+    return touched
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = _fs_and_path(spark, folder)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(x.removeprefix("version=") for x in names if x.startswith("version="))
+
+
+def _retain(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete manifests beyond the newest ``keep``, the buckets only they point to, and staging folders."""
+    def delete(path: str) -> None:
+        fs, p = _fs_and_path(spark, path)
+        fs.delete(p, True)
+
+    kept = _versions(spark, f"{root}/manifest")[-max(1, keep):]
+    used = {(r["version"], r["bucket"]) for v in kept for r in spark.read.parquet(f"{root}/manifest/version={v}").collect()}
+    for v in _versions(spark, f"{root}/data"):
+        fs, p = _fs_and_path(spark, f"{root}/data/version={v}")
+        buckets = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(p) if st.getPath().getName().startswith(f"{BUCKET}=")]
+        for b in [b for b in buckets if (v, b) not in used and v < kept[-1]]:
+            delete(_folder(root, b, v))
+    for v in _versions(spark, f"{root}/manifest"):
+        if v < kept[0]:
+            delete(f"{root}/manifest/version={v}")
+    for v in _versions(spark, f"{root}/staging"):
+        if v <= kept[-1]:
+            delete(f"{root}/staging/version={v}")

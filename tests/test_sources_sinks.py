@@ -174,3 +174,30 @@ def test_csv_keeps_white_space_and_marks_odd_lines(spark, tmp_dir):
         f.write("a,b\n1,2\n3\n4,5,6\n")
     good, bad = csv_rejects(read_csv(spark, os.path.join(tmp_dir, "odd.csv")))
     assert [tuple(r) for r in good.collect()] == [("1", "2")] and sorted(r[-1] for r in bad.collect()) == ["3", "4,5,6"]
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    import glob
+
+    import pytest
+
+    from rivulet.plans.bucketed import read_buckets, upsert_buckets
+    root, audit = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "audit")
+    s = "k long, v int, w int"
+    base = spark.range(200).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit(1).alias("w"))
+    assert len(upsert_buckets(spark, base, root, ["k"], ["v"], "20240101_000000", 8, audit, "t")) == 8
+    before = set(glob.glob(f"{root}/data/*/*/part-*"))
+    touched = upsert_buckets(spark, spark.createDataFrame([(5, 7, 9), (1000, 3, 3)], s), root, ["k"], ["v"], "20240102_000000", 8, audit, "t")
+    assert 1 <= len(touched) <= 2 and before <= set(glob.glob(f"{root}/data/*/*/part-*"))
+    assert {int(p.split("_bucket=")[1].split("/")[0]) for p in glob.glob(f"{root}/data/version=20240102_000000/*/part-*")} == set(touched)
+    got = {r.k: (r.v, r.w) for r in read_buckets(spark, root).collect()}
+    assert len(got) == 201 and got[5] == (7, 1) and got[1000] == (3, 3) and got[6] == (1, 1)
+    upsert_buckets(spark, spark.createDataFrame([(5, 8, 9)], s), root, ["k"], ["v"], "20240103_000000", 8, audit, "t", keep=1)
+    five = [p for p in glob.glob(f"{root}/data/*/*/part-*") if f"_bucket={touched[0]}/" in p]
+    assert {r.k: r.v for r in read_buckets(spark, root).collect()}[5] == 8 and read_buckets(spark, root).count() == 201
+    assert len(glob.glob(f"{root}/manifest/version=*")) == 1 and not glob.glob(f"{root}/staging/version=*") and five
+    for bad in ([(None, 1, 1)], [(1, 1, 1), (1, 2, 2)]):
+        with pytest.raises(ValueError):
+            upsert_buckets(spark, spark.createDataFrame(bad, s), root, ["k"], ["v"], "20240104_000000", 8)
+    assert read_buckets(spark, root).count() == 201
+    assert spark.read.parquet(audit).count() == 3
