@@ -9,7 +9,10 @@ what the word rules of the operators ask for.
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -40,6 +43,37 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per context, as ``--py-files`` would.
+
+    The archive goes through the shared checkpoint folder, so a task on any
+    machine can import the operators however the driver came to know them.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_rivulet_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/code-{uuid.uuid4().hex}/rivulet.zip"
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    out.write(data.getvalue())
+    out.close()
+    context.addPyFile(path)
+    context._rivulet_shipped = True
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` on executors that have this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batch: pa.RecordBatch, text: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about ``max_bytes`` of text (one row at least)."""
     start = total = 0
@@ -78,7 +112,7 @@ def append_columns(df: DataFrame, text_col: str, make: Callable[[], Callable[[li
                 new = [pa.array(v, type=t) for v, t in zip(work(texts), types)]
                 yield pa.RecordBatch.from_arrays(piece.columns[1:] + new, names=out_names)
 
-    return source.mapInArrow(run, schema).toDF(*names, *[n for n, _ in fields])
+    return map_batches(source, run, schema).toDF(*names, *[n for n, _ in fields])
 
 
 def save_and_reread(df: DataFrame, label: str) -> DataFrame:

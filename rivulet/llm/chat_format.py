@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rivulet.llm.batches import map_batches
+
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 EVENT = "conv_id, turn, copy, seq, kind, role, text, start, stop".split(", ")
 
@@ -119,8 +121,8 @@ def format_events(events: DataFrame, trained: str = "assistant") -> DataFrame:
     log = events.select("conv_id", *[F.col(c).cast("bigint").alias(c) for c in ("turn", "copy", "seq")],
                         *[F.col(c).cast("string").alias(c) for c in ("kind", "role", "text")],
                         *[F.col(c).cast("bigint").alias(c) for c in ("start", "stop")])
-    return (log.repartition(*keys).sortWithinPartitions(*keys, "seq", "kind", "text", "start", "stop")
-            .mapInArrow(run, f"conv_id {ids}, turn bigint, copy bigint, formatted string, mask_start bigint, mask_stop bigint"))
+    dealt = log.repartition(*keys).sortWithinPartitions(*keys, "seq", "kind", "text", "start", "stop")
+    return map_batches(dealt, run, (f"conv_id {ids}, turn bigint, copy bigint, formatted string, mask_start bigint, mask_stop bigint"))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -160,8 +162,8 @@ def digests(formatted: DataFrame) -> DataFrame:
         if begun:
             yield packed([row()])
 
-    return (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "copy").mapInArrow(
-        run, f"conv_id {ids}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"))
+    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "copy")
+    return map_batches(dealt, run, (f"conv_id {ids}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"))
 
 
 def replayed(conversations: DataFrame) -> DataFrame:

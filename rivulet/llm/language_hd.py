@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.batches import append_columns, col, slices
+from rivulet.llm.batches import append_columns, col, map_batches, slices
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -139,7 +139,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", where
             [pa.array(list(sums), pa.string()), pa.array([np.rint(v * 2 ** 20).astype(np.int64) for v in sums.values()],
                                                          pa.list_(pa.int64()))], names=["lang", "v"])
 
-    rows = (labelled.mapInArrow(run, "lang string, v array<bigint>")
+    rows = (map_batches(labelled, run, "lang string, v array<bigint>")
             .select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
             .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))  # one entry per dimension
             .collect())  # one row per language

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.batches import col, save_and_reread, slices
+from rivulet.llm.batches import col, map_batches, save_and_reread, slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -94,7 +94,7 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
                     names=["id", "piece", "start", "length", "ids_crc32"])
 
     kind = source.schema[1].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return map_batches(source, run, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 # --- plan -----------------------------------------------------------------------------------
@@ -316,5 +316,5 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
                                              names=[*batch.schema.names[:5], "sequence_id", "offset"])
 
     kind = cut.schema[0].dataType.simpleString()
-    return numbered.mapInArrow(place, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
+    return map_batches(numbered, place, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
                                       "sequence_id bigint, offset bigint").withColumnRenamed("id", id_col)

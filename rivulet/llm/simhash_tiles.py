@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.batches import append_columns, col, save_and_reread
+from rivulet.llm.batches import append_columns, col, map_batches, save_and_reread
 
 HASH_SEED = 42
 
@@ -206,7 +206,7 @@ def link_tiles(tiles: DataFrame, max_bits: int) -> DataFrame:
             yield linked(rest, bounds)
 
     dealt = tiles.repartition(*keys).sortWithinPartitions(*keys, "side", "pop")
-    return dealt.select(*keys, "side", "pop", "fp").mapInArrow(run, "a bigint, b bigint")
+    return map_batches(dealt.select(*keys, "side", "pop", "fp"), run, "a bigint, b bigint")
 
 
 # --- components -----------------------------------------------------------------------------

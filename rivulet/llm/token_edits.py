@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.batches import append_columns, col, slices
+from rivulet.llm.batches import append_columns, col, map_batches, slices
 from rivulet.llm.packing import default_vocabulary, encoder
 
 LEAF = 64
@@ -204,5 +204,5 @@ def apply_edits(trees: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 types = [pa.string(), ints, ints] + [pa.int64()] * 4
                 yield pa.RecordBatch.from_arrays([part.column(1)] + [pa.array(v, t) for v, t in zip(new, types)], names=names)
 
-    return source.mapInArrow(run, f"id {kind}, text string, leaf_chars array<int>, leaf_tokens array<int>, "
+    return map_batches(source, run, f"id {kind}, text string, leaf_chars array<int>, leaf_tokens array<int>, "
                                   "n_tokens_before bigint, n_tokens bigint, n_edits bigint, reencoded_chars bigint").withColumnRenamed("id", id_col)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.batches import append_columns, col, slices
+from rivulet.llm.batches import append_columns, col, map_batches, slices
 
 # Characters that look like a Latin letter, and signs used in its place.
 HOMOGLYPHS = {"a": "аα", "b": "вβ", "c": "сϲ", "e": "еε", "h": "һ", "i": "іιı", "j": "ј", "k": "кκ", "m": "м",
@@ -147,7 +147,7 @@ def count_patterns(texts: DataFrame, prefixes: tuple[int, ...]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names, pa.string()), pa.array([seen[1][x] for x in names], pa.int64()),
                      pa.array([seen[0][x] for x in names], pa.int64())], names=["pattern", "toxic", "clean"])
-    return (texts.mapInArrow(run, "pattern string, toxic bigint, clean bigint")
+    return (map_batches(texts, run, "pattern string, toxic bigint, clean bigint")
             .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
@@ -185,7 +185,7 @@ def calibrate(bins: list[tuple[float, int, int]], ridge: float = 1.0) -> tuple[f
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_labelled: int = 200_000, lexicon_size: int = 2000, min_odds: float = 3.5, prefixes: tuple[int, ...] = (4, 5, 6),
+        max_labelled: int = 200_000, lexicon_size: int = 2000, min_odds: float = 3.5, prefixes: tuple[int, ...] = (3, 4, 5, 6, 7, 8),
         exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learn the lexicon and its calibration from labelled documents (``max_labelled`` of them at most).
 
