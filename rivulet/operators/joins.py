@@ -9,6 +9,7 @@ and whose skewed partitions AQE splits.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,9 +52,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """Mark ``df`` for broadcast only after checking it has at most ``max_rows``
     rows and ``max_bytes`` bytes (fixed widths plus actual text lengths).
 
-    One job over at most ``max_rows + 1`` rows, so it is cheap for small sides
-    and bounded for large ones.
+    One job over at most ``max_rows + 1`` rows.  It is meant for stored
+    dimensions: a side that is itself joined, grouped or sorted is returned
+    without a hint (counting it would run its shuffles twice) and is left to
+    the adaptive planner, which measures it anyway.
     """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if re.search(r"\b(Join|Aggregate|Distinct|Sort|Window|Repartition\w*|Generate)\b", plan):
+        return df
     r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     if r["n"] <= max_rows and (r["b"] or 0) <= max_bytes:
         return F.broadcast(df)
