@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.clean import round_half_even
+from rivulet.operators.aggregates import share_of_total
 
 
 @dataclass(frozen=True)
@@ -105,6 +106,11 @@ def top_priced_books(details: DataFrame) -> DataFrame:
     return SQL["top_priced_books"].frame(details)
 
 
+def revenue_share(details: DataFrame) -> DataFrame:
+    """Chart 3 with each category's share of the whole."""
+    return share_of_total(details, "category", "price_gbp", "revenue", "share")
+
+
 def stock_total(details: DataFrame) -> DataFrame:
     """Charts 4 and 5 in one pass."""
     return details.agg(F.sum("stock").alias("stock_total"), F.count(F.lit(1)).alias("books"))
