@@ -9,7 +9,7 @@ group columns, so a cut is the same every time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,8 +102,8 @@ def books_by_category(details: DataFrame) -> DataFrame:
     return CHARTS["books_by_category"].frame(details)
 
 
-def top_priced_books(details: DataFrame) -> DataFrame:
-    return SQL["top_priced_books"].frame(details)
+def top_priced_books(details: DataFrame, k: int = 10) -> DataFrame:
+    return replace(SQL["top_priced_books"], limit=k).frame(details)
 
 
 def revenue_share(details: DataFrame) -> DataFrame:
@@ -116,8 +116,8 @@ def stock_total(details: DataFrame) -> DataFrame:
     return details.agg(F.sum("stock").alias("stock_total"), F.count(F.lit(1)).alias("books"))
 
 
-def top_populated(enriched: DataFrame) -> DataFrame:
-    return SQL["top_populated"].frame(enriched)
+def top_populated(enriched: DataFrame, k: int = 20) -> DataFrame:
+    return replace(SQL["top_populated"], limit=k).frame(enriched)
 
 
 def rate_by_currency(enriched: DataFrame) -> DataFrame:
