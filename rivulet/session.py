@@ -6,7 +6,9 @@ for tests and the benchmark, which build one with :func:`local_session`.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,6 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. hdfs:// or s3a://)")
     path = tempfile.mkdtemp(prefix="rivulet-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(path)
     return path
 

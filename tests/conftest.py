@@ -21,3 +21,16 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="rivulet-test-")
+
+
+@pytest.fixture(scope="session")
+def query_frame(spark):
+    """name -> the registered query's DataFrame on the smallest tables, built once for all tests."""
+    import __spark_entry__ as entry
+    queries, built = entry.queries(), {}
+
+    def get(name):
+        if name not in built:
+            built[name] = queries[name](spark, SF_SMALL)
+        return built[name]
+    return get

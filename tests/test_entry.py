@@ -24,13 +24,13 @@ def _norm(v):
     return v.isoformat() if hasattr(v, "isoformat") else v
 
 
-def test_queries_match_oracle_on_smallest_scale(spark):
+def test_queries_match_oracle_on_smallest_scale(query_frame):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     failures = []
     for name, sql in E.oracle_sql().items():
-        df = E.queries()[name](spark, SF_SMALL)
+        df = query_frame(name)
         cols = sorted(df.columns)
         a = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
         cur = con.execute(sql)

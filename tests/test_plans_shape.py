@@ -13,10 +13,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_cross_joins_or_python_in_any_query(spark):
+def test_no_cross_joins_or_python_in_any_query(query_frame):
     bad = {}
-    for name, fn in E.queries().items():
-        plan = _plan(fn(spark, SF_SMALL))
+    for name in E.queries():
+        plan = _plan(query_frame(name))
         hits = [f for f in FORBIDDEN if f in plan]
         if hits:
             bad[name] = hits
@@ -42,10 +42,9 @@ def test_partial_window_limits(spark):
         assert "WindowGroupLimit" in plan and "Partial" in plan, name
 
 
-def test_metric_queries_hash_aggregate_and_copy_only_panes(spark):
-    q = E.queries()
-    for name in [n for n in q if n.startswith("metric_")]:
-        plan = _plan(q[name](spark, SF_SMALL))
+def test_metric_queries_hash_aggregate_and_copy_only_panes(query_frame):
+    for name in [n for n in E.queries() if n.startswith("metric_")]:
+        plan = _plan(query_frame(name))
         assert "SortAggregate" not in plan, name
         # an explode or expand of samples would stand below every aggregate, next to the scan
         for m in re.finditer(r"(Generate|Expand)", plan):
