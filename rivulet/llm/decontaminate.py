@@ -17,6 +17,7 @@ by block and the spans of a document are merged by its key.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.batches import alnum_words, append_columns, col, save_and_reread, slices
+from rivulet.llm.batches import WORD_TABLE, alnum_words, append_columns, col, save_and_reread
 
 WINDOW = 10
 SAMPLE = 8
@@ -299,3 +300,37 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
         docs = docs.withColumnsRenamed({n: f"__own_{n}" for n in marked})
     out = contamination(docs, benchmark, id_col, text_col).filter("not contaminated").select(*[col(n) for n in docs.columns])
     return out.withColumnsRenamed({f"__own_{n}": n for n in marked})
+
+
+WORD = re.compile(rb"[^ ]+")
+
+
+def cut_spans(text: bytes, starts: list[int], ends: list[int]) -> bytes:
+    """The text without the words [start, end) of each span and what stands between them."""
+    places = [m.span() for m in WORD.finditer(text.translate(WORD_TABLE))]
+    out, at = [], 0
+    for a, b in zip(starts, ends):
+        out.append(text[at:places[a][0]])
+        at = places[b - 1][1]
+    return b"".join([*out, text[at:]])
+
+
+def remove_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                    item_text_col: str = "text", window: int = WINDOW, block_bytes: int = 32 << 20) -> DataFrame:
+    """All documents and columns, with every benchmark passage (merged span) cut out of the text; null stays null.
+
+    With several phrase blocks the text is cut block by block.
+    """
+    out = docs
+    for phrases in phrase_blocks(benchmark, item_col, item_text_col, window, block_bytes):
+        def make(phrases=phrases):
+            def work(texts: list[bytes | None]) -> list:
+                new = list(texts)
+                for d, spans, _ in phrases.value.find([alnum_words(t) for t in texts]):
+                    new[d] = cut_spans(texts[d], [a for a, _ in spans], [b for _, b in spans])
+                return [[None if t is None else t.decode("utf-8", "replace") for t in new]]
+            return work
+        names = out.columns
+        out = append_columns(out, text_col, make, [("__cut", "string")], max_bytes=8 << 20)
+        out = out.select(*[col("__cut" if n == text_col else n).alias(n) for n in names])
+    return out

@@ -82,6 +82,15 @@ def test_clean_documents_keep_all_columns(spark):
     assert left.columns == df.columns and [tuple(r) for r in left.collect()] == [(2, "gamma", *["own"] * 5)]
 
 
+def test_passages_are_cut_and_nothing_else(spark):
+    item = "Alpha, beta gamma"
+    rows = [(1, "Keep this: ALPHA beta (gamma). And this é!"), (2, "alpha beta"), (3, None), (4, "alpha beta gamma alpha beta gamma"), (5, "")]
+    df = docs(spark, rows)
+    got = D.remove_passages(df, spark.createDataFrame([(1, item)], BENCH))
+    assert got.columns == df.columns
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "Keep this: ). And this é!", 2: "alpha beta", 3: None, 4: "", 5: ""}
+
+
 def test_index_finds_every_place_of_random_phrases():
     r = np.random.default_rng(0)
     for _ in range(30):
