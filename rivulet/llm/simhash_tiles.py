@@ -279,7 +279,8 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     found = simhash_components(df, id_col, text_col, shingle_words, max_bits).select(
         F.col(id_col).alias("__id"), "component_id")
     found = save_and_reread(found, "simhash-found")
-    losers = found.filter("component_id <> __id").select("__id").distinct()
+    # a shuffle join at every size: how many documents go is not bounded, so neither is a broadcast of their ids
+    losers = found.filter("component_id <> __id").select("__id").distinct().hint("merge")
     kept = df.join(losers, col(id_col) == F.col("__id"), "left_anti")
     twice = found.filter("__id is not null").groupBy("__id").count().filter("count > 1").select("__id")
     if twice.isEmpty():
