@@ -11,11 +11,13 @@ whose size is bounded by the number of lengths.
 
 from __future__ import annotations
 
+import logging
 import sys
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from rivulet.llm.batches import col, map_batches, save_and_reread, slices
 CAPACITY = 1024
 END_ID = 2
 
+log = logging.getLogger("rivulet")
+
 
 # --- tokens ---------------------------------------------------------------------------------
 
@@ -125,65 +129,60 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Plan:
     return [x for group in room.values() for x in group]
 
 
-def fillings(counts: dict[int, int], lengths: list[int], space: int, most: int, steps: int = 600) -> list[Filling]:
-    """Undominated fillings of ``space``, least waste first, at most ``most`` of them.
+def fillings(counts: dict[int, int], lengths: list[int], space: int, spend: Callable[[], None] = lambda: None) -> Iterator[Filling]:
+    """All undominated fillings of ``space``, lazily, least waste first, then longest pieces first.
 
     A filling is dominated when a spare length still fits, or when one spare
     length could take the place of one or two of its pieces without exceeding
-    the space (the longer piece leaves the easier rest).  Longest pieces are
-    tried first; the search ends after ``steps`` nodes, or at ``most`` fillings
-    without waste.
+    the space (the longer piece leaves the easier rest).  ``lengths`` fall;
+    reach[k] has a bit for each sum that lengths[k:] can make, so no branch
+    ends without a filling, and one of least waste comes first (none dominates
+    it).  ``spend`` is called at each step and may raise to end the search.
     """
-    found: dict[Filling, int] = {}
-    budget = [steps]
-    full = [0]
+    lengths = [x for x in lengths if x <= space and counts.get(x, 0) > 0]
+    mask, reach = (1 << space + 1) - 1, [1] * (len(lengths) + 1)
+    for k in range(len(lengths) - 1, -1, -1):
+        x, sums = lengths[k], reach[k + 1]
+        copies, step = min(counts[x], space // x), 1
+        while copies:
+            step = min(step, copies)
+            sums |= sums << step * x & mask
+            copies -= step
+            step *= 2
+        reach[k] = sums
 
     def dominated(fill: Filling, waste: int) -> bool:
-        spare = [x for x in lengths if counts[x] > fill.count(x)]
-        if any(x <= waste for x in spare):
-            return True
         if not waste:
             return False
+        spare = [x for x in lengths if counts[x] > fill.count(x)]
+        if spare and spare[-1] <= waste:
+            return True
         parts = set(fill) | {a + b for i, a in enumerate(fill) for b in fill[i + 1:]}
-        return any(p < x <= p + waste for p in parts for x in spare)
+        rising = spare[::-1]
+        for p in parts:
+            k = bisect_right(rising, p)
+            if k < len(rising) and rising[k] <= p + waste:
+                return True
+        return False
 
-    def grow(at: int, left: int, fill: Filling) -> None:
-        budget[0] -= 1
-        if budget[0] < 0 or full[0] >= most:
-            return
-        if left == 0:
-            if fill not in found:
-                found[fill], full[0] = 0, full[0] + 1
+    def grow(at: int, left: int, fill: Filling) -> Iterator[Filling]:
+        spend()
+        if not left:
+            yield fill
             return
-        if left in counts and counts[left] > fill.count(left) and left <= (lengths[at] if at < len(lengths) else 0):
-            grow(len(lengths), 0, fill + (left,))
-        extended = False
-        for k in range(at, len(lengths)):
+        k = at
+        while reach[k] >> left & 1 and k < len(lengths):
             x = lengths[k]
-            if x < left and counts[x] > fill.count(x):
-                extended = True
-                grow(k, left - x, fill + (x,))
-                if budget[0] < 0 or full[0] >= most:
-                    return
-        if not extended:
-            found.setdefault(fill, left)
-
-    if space:
-        grow(0, space, ())
-    out: list[Filling] = []
-    for fill in sorted(found, key=lambda f: (found[f], len(f))):
-        if len(out) < most and not dominated(fill, found[fill]):
-            out.append(fill)
-    return out or [greedy_fill(counts, lengths, space)]
-
-
-def greedy_fill(counts: dict[int, int], lengths: list[int], space: int) -> Filling:
-    fill: list[int] = []
-    for x in lengths:
-        while x <= space and counts[x] > fill.count(x):
-            fill.append(x)
-            space -= x
-    return tuple(fill)
+            for n in range(min(counts[x], left // x), 0, -1):
+                if reach[k + 1] >> left - n * x & 1:
+                    yield from grow(k + 1, left - n * x, fill + (x,) * n)
+            k += 1
+
+    for waste in range(space + 1):
+        if reach[0] >> space - waste & 1:
+            for fill in grow(0, space - waste, ()):
+                if not dominated(fill, waste):
+                    yield fill
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -199,14 +198,22 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def bin_completion(counts: dict[int, int], capacity: int, width: int = 3, nodes: int = 300) -> tuple[Plan, int]:
+class Spent(Exception):
+    """The budget of a search is used up."""
+
+
+def bin_completion(counts: dict[int, int], capacity: int, width: int | None = None, nodes: int = 6000,
+                   steps: int = 4000) -> tuple[Plan, int]:
     """Least sequences found for the histogram, and the lower bound.
 
-    Branch and bound around the longest piece left: its undominated fillings,
-    each used as often as the counts allow, are the branches; a branch is cut
-    when its waste exceeds what the incumbent allows.  The incumbent starts as
-    best-fit decreasing.  Search ends at the bound, or after ``nodes`` nodes and
-    one for each length (a descent takes a length at least from node to node).
+    Branch and bound around the longest piece left: its undominated fillings
+    (the first ``width`` only, if given), used as often as the counts allow or
+    once, are the branches; a branch is cut when its waste exceeds what the
+    incumbent allows.  The incumbent starts as best-fit decreasing.  Search
+    ends at the bound, or exhausted (the plan is then least, unless ``width``
+    is given), or after ``nodes`` nodes and one for each length (a descent takes
+    a length at least from node to node), or after ``steps`` steps of filling
+    for each of those nodes, pooled.  A plan above the bound is then not proven.
     """
     counts = {x: n for x, n in counts.items() if n}
     bound = lower_bound(counts, capacity)
@@ -214,8 +221,15 @@ def bin_completion(counts: dict[int, int], capacity: int, width: int = 3, nodes:
     used = sum(n for _, n in best)
     total = sum(x * n for x, n in counts.items())
     left_nodes = nodes + len(counts)
+    left_steps = left_nodes * steps
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
 
+    def spend() -> None:
+        nonlocal left_steps
+        left_steps -= 1
+        if left_steps < 0:
+            raise Spent
+
     def search(left: dict[int, int], path: Plan, bins: int, waste: int) -> bool:
         nonlocal best, used, left_nodes
         if not left:
@@ -223,27 +237,33 @@ def bin_completion(counts: dict[int, int], capacity: int, width: int = 3, nodes:
                 best, used = list(path), bins
             return used <= bound
         left_nodes -= 1
+        if left_nodes < 0:
+            raise Spent
         lengths = sorted(left, reverse=True)
         top = lengths[0]
-        left[top] -= 1
-        options = fillings({x: n for x, n in left.items() if n}, [x for x in lengths if left[x]], capacity - top, width)
-        left[top] += 1
-        for fill in options:
+        pieces_left = sum(left.values())
+        others = {x: n - (x == top) for x, n in left.items() if n > (x == top)}
+        for fill in islice(fillings(others, lengths, capacity - top, spend), width):
             whole = (top, *fill)
+            spare = capacity - sum(whole)
+            if waste + spare > (used - 1) * capacity - total:
+                break  # the fillings after this one waste as much or more
             need = {x: whole.count(x) for x in set(whole)}
-            times = min(left[x] // n for x, n in need.items())
-            lost = (capacity - sum(whole)) * times
-            if bins + times >= used and sum(left.values()) > len(whole) * times or waste + lost > (used - 1) * capacity - total:
-                continue
-            rest = {x: n - need.get(x, 0) * times for x, n in left.items()}
-            if search({x: n for x, n in rest.items() if n}, path + [(whole, times)], bins + times, waste + lost):
-                return True
-            if left_nodes < 0:
-                return False
+            most = min(left[x] // n for x, n in need.items())
+            for times in (most, 1) if most > 1 else (1,):
+                if (bins + times >= used and pieces_left > len(whole) * times
+                        or waste + spare * times > (used - 1) * capacity - total):
+                    continue
+                rest = {x: n - need.get(x, 0) * times for x, n in left.items()}
+                if search({x: n for x, n in rest.items() if n}, path + [(whole, times)], bins + times, waste + spare * times):
+                    return True
         return False
 
     if used > bound:
-        search(dict(counts), [], 0, 0)
+        try:
+            search(dict(counts), [], 0, 0)
+        except Spent:
+            pass
     return best, bound
 
 
@@ -291,7 +311,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     histogram = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if not histogram:
         return cut.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}).withColumnRenamed("id", id_col)
-    plan, _ = bin_completion(histogram, capacity)
+    plan, bound = bin_completion(histogram, capacity)
+    log.info("packing: %d sequences, lower bound %d", sum(times for _, times in plan), bound)
     slots = spark.sparkContext.broadcast(slot_tables(plan))
 
     keys = [F.col("id"), F.col("piece"), F.col("ids_crc32")]

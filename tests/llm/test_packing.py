@@ -116,6 +116,45 @@ def test_small_problems_are_solved_exactly():
         assert valid(P.bin_completion(counts, 100, width=8)[0], counts, 100) == optimum(items, 100)
 
 
+def test_small_problems_are_solved_exactly_by_the_default_search():
+    def optimum(items, capacity, bins=()):
+        if not items:
+            return len(bins)
+        x, rest = items[0], items[1:]
+        places = {b: bins[:j] + (b + x,) + bins[j + 1:] for j, b in enumerate(bins) if b + x <= capacity}
+        return min(optimum(rest, capacity, p) for p in [*places.values(), (*bins, x)])
+    r = random.Random(4)
+    for _ in range(60):
+        items = sorted((r.randint(10, 60) for _ in range(8)), reverse=True)
+        counts = {x: items.count(x) for x in items}
+        assert valid(P.bin_completion(counts, 100)[0], counts, 100) == optimum(items, 100)
+
+
+def test_the_search_goes_past_the_third_filling():
+    counts = {448: 1, 280: 1, 367: 2, 278: 1, 383: 1, 274: 1, 303: 1, 319: 2, 314: 1, 436: 3, 283: 1, 256: 3, 421: 1, 230: 1, 281: 2,
+              395: 1, 368: 1, 347: 2, 407: 1, 211: 2, 402: 2, 453: 1, 432: 1}
+    plan, bound = P.bin_completion(counts, 1024)
+    assert valid(plan, counts, 1024) == bound == 11
+
+
+def test_fillings_are_all_the_undominated_ones_least_waste_first():
+    r = random.Random(2)
+    for _ in range(40):
+        items = [r.randint(5, 40) for _ in range(9)]
+        counts, space = {x: items.count(x) for x in items}, 70
+        every = {()}
+        for x in items:
+            every |= {tuple(sorted((*f, x), reverse=True)) for f in every if sum(f) + x <= space and f.count(x) < counts[x]}
+
+        def dominated(f):
+            waste, spare = space - sum(f), [x for x in counts if counts[x] > f.count(x)]
+            parts = {0, *f, *(a + b for i, a in enumerate(f) for b in f[i + 1:])}
+            return any(p < x <= p + waste for p in parts for x in spare)
+        got = list(P.fillings(counts, sorted(counts, reverse=True), space))
+        assert sorted(got) == sorted(f for f in every if not dominated(f))
+        assert [sum(f) for f in got] == sorted(map(sum, got), reverse=True)
+
+
 def test_quick_ids_equal_the_tokenizer():
     encode = P.encoder(P.default_vocabulary())
     for t in ["", " ", "Ha!! 'll don't  \n\n x", "été 12345 ☂ <|endoftext|> é", "​\x00\t"]:
