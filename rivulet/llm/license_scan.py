@@ -59,33 +59,46 @@ def words(text: Column) -> Column:
 
 
 def template_grams(spark, templates, kind: str, k: int, first_id: int) -> list[tuple]:
+    """One row per gram; the template's first (last) word stands beside the gram that follows (precedes) it."""
     rows = []
     for i, (text, label) in enumerate(templates, first_id):
         w = [x for x in re.split(BETWEEN_WORDS, text.translate(str.maketrans(UPPER, LOWER))) if x]
         if len(w) < k:
             raise ValueError(f"template of fewer than {k} words: {text!r}")
-        rows += [(i, kind, label, len(w), t, *w[t:t + k]) for t in range(len(w) - k + 1)]
+        rows += [(i, kind, label, len(w), t, w[0] if t == 1 else None, w[-1] if t == len(w) - k - 1 else None, *w[t:t + k])
+                 for t in range(len(w) - k + 1)]
     return rows
 
 
 def votes(docs: DataFrame, text_col: str, id_col: str, phrases, notices, k: int) -> DataFrame:
-    """(id, hash, template, diagonal, the template positions that vote for it)."""
+    """(id, hash, template, diagonal, the template positions that vote for it, first, last).
+
+    first: the template's first word stands one word before the gram that
+    follows it (a word was put between, so no gram holds it); last likewise.
+    """
     spark = docs.sparkSession
     names = [f"w{j}" for j in range(k)]
     rows = template_grams(spark, phrases, "phrase", k, 0) + template_grams(spark, notices, "notice", k, len(phrases))
     templates = spark.createDataFrame(rows, "template int, kind string, label string, n int, at int, "
+                                      "t_before string, t_after string, "
                                       + ", ".join(f"t_{x} string" for x in names))
     templates = templates.withColumn("t_gram", F.xxhash64(*[f"t_{x}" for x in names]))
     text = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("h"), words(col(text_col)).alias("w"))
-    shifted = [F.slice("w", j + 1, F.greatest(F.size("w") - (k - 1), F.lit(0))).alias(x) for j, x in enumerate(names)]
+    n_grams = F.greatest(F.size("w") - (k - 1), F.lit(0))
+    shifted = [F.slice("w", j + 1, n_grams).alias(x) for j, x in enumerate(names)]
+    none = F.array(F.lit(None).cast("string"))
+    shifted += [F.slice(F.concat(none, none, "w"), 1, n_grams).alias("before"), F.slice("w", k + 2, n_grams).alias("after")]
+    names_all = [*names, "before", "after"]
     grams = (text.select("id", "h", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "g"))
-             .select("id", "h", "pos", *[F.col("g")[x].alias(x) for x in names]).withColumn("gram", F.xxhash64(*names)))
+             .select("id", "h", "pos", *[F.col("g")[x].alias(x) for x in names_all]).withColumn("gram", F.xxhash64(*names)))
     same = F.col("gram") == F.col("t_gram")
     for x in names:
         same = same & (F.col(x) == F.col(f"t_{x}"))
     return (grams.join(F.broadcast(templates), same)
             .groupBy("id", "h", "template", "kind", "label", "n", (F.col("pos") - F.col("at")).alias("diagonal"))
-            .agg(F.collect_set("at").alias("at")))  # a template's positions at most
+            .agg(F.collect_set("at").alias("at"),  # a template's positions at most
+                 F.coalesce(F.max(F.col("before") == F.col("t_before")), F.lit(False)).alias("first"),
+                 F.coalesce(F.max(F.col("after") == F.col("t_after")), F.lit(False)).alias("last")))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, notices=NOTICES, gram_words: int = 2,
@@ -95,8 +108,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     A merged span is accepted when it covers ``min_coverage`` of the template's
     words (all of them for templates of fewer than ``whole_below`` words) in at
     most one and a half times its length; of overlapping accepted spans the
-    best covered stay; diagonals with fewer than
-    ``min_votes`` votes and further than ``band`` from the next stay out.
+    best covered stay.  Diagonals within ``band`` of the next are one span,
+    whatever their votes; spans of fewer than ``min_votes`` votes stay out.
+    One word put after a template's first word or before its last (which
+    then lie in no gram) is passed over too.
     score: the largest accepted coverage, 1 at a phrase, else 0.  Null and
     empty texts have no words; a null id is an id like others; repeated rows
     give a row each; an empty table gives no rows; other columns are not read.
@@ -106,18 +121,31 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     base = (diagonals.filter((F.col("kind") == "phrase") & (F.size("at") == F.col("n") - (k - 1)))
             .select("id", "h", "label", F.col("diagonal").alias("place"), F.lit(1.0).alias("coverage"), F.lit(True).alias("base")))
 
-    along = Window.partitionBy("id", "h", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > band, F.lit(True)).cast("int")
-    merged = (diagonals.filter((F.col("kind") == "notice") & (F.size("at") >= min_votes)).withColumn("apart", apart)
-              .withColumn("span", F.sum("apart").over(along))
-              .groupBy("id", "h", "template", "span", "label", "n")
-              .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"),
-                   F.min(F.col("diagonal") + F.array_min("at")).alias("place"),
-                   F.max(F.col("diagonal") + F.array_max("at") + k).alias("end")))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda t: F.sequence(t, t + (k - 1)))))) / F.col("n")
+    def spans_of(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        along = Window.partitionBy(*keys).orderBy("diagonal")
+        apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > band, F.lit(True)).cast("int")
+        return df.withColumn("apart", apart).withColumn(name, F.sum("apart").over(along))
+
+    # each span of neighbours stands whole, and in parts without its diagonals of few votes (strays may make it too long)
+    whole = (spans_of(diagonals.filter(F.col("kind") == "notice"), ["id", "h", "template"], "span")
+             .withColumn("few", F.size("at") < min_votes)
+             .withColumn("strong", F.explode(F.when(F.col("few"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))))
+    merged = (spans_of(whole, ["id", "h", "template", "span", "strong"], "part")
+              .groupBy("id", "h", "template", "span", "strong", "part", "label", "n")
+              .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), F.sum(F.size("at")).alias("n_votes"),
+                   F.max("first").alias("first"), F.max("last").alias("last"),
+                   F.min(F.col("diagonal") + F.least(F.array_min("at"), F.when(F.col("first"), -1))).alias("place"),
+                   F.max(F.col("diagonal") + F.greatest(F.array_max("at") + k, F.when(F.col("last"), F.col("n") + 1))).alias("end"))
+              .filter(F.col("n_votes") >= min_votes))
+    gram_words_at = F.flatten(F.transform("at", lambda t: F.sequence(t, t + (k - 1))))
+    lone = F.filter(F.array(F.when(F.col("first"), 0), F.when(F.col("last"), F.col("n") - 1)), lambda t: t.isNotNull())
+    covered = F.size(F.array_distinct(F.concat(gram_words_at, lone))) / F.col("n")
     accepted = (merged.withColumn("coverage", covered)
                 .filter((F.col("coverage") >= F.when(F.col("n") < whole_below, 1.0).otherwise(min_coverage))
                         & (F.col("end") - F.col("place") <= 1.5 * F.col("n"))))
+    # a whole span must cover more than its parts, else they stand for it
+    parts = F.coalesce(F.max(F.when(F.col("strong"), F.col("coverage"))).over(Window.partitionBy("id", "h", "template", "span")), F.lit(0.0))
+    accepted = accepted.withColumn("parts", parts).filter(F.col("strong") | (F.col("coverage") > F.col("parts")))
     # where accepted spans of a document overlap (one license quoting another's wording), the best covered stay
     ahead = Window.partitionBy("id", "h").orderBy("place", "end").rowsBetween(Window.unboundedPreceding, -1)
     running = Window.partitionBy("id", "h").orderBy("place", "end").rowsBetween(Window.unboundedPreceding, 0)

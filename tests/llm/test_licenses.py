@@ -47,6 +47,28 @@ def test_notices_are_found_with_small_changes(spark):
     assert got[7]["labels"] == ""
 
 
+def test_one_word_more_at_any_place_of_a_short_notice(spark):
+    rows, label = [], {}
+    for text, name in S.NOTICES:
+        w = [x for x in re.split(S.BETWEEN_WORDS, text.lower()) if x]
+        for k in range(1, len(w)) if len(w) < 14 else ():
+            label[len(rows)] = name
+            rows.append((len(rows), " ".join(["some", "text", *w[:k], "qqq", *w[k:], "other", "text"])))
+    got = {r["doc_id"]: r for r in S.scan(docs(spark, rows)).collect()}
+    assert len(rows) > 30 and [rows[k] for k in label if label[k] not in got[k]["labels"].split(",") or got[k]["score"] != 1] == []
+
+
+def test_words_more_beside_single_votes(spark):
+    rows = [(1, "This work is licensed under the GNU General Public License (GPL), version 3"), (2, "Released under the new MIT License"),
+            (3, "Licensed under the Apache License, Version 1.0"), (4, "version 3. the GNU General Public License"),
+            (5, "Released under the MIT License. mit license mit x license mit license"), (6, "mit license x mit license"),
+            (7, "Released it all under the MIT License"), (8, "Released under the MIT good old License")]
+    got = {r["doc_id"]: r["labels"] for r in S.scan(docs(spark, rows)).collect()}
+    assert got == {1: "gpl,gpl-3.0", 2: "mit", 3: "apache", 4: "gpl", 5: "mit", 6: "mit", 7: "mit", 8: ""}
+    score = {r["doc_id"]: r["score"] for r in S.scan(docs(spark, [(1, "Released under the new MIT X License")])).collect()}
+    assert score == {1: 0.0}
+
+
 def test_empty_table_and_short_templates(spark):
     assert S.scan(empty(spark)).collect() == []
     with pytest.raises(ValueError):
