@@ -208,10 +208,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         max_docs: int = 3000, max_lines: int = 200_000) -> LineField:
     """Train on at most ``max_docs`` labelled documents, half of each label, least hash of the id first.
 
-    Their line features reach the driver, ``max_lines`` lines at most (whole
-    documents are left out beyond that, longest last).  Null ids and labels
-    are passed over; an id labelled more than once takes its lowest label.
-    Without documents of both labels every line counts as content.
+    One row stands for each id (of its texts with lines, the one of least
+    hash), and its line count reaches the driver; then the line features of as
+    many documents as fit into ``max_lines`` lines do, shortest first.  Null ids
+    and labels are passed over; an id labelled more than once takes its lowest
+    label.  Without documents of both labels every line counts as content.
     """
     ids = (labels.filter(col(id_col).isNotNull() & col(label_col).isNotNull()).groupBy(col(id_col).alias("__id"))
            .agg(F.min(col(label_col).cast("int")).alias("label")))
@@ -223,21 +224,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = (docs.select(col(id_col).alias("__doc"), col(text_col).alias("text"))
               .join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("__doc", "text", "label"))
 
+    counted, chosen, total = (sample_lines(sample.withColumn("hash", F.xxhash64("text")), False).filter("n_lines > 0")
+                              .groupBy("__doc").agg(F.min(F.struct("hash", "n_lines")).alias("first"), F.min("label").alias("label"))
+                              .select("__doc", "label", "first.*").collect()), [], 0  # one row per picked id
+    for r in sorted(counted, key=lambda r: (r["n_lines"], r["__doc"])):
+        total += r["n_lines"]
+        if total > max_lines:
+            break
+        chosen.append(r)
+    if not chosen:
+        return empty_field()
+    kind = {f.name: f.dataType.simpleString() for f in sample.schema}["__doc"]
+    rows = [(r["__doc"], r["hash"]) for r in chosen]
+    wanted = docs.sparkSession.createDataFrame(rows, f"__id {kind}, __hash bigint")
+    texts = (sample.withColumn("hash", F.xxhash64("text"))
+             .join(F.broadcast(wanted), (F.col("__doc") == F.col("__id")) & (F.col("hash") == F.col("__hash")))
+             .select("__doc", "text", "label", "hash"))
+    # copies of one text have the same features
+    got = sample_lines(texts, True).groupBy("__doc").agg(F.min("features").alias("features"), F.min("label").alias("label")).collect()
+    got.sort(key=lambda r: r["__doc"])
+    parts = [np.frombuffer(r["features"], np.float32).reshape(-1, len(FEATURES)) for r in got]
+    return train(np.concatenate(parts).astype(np.float64), np.array([len(p) for p in parts], np.int64),
+                 np.array([int(r["label"] > 0) for r in got]))
+
+
+def sample_lines(sample: DataFrame, features: bool) -> DataFrame:
+    """__doc, label and hash of each row with n_lines, or with the features of its lines instead."""
     def make():
         def work(texts: list[bytes | None]) -> list:
             rows = [line_features(t or b"")[0] for t in texts]
-            return [[len(r) for r in rows], [np.array(r, np.float32).tobytes() for r in rows]]
+            return [[np.array(r, np.float32).tobytes() for r in rows]] if features else [[len(r) for r in rows]]
         return work
-    measured = append_columns(sample, "text", make, [("n_lines", "bigint"), ("features", "binary")], keep=["__doc", "label"])
-    total, chosen = 0, []
-    for r in sorted(measured.collect(), key=lambda r: (r["n_lines"], r["__doc"])):
-        total += r["n_lines"]
-        if r["n_lines"] and total <= max_lines:
-            chosen.append(r)
-    chosen.sort(key=lambda r: (r["__doc"], r["n_lines"]))
-    rows = np.concatenate([np.frombuffer(r["features"], np.float32).reshape(-1, len(FEATURES)) for r in chosen] or
-                          [np.zeros((0, len(FEATURES)))]).astype(np.float64)
-    return train(rows, np.array([r["n_lines"] for r in chosen], np.int64), np.array([int(r["label"] > 0) for r in chosen]))
+    return append_columns(sample, "text", make, [("features", "binary") if features else ("n_lines", "bigint")],
+                          keep=["__doc", "label", "hash"])
 
 
 FIELDS = [("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"), ("n_dup_lines", "bigint"),

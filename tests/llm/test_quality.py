@@ -109,3 +109,32 @@ def test_good_documents_stay_and_bad_ones_go(spark):
     good, bad = [r for r in got if r["quality"] == 1], [r for r in got if r["quality"] == 0]
     assert len(good) > 60 and all(r["kept"] or r["base_failed"] for r in good)
     assert np.mean([r["kept"] for r in bad]) <= 0.1
+
+
+def test_training_sees_each_picked_document_once(spark, monkeypatch):
+    seen = {}
+
+    def spy(rows, sizes, quality):
+        seen.update(rows=len(rows), sizes=sorted(sizes.tolist()), quality=sorted(quality.tolist()))
+        return Q.empty_field()
+    monkeypatch.setattr(Q, "train", spy)
+    texts = [(1, "one line here\nand a second")] * 500 + [(2, "a\nb\nc"), (2, None), (2, ""), (3, "x\n" * 90), (4, "a single line")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id bigint, quality int")
+    Q.fit(docs(spark, texts), labels, max_lines=20)
+    assert seen == {"rows": 6, "sizes": [1, 2, 3], "quality": [0, 0, 1]}
+    Q.fit(docs(spark, texts), labels)
+    assert seen == {"rows": 96, "sizes": [1, 2, 3, 90], "quality": [0, 0, 1, 1]}
+
+
+def test_only_chosen_features_reach_the_driver(spark, monkeypatch):
+    frame = type(docs(spark))
+    collected, whole = [], frame.collect
+
+    def spy(self):
+        rows = whole(self)
+        collected.append(sum(len(r["features"]) for r in rows) if "features" in self.columns else 0)
+        return rows
+    monkeypatch.setattr(frame, "collect", spy)
+    texts = [(1, "one line here\nand a second")] * 500 + [(2, "a\nb\nc"), (3, "x\n" * 900)]
+    Q.fit(docs(spark, texts), spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int"), max_lines=20)
+    assert sum(collected) == 5 * 4 * len(Q.FEATURES)
