@@ -49,6 +49,14 @@ class Space:
             self._bundle(texts[a:a + rows], out[a:a + rows], letters[a:a + rows])
         return out, letters
 
+    def vectors(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """``bundles``; a text whose letters give no gram (a letter alone at its start) gets the gram of a break before it."""
+        out, letters = self.bundles(texts)
+        bare = np.flatnonzero((letters > 0) & ~out.any(axis=1))
+        if len(bare):
+            out[bare] = self.bundles([b" " + texts[k] for k in bare])[0]
+        return out, letters
+
     def _bundle(self, texts: list[bytes | None], out: np.ndarray, letters: np.ndarray) -> None:
         # one string; every text ends with two breaks, which keep grams apart
         lowered = [t.decode("utf-8", "replace").lower() if t else "" for t in texts]
@@ -108,7 +116,7 @@ class Profiles:
         space = Space(self.dimensions, self.seed)
 
         def work(texts: list[bytes | None]) -> list:
-            vectors, letters = space.bundles(texts)
+            vectors, letters = space.vectors(texts)
             size = np.linalg.norm(vectors, axis=1)
             cosine = vectors @ self.prototypes.T / np.maximum(size, 1e-9)[:, None] if self.languages else np.zeros((len(texts), 0))
             known = (letters > 0) & (size > 0) & bool(self.languages)
@@ -129,7 +137,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", where
         space, sums = Space(dimensions, seed), {}
         for batch in batches:
             for piece in slices(batch, 0, 4 << 20):
-                vectors, _ = space.bundles(piece.column(0).cast(pa.binary()).to_pylist())
+                vectors, _ = space.vectors(piece.column(0).cast(pa.binary()).to_pylist())
                 vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
                 langs = np.array(piece.column(1).to_pylist(), object)
                 for lang in set(langs):

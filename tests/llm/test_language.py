@@ -77,6 +77,16 @@ def test_stage_drops_letterless_texts_only(spark):
     assert {r["score"] for r in left.collect()} == {"own"}
 
 
+def test_one_letter_texts_get_a_language(spark):
+    learned = L.learn(spark.createDataFrame([("I saw a cat and a dog", "en"), ("y el y la y", "es"), ("\u6f22", "zh")], "text string, lang string"))
+    assert learned.languages == ["en", "es", "zh"]
+    df = docs(spark, [(1, "a"), (2, "y"), (3, "a!! 12"), (4, "\u6f22"), (5, "\u5b57"), (6, "!a"), (7, "1"), (8, "Y.")])
+    got = {r["doc_id"]: r for r in L.identify(df, learned).collect()}
+    assert [got[k]["lang_pred"] for k in (1, 2, 3, 4, 6, 7, 8)] == ["en", "es", "en", "zh", "en", "und", "es"]
+    assert got[5]["lang_pred"] in learned.languages and got[1]["score"] > 0 and got[7]["score"] == 0
+    assert sorted(r["doc_id"] for r in L.drop_unidentified(df, learned).collect()) == [1, 2, 3, 4, 5, 6, 8]
+
+
 @pytest.mark.parametrize("values", [[3, 1, 3, 9], [1 << 40, 5, 1 << 40], []])
 def test_compact(values):
     index, kinds = L.compact(np.array(values, np.int64))
