@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import (chat_format, decontaminate, language_hd, license_scan, packing, quality_crf, simhash_tiles, token_edits,
+from rivulet.llm import (chat_format, decontaminate, hard_negatives, language_hd, license_scan, packing, quality_crf, simhash_tiles, token_edits,
                          toxicity, url_filter)
 from rivulet.llm.batches import crc_part, table
 
@@ -214,3 +214,31 @@ def op5_token_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_edits.apply_edits(trees).select(
         "doc_id", "n_tokens_before", "n_tokens", "n_edits", "reencoded_chars", F.length("text").cast("bigint").alias("n_chars"),
         F.size("leaf_chars").cast("bigint").alias("n_leaves"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the rows whose id is divisible by 100, against all rows; every seventh id has a shifted label."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = r"""
+WITH rows AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+    SELECT a.r AS a_row, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT *, row_number() OVER (PARTITION BY a_row ORDER BY score DESC, vec_id) AS place FROM pairs WHERE alike QUALIFY place <= 5),
+ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.a_row, p.place ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN pairs n ON p.a_row = n.a_row AND NOT n.alike AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
