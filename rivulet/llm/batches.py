@@ -9,7 +9,9 @@ what the word rules of the operators ask for.
 
 from __future__ import annotations
 
+import atexit
 import io
+import logging
 import os
 import uuid
 import zipfile
@@ -17,17 +19,20 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.session import ensure_checkpoint_dir
 
+log = logging.getLogger(__name__)
+
 SLICE_BYTES = 4 << 20
 
 ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
          "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
-         "array<float>": pa.list_(pa.float32())}
+         "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string())}
 
 #: Bytes of words made of [0-9a-z] and of all non-ASCII characters, A-Z lower-cased; the rest become spaces.
 WORD_TABLE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20
@@ -59,7 +64,7 @@ def ship_package(spark: SparkSession) -> None:
             for name in sorted(n for n in names if n.endswith(".py")):
                 path = os.path.join(folder, name)
                 z.write(path, os.path.relpath(path, os.path.dirname(package)))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/code-{uuid.uuid4().hex}/rivulet.zip"
+    path = f"{own_folder(spark)}/code-{uuid.uuid4().hex}/rivulet.zip"
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
     out.write(data.getvalue())
@@ -115,11 +120,43 @@ def append_columns(df: DataFrame, text_col: str, make: Callable[[], Callable[[li
     return map_batches(source, run, schema).toDF(*names, *[n for n, _ in fields])
 
 
-def save_and_reread(df: DataFrame, label: str) -> DataFrame:
-    """Write to the cluster's shared checkpoint folder as Parquet and read it back: cuts lineage, computes once."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def own_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint folder; it is deleted when the driver's process ends."""
+    context = spark.sparkContext
+    folder = getattr(context, "_rivulet_folder", None)
+    if folder is None:
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{context.applicationId}-{uuid.uuid4().hex}"
+        jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+        atexit.register(_delete, jvm, conf, folder)
+        context._rivulet_folder = folder
+    return folder
+
+
+def _delete(jvm, conf, path: str) -> None:
+    try:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    except (Py4JError, OSError) as e:  # the JVM may have ended before the driver's Python
+        log.warning("%s was not deleted: %s", path, e)
+
+
+def save_and_reread(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
+    """Write to the cluster's shared checkpoint folder as Parquet and read it back: cuts lineage, computes once.
+
+    ``by`` names columns that become folders, so that a filter on them reads those folders alone.
+    """
+    path = f"{own_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
+    saved._rivulet_path = path
+    return saved
+
+
+def drop_saved(saved: DataFrame) -> None:
+    """Delete what :func:`save_and_reread` wrote; no later job may read it."""
+    context = saved.sparkSession.sparkContext
+    _delete(context._jvm, context._jsc.hadoopConfiguration(), saved._rivulet_path)
 
 
 def crc_part(id_col: Column, parts: int) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import (chat_format, decontaminate, hard_negatives, language_hd, license_scan, packing, quality_crf, simhash_tiles, token_edits,
-                         toxicity, url_filter)
+from rivulet.llm import (chat_format, collocations, decontaminate, hard_negatives, language_hd, license_scan, packing, page_text, quality_crf,
+                         simhash_tiles, token_edits, toxicity, url_filter)
 from rivulet.llm.batches import crc_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -242,3 +242,45 @@ ranked AS (
     FROM positives p JOIN pairs n ON p.a_row = n.a_row AND NOT n.alike AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article's text of every page."""
+    return page_text.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of each language over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+    SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) lengths(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+places AS (SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM candidates),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+    FROM (SELECT *, array_to_string(w[1:k], ' ') AS lhs, array_to_string(w[k + 1:], ' ') AS rhs FROM places) c
+    JOIN f x ON x.lang = c.lang AND x.phrase = c.lhs
+    JOIN f y ON y.lang = c.lang AND y.phrase = c.rhs),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+covered AS (
+    SELECT DISTINCT s.lang, s.phrase FROM scored s
+    JOIN (SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE size = 3)) t
+      ON s.lang = t.lang AND s.phrase = t.phrase AND 100 * t.a >= 50 * s.a),
+ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM scored s ANTI JOIN covered c ON s.lang = c.lang AND s.phrase = c.phrase)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
