@@ -16,6 +16,7 @@ edits need not re-encode the document.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -38,11 +39,35 @@ def splitter():
     return regex.compile(public_tokenizers.PATTERN)
 
 
+@cache
+def special_tokens(vocabulary: str) -> tuple[str, ...]:
+    """Strings that the tokenizer takes as one token wherever they stand, longest first."""
+    from tokenizers import Tokenizer
+    added = Tokenizer.from_file(vocabulary).get_added_tokens_decoder().values()
+    return tuple(sorted((t.content for t in added if t.special), key=lambda t: (-len(t), t)))
+
+
 class Counter:
-    """Tokens of a pre-token, with a bounded memory of earlier answers."""
+    """Splits texts and counts the tokens of a piece, with a bounded memory of earlier answers."""
 
     def __init__(self, vocabulary: str | None = None):
-        self.encode, self.known = encoder(vocabulary or default_vocabulary()), {}
+        vocabulary = vocabulary or default_vocabulary()
+        self.encode, self.known = encoder(vocabulary), {}
+        special = special_tokens(vocabulary)
+        self.longest = max(map(len, special), default=0)
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+
+    def split(self, text: str, begin: int = 0) -> Iterator[str]:
+        """Pieces of the text from ``begin`` on, which must be a border: special tokens, and pre-tokens between them."""
+        at = begin
+        while at < len(text):
+            found = self.special.search(text, at) if self.special else None
+            for m in splitter().finditer(text, at, found.start() if found else len(text)):
+                yield m.group()
+            if not found:
+                return
+            yield found.group()
+            at = found.end()
 
     def __call__(self, piece: str) -> int:
         n = self.known.get(piece)
@@ -104,7 +129,7 @@ class Document:
     def __init__(self, text: str, count: Counter, chars: list[int] | None = None, tokens: list[int] | None = None):
         self.text, self.count, self.reencoded = text, count, 0
         if chars is None or tokens is None:
-            chars, tokens = leaves_of(splitter().findall(text), count)
+            chars, tokens = leaves_of(list(count.split(text)), count)
         self.tree = SegmentTree(chars, tokens)
 
     @property
@@ -119,19 +144,19 @@ class Document:
             return
         shift = len(inserted) - (stop - start)
         self.text = self.text[:start] + inserted + self.text[stop:]
-        first, begin = self.tree.leaf_at(max(0, start - 2))
+        first, begin = self.tree.leaf_at(max(0, start - 2 - self.count.longest))
         last, at = self.tree.leaf_at(stop)
         border = at + self.tree.chars[self.tree.width + last]  # old end of leaf `last`
         pieces, place = [], begin
-        for m in splitter().finditer(self.text, begin):
+        for piece in self.count.split(self.text, begin):
             # move on to the first old border that lies behind the split so far
             while last + 1 < self.tree.n and border + shift < place:
                 last += 1
                 border += self.tree.chars[self.tree.width + last]
             if place == border + shift and place >= start + len(inserted):
                 break
-            pieces.append(m.group())
-            place = m.end()
+            pieces.append(piece)
+            place += len(piece)
         while last + 1 < self.tree.n and border + shift < place:
             last += 1
             border += self.tree.chars[self.tree.width + last]
@@ -156,7 +181,7 @@ def build_trees(df: DataFrame, text_col: str = "text", vocabulary: str | None =
         count = Counter(vocabulary)
 
         def work(texts: list[bytes | None]) -> list:
-            found = [leaves_of(splitter().findall((t or b"").decode("utf-8", "replace")), count) for t in texts]
+            found = [leaves_of(list(count.split((t or b"").decode("utf-8", "replace"))), count) for t in texts]
             return [[c for c, _ in found], [t for _, t in found], [sum(t) for _, t in found]]
         return work
     return append_columns(df, text_col, make, [("leaf_chars", "array<int>"), ("leaf_tokens", "array<int>"), ("n_tokens", "bigint")], keep=keep)
@@ -165,14 +190,17 @@ def build_trees(df: DataFrame, text_col: str = "text", vocabulary: str | None =
 def attach_edits(trees: DataFrame, edits: DataFrame, id_col: str = "doc_id", seq_col: str = "seq") -> DataFrame:
     """Add ``edits``, the document's rows (start, deleted, inserted) in order of ``seq``; documents without any get an empty list.
 
-    Edits without a document or id are passed over.
+    Edits without a document or id are passed over; edits of equal ``seq`` apply in the order of start, deleted, inserted; repeated edits
+    apply each; a repeated document gets them in each of its rows.  All columns stay (one named
+    ``edits`` gives way); an empty table stays empty.
     """
-    per_doc = (edits.groupBy(col(id_col).alias("__id"))
-               .agg(F.array_sort(F.collect_list(F.struct(col(seq_col).alias("seq"), "start", "deleted", "inserted"))).alias("e")))
-    plain = F.transform("e", lambda e: F.struct(e["start"].cast("bigint").alias("start"), e["deleted"].cast("bigint").alias("deleted"),
-                                                e["inserted"].alias("inserted")))
+    per_doc = (edits.filter(col(id_col).isNotNull()).groupBy(col(id_col).alias("__id"))
+               .agg(F.array_sort(F.collect_list(F.struct(col(seq_col).alias("seq"), "start", "deleted", "inserted"))).alias("__edits")))
+    plain = F.transform("__edits", lambda e: F.struct(e["start"].cast("bigint").alias("start"), e["deleted"].cast("bigint").alias("deleted"),
+                                                      e["inserted"].alias("inserted")))
+    names = [n for n in trees.columns if n.lower() != "edits"]
     return (trees.join(per_doc, col(id_col) == F.col("__id"), "left")
-            .withColumn("edits", F.coalesce(plain, F.array().cast(EDITS))).drop("__id", "e"))
+            .select(*[col(n) for n in names], F.coalesce(plain, F.array().cast(EDITS)).alias("edits")))
 
 
 def apply_edits(trees: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits",

@@ -4,6 +4,7 @@ from rivulet.llm import token_edits as E
 
 from .cases import AWKWARD, docs, empty
 
+SPECIAL = "<|endoftext|>"
 BITS = ["'re", " ", "  ", "\n", "x", "12", "é", "'", "l", "l", "!!", "   a", "r", "v", "\t\n "]
 
 
@@ -27,6 +28,28 @@ def test_counts_equal_encoding_again():
             assert sum(chars) == len(d.text) and sum(tokens) == d.n_tokens
 
 
+def test_special_tokens_are_leaves_of_their_own():
+    """Edits make, break and join special tokens; every count equals encoding the whole text again."""
+    r, count = random.Random(2), E.Counter()
+    assert full(count, f"a {SPECIAL} b") == E.Document(f"a {SPECIAL} b", count).n_tokens == 4
+    bits = BITS + [SPECIAL, SPECIAL[:5], SPECIAL[5:], "<", "|", ">", "<|", "!!!!!!!!!!!!!!!!!!!!"]
+    for _ in range(600):
+        d = E.Document("".join(r.choice(bits) for _ in range(r.randint(0, 500))), count)
+        assert d.n_tokens == full(count, d.text)
+        for _ in range(4):
+            d.edit(r.randint(0, len(d.text)), r.choice([0, 0, 1, 5, 13]), "".join(r.choice(bits) for _ in range(r.randint(0, 3))))
+            assert d.n_tokens == full(count, d.text)
+
+
+def test_any_column_names(spark):
+    names = "doc_id bigint, text string, e string, seq string, edits string, `key.dot` string"
+    trees = E.build_trees(spark.createDataFrame([(1, "one two", "own", "own", "own", "own")], names))
+    edits = spark.createDataFrame([(1, 1, 0, 0, "zero "), (1, 1, 0, 0, "zero ")], "doc_id bigint, seq int, start bigint, deleted bigint, inserted string")
+    got = E.attach_edits(trees, edits)
+    assert got.select("e", "seq", "`key.dot`").first() == ("own", "own", "own")
+    assert E.apply_edits(got).first()["text"] == "zero zero one two"
+
+
 def test_only_the_neighbourhood_is_encoded_again():
     count = E.Counter()
     d = E.Document("some words of a long text " * 4000, count)
