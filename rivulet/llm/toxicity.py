@@ -30,45 +30,74 @@ from rivulet.llm.batches import append_columns, col, map_batches, slices
 # Characters that look like a Latin letter, and signs used in its place.
 HOMOGLYPHS = {"a": "аα", "b": "вβ", "c": "сϲ", "e": "еε", "h": "һ", "i": "іιı", "j": "ј", "k": "кκ", "m": "м",
               "n": "пη", "o": "оοσ", "p": "рρ", "s": "ѕ", "t": "тτ", "u": "υ", "v": "ν", "w": "ѡω", "x": "хχ", "y": "уγ"}
+#: ``ELSE`` holds the other letter of a sign that stands for two.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l"}
+ELSE = {"1": "l", "|": "i", "!": "l"}
 INVISIBLE = "­​‌‍⁠﻿"
 # Harmless phrases around words that are insults on their own.
 EXCEPTIONS = ("trash can", "trash cans", "trash bin", "trash bag", "clown fish", "class clown", "sore loser", "idiot proof")
 
 FOLD = {ord(c): k for k, v in HOMOGLYPHS.items() for c in v} | {ord(c): None for c in INVISIBLE}
 SIGN_FOLD = str.maketrans(SIGNS)
+ELSE_FOLD = str.maketrans(SIGNS | ELSE)
 LETTERS = re.compile(r"[^\W\d_]+")
 SIGN = re.compile(r"[0-9@$!|]")
 #: Signs inside a token of letters; those at its end are punctuation.
 TRAILING = re.compile(r"[^\w@$|]+$|[@$!|]+$")
 KNOWN_TOKENS = 300_000
+KNOWN_PATTERNS = 500_000
 
 
-def fold(token: str) -> tuple[str, ...]:
-    """Folded words of a token without white space."""
+def fold(token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Folded words of a token without white space, and the same words with the other letter of each sign that stands for two."""
     plain = token.strip(".,;:?\"'()")
     if plain.isascii() and plain.isalpha():
-        return (plain.lower(),)
+        return ((plain.lower(),),) * 2
     s = unicodedata.normalize("NFKC", token).lower().translate(FOLD)
-    if SIGN.search(s):
-        s = " ".join(p.translate(SIGN_FOLD) if LETTERS.search(p) else "" for p in re.split(r"[^\w@$!|]+", s) for p in [TRAILING.sub("", p)])
-    return tuple(LETTERS.findall(s))
+    if not SIGN.search(s):
+        return (tuple(LETTERS.findall(s)),) * 2
+    parts = [TRAILING.sub("", p) for p in re.split(r"[^\w@$!|]+", s)]
+    first, other = (" ".join(p.translate(signs) if LETTERS.search(p) else "" for p in parts) for signs in (SIGN_FOLD, ELSE_FOLD))
+    return tuple(LETTERS.findall(first)), tuple(LETTERS.findall(other))
 
 
-def words_of(text: bytes | None, known: dict[str, tuple[str, ...]] | None = None) -> list[str]:
-    """Folded words of the text; null has none.  ``known`` remembers tokens, a bounded number of them."""
+def readings(text: bytes | None, known: dict | None = None) -> tuple[list[str], list[str]]:
+    """Folded words of the text in both readings, which have the same lengths; null has none.
+
+    ``known`` remembers tokens, a bounded number of them.
+    """
     if not text:
-        return []
+        return [], []
     known = {} if known is None else known
-    out: list[str] = []
+    first: list[str] = []
+    other: list[str] = []
     for token in text.decode("utf-8", "replace").split():
         words = known.get(token)
         if words is None:
             if len(known) >= KNOWN_TOKENS:
                 known.clear()
             words = known[token] = fold(token)
-        out += words
-    return out
+        first += words[0]
+        other += words[1]
+    return first, other
+
+
+def words_of(text: bytes | None, known: dict | None = None) -> list[str]:
+    """Folded words of the text (first reading); null has none."""
+    return readings(text, known)[0]
+
+
+def outside(places: list[int], spans: list[tuple[int, int]]) -> list[int]:
+    """The places in none of the spans [a, b), by one sweep over both in order."""
+    spans = sorted(spans)
+    kept, reach, k = [], -1, 0
+    for place in sorted(places):
+        while k < len(spans) and spans[k][0] <= place:
+            reach = max(reach, spans[k][1])
+            k += 1
+        if place >= reach:
+            kept.append(place)
+    return kept
 
 
 @dataclass
@@ -91,21 +120,22 @@ class Lexicon:
         if len(automaton):
             automaton.make_automaton()
 
-        known: dict[str, tuple[str, ...]] = {}
+        known: dict = {}
 
         def one(text: bytes | None) -> tuple[int, int, float]:
-            words = words_of(text, known)
+            words, other = readings(text, known)
             if not words or not len(automaton):
                 return len(words), 0, 0.0
             at: dict[int, float] = {}
             spared: list[tuple[int, int]] = []
-            for end, (size, weight) in automaton.iter(f" {' '.join(words)} "):
-                start = end + 1 - size
-                if weight is None:
-                    spared.append((start, end))
-                else:
-                    at[start] = max(weight, at.get(start, 0.0))
-            found = [w for s, w in at.items() if not any(a <= s < b for a, b in spared)]
+            for reading in (words,) if other == words else (words, other):
+                for end, (size, weight) in automaton.iter(f" {' '.join(reading)} "):
+                    start = end + 1 - size
+                    if weight is None:
+                        spared.append((start, end))
+                    else:
+                        at[start] = max(weight, at.get(start, 0.0))
+            found = [at[place] for place in outside(list(at), spared)]
             return len(words), len(found), math.log1p(100 * math.fsum(found) / (len(words) + 50))
         return one
 
@@ -132,21 +162,32 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
 
 def count_patterns(texts: DataFrame, prefixes: tuple[int, ...]) -> DataFrame:
-    """(pattern, toxic, clean): labelled documents with the word or word beginning; summed per slice before the shuffle."""
+    """(pattern, toxic, clean): labelled documents with the word or word beginning; summed in each task (a bounded number of
+    patterns at a time) before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[str, ...]] = {}
+        known: dict = {}
+        seen = (Counter(), Counter())
+
+        def counted() -> pa.RecordBatch:
+            names = list(seen[0].keys() | seen[1].keys())
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([seen[1][x] for x in names], pa.int64()),
+                 pa.array([seen[0][x] for x in names], pa.int64())], names=["pattern", "toxic", "clean"])
+            seen[0].clear()
+            seen[1].clear()
+            return out
+
         for batch in batches:
             for piece in slices(batch, 0, 8 << 20):
-                seen = (Counter(), Counter())
                 for text, label in zip(piece.column(0).cast(pa.binary()).to_pylist(), piece.column(1).to_pylist()):
                     words = {w for w in words_of(text, known) if len(w) > 2}
                     seen[label > 0].update(f" {w} " for w in words)
                     for k in prefixes:
                         seen[label > 0].update({f" {w[:k]}" for w in words if len(w) >= k})
-                names = list(seen[0].keys() | seen[1].keys())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()), pa.array([seen[1][x] for x in names], pa.int64()),
-                     pa.array([seen[0][x] for x in names], pa.int64())], names=["pattern", "toxic", "clean"])
+                if len(seen[0]) + len(seen[1]) >= KNOWN_PATTERNS:
+                    yield counted()
+        yield counted()
+
     return (map_batches(texts, run, "pattern string, toxic bigint, clean bigint")
             .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
@@ -235,7 +276,10 @@ def score(df: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: fl
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The documents (all columns) that are not predicted toxic."""
+    """The documents (all columns) that are not predicted toxic.
+
+    Null and empty texts have no match and stay; repeated rows are judged each; any column names are kept; an empty table stays empty.
+    """
     ours = {"n_words", "n_matches", "density", "score", "predicted"}
     clash = {n: f"__own_{n}" for n in docs.columns if n.lower() in ours}
     out = score(docs.withColumnsRenamed(clash), lexicon, text_col, threshold).filter("predicted = 0")

@@ -1,3 +1,6 @@
+import random
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -27,6 +30,46 @@ def test_whole_words_beginnings_and_exceptions():
     assert one(b"the trash can is trash")[1] == 1
 
 
+def brute(lexicon, text):
+    """Every word start against every entry and every exception, in both readings."""
+    first, other = X.readings(text)
+    hits, spared = {}, set()
+    for words in (first, other):
+        line = f" {' '.join(words)} "
+        for at in range(len(line)):
+            for pattern, weight in lexicon.weights.items():
+                if line.startswith(pattern, at):
+                    hits[at] = max(weight, hits.get(at, 0))
+            for phrase in lexicon.exceptions:
+                folded = f" {' '.join(X.words_of(phrase.encode()))} "
+                if line.startswith(folded, at):
+                    spared |= set(range(at, at + len(folded) - 1))
+    return len(first), sum(at not in spared for at in hits)
+
+
+def test_matches_equal_brute_force():
+    r = random.Random(4)
+    lexicon = X.Lexicon({" idiot": 5.0, " trash ": 4.0, " los": 2.0, " loser ": 3.0, " can ": 1.0, " trash c": 6.0},
+                        exceptions=("trash can", "can trash", "sore loser", "trash can trash"))
+    one = lexicon.matcher()
+    bits = ["trash", "can", "Trash-can", "1oser", "l0ser", "|oser", "sore", "1d1ot", "idiotic", "tr4sh", "and", "loss!", "sore 1oser", "!", "lo$er", ""]
+    for _ in range(400):
+        text = " ".join(r.choice(bits) for _ in range(r.randrange(12))).encode()
+        assert one(text)[:2] == brute(lexicon, text), text
+
+
+def test_signs_that_stand_for_two_letters():
+    one = X.Lexicon({" loser ": 3.0, " idiot ": 3.0}).matcher()
+    assert [one(t)[1] for t in (b"1oser", b"|oser", b"1d1ot", b"|d|ot", b"!oser x", b"l0ser", b"100ser")] == [1, 1, 1, 1, 1, 1, 0]
+
+
+def test_very_long_text_with_many_exceptions():
+    text = b"trash can and trash " * 500_000  # 10 MB
+    began = time.time()
+    assert LEXICON.matcher()(text)[:2] == (2_000_000, 500_000)
+    assert time.time() - began < 20
+
+
 def test_density_falls_with_length():
     one = LEXICON.matcher()
     short, long = one(b"idiot " + b"word " * 10)[2], one(b"idiot " + b"word " * 5000)[2]
