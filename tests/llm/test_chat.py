@@ -1,4 +1,7 @@
+import datetime as dt
+import decimal
 import hashlib
+import random
 
 from hypothesis import given
 from hypothesis import strategies as st
@@ -44,7 +47,8 @@ def test_events(spark):
             (1, 1, 1, 0, "start", "assistant", "Draft", None, None), (1, 1, 1, 1, "regenerate", None, None, None, None),
             (1, 1, 1, 2, "delta", None, "final", None, None), (1, 1, 1, 3, "unknown", None, "zzz", None, None),
             (1, 1, 1, 4, None, None, "zzz", None, None), (1, 2, 1, 0, "start", "user", "gone", None, None),
-            (1, 2, 1, 1, "retract", None, None, None, None), (1, 3, 1, 0, "delta", None, "no start", None, None),
+            (1, 2, 1, 1, "retract", None, None, None, None), (1, 3, 1, 0, "delta", None, "answers the draft", None, None),
+            (1, 3, 1, 5, "delta", None, "no start", None, None),
             (2, 0, 1, 0, "start", "user", "abc", None, None), (2, 0, 1, 1, "edit", None, "whole", None, None),
             (2, 0, 1, 2, "edit", None, "!", 99, 200)]
     got = [(r["conv_id"], r["turn"], *C.parse(r["formatted"]), r["mask_start"] is not None)
@@ -53,5 +57,46 @@ def test_events(spark):
                    (2, 0, "user", "whole!", False)]
 
 
+def fold_conversation(events):
+    """Brute force: one conversation's events in order of sequence; a regeneration drops what later turns said so far."""
+    messages = {}
+    order = sorted(events, key=lambda e: tuple((x is not None, x if x is not None else 0) for x in (e[3], e[4], e[6], e[7], e[8])))
+    rank = lambda t: (t is not None, t or 0)
+    for e in order:
+        if e[4] == "regenerate":
+            for key in [k for k in messages if rank(k[0]) > rank(e[1]) and messages[k][1] != e[3]]:
+                messages[key] = (C.Message(), None)
+        message = messages.get((e[1], e[2]), (C.Message(), None))[0]
+        message.take(e[4], e[5], e[6], e[7], e[8])
+        messages[(e[1], e[2])] = (message, e[3])
+    return sorted(((t, c, m.role, "".join(m.parts)) for (t, c), (m, _) in messages.items() if m.open), key=repr)
+
+
+def test_regeneration_drops_later_turns(spark, monkeypatch):
+    r = random.Random(7)
+    rows = []
+    for conv in (1, 2, None):
+        seqs = r.sample(range(-500, 900), 160)
+        for seq in seqs:
+            kind = r.choice(["start", "delta", "delta", "delta", "edit", "regenerate", "retract"] + ["delta"] * 6)
+            rows.append((conv, r.choice([None, 0, 1, 2, 3, 4, 5]), 1, seq, kind, "user", r.choice("abc"), None, None))
+    df = spark.createDataFrame([(*x, "own") for x in rows], EVENTS)
+    want = sorted(((conv, *m) for conv in (1, 2, None) for m in fold_conversation([e for e in rows if e[0] == conv])), key=repr)
+    for stretch in (C.STRETCH, 7):
+        monkeypatch.setattr(C.without_dropped_turns, "__defaults__", (stretch,))
+        got = sorted(((x["conv_id"], x["turn"], x["copy"], *C.parse(x["formatted"])) for x in C.format_events(df).collect()), key=repr)
+        assert got == want and len(got) > 5
+
+
+def test_any_type_of_id(spark):
+    for kind, ids in (("double", [1.5, float("nan"), None]), ("string", ["a", "", None]), ("date", [dt.date(2024, 1, 1), None]),
+                      ("decimal(5,2)", [decimal.Decimal("1.25"), None]), ("smallint", [1, 2]), ("binary", [b"x", b""])):
+        rows = [(i, t, role, f"text {t}") for i in ids for t in (0, 1, None) for role in ("assistant", "user")]
+        df = spark.createDataFrame(rows, f"conv_id {kind}, turn bigint, role string, text string")
+        got = C.digests(C.format_events(C.replayed(df)))
+        assert got.schema["conv_id"].dataType == df.schema["conv_id"].dataType
+        assert [x["n_turns"] for x in got.collect()] == [6] * len(ids)
+
+
 def test_empty_log(spark):
     assert C.digests(C.format_events(spark.createDataFrame([], EVENTS))).collect() == []
