@@ -21,12 +21,14 @@ their cycle below the threshold leave it.
 from __future__ import annotations
 
 import logging
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -141,11 +143,11 @@ def count_chunk(lang: str, tokens: list[bytes], carry: int, tables: list[np.ndar
             since = reached(tables[k - 1], hashes, bits)
 
 
-def counted(shard: DataFrame, tables: list[np.ndarray], bits: int, step: int, shards: int, max_words: int) -> DataFrame:
+def counted(shard: DataFrame, shared: Broadcast, bits: int, step: int, shards: int, max_words: int) -> DataFrame:
     """Counts of the active phrases in one shard, one row a phrase, chunk and task; not yet summed."""
-    shared = shard.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
         for batch in batches:
             for piece in slices(batch, 1, CHUNK_BYTES):
                 texts: dict[str, list[bytes]] = {}
@@ -154,7 +156,7 @@ def counted(shard: DataFrame, tables: list[np.ndarray], bits: int, step: int, sh
                         texts.setdefault(lang, []).append(text)
                 for lang, found in texts.items():
                     for tokens, carry in chunks(END.join(found), max_words - 1):
-                        for n, phrases, starts, counts in count_chunk(lang, tokens, carry, shared.value, bits, step, shards, max_words):
+                        for n, phrases, starts, counts in count_chunk(lang, tokens, carry, tables, bits, step, shards, max_words):
                             m = len(phrases)
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array([lang], pa.string()).take(pa.array(np.zeros(m, np.int64))), pa.array(np.full(m, n, np.int32)),
@@ -208,10 +210,13 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     # dealt by row, not by text, so that copies spread over the shards
     dealt = save_and_reread(given.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int")),
                             "phrases-shards", by=["shard"])
+    context = docs.sparkSession.sparkContext
     tables = [np.full(1 << slot_bits, NEVER, np.uint8) for _ in range(max_words - 1)]
     state, last, step = None, -1, 0
     while step <= last + shards:
-        rows = (counted(dealt.filter(F.col("shard") == step % shards), tables, slot_bits, step, shards, max_words)
+        # mostly empty or mostly repeated bytes, so compressed; gone from all machines after the step
+        shared = context.broadcast([zlib.compress(t, 1) for t in tables])
+        rows = (counted(dealt.filter(F.col("shard") == step % shards), shared, slot_bits, step, shards, max_words)
                 .withColumn("since", F.lit(None).cast("int")))
         if state is not None:
             rows = rows.unionByName(state)
@@ -219,6 +224,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                  .withColumn("since", F.coalesce("since", F.when((F.col("f") >= min_count) & (F.col("n") > 0), F.lit(step)))))
         unfinished = F.col("start") + shards - 1 > step
         older, state = state, save_and_reread(total.filter(unfinished | F.col("since").isNotNull() | (F.col("n") == 0)), "phrases-counts")
+        shared.destroy()
         if older is not None:
             drop_saved(older)
         if mark(tables, state.filter((F.col("since") == step) & (F.col("n") < max_words)), slot_bits, step):
