@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from rivulet.llm.batches import col, map_batches, save_and_reread, slices
 
 CAPACITY = 1024
+#: Copies of a row that one task writes out.
+COPIES = 10_000
 END_ID = 2
 
 log = logging.getLogger("rivulet")
@@ -129,7 +131,7 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Plan:
     return [x for group in room.values() for x in group]
 
 
-def fillings(counts: dict[int, int], lengths: list[int], space: int, spend: Callable[[], None] = lambda: None) -> Iterator[Filling]:
+def fillings(counts: dict[int, int], lengths: list[int], space: int, spend: Callable[[int], None] = lambda n: None) -> Iterator[Filling]:
     """All undominated fillings of ``space``, lazily, least waste first, then longest pieces first.
 
     A filling is dominated when a spare length still fits, or when one spare
@@ -137,7 +139,7 @@ def fillings(counts: dict[int, int], lengths: list[int], space: int, spend: Call
     the space (the longer piece leaves the easier rest).  ``lengths`` fall;
     reach[k] has a bit for each sum that lengths[k:] can make, so no branch
     ends without a filling, and one of least waste comes first (none dominates
-    it).  ``spend`` is called at each step and may raise to end the search.
+    it).  ``spend`` is told the steps taken, those of the tests for dominance included, and may raise to end the search.
     """
     lengths = [x for x in lengths if x <= space and counts.get(x, 0) > 0]
     mask, reach = (1 << space + 1) - 1, [1] * (len(lengths) + 1)
@@ -158,6 +160,7 @@ def fillings(counts: dict[int, int], lengths: list[int], space: int, spend: Call
         if spare and spare[-1] <= waste:
             return True
         parts = set(fill) | {a + b for i, a in enumerate(fill) for b in fill[i + 1:]}
+        spend(len(parts))
         rising = spare[::-1]
         for p in parts:
             k = bisect_right(rising, p)
@@ -166,7 +169,7 @@ def fillings(counts: dict[int, int], lengths: list[int], space: int, spend: Call
         return False
 
     def grow(at: int, left: int, fill: Filling) -> Iterator[Filling]:
-        spend()
+        spend(1)
         if not left:
             yield fill
             return
@@ -224,9 +227,9 @@ def bin_completion(counts: dict[int, int], capacity: int, width: int | None = No
     left_steps = left_nodes * steps
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
 
-    def spend() -> None:
+    def spend(taken: int) -> None:
         nonlocal left_steps
-        left_steps -= 1
+        left_steps -= taken
         if left_steps < 0:
             raise Spent
 
@@ -315,13 +318,21 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     log.info("packing: %d sequences, lower bound %d", sum(times for _, times in plan), bound)
     slots = spark.sparkContext.broadcast(slot_tables(plan))
 
-    keys = [F.col("id"), F.col("piece"), F.col("ids_crc32")]
-    salted = cut.withColumn("salt", group_of(histogram, F.col("length"), keys))
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))  # capacity + 4096 rows or so at most
+    # equal rows are numbered as one with a count, so a hot one is no group of its own
+    keys = [F.col("id"), F.col("piece"), F.col("ids_crc32"), F.col("start")]
+    distinct = cut.groupBy("id", "piece", "start", "length", "ids_crc32").agg(F.count("*").alias("copies"))
+    salted = distinct.withColumn("salt", group_of(histogram, F.col("length"), keys))
+    sizes = salted.groupBy("length", "salt").agg(F.sum("copies").alias("n"))  # capacity + 4096 rows or so at most
     before = sizes.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
-    numbered = (salted.withColumn("row", F.row_number().over(Window.partitionBy("length", "salt").orderBy(*keys)))
-                .join(before, ["length", "salt"])
-                .select("id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("row") - 1).alias("number")))
+    upto = Window.partitionBy("length", "salt").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    first = (salted.withColumn("first", F.sum("copies").over(upto) - F.col("copies")).join(before, ["length", "salt"])
+             .select("id", "piece", "start", "length", "ids_crc32", "copies", (F.col("base") + F.col("first")).alias("number")))
+    run = F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(COPIES).cast("bigint"))
+    runs = first.withColumn("skip", F.explode(run))  # a row for each so many copies
+    long = (runs.filter(F.col("copies") > COPIES).repartition(F.xxhash64("number", "skip"))
+            .withColumn("nth", F.explode(F.sequence(F.col("skip"), F.least(F.col("skip") + COPIES, F.col("copies")) - 1))))
+    short = runs.filter(F.col("copies") <= COPIES).withColumn("nth", F.explode(F.sequence(F.col("skip"), F.col("copies") - 1)))
+    numbered = short.union(long).select("id", "piece", "start", "length", "ids_crc32", (F.col("number") + F.col("nth")).alias("number"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

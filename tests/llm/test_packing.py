@@ -159,3 +159,21 @@ def test_quick_ids_equal_the_tokenizer():
     encode = P.encoder(P.default_vocabulary())
     for t in ["", " ", "Ha!! 'll don't  \n\n x", "été 12345 ☂ <|endoftext|> é", "​\x00\t"]:
         assert list(encode(t)) == whole().encode(t, add_special_tokens=False).ids
+
+
+def test_equal_rows_are_numbered_as_one(spark, monkeypatch):
+    """A hot row is expanded in runs; every copy gets a place of its own."""
+    monkeypatch.setattr(P, "COPIES", 7)
+    rows = [(1, "hot row of some words")] * 60 + [(None, None)] * 9 + [(2, "x"), (2, "x"), (3, "other text " * 900)]
+    got = P.pack(docs(spark, rows, extra="")).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["piece"]) for r in got)[:60] == [(False, 1, 0)] * 60
+    places = {}
+    for r in got:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for found in places.values():
+        at = 0
+        for offset, length in sorted(found):
+            assert offset == at
+            at += length
+        assert at <= P.CAPACITY
+    assert len(got) == 60 + 9 + 2 + sum(r["doc_id"] == 3 for r in got)
