@@ -253,6 +253,13 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     prints = save_and_reread(simhash(df.select(col(id_col), col(text_col)), text_col, shingle_words, keep=[id_col])
                              .select(col(id_col).alias("id"), "fingerprint"), "simhash")
+    per_print = print_components(prints, max_bits, tile_rows)
+    return (prints.join(per_print, F.col("fingerprint") == F.col("fp"), "left")
+            .select(F.col("id").alias(id_col), "fingerprint", "component_id"))
+
+
+def print_components(prints: DataFrame, max_bits: int, tile_rows: int = 4096) -> DataFrame:
+    """(fp, component_id) for each fingerprint of the rows (id, fingerprint): the least ``id`` of its component; nulls come last."""
     distinct = save_and_reread(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "simhash-distinct")
     blocks = block_count(distinct.count(), max_bits)
     tiles = tile_rows_of(distinct, "fingerprint", max_bits, blocks, tile_rows)
@@ -260,9 +267,7 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rooted = (distinct.join(parts, distinct["fingerprint"] == parts["node"], "left")
               .select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
     lows = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    per_print = rooted.join(lows, "root").select(F.col("fingerprint").alias("fp"), "component_id")
-    return (prints.join(per_print, F.col("fingerprint") == F.col("fp"), "left")
-            .select(F.col("id").alias(id_col), "fingerprint", "component_id"))
+    return rooted.join(lows, "root").select(F.col("fingerprint").alias("fp"), "component_id")
 
 
 def fingerprint_hex(fingerprint: str = "fingerprint") -> F.Column:
@@ -271,22 +276,20 @@ def fingerprint_hex(fingerprint: str = "fingerprint") -> F.Column:
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                          max_bits: int = 2) -> DataFrame:
-    """All columns of the documents that represent their component (least id).
+    """One row of each component, with all its columns: that of the least id (nulls last), then of the least text hash.
 
-    Rows without an id stay.  Where an id occurs more than once, one of its
-    rows stays (the least by a hash of its text).
+    Rows are told apart by a number of their own, written with them, so rows that share an
+    id or have none are judged each by its text.  Of rows equal in id and text one stays.  Null
+    and empty texts are one component.  An empty table stays empty; any column names are kept.
     """
-    found = simhash_components(df, id_col, text_col, shingle_words, max_bits).select(
-        F.col(id_col).alias("__id"), "component_id")
-    found = save_and_reread(found, "simhash-found")
-    # a shuffle join at every size: how many documents go is not bounded, so neither is a broadcast of their ids
-    losers = found.filter("component_id <> __id").select("__id").distinct().hint("merge")
-    kept = df.join(losers, col(id_col) == F.col("__id"), "left_anti")
-    twice = found.filter("__id is not null").groupBy("__id").count().filter("count > 1").select("__id")
-    if twice.isEmpty():
-        return kept
-    from pyspark.sql import Window
-    order = Window.partitionBy(col(id_col)).orderBy(F.xxhash64(col(text_col)))
-    again = (kept.join(twice, col(id_col) == F.col("__id"), "left_semi")
-             .withColumn("__row", F.row_number().over(order)).filter("__row = 1").drop("__row"))
-    return kept.join(twice, col(id_col) == F.col("__id"), "left_anti").unionByName(again)
+    names = {n.lower() for n in df.columns}
+    row = next(n for k in range(len(names) + 1) if (n := f"__row{k}") not in names)
+    rows = save_and_reread(df.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    shown = rows.select(col(row).alias("row"), col(id_col).alias("given"), col(text_col).cast("string").alias("text"))
+    # the least struct of a component is its representative; a null id must come last, so a flag stands before it
+    key = F.struct(F.col("given").isNull().alias("none"), "given", F.xxhash64("text").alias("hash"), "row")
+    prints = save_and_reread(simhash(shown.select(key.alias("id"), "text"), "text", shingle_words, keep=["id"]).select("id", "fingerprint"),
+                             "simhash")
+    # a shuffle join at every size: how many documents stay is not bounded, so neither is a broadcast of their numbers
+    first = print_components(prints, max_bits).select(F.col("component_id.row").alias("__first")).distinct().hint("merge")
+    return rows.join(first, col(row) == F.col("__first"), "left_semi").drop(row)
