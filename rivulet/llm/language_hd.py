@@ -172,14 +172,15 @@ def identify(df: DataFrame, profiles: Profiles, text_col: str = "text", keep: li
 
 
 def drop_unidentified(docs: DataFrame, profiles: Profiles, text_col: str = "text", min_score: float = 0.25,
-                      min_letters: int = 200) -> DataFrame:
-    """The documents (all columns) with a language.
+                      deviations: float = 3.0) -> DataFrame:
+    """The documents (all columns) with a language: a letter, and a cosine no further below ``min_score`` than chance explains.
 
-    A text of ``min_letters`` letters or more also needs a cosine of
-    ``min_score``; short ones are too few grams to judge by it and stay.
+    The cosine of a text of n letters scatters by about ``1 / sqrt(n)``, so the
+    text goes where its cosine is below ``min_score - deviations / sqrt(n)``.  Null, empty and
+    letterless texts go; repeated rows are judged each; any column names are kept; an empty table stays empty.
     """
     ours = {"lang_pred", "score", "n_letters"}
     clash = {n: f"__own_{n}" for n in docs.columns if n.lower() in ours}
     out = identify(docs.withColumnsRenamed(clash), profiles, text_col).filter(
-        (F.col("lang_pred") != UNKNOWN) & ((F.col("score") >= min_score) | (F.col("n_letters") < min_letters)))
+        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score - deviations / F.sqrt("n_letters")))
     return out.select(*[col(clash.get(n, n)).alias(n) for n in docs.columns])
