@@ -22,12 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.batches import WORD_TABLE, alnum_words, append_columns, col, save_and_reread
 
 WINDOW = 10
+#: Memory of one window of phrases in Python, about; and of one block of them.
+WINDOW_BYTES, BLOCK_BYTES = 600, 64 << 20
 SAMPLE = 8
 
 
@@ -197,18 +200,24 @@ class Phrases:
             yield d, s, sorted(found[d])
 
 
-def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
-    """Broadcasts of the phrases, each from at most about ``block_bytes`` of item text (checked first)."""
+def phrase_parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list[DataFrame]:
+    """The items (item, t) in parts whose windows are expected to take ``block_bytes`` at most.
+
+    A window repeats up to ``window`` words, so it is the windows that are counted, not the texts; copies of an item go
+    to one part and count once there.
+    """
     items = benchmark.select(col(item_col).cast("string").alias("item"), col(text_col).cast("string").alias("t")) \
         .filter("item is not null and t is not null").distinct()
-    total = items.agg(F.sum(F.octet_length("t") + F.octet_length("item"))).first()[0] or 0
-    blocks = -(-total // block_bytes) or 1
-    out = []
-    for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(blocks)) == b)
-        got = [(r[0], bytes(r[1])) for r in part.select("item", F.encode("t", "utf-8")).toLocalIterator()]
-        out.append(benchmark.sparkSession.sparkContext.broadcast(Phrases(got, window)))
-    return out
+    words = F.size(F.split("t", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+    total = items.agg(F.sum(words.cast("bigint") * WINDOW_BYTES + F.octet_length("item"))).first()[0] or 0
+    parts = -(-total // block_bytes) or 1
+    return [items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(parts)) == b) for b in range(parts)]
+
+
+def phrase_block(part: DataFrame, window: int) -> Broadcast:
+    """The windows of one part, at every task."""
+    got = [(r[0], bytes(r[1])) for r in part.select("item", F.encode("t", "utf-8")).toLocalIterator()]
+    return part.sparkSession.sparkContext.broadcast(Phrases(got, window))
 
 
 # --- operator -------------------------------------------------------------------------------
@@ -217,17 +226,17 @@ def digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
-FIELDS = [("n_words", "bigint"), ("span_starts", "array<int>"), ("span_ends", "array<int>"), ("items", "string")]
+FIELDS = [("n_words", "bigint"), ("span_starts", "array<int>"), ("span_ends", "array<int>"), ("items", "array<string>")]
 
 
 def scan_block(df: DataFrame, text_col: str, phrases, keep: list[str] | None) -> DataFrame:
-    """Append the document's words, merged spans and items (comma-joined, sorted as strings) for one phrase block."""
+    """Append the document's words, merged spans and items (sorted as strings) for one phrase block."""
     def make():
         def work(texts: list[bytes | None]) -> list:
             docs = [alnum_words(t) for t in texts]
-            starts, ends, items = [[] for _ in docs], [[] for _ in docs], [""] * len(docs)
+            starts, ends, items = [[] for _ in docs], [[] for _ in docs], [[] for _ in docs]
             for d, spans, found in phrases.value.find(docs):
-                starts[d], ends[d], items[d] = [a for a, _ in spans], [b for _, b in spans], ",".join(found)
+                starts[d], ends[d], items[d] = [a for a, _ in spans], [b for _, b in spans], found
             return [[len(w) for w in docs], starts, ends, items]
         return work
     return append_columns(df, text_col, make, FIELDS, keep=keep, max_bytes=8 << 20)
@@ -235,8 +244,8 @@ def scan_block(df: DataFrame, text_col: str, phrases, keep: list[str] | None) ->
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  keep: list[str] | None = None, block_bytes: int = 32 << 20) -> DataFrame:
-    """Append n_words, n_hit, n_items, items, items_sha256, span_starts, span_ends, contaminated to each document.
+                  keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Append n_words, n_hit, n_items, items (an array sorted as strings), items_sha256, span_starts, span_ends, contaminated to each document.
 
     A phrase is ``window`` consecutive words of an item (a shorter item that
     has words is one phrase).  Words in any occurrence are hit; spans are the
@@ -245,27 +254,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     with one id count once; repeated documents give a row each; an empty
     benchmark marks nothing.  Input columns named like a result give way.
     """
-    blocks = phrase_blocks(benchmark, item_col, item_text_col, window, block_bytes)
-    if len(blocks) == 1:
-        out = scan_block(docs, text_col, blocks[0], keep)
+    parts = phrase_parts(benchmark, item_col, item_text_col, window, block_bytes)
+    if len(parts) == 1:
+        out = scan_block(docs, text_col, phrase_block(parts[0], window), keep)
     else:
-        out = merge_blocks(docs, text_col, blocks, keep)
+        out = merge_blocks(docs, text_col, parts, window, keep)
     hit = F.aggregate(F.zip_with("span_starts", "span_ends", lambda a, b: b - a), F.lit(0).cast("bigint"), lambda x, y: x + y)
     return out.withColumns({
         "n_hit": hit,
-        "n_items": F.when(F.col("items") == "", F.lit(0)).otherwise(F.size(F.split("items", ","))).cast("bigint"),
-        "items_sha256": F.sha2("items", 256), "contaminated": F.size("span_starts") > 0})
+        "n_items": F.size("items").cast("bigint"), "items_sha256": F.sha2(F.array_join("items", ","), 256), "contaminated": F.size("span_starts") > 0})
 
 
-def merge_blocks(docs: DataFrame, text_col: str, blocks: list, keep: list[str] | None) -> DataFrame:
-    """Several phrase blocks: the spans of each text are united (keyed by the text's hash and length)."""
+def merge_blocks(docs: DataFrame, text_col: str, blocks: list[DataFrame], window: int, keep: list[str] | None) -> DataFrame:
+    """Several phrase blocks, one after the other: the spans of each text are united (keyed by the text's hash and length).
+
+    A block leaves the driver and the executors before the next one is made.
+    """
     key = [F.xxhash64(col(text_col)).alias("__h"), F.length(col(text_col)).cast("bigint").alias("__n")]
     base = docs.select("*", *key)
     parts = None
     for b in blocks:
-        one = scan_block(base, text_col, b, ["__h", "__n"]).filter(F.size("span_starts") > 0)
+        phrases = phrase_block(b, window)
+        found = scan_block(base, text_col, phrases, ["__h", "__n"]).filter(F.size("span_starts") > 0)
+        one = save_and_reread(found, "decontaminate-block").dropDuplicates(["__h", "__n", "items"])
+        phrases.destroy()
         parts = one if parts is None else parts.union(one)
-    parts = save_and_reread(parts, "decontaminate-blocks").dropDuplicates(["__h", "__n", "items"])
 
     def union(key: tuple, rows: pa.Table) -> pa.Table:
         spans = sorted((a, b) for s, e in zip(rows["span_starts"].to_pylist(), rows["span_ends"].to_pylist()) for a, b in zip(s, e))
@@ -275,14 +288,14 @@ def merge_blocks(docs: DataFrame, text_col: str, blocks: list, keep: list[str] |
                 merged[-1][1] = max(merged[-1][1], b)
             else:
                 merged.append([a, b])
-        items = sorted({x for s in rows["items"].to_pylist() for x in s.split(",")})
+        items = sorted({x for s in rows["items"].to_pylist() for x in s})
         return pa.table({"__hh": [key[0].as_py()], "__nn": [key[1].as_py()],
                          "__s": pa.array([[a for a, _ in merged]], pa.list_(pa.int32())),
-                         "__e": pa.array([[b for _, b in merged]], pa.list_(pa.int32())), "__i": [",".join(items)]})
+                         "__e": pa.array([[b for _, b in merged]], pa.list_(pa.int32())), "__i": pa.array([items], pa.list_(pa.string()))})
 
     # a text meets each block once at most, so a group holds at most one row per block
     united = parts.groupBy("__h", "__n").applyInArrow(
-        union, "__hh bigint, __nn bigint, __s array<int>, __e array<int>, __i string")
+        union, "__hh bigint, __nn bigint, __s array<int>, __e array<int>, __i array<string>")
     names = [n for n in (docs.columns if keep is None else keep) if n.lower() not in {x for x, _ in FIELDS}]
 
     def make():
@@ -290,11 +303,14 @@ def merge_blocks(docs: DataFrame, text_col: str, blocks: list, keep: list[str] |
     counted = append_columns(base, text_col, make, [("n_words", "bigint")], keep=names + ["__h", "__n"])
     return (counted.join(united, (F.col("__h") == F.col("__hh")) & (F.col("__n") == F.col("__nn")), "left")
             .select(*[col(n) for n in names], "n_words", F.coalesce("__s", F.array().cast("array<int>")).alias("span_starts"),
-                    F.coalesce("__e", F.array().cast("array<int>")).alias("span_ends"), F.coalesce("__i", F.lit("")).alias("items")))
+                    F.coalesce("__e", F.array().cast("array<int>")).alias("span_ends"), F.coalesce("__i", F.array().cast("array<string>")).alias("items")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents (all columns) without any benchmark window."""
+    """The documents (all columns) without any benchmark window.
+
+    Null and empty texts stay; repeated rows are judged each; any column names are kept; an empty table stays empty.
+    """
     marked = [n for n in docs.columns if n.lower() in {x for x, _ in FIELDS} | {"n_hit", "n_items", "items_sha256", "contaminated"}]
     if marked:  # keep the caller's columns of these names apart from ours
         docs = docs.withColumnsRenamed({n: f"__own_{n}" for n in marked})
@@ -316,13 +332,16 @@ def cut_spans(text: bytes, starts: list[int], ends: list[int]) -> bytes:
 
 
 def remove_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                    item_text_col: str = "text", window: int = WINDOW, block_bytes: int = 32 << 20) -> DataFrame:
+                    item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All documents and columns, with every benchmark passage (merged span) cut out of the text; null stays null.
 
-    With several phrase blocks the text is cut block by block.
+    With several phrase blocks the text is cut block by block.  Empty texts stay empty, repeated rows are cut each, items with a
+    null id or text are passed over, and an empty table stays empty.
     """
     out = docs
-    for phrases in phrase_blocks(benchmark, item_col, item_text_col, window, block_bytes):
+    for part in phrase_parts(benchmark, item_col, item_text_col, window, block_bytes):
+        phrases = phrase_block(part, window)
+
         def make(phrases=phrases):
             def work(texts: list[bytes | None]) -> list:
                 new = list(texts)

@@ -54,7 +54,7 @@ def sample(seed=4):
     return rows, items
 
 
-@pytest.mark.parametrize("block_bytes", [32 << 20, 300])
+@pytest.mark.parametrize("block_bytes", [D.BLOCK_BYTES, 30_000])
 def test_equals_brute_force_in_one_or_many_phrase_blocks(spark, block_bytes):
     rows, items = sample()
     bench = spark.createDataFrame(items, BENCH).repartition(2)
@@ -66,7 +66,7 @@ def test_spans_cover_the_hit_words(spark):
     item = " ".join(f"q{k}" for k in range(12))
     got = D.contamination(docs(spark, [(1, f"before it, {item.upper()} after"), (2, "nothing")]),
                           spark.createDataFrame([(5, item)], BENCH), keep=["doc_id"]).orderBy("doc_id").collect()
-    assert (got[0]["span_starts"], got[0]["span_ends"], got[0]["items"]) == ([2], [14], "5")
+    assert (got[0]["span_starts"], got[0]["span_ends"], got[0]["items"]) == ([2], [14], ["5"])
     assert got[1]["span_starts"] == [] and not got[1]["contaminated"]
 
 
@@ -118,3 +118,12 @@ def test_wavelet_ranks():
         assert (tree.rank(np.full(201, c), at) == [(s[:a] == c).sum() for a in at]).all()
     c, rank = tree.access(np.arange(200))
     assert (c == s).all() and (rank == [(s[:a] == s[a]).sum() for a in range(200)]).all()
+
+
+def test_any_item_id_is_one_item(spark):
+    """Ids with commas and empty ids are counted as they are."""
+    text = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([("a,b", text), ("", text), ("c", "else where")], "item_id string, text string")
+    got = D.contamination(docs(spark, [(1, f"x {text} y"), (2, "nothing")]), items, keep=["doc_id"]).orderBy("doc_id").collect()
+    assert [(r["n_items"], r["items"], r["contaminated"]) for r in got] == [(2, ["", "a,b"], True), (0, [], False)]
+    assert got[0]["items_sha256"] == hashlib.sha256(b",a,b").hexdigest()
