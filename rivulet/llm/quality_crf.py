@@ -14,6 +14,7 @@ least content-like line as boilerplate.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,8 @@ from rivulet.llm.batches import append_columns, col
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
+#: Lines in one chain while training.
+LONGEST = 256
 CONTENT, BOILERPLATE = 0, 1
 FEATURES = ["bias", "log_words", "distinct_words", "adjacent_repeats", "symbols", "shouted", "loud_ends", "sentence_end",
             "line_repeats", "long_words", "short_line", "no_stop_mark"]
@@ -175,11 +178,23 @@ def gradients(field: LineField, rows: np.ndarray, sizes: np.ndarray, label: np.n
     return d_unary, d_start, ((true_pair - pair) * weight[nexts, None, None]).sum(axis=0)
 
 
+def stretches(sizes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the chains when no chain is longer than ``longest``, and the document of each."""
+    found = [(n, d) for d, size in enumerate(sizes.tolist()) for n in [longest] * (size // longest) + [size % longest] if n]
+    return np.array([n for n, _ in found], np.int64), np.array([d for _, d in found], np.int64)
+
+
 def train(rows: np.ndarray, sizes: np.ndarray, quality: np.ndarray, rounds: int = 3, steps: int = 120, rate: float = 0.15,
           ridge: float = 1e-3) -> LineField:
-    """The field from the lines of documents labelled good (1) or bad (0)."""
+    """The field from the lines of documents labelled good (1) or bad (0).
+
+    All chains advance together, place by place, so the time follows from the number of lines
+    and the longest chain; documents of more than ``LONGEST`` lines are several chains.
+    """
     if not len(rows) or quality.min() == quality.max():
         return empty_field()
+    sizes, of_document = stretches(sizes, LONGEST)
+    quality = quality[of_document]
     owner = np.repeat(np.arange(len(sizes)), sizes)
     bad = quality[owner] == 0
     label = bad.astype(int)
@@ -205,12 +220,13 @@ def train(rows: np.ndarray, sizes: np.ndarray, quality: np.ndarray, rounds: int
 # --- operator -------------------------------------------------------------------------------
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        max_docs: int = 3000, max_lines: int = 200_000) -> LineField:
-    """Train on at most ``max_docs`` labelled documents, half of each label, least hash of the id first.
+        max_docs: int = 3000, max_lines: int = 200_000, max_doc_lines: int = 4000) -> LineField:
+    """Train on at most ``max_docs`` labelled documents and ``max_lines`` lines, half of each label, least hash of the id first.
 
     One row stands for each id (of its texts with lines, the one of least
-    hash), and its line count reaches the driver; then the line features of as
-    many documents as fit into ``max_lines`` lines do, shortest first.  Null ids
+    hash).  A document of more than ``max_doc_lines`` lines gives a run of so many, whose start its hash chooses.  Line
+    counts reach the driver first; documents are taken in hash order while their lines fit into
+    the label's half (one that does not fit is passed over), and their features follow.  Null ids
     and labels are passed over; an id labelled more than once takes its lowest
     label.  Without documents of both labels every line counts as content.
     """
@@ -224,14 +240,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = (docs.select(col(id_col).alias("__doc"), col(text_col).alias("text"))
               .join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("__doc", "text", "label"))
 
-    counted, chosen, total = (sample_lines(sample.withColumn("hash", F.xxhash64("text")), False).filter("n_lines > 0")
-                              .groupBy("__doc").agg(F.min(F.struct("hash", "n_lines")).alias("first"), F.min("label").alias("label"))
-                              .select("__doc", "label", "first.*").collect()), [], 0  # one row per picked id
-    for r in sorted(counted, key=lambda r: (r["n_lines"], r["__doc"])):
-        total += r["n_lines"]
-        if total > max_lines:
-            break
-        chosen.append(r)
+    counted = (sample_lines(sample.withColumn("hash", F.xxhash64("text")), False, max_doc_lines).filter("n_lines > 0")
+               .groupBy("__doc").agg(F.min(F.struct("hash", "n_lines")).alias("first"), F.min("label").alias("label"))
+               .select("__doc", "label", "first.*", F.xxhash64("__doc").alias("place")).collect())  # one row per picked id
+    chosen, left = [], {True: max_lines // 2, False: max_lines // 2}
+    for r in sorted(counted, key=lambda r: (r["place"], r["__doc"])):
+        if r["n_lines"] <= left[r["label"] > 0]:
+            left[r["label"] > 0] -= r["n_lines"]
+            chosen.append(r)
     if not chosen:
         return empty_field()
     kind = {f.name: f.dataType.simpleString() for f in sample.schema}["__doc"]
@@ -241,18 +257,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .join(F.broadcast(wanted), (F.col("__doc") == F.col("__id")) & (F.col("hash") == F.col("__hash")))
              .select("__doc", "text", "label", "hash"))
     # copies of one text have the same features
-    got = sample_lines(texts, True).groupBy("__doc").agg(F.min("features").alias("features"), F.min("label").alias("label")).collect()
+    got = sample_lines(texts, True, max_doc_lines).groupBy("__doc").agg(F.min("features").alias("features"), F.min("label").alias("label")).collect()
     got.sort(key=lambda r: r["__doc"])
     parts = [np.frombuffer(r["features"], np.float32).reshape(-1, len(FEATURES)) for r in got]
     return train(np.concatenate(parts).astype(np.float64), np.array([len(p) for p in parts], np.int64),
                  np.array([int(r["label"] > 0) for r in got]))
 
 
-def sample_lines(sample: DataFrame, features: bool) -> DataFrame:
+def run_of(rows: list, text: bytes, longest: int) -> list:
+    """At most ``longest`` consecutive lines, from a place that the text's hash chooses."""
+    start = zlib.crc32(text) % (len(rows) - longest + 1) if len(rows) > longest else 0
+    return rows[start:start + longest]
+
+
+def sample_lines(sample: DataFrame, features: bool, longest: int) -> DataFrame:
     """__doc, label and hash of each row with n_lines, or with the features of its lines instead."""
     def make():
         def work(texts: list[bytes | None]) -> list:
-            rows = [line_features(t or b"")[0] for t in texts]
+            rows = [run_of(line_features(t or b"")[0], t or b"", longest) for t in texts]
             return [[np.array(r, np.float32).tobytes() for r in rows]] if features else [[len(r) for r in rows]]
         return work
     return append_columns(sample, "text", make, [("features", "binary") if features else ("n_lines", "bigint")],
