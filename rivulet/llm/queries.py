@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import (chat_format, collocations, decontaminate, hard_negatives, language_hd, license_scan, packing, page_text, quality_crf,
                          simhash_tiles, token_edits, toxicity, url_filter)
-from rivulet.llm.batches import crc_part, table
+from rivulet.llm.batches import crc_part, save_and_reread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -136,40 +136,44 @@ def hashed(text, modulus: int):
 
 def dated_lists(pages: DataFrame) -> DataFrame:
     """Dated list entries derived from the pages: hosts listed, taken off and listed again, parent domains,
-    path prefixes and allowed hosts, chosen by a hash of the pattern."""
-    host = url_filter.host_of(F.col("url"))
-    hosts = pages.select(host.alias("host")).filter("host <> ''").distinct()
-    first = F.regexp_extract("path", "^/([^/]+)", 1)
-    prefixes = (pages.select(host.alias("host"), F.regexp_extract("url", url_filter.PATH, 1).alias("path"))
-                .select(F.concat("host", F.lit("/"), first).alias("pattern"), first.alias("f")).filter("f <> ''").select("pattern").distinct())
-    domains = hosts.select(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("pattern")).filter("pattern <> ''").distinct()
+    path prefixes and allowed hosts, chosen by a hash of the pattern, each event at its own hour.
+
+    The hosts and first path segments are derived once.
+    """
+    path = F.regexp_extract("url", url_filter.PATH, 1)
+    seen = save_and_reread(pages.select(url_filter.host_of(F.col("url")).alias("host"), F.regexp_extract(path, "^/+([^/]+)", 1).alias("first"))
+                           .filter("host <> ''").distinct(), "url-patterns")
+    hosts = seen.select(F.col("host").alias("pattern")).distinct()
+    prefixes = seen.filter("first <> ''").select(F.concat("host", F.lit("/"), "first").alias("pattern"))
+    domains = seen.select(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("pattern")).filter("pattern <> ''").distinct()
 
     def events(patterns: DataFrame, name: str, verdict: str, kind: str, keep: int, spans: list[tuple[int, int]]) -> DataFrame:
         h = hashed(F.concat(F.lit(name), F.col("pattern")), 1000)
         chosen = patterns.withColumn("h", h).filter(F.col("h") % keep == 0)
-        dates = [F.struct(F.lit(a).alias("action"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("h") % 300 + d).alias("effective"))
+        begin = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+        times = [F.struct(F.lit(a).alias("action"), (begin + F.make_dt_interval(F.col("h") % 300 + d, F.col("h") % 24)).alias("effective"))
                  for start, stop in spans for a, d in (("add", start), ("remove", stop)) if d >= 0]
         return chosen.select(F.lit(name).alias("list"), F.lit(verdict).alias("verdict"), F.lit(kind).alias("kind"), "pattern",
-                             F.inline(F.array(*dates)))
+                             F.inline(F.array(*times)))
 
-    by_host = hosts.withColumnRenamed("host", "pattern")
-    return (events(by_host, "spam", "block", "host", 2, [(0, 120), (200, -1)])
-            .union(events(by_host, "trusted", "allow", "host", 5, [(60, 400)]))
+    return (events(hosts, "spam", "block", "host", 2, [(0, 120), (200, -1)])
+            .union(events(hosts, "trusted", "allow", "host", 5, [(60, 400)]))
             .union(events(domains, "abuse", "block", "domain", 3, [(30, 250)]))
             .union(events(prefixes, "legal", "block", "prefix", 2, [(10, 90), (90, 300)])))
 
 
 @query
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page against the list entries active on its day; days and lists are derived from the pages."""
+    """Every page against the list entries active when it was fetched; times and lists are derived from the pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    captures = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 700).cast("int")))
-    return url_filter.evaluate(captures, dated_lists(pages))
+    fetched = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        (F.col("page_id") * 37 % 700).cast("int"), (F.col("page_id") % 24).cast("int"), (F.col("page_id") * 7 % 60).cast("int"))
+    return url_filter.evaluate(pages.withColumn("fetched", fetched), dated_lists(pages))
 
 
 ORACLE["op1_url_filter"] = r"""
 WITH captures AS (
-    SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 700 AS INTEGER) AS fetched,
+    SELECT page_id, url, TIMESTAMP '2024-01-01' + to_days(CAST(page_id * 37 % 700 AS INTEGER)) + to_hours(page_id % 24) + to_minutes(page_id * 7 % 60) AS fetched,
            regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '^www\.|\.$', '', 'g') AS host,
            list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS segments
     FROM pages),
@@ -178,12 +182,13 @@ patterns AS (
     UNION ALL SELECT DISTINCT 'trusted', 'allow', 'host', host, 5 FROM captures WHERE host <> ''
     UNION ALL SELECT DISTINCT 'abuse', 'block', 'domain', regexp_extract(host, '([^.]+\.[^.]+)$', 1), 3 FROM captures
         WHERE regexp_matches(host, '[^.]+\.[^.]+$')
-    UNION ALL SELECT DISTINCT 'legal', 'block', 'prefix', host || '/' || segments[1], 2 FROM captures WHERE len(segments) > 0),
+    UNION ALL SELECT DISTINCT 'legal', 'block', 'prefix', host || '/' || segments[1], 2 FROM captures WHERE host <> '' AND len(segments) > 0),
 spans(list, a, b) AS (VALUES ('spam', 0, 120), ('spam', 200, NULL), ('trusted', 60, 400), ('abuse', 30, 250), ('legal', 10, 90), ('legal', 90, 300)),
 numbered AS (SELECT *, CAST('0x' || substr(md5(list || pattern), 1, 6) AS INTEGER) % 1000 AS h FROM patterns),
--- the removal on day 90 wins over the listing on the same day, so the second span of 'legal' never opens
+-- the removal at the hour of the second listing wins, so the second span of 'legal' never opens
 valid AS (
-    SELECT n.list, verdict, kind, pattern, DATE '2024-01-01' + (h % 300 + a) AS since, DATE '2024-01-01' + (h % 300 + b) AS until
+    SELECT n.list, verdict, kind, pattern, TIMESTAMP '2024-01-01' + to_days(h % 300 + a) + to_hours(h % 24) AS since,
+           TIMESTAMP '2024-01-01' + to_days(h % 300 + b) + to_hours(h % 24) AS until
     FROM numbered n JOIN spans s ON n.list = s.list WHERE h % keep = 0 AND NOT (n.list = 'legal' AND a = 90)),
 keys AS (
     SELECT page_id, url, fetched, 'host' AS kind, host AS pattern, 1 AS rank FROM captures WHERE host <> ''

@@ -57,53 +57,72 @@ def keys_of(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """(list, verdict, kind, pattern, valid_from, valid_to): one interval per ``add`` up to the entry's next event.
 
-    Entries are (list, verdict, kind, pattern, action, effective); several
-    events of one entry on one day count as one, and a removal wins.  Events
+    Entries are (list, verdict, kind, pattern, action, effective), effective a
+    time (a date is its first moment); several events of one entry at one time count as one, and a removal wins.  Events
     with a null among list, kind, pattern, action or effective are passed over.
     valid_to is null while the entry is still listed.
     """
     entry = ["list", "kind", "pattern"]
-    days = (entries.filter(" and ".join(f"{c} is not null" for c in [*entry, "action", "effective"]))
-            .groupBy(*entry, F.col("effective").cast("date").alias("day"))
-            .agg(F.max(F.col("action") == "remove").alias("removed"), F.max("verdict").alias("verdict")))
-    following = F.lead("day").over(Window.partitionBy(*entry).orderBy("day"))
-    return (days.withColumn("valid_to", following).filter("not removed")
-            .select(*entry, "verdict", F.col("day").alias("valid_from"), "valid_to"))
+    times = (entries.filter(" and ".join(f"{c} is not null" for c in [*entry, "action", "effective"]))
+             .groupBy(*entry, F.col("effective").cast("timestamp_ntz").alias("at"))
+             .agg(F.max(F.col("action") == "remove").alias("removed"), F.max("verdict").alias("verdict")))
+    following = F.lead("at").over(Window.partitionBy(*entry).orderBy("at"))
+    return (times.withColumn("valid_to", following).filter("not removed")
+            .select(*entry, "verdict", F.col("at").alias("valid_from"), "valid_to"))
 
 
-def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", day_col: str = "fetched",
-             id_col: str = "page_id") -> DataFrame:
-    """(id, url, day, verdict, list, kind, pattern, n_active) for every capture.
+def active_at(probes: DataFrame, valid: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """The probes (list, kind, pattern, at) at whose time their entry is listed, with its verdict: an as-of join.
 
-    verdict: that of the deciding entry ('allow' or 'block'), 'none' without an
+    Probes and intervals meet in one ordered window for each entry and time bucket, so an entry asked by a
+    large part of all captures spreads over its buckets; a row for each entry and
+    bucket carries the last interval begun before it.
+    """
+    entry = ["list", "kind", "pattern"]
+    held = F.struct("verdict", F.col("valid_to").alias("to"))
+    opened = valid.select(*entry, F.col("valid_from").alias("at"), F.lit(0).alias("probe"), held.alias("v"))
+    nothing = F.lit(None).cast(opened.schema["v"].dataType)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    bucket = F.floor(F.timestamp_diff("SECOND", epoch, F.col("at")) / bucket_seconds)
+    both = probes.select(*entry, "at", F.lit(1).alias("probe"), nothing.alias("v")).union(opened).withColumn("bucket", bucket)
+    earlier = Window.partitionBy(*entry).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (both.groupBy(*entry, "bucket").agg(F.max_by("v", F.when(F.col("probe") == 0, F.col("at"))).alias("last"))
+               .withColumn("v", F.last("last", ignorenulls=True).over(earlier)).filter("v is not null")
+               .select(*entry, F.lit(None).cast("timestamp_ntz").alias("at"), F.lit(-1).alias("probe"), "v", "bucket"))
+    latest = F.last("v", ignorenulls=True).over(Window.partitionBy(*entry, "bucket").orderBy(F.asc_nulls_first("at"), "probe"))
+    return (both.union(carried).withColumn("v", latest).filter("probe = 1 and v is not null and (v.to is null or at < v.to)")
+            .select(*entry, "at", "v.verdict"))
+
+
+def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched",
+             id_col: str = "page_id", bucket_seconds: int = 3600) -> DataFrame:
+    """(id, url, time, verdict, list, kind, pattern, n_active) for every capture.
+
+    An entry is active from the moment its listing takes effect up to, not at, its removal.  verdict: that of the deciding entry ('allow' or 'block'), 'none' without an
     active entry.  The most specific entry decides (url, then longest prefix,
     host, longest domain); 'allow' wins a tie, then the list's name.  n_active
     counts the active entries that match.  A null or malformed URL and a null
-    day match nothing; repeated captures give a row each; empty captures or
+    time match nothing; a date is its first moment; repeated captures give a row each; empty captures or
     entries give no rows, or 'none' throughout; other columns are not read.
     """
     valid = intervals(entries)
-    asked = captures.select(col(id_col).alias("id"), col(url_col).cast("string").alias("url"), col(day_col).cast("date").alias("day"))
-    keyed = asked.select("url", "day").distinct().select("url", "day", F.explode(keys_of(F.col("url"))).alias("k")) \
-        .select("url", "day", "k.kind", "k.pattern").filter("day is not null")
+    asked = captures.select(col(id_col).alias("id"), col(url_col).cast("string").alias("url"), col(time_col).alias("time"),
+                            col(time_col).cast("timestamp_ntz").alias("at"))
+    keyed = asked.select("url", "at").filter("at is not null").distinct().select("url", "at", F.explode(keys_of(F.col("url"))).alias("k")) \
+        .select("url", "at", "k.kind", "k.pattern")
 
     listed = valid.select("list", "kind", "pattern").distinct()
-    probes = (keyed.select("kind", "pattern", "day").distinct().join(listed, ["kind", "pattern"])
-              .select("list", "kind", "pattern", "day", F.lit(1).alias("probe"), F.lit(None).cast("struct<verdict:string,to:date>").alias("v")))
-    opened = valid.select("list", "kind", "pattern", F.col("valid_from").alias("day"), F.lit(0).alias("probe"),
-                          F.struct("verdict", F.col("valid_to").alias("to")).alias("v"))
-    latest = F.last("v", ignorenulls=True).over(Window.partitionBy("list", "kind", "pattern").orderBy("day", "probe"))
-    active = (probes.union(opened).withColumn("v", latest).filter("probe = 1 and v is not null and (v.to is null or day < v.to)")
-              .select("list", "kind", "pattern", "day", "v.verdict"))
+    probes = keyed.select("kind", "pattern", "at").distinct().join(listed, ["kind", "pattern"])
+    active = active_at(probes, valid, bucket_seconds)
 
     rank = F.create_map(*[F.lit(x) for kv in RANK.items() for x in kv])[F.col("kind")]
     order = F.struct(rank.alias("rank"), F.length("pattern").alias("size"), (F.col("verdict") == "allow").alias("allow"))
-    picked = (keyed.join(active, ["kind", "pattern", "day"])
-              .select("url", "day", order.alias("o"), F.struct("verdict", "list", "kind", "pattern").alias("e"))
-              .groupBy("url", "day", "o").agg(F.min("e").alias("e"), F.count("*").alias("n"))
-              .groupBy("url", "day").agg(F.max(F.struct("o", "e")).alias("best"), F.sum("n").alias("n_active")))
-    got = picked.select(F.col("url").alias("u"), F.col("day").alias("d"), "best.e.*", "n_active")
-    return (asked.join(got, (F.col("url") == F.col("u")) & (F.col("day") == F.col("d")), "left")
-            .select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.col("day").alias(day_col),
+    picked = (keyed.join(active, ["kind", "pattern", "at"])
+              .select("url", "at", order.alias("o"), F.struct("verdict", "list", "kind", "pattern").alias("e"))
+              .groupBy("url", "at", "o").agg(F.min("e").alias("e"), F.count("*").alias("n"))
+              .groupBy("url", "at").agg(F.max(F.struct("o", "e")).alias("best"), F.sum("n").alias("n_active")))
+    got = picked.select(F.col("url").alias("u"), F.col("at").alias("d"), "best.e.*", "n_active")
+    return (asked.join(got, (F.col("url") == F.col("u")) & (F.col("at") == F.col("d")), "left")
+            .select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.col("time").alias(time_col),
                     F.coalesce("verdict", F.lit("none")).alias("verdict"), "list", "kind", "pattern",
                     F.coalesce("n_active", F.lit(0)).cast("bigint").alias("n_active")))

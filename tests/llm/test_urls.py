@@ -74,7 +74,7 @@ def test_equals_brute_force(spark):
 def test_intervals_open_and_close(spark):
     e = [("l", "block", "host", "a.com", a, day(d)) for a, d in (("add", 1), ("add", 3), ("remove", 5), ("remove", 8), ("add", 9), ("remove", 9))]
     got = U.intervals(spark.createDataFrame([(*x, "own") for x in e], ENT)).orderBy("valid_from").collect()
-    assert [(r["valid_from"], r["valid_to"]) for r in got] == [(day(1), day(3)), (day(3), day(5))]
+    assert [(r["valid_from"].date(), r["valid_to"].date()) for r in got] == [(day(1), day(3)), (day(3), day(5))]
 
 
 def test_empty_tables(spark):
@@ -87,3 +87,28 @@ def test_plan_has_no_python_nor_cross_join(spark):
     captures, entries = sample(1)
     df = U.evaluate(spark.createDataFrame([(*x, "own", "own") for x in captures], CAP), spark.createDataFrame([(*x, "own") for x in entries], ENT))
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_entries_act_from_their_moment_on(spark):
+    """A capture before an entry of the same day takes effect is not touched by it; times meet across buckets."""
+    at = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+    entries = [("l", "block", "host", "a.com", "add", at(1, 20), "own"), ("l", "block", "host", "a.com", "remove", at(3, 8, 30), "own"),
+               ("l", "block", "host", "a.com", "add", at(3, 9), "own")]
+    times = [at(1, 8), at(1, 19, 59), at(1, 20), at(2, 5), at(3, 8, 29), at(3, 8, 30), at(3, 8, 59), at(3, 9), at(20, 0)]
+    c = spark.createDataFrame([(k, "http://a.com/x", t) for k, t in enumerate(times)], "page_id bigint, url string, fetched timestamp_ntz")
+    e = spark.createDataFrame(entries, ENT.replace("effective date", "effective timestamp_ntz"))
+    for seconds in (60, 3600, 10 ** 9):
+        got = [r["verdict"] for r in U.evaluate(c, e, bucket_seconds=seconds).orderBy("page_id").collect()]
+        assert got == ["none", "none", "block", "block", "block", "none", "none", "block", "block"]
+
+
+def test_times_equal_brute_force(spark):
+    r = random.Random(9)
+    moment = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=r.randrange(4000))
+    captures = [(k, f"http://{r.choice(['a.com', 'm.a.com', 'b.org'])}/p/q", moment()) for k in range(150)]
+    entries = [(r.choice(["l1", "l2"]), "block", *r.choice([("host", "a.com"), ("domain", "a.com"), ("prefix", "b.org/p")]),
+                r.choice(["add", "remove"]), moment()) for _ in range(60)]
+    c = spark.createDataFrame(captures, "page_id bigint, url string, fetched timestamp_ntz")
+    e = spark.createDataFrame([(*x, "own") for x in entries], ENT.replace("effective date", "effective timestamp_ntz"))
+    got = sorted(map(tuple, U.evaluate(c, e).select("page_id", "url", "fetched", "verdict", "list", "kind", "pattern", "n_active").collect()), key=repr)
+    assert got == brute(captures, entries)
