@@ -570,11 +570,11 @@ def _rate_sql(window_minutes: int = 1440, slide_minutes: int = 360) -> str:
 WITH {_SAMPLES_SQL},
 p AS (SELECT *, LAG(ts) OVER w AS prev_ts, LAG(counter) OVER w AS prev_value FROM c
       WINDOW w AS (PARTITION BY job, instance ORDER BY ts, event_id)),
-x AS (SELECT p.*, make_timestamp((epoch_us(ts) // {slide_us} - k) * {slide_us}) AS window_start
+x AS (SELECT p.*, make_timestamp(((epoch_us(ts) - 1) // {slide_us} - k) * {slide_us}) AS window_start
       FROM p, (SELECT unnest([{ks}]) AS k) ks),
 r AS (SELECT window_start, window_start + INTERVAL {window_minutes} MINUTE AS window_end, job, instance,
              COUNT(*) AS samples,
-             CAST(COALESCE(SUM(CASE WHEN prev_ts >= window_start THEN
+             CAST(COALESCE(SUM(CASE WHEN prev_ts > window_start THEN
                   (CASE WHEN counter < prev_value THEN counter ELSE counter - prev_value END) END), 0) AS DOUBLE) AS increase,
              (epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / CAST(1000000 AS DOUBLE) AS elapsed_s
       FROM x GROUP BY ALL)
@@ -644,7 +644,7 @@ v AS (SELECT step, job, instance, up FROM (
         SELECT *, {_STEP_SQL} AS step FROM s) a
       QUALIFY ROW_NUMBER() OVER (PARTITION BY step, job, instance ORDER BY ts DESC, event_id DESC) = 1),
 sums AS (SELECT step, job, CAST(SUM(up) AS BIGINT) AS up FROM v GROUP BY step, job),
-jobs AS (SELECT DISTINCT job FROM s UNION ALL SELECT 'never_seen'),
+jobs(job) AS (VALUES {", ".join(f"('{j}')" for j in fx.EVENT_JOBS + ["never_seen"])}),
 grid AS (SELECT job, unnest(generate_series((SELECT MIN(step) FROM sums), (SELECT MAX(step) + INTERVAL 5 HOUR FROM sums), INTERVAL 1 HOUR)) AS step
          FROM jobs)
 SELECT g.step, g.job, s.up,
@@ -655,9 +655,9 @@ def metric_health(spark, sf):
     """Five hours beyond the last sample, and for a job that never reported."""
     s = _samples(spark, sf)
     v = M.instant_range(s, ["job", "instance"], "ts", "up", 3600, 3600, "event_id")
-    jobs = s.select("job").distinct().union(spark.range(1).select(F.lit("never_seen").alias("job")))
-    end = v.select(F.max("step")).scalar() + F.expr("INTERVAL 5 HOURS")
-    return M.health_status(v, "job", "up", 3600, jobs, end=end).select("step", "job", "up", "status")
+    # the jobs that a scrape configuration lists: the known kinds of events, and one that never reports
+    jobs = spark.createDataFrame([(j,) for j in fx.EVENT_JOBS + ["never_seen"]], "job string")
+    return M.health_status(v, "job", "up", 3600, jobs, extra_steps=5).select("step", "job", "up", "status")
 
 
 @register("metric_uptime", """
@@ -690,13 +690,13 @@ def metric_gauge_uptime(spark, sf):
 
 _RESET_SQL = f"""
 WITH {_SAMPLES_SQL},
-raw AS (SELECT event_id, ts, job, instance, CAST(counter AS BIGINT) % 20011 AS reading FROM c),
+raw AS (SELECT event_id, ts, job, instance, CAST(counter AS BIGINT) % 20011 AS reading FROM c WHERE event_id % 10 <> 3),
 p AS (SELECT *, LAG(ts) OVER w AS prev_ts, LAG(reading) OVER w AS prev_reading FROM raw
       WINDOW w AS (PARTITION BY job, instance ORDER BY ts, event_id)),
-x AS (SELECT p.*, make_timestamp((epoch_us(ts) // 21600000000 - k) * 21600000000) AS window_start
+x AS (SELECT p.*, make_timestamp(((epoch_us(ts) - 1) // 21600000000 - k) * 21600000000) AS window_start
       FROM p, (SELECT unnest([0, 1, 2, 3]) AS k) ks),
 r AS (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, job, instance, COUNT(*) AS samples,
-             CAST(COALESCE(SUM(CASE WHEN prev_ts >= window_start THEN
+             CAST(COALESCE(SUM(CASE WHEN prev_ts > window_start THEN
                   CASE WHEN reading < prev_reading THEN reading ELSE reading - prev_reading END END), 0) AS DOUBLE) AS increase,
              (epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / CAST(1000000 AS DOUBLE) AS elapsed_s
       FROM x GROUP BY ALL)
@@ -706,9 +706,9 @@ SELECT window_start, window_end, job, instance, samples, increase,
 
 
 def _readings(spark, sf):
-    """Raw counter readings that start again from zero whenever they reach 20011."""
-    return _counters_only(spark, sf).select("event_id", "ts", "job", "instance",
-                                            (F.col("counter").cast("long") % 20011).alias("reading"))
+    """Raw counter readings that start again from zero whenever they reach 20011; every tenth one is null."""
+    reading = F.when(F.col("event_id") % 10 != 3, F.col("counter").cast("long") % 20011)
+    return _counters_only(spark, sf).select("event_id", "ts", "job", "instance", reading.alias("reading"))
 
 
 @register("metric_rate_counter", _RESET_SQL)
@@ -717,6 +717,23 @@ def metric_rate_counter(spark, sf):
     return M.counter_rate(_readings(spark, sf), ["job", "instance"], "ts", "reading", "event_id", "1 day", "6 hours")
 
 
+@register("metric_rate_extrapolated", _RESET_SQL[:_RESET_SQL.index("SELECT window_start, window_end, job, instance, samples, increase,\n")].rstrip()
+          .replace("(epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / CAST(1000000 AS DOUBLE) AS elapsed_s",
+                   "(epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / CAST(1000000 AS DOUBLE) AS elapsed_s, "
+                   "CAST(ARG_MIN(reading, (ts, event_id)) AS DOUBLE) AS first_v, epoch_us(MIN(ts)) AS lo, epoch_us(MAX(ts)) AS hi") + f"""
+, w AS (SELECT *, (lo - epoch_us(window_start)) / CAST(1000000 AS DOUBLE) AS before_s, (epoch_us(window_end) - hi) / CAST(1000000 AS DOUBLE) AS after_s FROM r)
+, g AS (SELECT *, elapsed_s / (samples - 1) AS gap,
+               CASE WHEN increase > 0 THEN LEAST(before_s, elapsed_s * first_v / increase) ELSE before_s END AS reach FROM w WHERE samples >= 2 AND elapsed_s > 0),
+e AS (SELECT window_start, job, instance, {_rnd("""increase * ((elapsed_s + CASE WHEN reach >= gap * 1.1 THEN gap / 2 ELSE reach END
+             + CASE WHEN after_s >= gap * 1.1 THEN gap / 2 ELSE after_s END) / elapsed_s) / CAST(86400 AS DOUBLE)""", 6)} AS rate FROM g)
+SELECT r.window_start, r.window_end, r.job, r.instance, r.samples, r.increase, e.rate
+FROM r LEFT JOIN e ON r.window_start = e.window_start AND r.job = e.job AND r.instance = e.instance
+""")
+def metric_rate_extrapolated(spark, sf):
+    """``rate()`` of raw readings with resets, extended to the windows' borders."""
+    return M.counter_rate(_readings(spark, sf), ["job", "instance"], "ts", "reading", "event_id", "1 day", "6 hours", extrapolate=True)
+
+
 def in_time_order(spark, folder: str) -> None:
     """Let the part files' modification times follow their numbers, as if written one after the other."""
     fs, p = _fs_and_path(spark, folder)
@@ -725,20 +742,19 @@ def in_time_order(spark, folder: str) -> None:
         fs.setTimes(f, 1_700_000_000_000 + 1000 * i, -1)
 
 
-@register("stream_counter_resets", _RESET_SQL + "WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE")
+@register("stream_counter_resets", _RESET_SQL + """WHERE window_end <=
+    (SELECT MAX(ts) FROM events WHERE event_id % 10 <> 3) - INTERVAL 10 MINUTE - INTERVAL 1 MICROSECOND""")
 def stream_counter_resets(spark, sf):
-    """The same readings as a stream of several files, out of order within each file."""
-    from rivulet.streaming.counter_state import stateful_counter_rate
-    from rivulet.streaming.rate import run_available_now
+    """The same readings as a stream of several files, out of order within each file, null readings among them."""
+    from rivulet.streaming.rate import counter_rate_stream, run_available_now
     root = _io_root(spark, "resets")
     readings = _readings(spark, sf)
     # a file per twelfth of the time; inside a file the samples are shuffled by id hash
     readings.repartitionByRange(12, "ts").sortWithinPartitions(F.xxhash64("event_id")).write.parquet(f"{root}/in")
     in_time_order(spark, f"{root}/in")
     stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    out = stateful_counter_rate(stream, ["job", "instance"], "ts", "reading", "event_id", window_seconds=86400,
-                                slide_seconds=21600, watermark="10 minutes")
-    return run_available_now(spark, out, f"{root}/out", f"{root}/state").drop("late")
+    out = counter_rate_stream(stream, ["job", "instance"], "ts", "reading", "event_id", "1 day", "6 hours", "10 minutes")
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state")
 
 
 @register("metric_last", f"""
@@ -764,21 +780,25 @@ def metric_series_count(spark, sf):
 
 @register("metric_recent_6h", f"""
 WITH {_SAMPLES_SQL}
-SELECT job, instance, counter AS last, ts AS last_ts FROM c
+SELECT job, instance, value AS last, ts AS last_ts FROM s
 WHERE ts > (SELECT MAX(ts) FROM events) - INTERVAL 6 HOUR
 QUALIFY ROW_NUMBER() OVER (PARTITION BY job, instance ORDER BY ts DESC, event_id DESC) = 1
 """)
 def metric_recent_6h(spark, sf):
-    c = _counters_only(spark, sf)
-    as_of = c.select(F.max("ts")).scalar()
-    recent = c.filter(F.col("ts") > as_of - F.expr("INTERVAL 6 HOURS"))
-    return M.last_value(recent, ["job", "instance"], "ts", "counter", "event_id")
+    """The newest raw gauge sample of each series in the last six hours.
+
+    The dashboard's end time is known before the query is planned, so the
+    range is a literal that reaches the scan.
+    """
+    events = _t(spark, sf, "events")
+    now = events.agg(F.max("ts")).first()[0]  # from the files' statistics alone
+    return M.last_value(M.recent(_samples(spark, sf), "ts", now, 6 * 3600), ["job", "instance"], "ts", "value", "event_id")
 
 
 @register("stream_rate", _RATE_SQL + """
 SELECT window_start, window_end, job, instance, samples, increase,
        CASE WHEN samples >= 2 THEN """ + _rnd('increase / NULLIF(elapsed_s, 0)', 6) + """ END AS rate FROM r
-WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE - INTERVAL 1 MICROSECOND
 """)
 def stream_rate(spark, sf):
     """Events as a stream: watermarked sliding-window rate per series, append mode."""
@@ -1008,17 +1028,15 @@ def upsert_versioned_load(spark, sf):
 
 @register("stream_counter_rate", ORACLE["stream_rate"])
 def stream_counter_rate(spark, sf):
-    """Absolute counter readings streamed through the stateful per-series rate
-    (counter resets supported); windows are emitted as the watermark passes them."""
-    from rivulet.streaming.counter_state import stateful_counter_rate
+    """Absolute counter readings in one file through the streaming rate of raw
+    readings; windows are emitted as the watermark passes them."""
+    from rivulet.streaming.rate import counter_rate_stream, run_available_now
     root = _io_root(spark, "counters")
     counters = _counters_only(spark, sf).select("event_id", "ts", "job", "instance", "counter")
     counters.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(counters.schema).parquet(f"{root}/in")
-    out = stateful_counter_rate(stream, ["job", "instance"], "ts", "counter", "event_id",
-                                window_seconds=86400, slide_seconds=21600, watermark="10 minutes")
-    from rivulet.streaming.rate import run_available_now
-    return run_available_now(spark, out, f"{root}/out", f"{root}/state").drop("late")
+    out = counter_rate_stream(stream, ["job", "instance"], "ts", "counter", "event_id", "1 day", "6 hours", "10 minutes")
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state")
 
 
 @register("metric_instant_at", f"""
@@ -1053,7 +1071,7 @@ def metric_up_matched(spark, sf):
 SELECT window_start, window_end, job, """ + _rnd('SUM(rate)', 6) + """ AS rate FROM (
   SELECT window_start, window_end, job, CASE WHEN samples >= 2 THEN """ + _rnd('increase / NULLIF(elapsed_s, 0)', 6) + """ END AS rate
   FROM r) q
-WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE - INTERVAL 1 MICROSECOND
 GROUP BY window_start, window_end, job
 """)
 def stream_sum_rate(spark, sf):

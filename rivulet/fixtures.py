@@ -216,6 +216,10 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
     return r.parquet(sf_dir)
 
 
+#: The jobs that report samples (the kinds of events).
+EVENT_JOBS = ["click", "error", "purchase", "signup", "view"]
+
+
 def metric_samples(events: DataFrame) -> DataFrame:
     """Metric samples from events: one counter series per (job, instance).
 

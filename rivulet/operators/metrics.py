@@ -19,6 +19,7 @@ are ordered by one fixed-width key, so they stay hash aggregates.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 from math import gcd
 
@@ -156,27 +157,114 @@ def counter_delta(value: Column, prev: Column) -> Column:
     return F.when(prev.isNull(), F.lit(None)).when(value < prev, value).otherwise(value - prev)
 
 
+# --- counter summaries: what a window needs to know of the samples of one pane ---------------
+
+SUMMARY = ("n", "lo", "hi", "lo_v", "hi_v", "up")
+
+
+def pane_summary(samples: Column) -> Column:
+    """Summary of the samples (us, tb, v) of one series and pane, in any order.
+
+    ``n`` samples, time and value of the first (``lo``, ``lo_v``) and last (``hi``, ``hi_v``), and ``up``,
+    the increase over consecutive samples with resets counted from zero.
+    """
+    def whole(x: Column) -> Column:
+        n = F.size(x)
+        steps = F.zip_with(F.slice(x, 1, n - 1), F.slice(x, 2, n), lambda a, b: counter_delta(b["v"], a["v"]).cast("double"))
+        up = F.aggregate(steps, F.lit(0.0), lambda total, d: total + d)
+        first, last = F.element_at(x, 1), F.element_at(x, -1)
+        return F.struct(n.cast("long").alias("n"), first["us"].alias("lo"), last["us"].alias("hi"),
+                        first["v"].cast("double").alias("lo_v"), last["v"].cast("double").alias("hi_v"), up.alias("up"))
+    return F.get(F.transform(F.array(F.array_sort(samples)), whole), 0)
+
+
+def joined_summaries(panes: Column) -> Column:
+    """One summary of the summaries of a series in order of time (an array): associative, so any grouping of panes gives the same."""
+    empty = F.lit(None).cast("struct<n:bigint,lo:bigint,hi:bigint,lo_v:double,hi_v:double,up:double>")
+
+    def join(a: Column, b: Column) -> Column:
+        both = F.struct((a["n"] + b["n"]).alias("n"), a["lo"].alias("lo"), b["hi"].alias("hi"), a["lo_v"].alias("lo_v"),
+                        b["hi_v"].alias("hi_v"), (a["up"] + b["up"] + counter_delta(b["lo_v"], a["hi_v"])).alias("up"))
+        return F.when(a.isNull(), F.struct(*[b[c].alias(c) for c in SUMMARY])).otherwise(both)
+    return F.aggregate(panes, empty, join)
+
+
+def rate_of(summary: Column, digits: int | None = 6, window_start: Column | None = None, window_end: Column | None = None) -> Column:
+    """Increase a second of a summary; null with fewer than two samples or no time between them.
+
+    With the window's borders (microseconds) the increase is extended to them: on each side by the way to the
+    border, but by half the mean distance of samples where the border is 1.1 distances
+    or more away, and at the start not beyond the moment at which the counter would have been zero; the rate
+    is then a second of the whole window.
+    """
+    seconds = (summary["hi"] - summary["lo"]) / F.lit(float(MICROS))
+    enough = (summary["n"] >= 2) & (seconds > 0)
+    if window_start is None or window_end is None:
+        rate = F.when(enough, F.try_divide(summary["up"], seconds))
+    else:
+        gap = seconds / (summary["n"] - 1)
+        reach = lambda way: F.when(way >= gap * 1.1, gap / 2).otherwise(way)
+        before = (summary["lo"] - window_start) / F.lit(float(MICROS))
+        to_zero = F.when((summary["up"] > 0) & (summary["lo_v"] >= 0), seconds * summary["lo_v"] / summary["up"])
+        before = F.least(before, to_zero)  # nulls are passed over
+        after = (window_end - summary["hi"]) / F.lit(float(MICROS))
+        whole = (window_end - window_start) / F.lit(float(MICROS))
+        rate = F.when(enough, summary["up"] * F.try_divide(seconds + reach(before) + reach(after), seconds) / whole)
+    return round_half_even(rate, digits) if digits is not None else rate
+
+
+def sample_struct(df: DataFrame, ts: str, value: str, tiebreak: str) -> Column:
+    return F.struct(epoch_micros(df, ts).alias("us"), F.col(tiebreak).cast("long").alias("tb"), F.col(value).alias("v"))
+
+
+def pane_micros(win: int, step: int, pane_seconds: int | None) -> int:
+    """Microseconds of a pane: ``pane_seconds`` where it divides window and slide, else their divisor."""
+    g = gcd(win, step)
+    return (pane_seconds if pane_seconds and g % pane_seconds == 0 else g) * MICROS
+
+
 def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str,
                  window: str = "5 minutes", slide: str | None = None,
-                 bucket_seconds: int = 3600, digits: int | None = 6) -> DataFrame:
-    """``rate(counter[window])`` of raw counter readings on (sliding) time windows.
+                 pane_seconds: int | None = 3600, digits: int | None = 6, extrapolate: bool = False) -> DataFrame:
+    """``rate(counter[window])`` of raw counter readings on (sliding) time windows ``(start, end]``.
 
     For each window and series: the samples inside, their increase (sum over
     consecutive pairs inside the window, resets counted from zero) and the rate
     = increase / seconds between the first and last sample (null with fewer
-    than two samples).  No extrapolation to the window borders.  Null readings
+    than two samples); ``extrapolate`` extends it to the window's borders (see :func:`rate_of`).  Null readings
     are no samples.
+
+    The samples are read once and reduced to one summary for each series and pane, which
+    spreads a hot series over its panes; windows join the summaries of
+    their panes.  ``pane_seconds`` bounds what one group holds.
     """
     series = list(series)
-    p = with_previous(df.filter(F.col(value).isNotNull()), series, ts, value, tiebreak, bucket_seconds)
-    return _windowed_rate(p, series, ts, counter_delta(F.col(value), F.col("prev_value")), tiebreak, window, slide, digits)
+    win = seconds_of(window)
+    step = seconds_of(slide) if slide else win
+    pane = pane_micros(win, step, pane_seconds)
+    win, step = win * MICROS, step * MICROS
+    x = series_labels(df.filter(F.col(value).isNotNull()), series)
+    us = epoch_micros(x, ts)
+    panes = (x.groupBy(_ceil_div(us, pane).alias("_pane"), *series)
+             .agg(pane_summary(F.collect_list(sample_struct(x, ts, value, tiebreak))).alias("_s")))
+    agg = (panes.withColumn("_k", F.explode(_windows_of(F.col("_pane"), pane, win, step))).groupBy("_k", *series)
+           .agg(joined_summaries(F.transform(F.array_sort(F.collect_list(F.struct("_pane", "_s"))), lambda p: p["_s"])).alias("_s")))
+    start, end = F.col("_k") * step, F.col("_k") * step + F.lit(win)
+    rate = rate_of(F.col("_s"), digits, *((start, end) if extrapolate else ()))
+    return agg.select(ntz_from_micros(start).alias("window_start"), ntz_from_micros(end).alias("window_end"), *series,
+                      F.col("_s.n").alias("samples"), F.col("_s.up").alias("increase"), rate.alias("rate"))
+
+
+def _windows_of(pane: Column, size: int, win: int, step: int) -> Column:
+    """Numbers of the windows (k step, k step + win] that hold the pane ((p - 1) size, p size]."""
+    return F.sequence(-_floor_div(F.lit(win) - pane * size, step), _floor_div((pane - 1) * size, step))
 
 
 def counter_rate_from_increments(df: DataFrame, series: Sequence[str], ts: str, increment: str,
                                  tiebreak: str, window: str = "5 minutes", slide: str | None = None,
                                  digits: int | None = 6) -> DataFrame:
     """``rate()`` of the counter whose increments are given (no resets by
-    construction).  A window's increase is the sum of the increments of its
+    construction), on windows ``(start, end]``.  A window's increase is the sum of the increments of its
     samples but the first.  Same output as :func:`counter_rate` on the running
     counter; partial aggregation only, no window over raw samples.
     """
@@ -205,13 +293,10 @@ def _windowed_rate(x: DataFrame, series: list[str], ts: str, delta: Column, tieb
     win, step = win * MICROS, step * MICROS
     us = epoch_micros(x, ts)
     key = order_key(us, F.col(tiebreak))
-    panes = (x.withColumn("_d", delta).groupBy(_floor_div(us, pane).alias("_pane"), *series)
+    panes = (x.withColumn("_d", delta).groupBy(_ceil_div(us, pane).alias("_pane"), *series)
               .agg(F.count(F.lit(1)).alias("n"), F.sum("_d").alias("d"), F.min_by("_d", key).alias("d0"),
                    F.min(us).alias("lo"), F.max(us).alias("hi")))
-    # the starts of the windows that hold the pane: multiples of step in (pane end - window, pane start]
-    at = F.col("_pane") * pane
-    first, last = _floor_div(at + F.lit(pane - win) + F.lit(step - 1), step), _floor_div(at, step)
-    spread = panes.select(*series, "_pane", "n", "d", "d0", "lo", "hi", F.explode(F.sequence(first, last)).alias("_k"))
+    spread = panes.select(*series, "_pane", "n", "d", "d0", "lo", "hi", F.explode(_windows_of(F.col("_pane"), pane, win, step)).alias("_k"))
     agg = (spread.groupBy("_k", *series)
            .agg(F.sum("n").alias("samples"), F.sum("d").alias("_sum"), F.min_by("d0", "_pane").alias("_first"),
                 ((F.max("hi") - F.min("lo")) / F.lit(float(MICROS))).alias("elapsed_s")))
@@ -275,27 +360,53 @@ def instant_at(df: DataFrame, series: Sequence[str], ts: str, value: str, at: Co
     return inside.groupBy(*series).agg(_newest(inside, ts, value, tiebreak)[0].alias(value))
 
 
+def recent(df: DataFrame, ts: str, now: _dt.datetime, seconds: int) -> DataFrame:
+    """Samples in ``(now - seconds, now]``; the borders are literals of the column's own type, so the filter reaches the scan."""
+    kind = df.schema[ts].dataType.simpleString()
+    border = lambda t: F.lit(t.isoformat(sep=" ")).cast(kind)
+    return df.filter((F.col(ts) > border(now - _dt.timedelta(seconds=seconds))) & (F.col(ts) <= border(now)))
+
+
 def health_status(vector: DataFrame, job: str, value: str, step_seconds: int, jobs: DataFrame | None = None,
-                  start: Column | None = None, end: Column | None = None, out: str = "up") -> DataFrame:
+                  start: Column | None = None, end: Column | None = None, out: str = "up", extra_steps: int = 0) -> DataFrame:
     """``sum(up) by (job)`` per step with a traffic-light status.
 
     The grid holds every step of the query range for every job: ``jobs`` (one
     column named like ``job``; default: the jobs of the vector) from ``start``
-    to ``end`` (default: the vector's first and last step over all jobs).  A
+    to ``end`` (default: the vector's first step, and ``extra_steps`` behind its last one, over all jobs).  A
     job without a sample at a step, before its first, after its last or at any
     step, is ``Offline``; a sum >= 1 is ``green``, else ``red``.
     """
     st = step_seconds * MICROS
-    sums = vector.groupBy("step", job).agg(F.sum(value).alias(out))
     us_of = lambda c: F.timestamp_diff("MICROSECOND", _epoch_ntz(), c)
-    lo = us_of(start) if start is not None else vector.select(F.min(us_of(F.col("step")))).scalar()
-    hi = us_of(end) if end is not None else vector.select(F.max(us_of(F.col("step")))).scalar()
-    listed = (sums if jobs is None else jobs).select(job).distinct()
-    grid = (listed.select(job, (_ceil_div(lo, st) * st).alias("_lo"), hi.alias("_hi")).filter("_lo <= _hi")
-            .select(job, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.lit(st))).alias("_us"))
-            .select(job, ntz_from_micros(F.col("_us")).alias("step")))
-    status = (F.when(F.col(out).isNull(), "Offline").when(F.col(out) >= 1, "green").otherwise("red"))
-    return grid.join(sums, ["step", job], "left").withColumn("status", status)
+    sums = vector.groupBy("step", job).agg(F.sum(value).alias(out))
+    # a row for each job with its sums by step; the range is taken over these rows, so the vector is evaluated once
+    point = F.struct(us_of(F.col("step")).alias("us"), F.col(out).alias("up"))
+    per_job = sums.groupBy(job).agg(F.sort_array(F.collect_list(point)).alias("_p"))
+    if jobs is not None:
+        listed = jobs.select(F.col(job)).distinct().select(job, F.lit(None).cast(per_job.schema["_p"].dataType).alias("_p"), F.lit(True).alias("_listed"))
+        per_job = (per_job.withColumn("_listed", F.lit(False)).unionByName(listed).groupBy(job)
+                   .agg(F.max("_p").alias("_p"), F.max("_listed").alias("_listed")))
+    everywhere = Window.partitionBy()
+    lo = us_of(start) if start is not None else F.min(F.get("_p", F.lit(0))["us"]).over(everywhere)
+    hi = us_of(end) if end is not None else F.max(F.element_at("_p", -1)["us"]).over(everywhere) + F.lit(extra_steps * st)
+    grid = per_job.withColumns({"_lo": _ceil_div(lo, st) * st, "_hi": hi}).filter("_lo <= _hi" + (" and _listed" if jobs is not None else ""))
+    inside = F.filter(F.coalesce("_p", F.array().cast(per_job.schema["_p"].dataType)), lambda p: p["us"].between(F.col("_lo"), F.col("_hi")))
+    begin = F.struct(F.col("_lo").alias("us"), F.lit(None).cast(sums.schema[out].dataType).alias("up"))
+    points = grid.withColumn("_p", inside).withColumn(
+        "_p", F.when(F.coalesce(F.get("_p", F.lit(0))["us"] == F.col("_lo"), F.lit(False)), F.col("_p")).otherwise(F.concat(F.array(begin), "_p")))
+    # each point stands for itself and the silent steps up to the next one
+    last = points.select(job, "_hi", F.posexplode(F.zip_with("_p", F.slice("_p", F.lit(2), F.size("_p")), lambda p, q: F.struct(
+        p["us"].alias("us"), p["up"].alias("up"), q["us"].alias("next")))).alias("_i", "_q"))
+    steps = F.sequence(F.col("_q.us"), F.least(F.col("_q.next") - st, F.col("_hi")), F.lit(st))
+    rows = last.select(job, "_q.up", F.posexplode(steps).alias("_n", "_us"))
+    found = rows.select(ntz_from_micros(F.col("_us")).alias("step"), job, F.when(F.col("_n") == 0, F.col("up")).alias(out))
+    return found.withColumn("status", health_of(F.col(out)))
+
+
+def health_of(up: Column) -> Column:
+    """Traffic light of a job's sum: ``Offline`` without a sample, ``green`` from 1 on, else ``red``."""
+    return F.when(up.isNull(), "Offline").when(up >= 1, "green").otherwise("red")
 
 
 def last_value(df: DataFrame, series: Sequence[str], ts: str, value: str,

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.clean import round_half_even
-from rivulet.operators.metrics import MICROS, epoch_micros, ntz_from_micros, order_key
+from rivulet.operators.metrics import (
+    MICROS, epoch_micros, joined_summaries, ntz_from_micros, order_key, pane_micros, pane_summary, rate_of, sample_struct, seconds_of, series_labels,
+)
 
 
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
@@ -27,11 +29,45 @@ def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
     return df.withColumn(out, F.timestamp_micros(epoch_micros(df, ts)))
 
 
+def shifted(stream: DataFrame, ts: str, watermark: str) -> DataFrame:
+    """``event_time`` and ``shifted_time``, a microsecond before it: windows [start, end) of the latter are (start, end] of the former.
+
+    The watermark is declared on the shifted time itself (a derived column
+    would lose the event-time marker), i.e. it trails by one microsecond more.
+    """
+    return (event_time(stream, ts).withColumn("shifted_time", F.col("event_time") - F.expr("INTERVAL 1 MICROSECOND"))
+            .withWatermark("shifted_time", watermark))
+
+
+def counter_rate_stream(stream: DataFrame, series: Sequence[str], ts: str, value: str, tiebreak: str, window: str, slide: str | None,
+                        watermark: str, digits: int | None = 6, pane_seconds: int | None = 3600) -> DataFrame:
+    """``rate()`` of raw counter readings with resets, as :func:`rivulet.operators.metrics.counter_rate`; append mode.
+
+    Two chained windowed aggregations of built-in functions.  The first gathers the samples of a series and pane
+    until the watermark has passed the pane, whatever their order and files, and reduces them to a
+    summary; the second joins the summaries of a window.  A hot series is as many
+    keys as it has panes.  Null readings are no samples; samples behind the watermark are dropped.
+    """
+    series = list(series)
+    s = shifted(series_labels(stream.filter(F.col(value).isNotNull()), series), ts, watermark)
+    win = seconds_of(window)
+    step = seconds_of(slide) if slide else win
+    pane = pane_micros(win, step, pane_seconds) // MICROS
+    panes = (s.groupBy(F.window("shifted_time", f"{pane} seconds").alias("w"), *series)
+             .agg(F.collect_list(sample_struct(s, ts, value, tiebreak)).alias("_x"))
+             .select("w", *series, pane_summary(F.col("_x")).alias("_s")))
+    wide = F.window("w", f"{win} seconds", f"{step} seconds").alias("v")
+    joined = (panes.groupBy(wide, *series).agg(F.collect_list("_s").alias("_p"))
+              .select("v", *series, joined_summaries(F.array_sort("_p", lambda a, b: F.when(a["lo"] < b["lo"], -1).otherwise(1))).alias("_s")))
+    return joined.select(*_window_columns("v"), *series, F.col("_s.n").alias("samples"), F.col("_s.up").alias("increase"),
+                         rate_of(F.col("_s"), digits).alias("rate"))
+
+
 def _window_agg(stream: DataFrame, series: Sequence[str], ts: str, inc: str, tiebreak: str,
                 window: str, slide: str | None, watermark: str, digits: int | None) -> DataFrame:
     """Per (window struct ``w``, series): samples, increase, rate (streaming)."""
-    s = event_time(stream, ts).withWatermark("event_time", watermark)
-    w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
+    s = shifted(stream, ts, watermark)
+    w = F.window("shifted_time", window, slide) if slide else F.window("shifted_time", window)
     us = F.unix_micros(F.col("event_time"))
     agg = (s.groupBy(w.alias("w"), *series)
             .agg(F.count(F.lit(1)).alias("samples"),
@@ -82,11 +118,7 @@ def instant_steps(stream: DataFrame, series: Sequence[str], ts: str, value: str,
     ``t`` with ``t - step < ts <= t``; ``max_by`` keeps the newest (partial
     aggregation, one state row per open step and series).
     """
-    s = event_time(stream, ts)
-    # the watermark is declared on the shifted time itself (a derived column
-    # would lose the event-time marker), i.e. it trails by one microsecond more
-    s = (s.withColumn("shifted_time", F.col("event_time") - F.expr("INTERVAL 1 MICROSECOND"))
-          .withWatermark("shifted_time", watermark))
+    s = shifted(stream, ts, watermark)
     agg = (s.groupBy(F.window("shifted_time", step).alias("w"), *series)
             .agg(F.max_by(F.col(value), order_key(F.unix_micros("event_time"), F.col(tiebreak))).alias(value)))
     return agg.select(_window_columns()[1].alias("step"), *series, value)

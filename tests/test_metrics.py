@@ -32,12 +32,12 @@ def brute_rate(rows, win_s, slide_s):
         starts = set()
         for _, t, _, _ in rs:
             sec = int((t - epoch).total_seconds())
-            last = sec - sec % slide_s
+            last = sec - 1 - (sec - 1) % slide_s  # windows (start, end]
             for k in range(win_s // slide_s):
                 starts.add(last - k * slide_s)
         for st in starts:
             ws, we = epoch + dt.timedelta(seconds=st), epoch + dt.timedelta(seconds=st + win_s)
-            inw = [r for r in rs if ws <= r[1] < we]
+            inw = [r for r in rs if ws < r[1] <= we]
             inc = 0.0
             for a, b in zip(inw, inw[1:]):
                 inc += b[3] if b[3] < a[3] else b[3] - a[3]
@@ -50,7 +50,7 @@ def brute_rate(rows, win_s, slide_s):
 def test_counter_rate_with_resets_matches_brute_force(spark):
     rows = dense_samples()
     df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, series string, value double")
-    got = M.counter_rate(df, ["series"], "ts", "value", "id", "5 minutes", "1 minute", bucket_seconds=600).collect()
+    got = M.counter_rate(df, ["series"], "ts", "value", "id", "5 minutes", "1 minute", pane_seconds=30).collect()
     want = brute_rate(rows, 300, 60)
     assert len(got) == len(want)
     for r in got:
@@ -59,6 +59,58 @@ def test_counter_rate_with_resets_matches_brute_force(spark):
         assert (r.rate is None and w[2] is None) or abs(r.rate - w[2]) < 1e-9
 
 
+def extrapolated(inside, start, end):
+    """Rate of samples (seconds, value) extended to the window's borders, step by step."""
+    if len(inside) < 2 or inside[-1][0] == inside[0][0]:
+        return None
+    inc = sum(b[1] if b[1] < a[1] else b[1] - a[1] for a, b in zip(inside, inside[1:]))
+    span = inside[-1][0] - inside[0][0]
+    gap = span / (len(inside) - 1)
+    before, after = inside[0][0] - start, end - inside[-1][0]
+    if inc > 0 and inside[0][1] >= 0:
+        before = min(before, span * inside[0][1] / inc)
+    reach = [gap / 2 if way >= gap * 1.1 else way for way in (before, after)]
+    return round(inc * (span + sum(reach)) / span / (end - start), 6)
+
+
+def test_extrapolated_rate_and_panes_of_any_size(spark):
+    rows = dense_samples(n_series=2, n=200, seed=5)
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, series string, value double").repartition(3)
+    epoch = dt.datetime(1970, 1, 1)
+    seconds = lambda t: (t - epoch).total_seconds()
+    plain = None
+    for pane in (None, 60, 20):
+        got = {(r.window_start, r.series): r for r in M.counter_rate(df, ["series"], "ts", "value", "id", "5 minutes", "1 minute", pane, extrapolate=True).collect()}
+        for (ws, s), r in got.items():
+            a, b = seconds(ws), seconds(ws) + 300
+            inside = sorted((seconds(x[1]), x[3]) for x in rows if x[2] == s and a < seconds(x[1]) <= b)
+            want = extrapolated(inside, a, b)
+            assert (r.rate is None) == (want is None) and (want is None or abs(r.rate - want) < 2e-6)
+        plain = plain or sorted(map(tuple, got.values()), key=repr)
+        assert sorted(map(tuple, got.values()), key=repr) == plain and len(got) > 100
+
+
+def test_samples_on_borders_count_as_in_instant_vectors(spark):
+    rows = [(k, T0 + dt.timedelta(minutes=5 * k), "a", float(k)) for k in range(5)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, s string, v double")
+    rates = {r.window_end: r.samples for r in M.counter_rate(df, ["s"], "ts", "v", "id", "5 minutes").collect()}
+    steps = {r.step for r in M.instant_range(df, ["s"], "ts", "v", 300, 300, "id").collect()}
+    assert rates == {t: 1 for t in steps}
+
+
+def test_summaries_join_in_any_grouping(spark):
+    rnd = random.Random(8)
+    parts = [[(p * 100 + k, 0, float(rnd.randint(0, 9))) for k in range(rnd.randint(1, 6))] for p in range(5)]
+    kind = "array<struct<us:bigint,tb:bigint,v:double>>"
+    one = spark.createDataFrame([([x for p in parts for x in p],)], f"x {kind}").select(M.pane_summary(F.col("x")).alias("s")).first()["s"]
+    df = spark.createDataFrame([(parts,)], f"x array<{kind}>")
+    summaries = F.transform("x", M.pane_summary)
+    left = M.joined_summaries(summaries)
+    right = M.joined_summaries(F.array(M.joined_summaries(F.slice(summaries, 1, 2)), M.joined_summaries(F.slice(summaries, 3, 3))))
+    got = df.select(left.alias("a"), right.alias("b")).first()
+    assert got["a"] == got["b"] == one
+
+
 def test_rate_from_increments_equals_rate_of_running_counter(spark):
     rnd = random.Random(3)
     rows = [(i, T0 + dt.timedelta(seconds=i * 17 + rnd.randint(0, 5)), f"s{i % 3}", rnd.randint(1, 50))
@@ -115,12 +167,13 @@ def test_uptime_and_last(spark):
 
 
 def test_null_reading_is_no_sample(spark):
-    rows = [(1, T0, "a", 5.0), (2, T0 + dt.timedelta(seconds=30), "a", None), (3, T0 + dt.timedelta(seconds=60), "a", 9.0)]
+    T1 = T0 + dt.timedelta(seconds=1)  # a sample on the border would belong to the window before
+    rows = [(1, T1, "a", 5.0), (2, T1 + dt.timedelta(seconds=30), "a", None), (3, T1 + dt.timedelta(seconds=60), "a", 9.0)]
     df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, s string, v double")
     r = M.counter_rate(df, ["s"], "ts", "v", "id", "5 minutes").first()
     assert (r.samples, r.increase, r.rate) == (2, 4.0, round(4 / 60, 6))
     p = {r.id: (r.prev_ts, r.prev_value) for r in M.with_previous(df, ["s"], "ts", "v", "id").collect()}
-    assert p[3] == (T0 + dt.timedelta(seconds=30), None) and p[2] == (T0, 5.0)   # one row's time and value
+    assert p[3] == (T1 + dt.timedelta(seconds=30), None) and p[2] == (T1, 5.0)   # one row's time and value
 
 
 def test_health_covers_the_query_range_and_silent_jobs(spark):

@@ -1,4 +1,6 @@
+import datetime as dt
 import os
+import random
 import tempfile
 
 from pyspark.sql import functions as F
@@ -6,9 +8,10 @@ from pyspark.sql import functions as F
 from rivulet.catalog import QUERIES
 from rivulet.fixtures import EVENTS_SCHEMA, metric_samples, table
 from rivulet.operators import metrics as M
-from rivulet.streaming.rate import windowed_increase
+from rivulet.streaming.rate import counter_rate_stream, run_available_now, windowed_increase
 
 from .conftest import SF_SMALL
+from .test_metrics import dense_samples
 
 
 def test_stream_equals_batch_for_closed_windows(spark):
@@ -17,8 +20,7 @@ def test_stream_equals_batch_for_closed_windows(spark):
     batch = M.counter_rate_from_increments(metric_samples(events), ["job", "instance"], "ts", "inc", "event_id",
                                            "1 day", "6 hours")
     horizon = events.select(F.max("ts")).first()[0]
-    import datetime as dt
-    closed = batch.filter(F.col("window_end") <= F.lit(horizon - dt.timedelta(minutes=10)).cast("timestamp_ntz"))
+    closed = batch.filter(F.col("window_end") <= F.lit(horizon - dt.timedelta(minutes=10, microseconds=1)).cast("timestamp_ntz"))
     a = sorted(map(tuple, s.select(*closed.columns).collect()))
     b = sorted(map(tuple, closed.collect()))
     assert a == b and len(a) > 0
@@ -47,57 +49,55 @@ def test_late_rows_behind_watermark_are_dropped(spark):
     got = {r.window_start.strftime("%H:%M"): r.samples for r in spark.table("late_test").collect()}
     # the 00:01 row arrives two batches after the watermark passed 00:05:
     # its window was already emitted and the row is dropped
-    assert got.get("00:00") == 1 and got.get("00:20") == 1
+    assert got.get("00:00") == 1 and got.get("00:15") == 1  # 00:20 is the end of (00:15, 00:20]
 
 
-def test_stateful_counter_rate_matches_batch_on_closed_windows(spark):
-    import datetime as dt
+SAMPLES = "id long, ts timestamp_ntz, series string, value double"
 
-    from rivulet.streaming.counter_state import stateful_counter_rate
-    from .test_metrics import dense_samples
 
-    rows = sorted(dense_samples(n_series=2, n=300, seed=11), key=lambda r: (r[1], r[0]))  # split by time
-    schema = "id long, ts timestamp_ntz, series string, value double"
-    df = spark.createDataFrame(rows, schema)
+def streamed_rate(spark, files, window, slide, pane=None):
+    """Rate of raw readings streamed file by file."""
     root = tempfile.mkdtemp(prefix="rivulet-state-")
-    src = os.path.join(root, "in")
-    half = len(rows) // 2
-    spark.createDataFrame(rows[:half], schema).coalesce(1).write.parquet(src + "/b1")
-    spark.createDataFrame(rows[half:], schema).coalesce(1).write.parquet(src + "/b2")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(src))
-    out = stateful_counter_rate(stream, ["series"], "ts", "value", "id", 300, 60, "1 minute")
-    path = os.path.join(root, "out")
-    q = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", os.path.join(root, "ck"))
-            .trigger(availableNow=True).start(path))
-    q.awaitTermination()
-    got = sorted(map(tuple, spark.read.parquet(path).select("window_start", "series", "samples", "increase", "rate").collect()))
-    horizon = max(r[1] for r in rows) - dt.timedelta(minutes=1)
-    batch = M.counter_rate(df, ["series"], "ts", "value", "id", "5 minutes", "1 minute", 600)
-    want = sorted(map(tuple, batch.filter(F.col("window_end") <= F.lit(horizon).cast("timestamp_ntz"))
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, SAMPLES).coalesce(1).write.parquet(f"{root}/in/b{k}")
+        part = next(f for f in os.listdir(f"{root}/in/b{k}") if f.startswith("part-"))
+        os.utime(f"{root}/in/b{k}/{part}", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = (spark.readStream.schema(SAMPLES).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(root + "/in"))
+    out = counter_rate_stream(stream, ["series"], "ts", "value", "id", window, slide, "1 minute", pane_seconds=pane)
+    got = run_available_now(spark, out, root + "/out", root + "/ck")
+    return sorted(map(tuple, got.select("window_start", "series", "samples", "increase", "rate").collect()))
+
+
+def closed_rate(spark, rows, window, slide):
+    """The same windows in batch, as far as the watermark passes them."""
+    horizon = max(r[1] for r in rows if r[3] is not None) - dt.timedelta(minutes=1, microseconds=1)
+    batch = M.counter_rate(spark.createDataFrame(rows, SAMPLES), ["series"], "ts", "value", "id", window, slide)
+    return sorted(map(tuple, batch.filter(F.col("window_end") <= F.lit(horizon).cast("timestamp_ntz"))
                   .select("window_start", "series", "samples", "increase", "rate").collect()))
-    assert len(got) > 100
-    assert got == want
 
 
-def test_stateful_rate_window_not_multiple_of_slide(spark):
-    import datetime as dt
+def test_counter_stream_equals_batch_whatever_the_files(spark):
+    """Resets, null readings, and samples out of order within a file; one file or several."""
+    rnd = random.Random(1)
+    rows = [(i, t, s, None if rnd.random() < 0.2 else v) for i, t, s, v in dense_samples(n_series=2, n=250, seed=11)]
+    rows.sort(key=lambda r: (r[1], r[0]))  # split by time
+    want = closed_rate(spark, rows, "5 minutes", "1 minute")
+    parts = [rows[k:k + 130] for k in range(0, len(rows), 130)]
+    for part in parts:
+        rnd.shuffle(part)
+    assert streamed_rate(spark, [rows], "5 minutes", "1 minute") == want and len(want) > 100
+    assert streamed_rate(spark, parts, "5 minutes", "1 minute", pane=20) == want
+
 
-    from rivulet.streaming.counter_state import stateful_counter_rate
-    from .test_metrics import dense_samples
+def test_null_reading_is_no_sample_of_a_stream(spark):
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    rows = [(1, at(1), "a", 10.0), (2, at(2), "a", None), (3, at(3), "a", 30.0), (4, at(30), "a", 30.0)]
+    got = streamed_rate(spark, [rows], "10 minutes", None)
+    assert got[0][1:] == ("a", 2, 20.0, round(20 / 120, 6))
 
+
+def test_counter_stream_window_not_multiple_of_slide(spark):
     rows = sorted(dense_samples(n_series=2, n=150, seed=4), key=lambda r: (r[1], r[0]))
-    schema = "id long, ts timestamp_ntz, series string, value double"
-    root = tempfile.mkdtemp(prefix="rivulet-state2-")
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(root + "/in")
-    stream = spark.readStream.schema(schema).parquet(root + "/in")
-    out = stateful_counter_rate(stream, ["series"], "ts", "value", "id", 600, 180, "1 minute")
-    from rivulet.streaming.rate import run_available_now
-    got = sorted(map(tuple, run_available_now(spark, out, root + "/out", root + "/ck")
-                 .select("window_start", "series", "samples", "increase", "rate").collect()))
-    horizon = max(r[1] for r in rows) - dt.timedelta(minutes=1)
-    batch = M.counter_rate(spark.createDataFrame(rows, schema), ["series"], "ts", "value", "id",
-                           "10 minutes", "3 minutes", 600)
-    want = sorted(map(tuple, batch.filter(F.col("window_end") <= F.lit(horizon).cast("timestamp_ntz"))
-                  .select("window_start", "series", "samples", "increase", "rate").collect()))
-    assert got == want and len(got) > 20
+    want = closed_rate(spark, rows, "10 minutes", "3 minutes")
+    assert streamed_rate(spark, [rows], "10 minutes", "3 minutes") == want and len(want) > 20
