@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rivulet import fixtures as fx
 from rivulet.catalog import ORACLE, _R, _io_root, _rnd, _t, _upsert_inputs, register
 from rivulet.functions.clean import clean_availability, version_stamp
+from rivulet.operators.elements import select
 from rivulet.operators.flatten import flatten_rates, split_countries, split_observations, split_rates
 from rivulet.operators.joins import latest_per_key
 from rivulet.operators.keys import dense_ids, extend_ids
@@ -16,6 +17,7 @@ from rivulet.plans.bucketed import read_buckets, upsert_buckets
 from rivulet.plans.countries import gold_countries_enriched
 from rivulet.plans.load import load_newest
 from rivulet.plans.silver import rates_silver
+from rivulet.session import ship_package
 from rivulet.sinks.files import write, write_csv, write_json, write_text
 from rivulet.sources.files import (
     csv_rejects, is_complete_path, is_fresh_path, read_csv, read_first_available, read_latest_version, read_lines, read_newest_dataset,
@@ -57,6 +59,18 @@ def html_product_links(spark, sf):
     return book_links(fx.catalogue_pages(_t(spark, sf, "part")))
 
 
+@register("html_nested", """
+SELECT p_partkey, 'in ' || p_name || ' deep' || p_size || ' tail' AS first_box,
+       CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 2 END AS boxes, CASE WHEN p_partkey % 4 <> 0 THEN 'l' || p_partkey END AS link FROM part
+""")
+def html_nested(spark, sf):
+    """Boxes inside boxes of the same tag, and articles with and without a link before one that is an advertisement."""
+    page = fx.nested_pages(_t(spark, sf, "part"))
+    ship_package(spark)
+    found = page.select("p_partkey", select(F.col("html"), {"box": ("div.box", "text"), "href": ("article.pod h3 a", "@href")}).alias("s"))
+    return found.select("p_partkey", F.get("s.box", 0).alias("first_box"), F.size("s.box").alias("boxes"), F.get("s.href", 0).alias("link"))
+
+
 # --------------------------------------------------------------------- rejects
 @register("json_rejects", """
 SELECT 'countries' AS source, CAST(payload_id AS VARCHAR) AS payload_id,

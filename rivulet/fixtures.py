@@ -172,6 +172,16 @@ def product_pages(part: DataFrame) -> DataFrame:
     return part.select(F.concat(F.lit("page/"), k.cast("string")).alias("url"), html.alias("html"))
 
 
+def nested_pages(part: DataFrame) -> DataFrame:
+    """Pages with boxes inside boxes, and links inside and outside of articles."""
+    k, name = F.col("p_partkey"), F.regexp_replace("p_name", "&", "&amp;")
+    inner = F.concat(F.lit("<div"), F.when(k % 3 == 0, "").otherwise(" class='x box'"), F.lit(">in "), name, F.lit(" <div>deep"),
+                     F.col("p_size").cast("string"), F.lit("</div></div>"))
+    link = F.when(k % 4 == 0, F.lit("sold out")).otherwise(F.concat(F.lit("<a href='l"), k.cast("string"), F.lit("'>t</a>")))
+    return part.select("p_partkey", F.concat(F.lit("<div class='box'>"), inner, F.lit(" tail</div><article class='pod'><h3>"), link,
+                                             F.lit("</h3></article><a href='ad'>ad</a><article class='pods'><h3><a href='no'>n</a></h3></article>")).alias("html"))
+
+
 def catalogue_pages(part: DataFrame) -> DataFrame:
     """Catalogue pages of the book site with up to twenty product links, quoted in all three ways."""
     k = F.col("p_partkey").cast("string")

@@ -11,7 +11,9 @@ from rivulet.functions.clean import (
 from rivulet.operators import html as H
 from rivulet.operators.aggregates import category_stats
 from rivulet.operators.columns import rename_existing
+from rivulet.operators.elements import select
 from rivulet.operators.joins import scalar_enrich
+from rivulet.session import ship_package
 
 # --- fixed values: table and column names of the published tables ---------
 RAW_COLUMNS = ("url", "titre", "categorie", "description", "upc", "type_produit", "prix_hors_taxe",
@@ -36,14 +38,17 @@ def book_links(pages: DataFrame, html_col: str = "html", base: str = SITE_BASE)
     Every ``../../`` is removed from the href and ``<base>catalogue/`` is
     prefixed.  Pages are rows, so all catalogue pages are read at once.
     """
-    pods = F.regexp_extract_all(
-        H.strip_decoys(F.col(html_col)),
-        F.lit(rf"(?is)<article\b[^>]*{H.class_attr('product_pod')}[^>]*>.*?<h3\b[^>]*>.*?<a\b[^>]*?\shref\s*=\s*" + H._VALUE), 1)
-    href = F.explode(F.transform(pods, H.attribute_value)).alias("href")
-    return pages.select(href).select(
+    ship_package(pages.sparkSession)
+    links = select(F.col(html_col), {"href": ("article.product_pod h3 a", "@href")})["href"]
+    return pages.select(F.explode(links).alias("href")).filter("href is not null").select(
         F.concat(F.lit(base + "catalogue/"), F.replace(F.col("href"), F.lit("../../"), F.lit(""))).alias("url"))
 
 
+# What a product page holds where.
+PRODUCT_FIELDS = {"main": ("div.product_main", "@class"), "title": ("div.product_main h1", "text"), "crumbs": ("ul.breadcrumb li", "text"),
+                  "description": ("div#product_description ~ p", "text"), "image": ("div.item.active img", "@src")}
+
+
 def book_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                  base: str = SITE_BASE) -> tuple[DataFrame, DataFrame]:
     """Product pages -> (raw book rows with the 11 scraped fields, rejected pages).
@@ -52,31 +57,21 @@ def book_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     instead of failing the run.  Fields: title (h1 of the main block),
     category (third breadcrumb item, default "Books"), description (the
     paragraph after ``#product_description``), the product-table values, and
-    the absolute URL of the active image.
+    the absolute URL of the active image.  Each page is parsed once; nested elements are balanced.
     """
-    h = H.strip_decoys(F.col(html_col))
-    df = pages.select(F.col(url_col).alias("url"), h.alias("_h"))
-    main_block, crumb_block = H.class_attr("product_main"), H.class_attr("breadcrumb")
-    valid = H.has_element("_h", "div", main_block)
-    good, bad = H.split_valid(df, valid, F.lit("invalid page structure: no product_main block"))
-    main = H.element_inner("_h", "div", main_block)
-    crumbs = H.element_inner("_h", "ul", crumb_block)
-    desc_pattern = (r"""(?is)<div\b[^>]*\bid\s*=\s*["']?product_description\b["']?[^>]*>.*?</div\s*>"""
-                    r"\s*<p\b[^>]*>(.*?)</p\s*>")
-    desc = F.regexp_extract("_h", desc_pattern, 1)
-    img = F.regexp_extract("_h", r"""(?is)<div\b[^>]*\bclass\s*=\s*["']item active["'][^>]*>.*?<img\b[^>]*?\ssrc\s*=\s*"""
-                           + H._VALUE, 1)
-    good = good.withColumn("_t", H.table_pairs("_h"))
+    ship_package(pages.sparkSession)
+    df = pages.select(F.col(url_col).alias("url"), select(F.col(html_col), PRODUCT_FIELDS, tables="table").alias("p"))
+    good, bad = H.split_valid(df, F.size("p.main") > 0, F.when(F.col("p.main").isNotNull(), F.lit("invalid page structure: no product_main block")))
+    first = lambda name: F.get(F.col(f"p.{name}"), 0)
     fields = {
         "url": F.col("url"),
-        "titre": H.element_text(main, "h1"),
-        "categorie": H.nth_item_text(crumbs, 2, DEFAULT_CATEGORY),
-        "description": F.when(F.col("_h").rlike(desc_pattern), H.text_of(desc)),
-        **{k: F.try_element_at("_t", F.lit(label)) for k, label in PRODUCT_TABLE_FIELDS.items()},
-        "image_url": F.when(img != "", H.absolute_url(H.attribute_value(img), base)),
+        "titre": first("title"),
+        "categorie": F.coalesce(F.get("p.crumbs", 2), F.lit(DEFAULT_CATEGORY)),
+        "description": first("description"),
+        **{k: F.try_element_at("p.table", F.lit(label)) for k, label in PRODUCT_TABLE_FIELDS.items()},
+        "image_url": F.when(first("image") != "", H.absolute_url(first("image"), base)),
     }
-    records = good.select(*[e.alias(k) for k, e in fields.items()]).select(*RAW_COLUMNS)
-    return records, bad.select("url", "reject_reason")
+    return good.select(*[e.alias(k) for k, e in fields.items()]).select(*RAW_COLUMNS), bad.select("url", "reject_reason")
 
 
 def books_silver(raw: DataFrame, rates: DataFrame | None = None, strict: bool = True) -> DataFrame:

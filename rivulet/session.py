@@ -7,9 +7,12 @@ for tests and the benchmark, which build one with :func:`local_session`.
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import shutil
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +68,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per context, as ``--py-files`` would.
+
+    The archive goes through the shared checkpoint folder, so a task on any
+    machine can import the operators.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_rivulet_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivulet-code/{uuid.uuid4().hex}/rivulet.zip"
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    out.write(data.getvalue())
+    out.close()
+    context.addPyFile(path)
+    context._rivulet_shipped = True
+
+
 def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 ** 2,
                broadcast_bytes: int = 64 * 1024 ** 2) -> dict[str, str]:
     """Session settings sized for an input volume (e.g. 100 TB on a large cluster).
