@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from rivulet import fixtures as fx
-from rivulet.catalog import ORACLE, _R, _io_root, _rnd, _t, _upsert_inputs, register
+from rivulet.catalog import ORACLE, _R, _io_root, _rnd, _t, _upsert_inputs, in_time_order, register
 from rivulet.functions.clean import clean_availability, version_stamp
+from rivulet.operators.dedup import dedup_file_order
 from rivulet.operators.elements import select
+from rivulet.operators.filters import is_empty
 from rivulet.operators.flatten import flatten_rates, split_countries, split_observations, split_rates
 from rivulet.operators.joins import latest_per_key
 from rivulet.operators.keys import dense_ids, extend_ids
 from rivulet.operators.quality import duplicate_keys, fk_summary, null_violations, orphans
 from rivulet.plans.books import book_links, book_records, gold_books_details
-from rivulet.plans.bucketed import read_buckets, upsert_buckets
 from rivulet.plans.countries import gold_countries_enriched
-from rivulet.plans.load import load_newest
+from rivulet.plans.load import load_incremental, load_newest, read_partitions, upsert_partitions
 from rivulet.plans.silver import rates_silver
 from rivulet.session import ship_package
-from rivulet.sinks.files import write, write_csv, write_json, write_text
+from rivulet.sinks.files import write, write_csv, write_json, write_stream_audited, write_text
 from rivulet.sources.files import (
     csv_rejects, is_complete_path, is_fresh_path, read_csv, read_first_available, read_latest_version, read_lines, read_newest_dataset,
 )
@@ -145,16 +148,36 @@ def text_json_roundtrip(spark, sf):
 
 
 @register("fallback_and_gates", """
-SELECT p_partkey, TRUE AS complete, FALSE AS too_small, FALSE AS stale FROM part
+SELECT p_partkey, p_name || chr(10) || 'second "line", of ' || p_brand AS description, TRUE AS complete, FALSE AS too_small, FALSE AS stale, TRUE AS fresh
+FROM part
 """)
 def fallback_and_gates(spark, sf):
-    """The silver CSV stands in for a missing gold table; freshness and completeness gates on its folder."""
+    """The silver CSV stands in for a missing gold table, its texts with line breaks and quotes whole; gates on its folder."""
     root = _io_root(spark, "fallback")
-    write_csv(_t(spark, sf, "part").select("p_partkey"), f"{root}/silver")
+    text = F.concat("p_name", F.lit('\nsecond "line", of '), "p_brand").alias("description")
+    write_csv(_t(spark, sf, "part").select("p_partkey", text), f"{root}/silver")
     df = read_first_available(spark, [(f"{root}/gold", "parquet"), (f"{root}/silver", "csv")])
+    today = dt.datetime.now(dt.timezone.utc).date()
     gates = (("complete", is_complete_path(spark, f"{root}/silver", 10)), ("too_small", is_complete_path(spark, f"{root}/silver", 10 ** 12)),
-             ("stale", is_fresh_path(spark, f"{root}/silver", "2000-01-01")))
-    return df.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), *[F.lit(v).alias(n) for n, v in gates])
+             ("stale", is_fresh_path(spark, f"{root}/silver", "2000-01-01")),
+             ("fresh", is_fresh_path(spark, f"{root}/silver", today) or is_fresh_path(spark, f"{root}/silver", dt.datetime.now(dt.timezone.utc).date())))
+    return df.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "description", *[F.lit(v).alias(n) for n, v in gates])
+
+
+@register("csv_open_quotes", '''
+SELECT CASE p_partkey % 5 WHEN 0 THEN CAST(p_partkey AS VARCHAR) || ',"cut ' || p_name ELSE CAST(p_partkey AS VARCHAR) || ',"whole ""' || p_name || '"""' END AS line,
+       p_partkey % 5 = 0 AS rejected
+FROM part
+''')
+def csv_open_quotes(spark, sf):
+    """Lines that leave a quote open are rejected with their text when files are split by lines, never cut."""
+    root = _io_root(spark, "csv-open")
+    k, name = F.col("p_partkey").cast("string"), F.col("p_name")
+    line = F.when(F.col("p_partkey") % 5 == 0, F.concat(k, F.lit(',"cut '), name)).otherwise(F.concat(k, F.lit(',"whole ""'), name, F.lit('"""')))
+    write_text(_t(spark, sf, "part").select(line.alias("l")), root, "l")
+    good, bad = csv_rejects(read_csv(spark, root, "id string, v string", header="false"))
+    again = F.concat("id", F.lit(',"'), F.replace("v", F.lit('"'), F.lit('""')), F.lit('"'))
+    return good.select(again.alias("line"), F.lit(False).alias("rejected")).union(bad.select("_corrupt_record", F.lit(True)))
 
 
 # ---------------------------------------------------------- joins and columns
@@ -260,9 +283,109 @@ def surrogate_keys_extended(spark, sf):
 
 @register("upsert_bucketed_load", ORACLE["upsert_orders"])
 def upsert_bucketed_load(spark, sf):
-    """The same two loads as buckets of a table: only touched buckets are written again."""
-    root = _io_root(spark, "buckets")
+    """The same two loads into a table partitioned by a hash of the key: only touched partitions are written again."""
+    root = _io_root(spark, "parts")
     target, updates = _upsert_inputs(spark, sf)
-    upsert_buckets(spark, target, root, ["o_orderkey"], ["o_totalprice"], "20240101_000000", n_buckets=16)
-    upsert_buckets(spark, updates, root, ["o_orderkey"], ["o_totalprice"], "20240102_000000")
-    return read_buckets(spark, root)
+    for name, batch in (("first", target), ("second", updates)):
+        upsert_partitions(spark, batch, f"{root}/table", ["o_orderkey"], ["o_totalprice"], f"{root}/staging/{name}", parts=16)
+    return read_partitions(spark, f"{root}/table")
+
+
+@register("load_incremental", """
+SELECT 'table' AS part, o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'third' WHEN o_orderkey % 2 = 0 THEN 'second' ELSE 'first' END AS v FROM orders
+UNION ALL SELECT 'audit', (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM orders WHERE o_orderkey % 2 = 0)
+                          + (SELECT COUNT(*) FROM orders WHERE o_orderkey % 3 = 0), '3'
+""")
+def load_incremental_three(spark, sf):
+    """Three files arrive between four calls of the load; a call without a new file adds nothing, newer rows win."""
+    root = _io_root(spark, "incremental")
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    audit = None
+    for i, (name, rows) in enumerate((("first", o), ("second", o.filter("k % 2 = 0")), ("third", o.filter("k % 3 = 0")), (None, None))):
+        if name:
+            write(rows.withColumn("v", F.lit(name)).coalesce(1), f"{root}/raw/{i}-{name}")
+        audit = load_incremental(spark, f"{root}/raw", "k bigint, v string", f"{root}/table", f"{root}/audit", f"{root}/state", "orders",
+                                 ["k"], ["v"], parts=8)
+    total = audit.agg(F.sum("rows_loaded").alias("k"), F.count("*").cast("string").alias("v"))
+    return read_partitions(spark, f"{root}/table").select(F.lit("table").alias("part"), "k", "v").union(total.select(F.lit("audit"), "k", "v"))
+
+
+@register("stream_audit", """
+SELECT 'lines' AS table_name, CAST(4 AS BIGINT) AS batches, COUNT(*) AS audited, COUNT(*) AS rows_written, SUM(l_quantity) AS quantity FROM lineitem
+""")
+def stream_audit(spark, sf):
+    """Line items streamed in four micro-batches: the audit rows, counted during the writes, add up to what was written."""
+    root = _io_root(spark, "stream-audit")
+    lines = _t(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
+    write(lines.repartition(4), f"{root}/in")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    audit = write_stream_audited(stream, f"{root}/out", f"{root}/audit", "lines", f"{root}/state")
+    written = spark.read.parquet(f"{root}/out")
+    counts = audit.filter("rows > 0").groupBy("table_name").agg(F.count("*").alias("batches"), F.sum("rows").alias("audited"))
+    return counts.select("*", written.select(F.count("*")).scalar().alias("rows_written"), written.select(F.sum("l_quantity")).scalar().alias("quantity"))
+
+
+@register("dedup_file_order", """
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 7, o_orderkey DESC) = 1
+""")
+def q_dedup_file_order(spark, sf):
+    """The first order of each customer as it stands in several part files, whatever tasks read them."""
+    root = _io_root(spark, "file-order")
+    o = _t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", (F.col("o_orderkey") % 7).alias("r"))
+    write(o.repartitionByRange(5, "r", F.desc("o_orderkey")).sortWithinPartitions("r", F.desc("o_orderkey")).drop("r"), root)
+    return dedup_file_order(spark.read.parquet(root), ["o_custkey"])
+
+
+@register("write_by_format", "SELECT 'json' AS fmt, p_name, p_size FROM part UNION ALL SELECT 'orc', p_name, p_size FROM part UNION ALL SELECT 'parquet', p_name, p_size FROM part")
+def write_by_format(spark, sf):
+    """One table overwritten under each format's name and read back; an empty write leaves it alone."""
+    root = _io_root(spark, "formats")
+    p = _t(spark, sf, "part").select("p_name", "p_size")
+    out = None
+    for fmt in ("json", "orc", "parquet"):
+        write(p.limit(3), f"{root}/{fmt}", fmt)
+        write(p, f"{root}/{fmt}", fmt)
+        write(p.filter("false"), f"{root}/{fmt}", fmt, skip_empty=True)
+        back = spark.read.format(fmt).schema("p_name string, p_size int").load(f"{root}/{fmt}").select(F.lit(fmt).alias("fmt"), "p_name", "p_size")
+        out = back if out is None else out.union(back)
+    return out
+
+
+@register("empty_input_skipped", "SELECT c_mktsegment, COUNT(*) AS n, TRUE AS empty_skipped FROM customer GROUP BY c_mktsegment")
+def empty_input_skipped(spark, sf):
+    """An empty batch writes nothing over the table that is there, and is told apart from one with rows."""
+    root = _io_root(spark, "empty")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    write(c, root)
+    none = c.filter("c_custkey < 0")
+    skipped = is_empty(none) and not is_empty(c) and write(none, root, skip_empty=True) == 0
+    return spark.read.parquet(root).groupBy("c_mktsegment").agg(F.count("*").alias("n")).withColumn("empty_skipped", F.lit(skipped))
+
+
+@register("stream_health", """
+WITH s AS (SELECT ts, event_id, COALESCE(event_type, '') AS job, COALESCE(CAST(user_id % 4 AS VARCHAR), '') AS instance,
+                  CASE WHEN value >= 10 THEN 1 ELSE 0 END AS up FROM events WHERE event_type <> 'signup' OR ts < TIMESTAMP '2024-01-05'),
+v AS (SELECT step, job, instance, up FROM (
+        SELECT *, CASE WHEN ts = date_trunc('hour', ts) THEN ts ELSE date_trunc('hour', ts) + INTERVAL 1 HOUR END AS step FROM s) a
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY step, job, instance ORDER BY ts DESC, event_id DESC) = 1),
+sums AS (SELECT step, job, CAST(SUM(up) AS BIGINT) AS up FROM v GROUP BY step, job),
+jobs(job) AS (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('never_seen')),
+grid AS (SELECT job, unnest(generate_series((SELECT MIN(step) FROM sums), (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM s), INTERVAL 1 HOUR)) AS step FROM jobs)
+SELECT g.step, g.job, s.up, CASE WHEN s.up IS NULL THEN 'Offline' WHEN s.up >= 1 THEN 'green' ELSE 'red' END AS status
+FROM grid g LEFT JOIN sums s ON g.step = s.step AND g.job = s.job
+WHERE g.step < (SELECT MAX(ts) FROM s) - INTERVAL 10 MINUTE
+""")
+def stream_health(spark, sf):
+    """Live health: a job that dies (signup, after four days) and one that never reports are told Offline by timers."""
+    from rivulet.streaming.health import health_stream
+    from rivulet.streaming.rate import run_available_now
+    root = _io_root(spark, "health")
+    samples = fx.metric_samples(_t(spark, sf, "events").filter("event_type <> 'signup' OR ts < '2024-01-05'")).select("event_id", "ts", "job", "instance", "up")
+    samples.repartitionByRange(4, "ts").write.parquet(f"{root}/in")
+    in_time_order(spark, f"{root}/in")
+    first = samples.agg(F.min("ts")).first()[0]
+    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    jobs = spark.createDataFrame([(j,) for j in fx.EVENT_JOBS + ["never_seen"]], "job string")
+    out = health_stream(stream, jobs, "job", "instance", "ts", "up", "event_id", step_seconds=3600, watermark="10 minutes", start=first)
+    return run_available_now(spark, out, f"{root}/out", f"{root}/state", rocksdb=True)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.sources.files import FILE_ORDER, with_file_order
+
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row per key under an explicit order (deterministic keep-first).
@@ -20,6 +22,21 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
               .filter(F.col("_rn") == 1).drop("_rn"))
 
 
+def dedup_file_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keep the first row per key in the order of the files it was read from (as a reader of one file would).
+
+    ``df`` reads files and has not been shuffled; see :func:`rivulet.sources.files.with_file_order`.
+    """
+    return dedup_first(with_file_order(df), keys, [FILE_ORDER]).drop(FILE_ORDER)
+
+
+def first_in_file_order(df: DataFrame) -> DataFrame:
+    """The first row of the files read, one partial aggregate."""
+    placed = with_file_order(df)
+    row = placed.agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), FILE_ORDER).alias("r"))
+    return row.filter("r is not null").select("r.*")
+
+
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one arbitrary row per key (cheapest: partial aggregation)."""
     return df.dropDuplicates(list(keys))

@@ -18,25 +18,12 @@ from rivulet.plans.countries import countries_silver, gold_countries_enriched
 from rivulet.plans.silver import population_silver, rates_silver, wine_silver
 from rivulet.sinks.files import CSV_OPTIONS, append_audit, write, write_observed, write_versioned
 from rivulet.sinks.jdbc import load_plan
-from rivulet.sources.files import _exists, csv_rejects, read_csv, read_first_available
+from rivulet.sources.files import _exists, read_first_available, whole_rows
 
 
 log = logging.getLogger("rivulet")
 
 
-def whole_rows(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file's whole rows; cut or overlong ones are counted in the log, not padded.
-
-    Book descriptions hold line breaks, so a file is read by one task; use
-    parquet between the steps where the catalogue is large.
-    """
-    good, bad = csv_rejects(read_csv(spark, path, multiline=True))
-    n = bad.count()
-    if n:
-        log.warning("%d lines of %s have another number of fields: left out", n, path)
-    return good
-
-
 def optional_parquet(spark: SparkSession, path: str | None) -> DataFrame | None:
     return spark.read.parquet(path) if path and _exists(spark, path) else None
 

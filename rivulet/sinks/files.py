@@ -31,8 +31,14 @@ def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column] | Non
                    fmt: str = "parquet", mode: str = "overwrite", partition_by: Sequence[str] = (),
                    options: Mapping[str, str] | None = None) -> dict:
     """Write and return ``{"rows": n, **metrics}`` observed during the write
-    itself (one pass; each task's update is applied once, retries included)."""
+    itself (one pass; each task's update is applied once, retries included).
+
+    A partitioned write is rebalanced by the partition columns first: small partitions end in
+    one file each, and a large one is split over tasks by the advisory size, so no task holds a whole hot region.
+    """
     obs = Observation("write")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     exprs = [F.count(F.lit(1)).alias("rows")] + [e.alias(k) for k, e in (metrics or {}).items()]
     w = df.observe(obs, *exprs).write.mode(mode).format(fmt)
     if partition_by:
@@ -127,3 +133,26 @@ def publish(df: DataFrame, lake_root: str, layer: str, table: str, fmt: str = "p
         raise ValueError(f"unknown layer {layer!r}")
     path = f"{lake_root.rstrip('/')}/{layer}/{table}"
     return path, write(df, path, fmt, "overwrite", partition_by)
+
+
+STREAM_AUDIT_SCHEMA = "table_name string, batch_id long, rows long, created_at timestamp_ntz"
+
+
+def audited_batches(path: str, audit_path: str, table_name: str, fmt: str = "parquet"):
+    """A ``foreachBatch`` function: each micro-batch becomes ``path/batch_id=<n>`` and one audit row, counted during the write.
+
+    A batch that is run again after a failure replaces its own folder and audit row.
+    """
+    def put(batch: DataFrame, batch_id: int) -> None:
+        rows = write_observed(batch, f"{path.rstrip('/')}/batch_id={batch_id}", None, fmt)["rows"]
+        row = _one_row(batch.sparkSession, STREAM_AUDIT_SCHEMA, (table_name, batch_id, int(rows), _now_utc().strftime("%Y-%m-%d %H:%M:%S.%f")))
+        write(row.drop("batch_id"), f"{audit_path.rstrip('/')}/batch_id={batch_id}")
+    return put
+
+
+def write_stream_audited(stream: DataFrame, path: str, audit_path: str, table_name: str, checkpoint: str) -> DataFrame:
+    """Run a stream to the end of its present input into ``path`` with an audit row a micro-batch; the audit rows."""
+    q = (stream.writeStream.foreachBatch(audited_batches(path, audit_path, table_name))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(STREAM_AUDIT_SCHEMA).parquet(audit_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from rivulet.functions.clean import strip_whitespace
 
+log = logging.getLogger("rivulet")
+
 VERSION_COLUMN = "version"
 
 
@@ -22,10 +25,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """CSV with a header.  Without a schema every column is read as text
     (cleaning casts with try_cast later).
 
-    Lines with too few or too many fields are kept and marked: their text is
+    Records with too few or too many fields are kept and marked: their text is
     in ``_corrupt_record`` (see :func:`csv_rejects`), which is null for whole
-    rows.  Files are split between tasks; pass ``multiline=True`` where quoted
-    fields span lines, which costs one task per file.
+    rows.
+
+    By default files are split between tasks and a record is a line.  A line that leaves a quote open is a
+    part of a record that spans lines; it is marked too, with the file's other such lines, never cut to what stands before the
+    break.  Pass ``multiline=True`` where quoted fields may span lines: they are read whole, by one task a file.
     """
     opts = {"header": "true", "escape": '"', "encoding": "UTF-8", "multiLine": str(multiline).lower(), **options}
     if schema is None:
@@ -34,9 +40,28 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
         schema = T.StructType.fromDDL(schema)
     if CORRUPT not in schema.names:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    if not multiline:
+        return _lines_as_csv(spark, path, schema, opts)
     return spark.read.options(**opts, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(path)
 
 
+def _lines_as_csv(spark: SparkSession, path: str, schema: T.StructType, opts: dict) -> DataFrame:
+    """Each line parsed as a record of its own; blank lines and repetitions of the header line are passed over."""
+    lines = spark.read.text(path)
+    if opts.pop("header") == "true":
+        first = lines.first()  # one line of the first file
+        head = "" if first is None else first["value"].removeprefix("\ufeff")
+        lines = lines.filter(F.regexp_replace("value", "^\ufeff", "") != F.lit(head))
+    quote = opts.get("quote", '"')
+    parser = {k: v for k, v in opts.items() if k not in ("encoding", "multiLine")} | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    rows = lines.filter(F.trim("value") != "").select("value", F.from_csv("value", ddl, parser).alias("r"), (quotes % 2 == 1).alias("open"))
+    cell = lambda f: F.when(~F.col("open"), F.col("r")[f.name]).alias(f.name)
+    mark = F.when(F.col("open"), F.col("value")).otherwise(F.col("r")[CORRUPT]).alias(CORRUPT)
+    return rows.select(*[mark if f.name == CORRUPT else cell(f) for f in schema.fields])
+
+
 def csv_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(whole rows without the marker column, rejected rows)`` of :func:`read_csv`."""
     bad = F.col(CORRUPT)
@@ -62,11 +87,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def whole_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file's whole rows, line breaks in quoted fields kept; records of another number of fields are logged, not padded.
+
+    Book descriptions hold line breaks, so a file is read by one task; use
+    parquet between the steps where the catalogue is large.
+    """
+    good, bad = csv_rejects(read_csv(spark, path, multiline=True))
+    n = bad.count()
+    if n:
+        log.warning("%d records of %s have another number of fields: left out", n, path)
+    return good
+
+
+def has_files(spark: SparkSession, folder: str) -> bool:
+    """Whether there is a data file under the folder."""
+    return not file_listing(spark, folder).isEmpty()
+
+
 def read_first_available(spark: SparkSession, candidates: Sequence[tuple[str, str]]) -> DataFrame:
-    """First ``(path, format)`` that exists (e.g. gold parquet, else silver CSV)."""
+    """First ``(path, format)`` that exists (e.g. gold parquet, else silver CSV, whose texts are read whole)."""
     for path, fmt in candidates:
         if _exists(spark, path):
-            return csv_rejects(read_csv(spark, path))[0] if fmt == "csv" else spark.read.format(fmt).load(path)
+            return whole_rows(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
     raise FileNotFoundError(f"none of {[p for p, _ in candidates]} exists")
 
 
@@ -108,25 +151,17 @@ def read_latest_version(spark: SparkSession, root: str, fmt: str = "parquet") ->
     return spark.read.format(fmt).option("basePath", root).load(path)
 
 
-def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
-    """Data files under ``folder`` (recursive): ``(path, bytes, modified epoch ms)``.
+def file_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Data files under ``folder`` (recursive): (path, bytes, modified); a scan of the files' metadata alone.
 
-    One metadata listing, no data read; paths with a component starting with
-    '_' or '.' (``_temporary``, ``_SUCCESS``, checksums) are skipped.
+    Spark lists the folders (in a job of its own where there are many) and tasks hand out the rows; no content is read and the
+    driver is not asked file by file.  Names starting with '_' or '.' (``_temporary``,
+    ``_SUCCESS``, checksums) are skipped.  A missing folder has no files.
     """
-    fs, p = _fs_and_path(spark, folder)
-    if not fs.exists(p):
-        return []
-    root = p.toString().rstrip("/")
-    out, it = [], fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        path = st.getPath().toString()
-        rel = path[len(root):] if path.startswith(root) else st.getPath().getName()
-        if any(part.startswith(("_", ".")) for part in rel.strip("/").split("/")):
-            continue
-        out.append((path, int(st.getLen()), int(st.getModificationTime())))
-    return out
+    if not _exists(spark, folder):
+        return spark.createDataFrame([], "path string, bytes long, modified timestamp")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
 def newest_dataset(spark: SparkSession, root: str, fmt: str = "parquet") -> tuple[DataFrame | None, str | None]:
@@ -136,35 +171,19 @@ def newest_dataset(spark: SparkSession, root: str, fmt: str = "parquet") -> tupl
     has a ``_SUCCESS`` marker; the root itself may be one), or a single file
     that is no part file.  Its time is that of its newest file, ties go to the
     greater path.  An empty newest dataset is returned as it is, never
-    replaced by an older one.  Folders are listed level by level; no data is
-    read.
+    replaced by an older one.  Files are grouped into datasets by tasks; the driver asks for the
+    marker of the newest folders only, until it finds a complete one.
     """
-    fs, p = _fs_and_path(spark, root)
-    if not fs.exists(p):
-        return None, None
-    found: list[tuple[int, str]] = []
-    todo = [p]
-    while todo:
-        folder = todo.pop()
-        parts, complete = [], folder.equals(p)
-        for st in fs.listStatus(folder):
-            name = st.getPath().getName()
-            if name == "_SUCCESS":
-                complete = True
-            elif name.startswith(("_", ".")):
-                continue
-            elif st.isDirectory():
-                todo.append(st.getPath())
-            elif name.startswith("part-"):
-                parts.append(int(st.getModificationTime()))
-            else:
-                found.append((int(st.getModificationTime()), st.getPath().toString()))
-        if parts and complete:
-            found.append((max(parts), folder.toString()))
-    if not found:
-        return None, None
-    path = max(found)[1]
-    return spark.read.format(fmt).load(path), path
+    name, folder = F.element_at(F.split("path", "/"), -1), F.regexp_replace("path", "/[^/]*$", "")
+    part = name.startswith("part-")
+    datasets = (file_listing(spark, root).select("modified", F.when(part, folder).otherwise(F.col("path")).alias("dataset"), part.alias("parts"))
+                .groupBy("dataset", "parts").agg(F.max("modified").alias("modified")).orderBy(F.desc("modified"), F.desc("dataset")))
+    for r in datasets.toLocalIterator():
+        fs, p = _fs_and_path(spark, r["dataset"])
+        is_root = p.equals(fs.makeQualified(_fs_and_path(spark, root)[1]))
+        if not r["parts"] or is_root or fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+            return spark.read.format(fmt).load(r["dataset"]), r["dataset"]
+    return None, None
 
 
 def read_newest_dataset(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
@@ -176,12 +195,9 @@ def read_newest_dataset(spark: SparkSession, root: str, fmt: str = "parquet") ->
 
 
 def is_fresh_path(spark: SparkSession, folder: str, day: _dt.date | str) -> bool:
-    """True when the newest data file under ``folder`` was modified on ``day`` (UTC)."""
-    files = list_files(spark, folder)
-    if not files:
-        return False
-    newest = _dt.datetime.fromtimestamp(max(f[2] for f in files) / 1000, _dt.timezone.utc).date()
-    return str(newest) == str(day)
+    """True when the newest data file under ``folder`` was modified on ``day`` (UTC); one row reaches the driver."""
+    newest = file_listing(spark, folder).agg(utc_date(F.max("modified")).alias("d"))
+    return str(newest.first()["d"]) == str(day)
 
 
 def is_complete_path(spark: SparkSession, folder: str, min_bytes: int) -> bool:
@@ -227,3 +243,16 @@ def is_complete(df: DataFrame, min_rows: int | None = None, min_bytes: int | Non
                   .dropDuplicates(["p"]).agg(F.sum("s")).first()[0]) or 0
         return size > min_bytes
     return False
+
+
+FILE_ORDER = "_file_order"
+
+
+def with_file_order(df: DataFrame, col: str = FILE_ORDER) -> DataFrame:
+    """Rows of files with their place: (file, where its split starts, number within the task), which sorts as the files are written.
+
+    Only for a frame read from files (its ``_metadata`` is asked), before any shuffle.  Part files are ordered by path.
+    """
+    m = F.col("_metadata")
+    place = F.struct(m["file_path"].alias("file"), m["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("row"))
+    return df.withColumn(col, place)

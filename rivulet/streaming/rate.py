@@ -124,11 +124,23 @@ def instant_steps(stream: DataFrame, series: Sequence[str], ts: str, value: str,
     return agg.select(_window_columns()[1].alias("step"), *series, value)
 
 
-def run_available_now(spark: SparkSession, out: DataFrame, path: str, checkpoint: str) -> DataFrame:
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_available_now(spark: SparkSession, out: DataFrame, path: str, checkpoint: str, rocksdb: bool = False) -> DataFrame:
     """Run a streaming frame to the end of its current input (``availableNow``)
     into a parquet table (file sink: exactly once, committed files only) and
-    return that table.  ``path`` and ``checkpoint`` belong in a shared folder."""
-    q = (out.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
-    q.awaitTermination()
+    return that table.  ``path`` and ``checkpoint`` belong in a shared folder.
+    ``rocksdb`` keeps the state in RocksDB, as typed keyed state and timers need it."""
+    before = spark.conf.get(STATE_PROVIDER, None)
+    if rocksdb:
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        q = (out.writeStream.format("parquet").outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+        q.awaitTermination()
+    finally:
+        if rocksdb:
+            spark.conf.unset(STATE_PROVIDER) if before is None else spark.conf.set(STATE_PROVIDER, before)
     return spark.read.schema(out.schema).parquet(path)

@@ -1,15 +1,20 @@
 import datetime as dt
+import glob
 import os
+import re
 
+import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.plans.load import upsert_versioned
+from rivulet.operators.dedup import dedup_file_order, first_in_file_order
+from rivulet.plans.load import load_incremental, read_partitions, upsert_partitions, upsert_versioned
 from rivulet.sinks.files import (
-    append_audit, publish, write, write_csv, write_json, write_text, write_versioned,
+    append_audit, publish, write, write_csv, write_json, write_stream_audited, write_text, write_versioned,
 )
 from rivulet.sources.files import (
-    file_facts, is_complete, is_fresh, read_csv, read_first_available, read_latest_version, read_lines,
-    is_complete_path, is_fresh_path, list_files, newest_dataset, read_newest_dataset,
+    csv_rejects, file_facts, file_listing, is_complete, is_complete_path, is_fresh, is_fresh_path, newest_dataset, read_csv,
+    read_first_available, read_latest_version, read_lines, read_newest_dataset,
 )
 
 
@@ -95,7 +100,7 @@ def test_fallback_newest_file_and_gates(spark, tmp_dir):
     assert newest_dataset(spark, folder)[0].isEmpty()                    # empty is empty, no older load instead
     assert newest_dataset(spark, os.path.join(tmp_dir, "nope")) == (None, None)
     folder = os.path.join(folder, "load2")
-    assert len(list_files(spark, folder)) == 4
+    assert file_listing(spark, folder).count() == 4
     assert is_fresh_path(spark, folder, dt.datetime.now(dt.timezone.utc).date())
     assert not is_fresh_path(spark, folder, "2000-01-01")
     assert is_complete_path(spark, folder, 10) and not is_complete_path(spark, folder, 10 ** 9)
@@ -176,28 +181,134 @@ def test_csv_keeps_white_space_and_marks_odd_lines(spark, tmp_dir):
     assert [tuple(r) for r in good.collect()] == [("1", "2")] and sorted(r[-1] for r in bad.collect()) == ["3", "4,5,6"]
 
 
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
-    import glob
+def table_files(root):
+    return {p: os.path.getmtime(p) for p in glob.glob(f"{root}/key_part_of_*/part-*")}
 
-    import pytest
 
-    from rivulet.plans.bucketed import read_buckets, upsert_buckets
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_dir):
     root, audit = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "audit")
     s = "k long, v int, w int"
+
+    def load(rows, name, **kw):
+        batch = rows if isinstance(rows, DataFrame) else spark.createDataFrame(rows, s)
+        return upsert_partitions(spark, batch, root, ["k"], ["v"], os.path.join(tmp_dir, "staging", name), audit_root=audit, table_name="t", **kw)
+
     base = spark.range(200).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit(1).alias("w"))
-    assert len(upsert_buckets(spark, base, root, ["k"], ["v"], "20240101_000000", 8, audit, "t")) == 8
-    before = set(glob.glob(f"{root}/data/*/*/part-*"))
-    touched = upsert_buckets(spark, spark.createDataFrame([(5, 7, 9), (1000, 3, 3)], s), root, ["k"], ["v"], "20240102_000000", 8, audit, "t")
-    assert 1 <= len(touched) <= 2 and before <= set(glob.glob(f"{root}/data/*/*/part-*"))
-    assert {int(p.split("_bucket=")[1].split("/")[0]) for p in glob.glob(f"{root}/data/version=20240102_000000/*/part-*")} == set(touched)
-    got = {r.k: (r.v, r.w) for r in read_buckets(spark, root).collect()}
+    assert len(load(base, "a", parts=8)) == 8
+    before = table_files(root)
+    touched = load([(5, 7, 9), (1000, 3, 3)], "b", parts=64)  # the first load's 8 partitions hold
+    after = table_files(root)
+    kept = {p for p in before if int(re.search(r"key_part_of_8=(\d+)", p)[1]) not in touched}
+    assert 1 <= len(touched) <= 2 and all(after.get(p) == before[p] for p in kept) and not (before.keys() - kept) & after.keys()
+    got = {r.k: (r.v, r.w) for r in read_partitions(spark, root).collect()}
     assert len(got) == 201 and got[5] == (7, 1) and got[1000] == (3, 3) and got[6] == (1, 1)
-    upsert_buckets(spark, spark.createDataFrame([(5, 8, 9)], s), root, ["k"], ["v"], "20240103_000000", 8, audit, "t", keep=1)
-    five = [p for p in glob.glob(f"{root}/data/*/*/part-*") if f"_bucket={touched[0]}/" in p]
-    assert {r.k: r.v for r in read_buckets(spark, root).collect()}[5] == 8 and read_buckets(spark, root).count() == 201
-    assert len(glob.glob(f"{root}/manifest/version=*")) == 1 and not glob.glob(f"{root}/staging/version=*") and five
     for bad in ([(None, 1, 1)], [(1, 1, 1), (1, 2, 2)]):
         with pytest.raises(ValueError):
-            upsert_buckets(spark, spark.createDataFrame(bad, s), root, ["k"], ["v"], "20240104_000000", 8)
-    assert read_buckets(spark, root).count() == 201
-    assert spark.read.parquet(audit).count() == 3
+            load(bad, "bad")
+    with pytest.raises(ValueError):
+        load(spark.createDataFrame([(1, 2)], "k long, other int"), "bad")
+    boom = spark.createDataFrame([(5, 1, 1)], s).withColumn("v", F.raise_error(F.lit("task failed")).cast("int"))
+    with pytest.raises(Exception, match="task failed"):
+        load(boom, "boom")
+    assert table_files(root) == after and load([], "none") == [] and table_files(root) == after
+    assert sorted(r.rows_loaded for r in spark.read.parquet(audit).collect()) == [0, 2, 200]
+    assert not glob.glob(os.path.join(tmp_dir, "staging", "[ab]"))
+
+
+def test_failure_while_writing_leaves_the_table(spark, tmp_dir, monkeypatch):
+    from rivulet.plans import load as L
+    root, s = os.path.join(tmp_dir, "t"), "k long, v int"
+    upsert_partitions(spark, spark.createDataFrame([(k, 1) for k in range(50)], s), root, ["k"], ["v"], os.path.join(tmp_dir, "s1"), 4)
+    before = table_files(root)
+    merge = L.upsert
+    monkeypatch.setattr(L, "upsert", lambda *a: merge(*a).withColumn("v", F.when(F.col("k") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("v"))))
+    with pytest.raises(Exception, match="lost"):
+        upsert_partitions(spark, spark.createDataFrame([(k, 2) for k in range(50)], s), root, ["k"], ["v"], os.path.join(tmp_dir, "s2"), 4)
+    assert table_files(root) == before and {r.v for r in read_partitions(spark, root).collect()} == {1}
+
+
+def test_incremental_load_takes_each_file_once(spark, tmp_dir):
+    at = lambda *p: os.path.join(tmp_dir, *p)
+    s = "k long, v string"
+
+    def put(name, rows, when):
+        spark.createDataFrame(rows, s).coalesce(1).write.parquet(at("raw", name))
+        for part in glob.glob(at("raw", name, "part-*")):
+            os.utime(part, (when, when))
+
+    def load():
+        audit = load_incremental(spark, at("raw"), s, at("table"), at("audit"), at("state"), "t", ["k"], ["v"], parts=4)
+        return {r.k: r.v for r in read_partitions(spark, at("table")).collect()}, sorted(r.rows_loaded for r in audit.collect())
+
+    put("a", [(1, "a"), (2, "a")], 1_700_000_100)
+    put("b", [(2, "b"), (3, "b"), (3, "c")], 1_700_000_200)  # in the same batch: the newest file, then its last row
+    assert load() == ({1: "a", 2: "b", 3: "c"}, [5])
+    assert load() == ({1: "a", 2: "b", 3: "c"}, [5])
+    put("c", [(1, "d")], 1_700_000_300)
+    assert load() == ({1: "d", 2: "b", 3: "c"}, [1, 5])
+
+
+def test_partitioned_write_splits_a_hot_partition_and_merges_small_ones(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "hot")
+    rows = spark.range(400_000).select(F.when(F.col("id") % 4 > 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 5)).alias("region"),
+                                       F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(8)
+    # enough shuffle partitions that no small region shares the hot one's
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert write(rows, path, partition_by=["region"]) == 400_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {region: [os.path.getsize(p) for p in glob.glob(f"{path}/region={region}/part-*")] for region in ("hot", "r0", "r4")}
+    assert len(files["hot"]) >= 3 and max(files["hot"]) < 16 << 20 and len(files["r0"]) <= 2 and len(files["r4"]) <= 2
+    assert spark.read.parquet(path).groupBy("region").count().count() == 6
+
+
+def test_first_row_in_file_order(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "csv")
+    os.makedirs(path)
+    for k, lines in enumerate((["b,1", "a,2", "a,1"], ["a,0", "c,9", "b,0"])):
+        with open(os.path.join(path, f"part-{k}.csv"), "w") as f:
+            f.write("\n".join(lines))
+    df = spark.read.schema("k string, v int").csv(path)
+    assert {(r.k, r.v) for r in dedup_file_order(df, ["k"]).collect()} == {("b", 1), ("a", 2), ("c", 9)}
+    assert tuple(first_in_file_order(df).first()) == ("b", 1)
+    assert first_in_file_order(df.filter("v > 100")).collect() == []
+
+
+def test_no_csv_value_is_cut(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "books")
+    rows = [("u1", "two\nlines"), ("u2", 'a "quoted", text\n\nwith blank lines'), ("u3", "plain"), ("u4", None), ("u5", "comma, only")]
+    write_csv(spark.createDataFrame(rows, "url string, description string"), path)
+    back = read_first_available(spark, [(os.path.join(tmp_dir, "none"), "parquet"), (path, "csv")])
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+    good, bad = csv_rejects(read_csv(spark, path))  # by lines: what spans lines is rejected, not cut
+    assert sorted((r.url, r.description) for r in good.collect() if r.url.startswith("u")) == [("u3", "plain"), ("u4", None), ("u5", "comma, only")]
+    lines = [r[-1] for r in bad.collect()]
+    assert 'u1,"two' in lines and 'lines"' in lines and 'with blank lines"' in lines
+
+
+def test_newest_dataset_and_freshness_by_a_metadata_scan(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "lake")
+    for k, name in enumerate(("a/old", "a/new", "single")):
+        write(spark.range(3).withColumn("n", F.lit(name)).repartition(3), os.path.join(root, name))
+        for part in glob.glob(os.path.join(root, name, "part-*")):
+            os.utime(part, (1_700_000_000 + 100 * k,) * 2)
+    assert newest_dataset(spark, root)[1].endswith("/single")
+    assert is_fresh_path(spark, root, "2023-11-14") and not is_fresh_path(spark, root, "2023-11-15")
+    assert not is_fresh_path(spark, os.path.join(tmp_dir, "none"), "2023-11-14")
+    plan = file_listing(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]  # the files' bytes are not read
+    assert newest_dataset(spark, os.path.join(root, "single"))[1].endswith("/single")
+
+
+def test_stream_audit_counts_each_batch(spark, tmp_dir):
+    at = lambda p: os.path.join(tmp_dir, p)
+    write(spark.range(90).repartition(3), at("in"))
+    stream = lambda: spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(at("in"))
+    for _ in range(2):  # a second run finds nothing new
+        audit = write_stream_audited(stream(), at("out"), at("audit"), "t", at("state"))
+        assert sorted(r.rows for r in audit.collect() if r.rows) == [30, 30, 30] and spark.read.parquet(at("out")).count() == 90
