@@ -20,7 +20,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.batches import col
+from rivulet.llm.batches import col, save_and_reread
 
 # The base phrases and their labels.
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
@@ -47,6 +47,39 @@ NOTICES = (
     ("has waived all copyright and related or neighboring rights to this work", "cc0"),
     ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
      "granted", "isc"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+     "version", "gpl-2.0"),
+    ("This work is licensed under the GNU General Public License, version 2", "gpl-2.0"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+     "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+     "any later version", "lgpl-2.1"),
+    ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+     "Free Software Foundation, either version 3 of the License, or (at your option) any later version", "lgpl-3.0"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+     "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+     "later version", "agpl-3.0"),
+    ("TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and "
+     "conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document", "apache-2.0"),
+    ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+     "Software", "mit"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+     "derived from this software without specific prior written permission", "bsd-3-clause"),
+    ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+     "disclaimer in the documentation and/or other materials provided with the distribution", "bsd"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+     "cc-by-nc-sa-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "cc-by-nd-4.0"),
+    ("Licensed under CC BY-SA 4.0", "cc-by-sa-4.0"),
+    ("This is free and unencumbered software released into the public domain", "unlicense"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+     "epl-2.0"),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license", "bsl-1.0"),
+    ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter "
+     "it and redistribute it freely", "zlib"),
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -117,7 +150,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     give a row each; an empty table gives no rows; other columns are not read.
     """
     k = gram_words
-    diagonals = votes(docs, text_col, id_col, phrases, notices, k)
+    # the votes are few against the texts: written once, so the texts are gone through for votes once
+    diagonals = save_and_reread(votes(docs, text_col, id_col, phrases, notices, k), "license-votes")
     base = (diagonals.filter((F.col("kind") == "phrase") & (F.size("at") == F.col("n") - (k - 1)))
             .select("id", "h", "label", F.col("diagonal").alias("place"), F.lit(1.0).alias("coverage"), F.lit(True).alias("base")))
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -32,6 +33,89 @@ def test_phrases_equal_brute_force(spark):
     assert sorted(map(tuple, got), key=repr) == brute(ROWS)
 
 
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute_spans(text, notices, band=2, min_coverage=0.7, whole_below=14, min_votes=2):
+    """Labels and score of the notices by the stated rule, one template and diagonal after the other."""
+    w, accepted = words_of(text), []
+    for t_text, label in notices:
+        t = words_of(t_text)
+        diagonals = {}
+        for pos in range(len(w) - 1):
+            for at in range(len(t) - 1):
+                if w[pos:pos + 2] == t[at:at + 2]:
+                    d = diagonals.setdefault(pos - at, {"at": set(), "first": False, "last": False})
+                    d["at"].add(at)
+                    d["first"] |= at == 1 and pos >= 2 and w[pos - 2] == t[0]
+                    d["last"] |= at == len(t) - 3 and pos + 3 < len(w) and w[pos + 3] == t[-1]
+
+        def runs(keys):
+            out = []
+            for k in sorted(keys):
+                if out and k - out[-1][-1] <= band:
+                    out[-1].append(k)
+                else:
+                    out.append([k])
+            return out
+
+        def measured(keys):
+            votes = [diagonals[k] for k in keys]
+            at = set().union(*(d["at"] for d in votes))
+            first, last = any(d["first"] for d in votes), any(d["last"] for d in votes)
+            words = {x for a in at for x in (a, a + 1)} | ({0} if first else set()) | ({len(t) - 1} if last else set())
+            place = min(k + min([*d["at"], *([-1] if d["first"] else [])]) for k, d in zip(keys, votes))
+            end = max(k + max([a + 2 for a in d["at"]] + ([len(t) + 1] if d["last"] else [])) for k, d in zip(keys, votes))
+            share = len(words) / len(t)
+            good = (sum(len(d["at"]) for d in votes) >= min_votes and end - place <= 1.5 * len(t)
+                    and share >= (1.0 if len(t) < whole_below else min_coverage))
+            return (place, end, share, label) if good else None
+
+        for span in runs(diagonals):
+            parts = [m for r in runs(k for k in span if len(diagonals[k]["at"]) >= min_votes) if (m := measured(r))]
+            whole = measured(span)
+            accepted += parts + ([whole] if whole and whole[2] > max([p[2] for p in parts], default=0) else [])
+    accepted.sort(key=lambda m: (m[0], m[1]))
+    heaps = []
+    for m in accepted:
+        if heaps and m[0] < max(x[1] for x in heaps[-1]):
+            heaps[-1].append(m)
+        else:
+            heaps.append([m])
+    best = [m for heap in heaps for m in heap if m[2] == max(x[2] for x in heap)]
+    return sorted({m[3] for m in best}), max((m[2] for m in best), default=0.0)
+
+
+def test_spans_equal_brute_force(spark):
+    """Notices quoted, cut, with words put in, left out, doubled and mixed, among other words."""
+    r = random.Random(3)
+    rows = []
+    for k in range(160):
+        out = []
+        for _ in range(r.randrange(1, 4)):
+            w = words_of(r.choice(S.NOTICES)[0])
+            for _ in range(r.randrange(5)):
+                at = r.randrange(len(w))
+                w = r.choice([w[:at] + ["zzz"] + w[at:], w[:at] + w[at + 1:], w[:at] + w[at:at + 1] + w[at:], w[:at] + w[at + 2:]]) or ["x"]
+            out += ["other"] * r.randrange(3) + w
+        rows.append((k, " ".join(out)))
+    got = {x["doc_id"]: x for x in S.scan(docs(spark, rows, ""), phrases=()).collect()}
+    hits = 0
+    for k, text in rows:
+        labels, score = brute_spans(text, S.NOTICES)
+        assert (got[k]["labels"], round(got[k]["score"], 9)) == (",".join(labels), round(score, 9)), text
+        hits += bool(labels)
+    assert hits > 60
+
+
+def test_more_licenses(spark):
+    rows = [(k, f"some words {text} more words") for k, (text, _) in enumerate(S.NOTICES)]
+    got = {x["doc_id"]: x["labels"].split(",") for x in S.scan(docs(spark, rows, "")).collect()}
+    assert [S.NOTICES[k] for k in got if S.NOTICES[k][1] not in got[k]] == []
+    assert "gpl-3.0" not in got[13] and "gpl-2.0" in got[13] and "lgpl-2.1" in got[15]
+
+
 def test_notices_are_found_with_small_changes(spark):
     w = GPL3.split()
     edited = " ".join(w[:12] + ["really"] + w[12:25] + w[26:])
