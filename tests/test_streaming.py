@@ -101,3 +101,39 @@ def test_counter_stream_window_not_multiple_of_slide(spark):
     rows = sorted(dense_samples(n_series=2, n=150, seed=4), key=lambda r: (r[1], r[0]))
     want = closed_rate(spark, rows, "10 minutes", "3 minutes")
     assert streamed_rate(spark, [rows], "10 minutes", "3 minutes") == want and len(want) > 20
+
+
+def test_health_stream_tells_silence(spark):
+    """Each step and job once: sums of the newest samples, Offline between, after the last sample and for a job that never reports."""
+    from rivulet.streaming.health import health_stream
+    rnd = random.Random(6)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(k, t0 + dt.timedelta(seconds=rnd.randrange(1, 3 * 3600)), job, rnd.choice(["x", "y", None]), rnd.choice([0, 1, None]))
+            for k in range(60) for job in (["api"] if k % 3 else ["api", "db"])]
+    rows = [r for r in rows if r[2] == "api" or r[1] < t0 + dt.timedelta(hours=1)]
+    rows += [(900, t0 + dt.timedelta(hours=4), "api", "x", 1)]
+    rows = [(k, *r[1:]) for k, r in enumerate(sorted(rows, key=lambda r: r[1]))]
+    schema = "id long, ts timestamp_ntz, job string, instance string, up int"
+    root = tempfile.mkdtemp(prefix="rivulet-health-")
+    for k in range(0, len(rows), 25):
+        part = rows[k:k + 25]
+        rnd.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{root}/in/b{k}")
+        name = next(f for f in os.listdir(f"{root}/in/b{k}") if f.startswith("part-"))
+        os.utime(f"{root}/in/b{k}/{name}", (1_700_000_000 + k,) * 2)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(root + "/in"))
+    jobs = spark.createDataFrame([("api",), ("ghost",)], "job string")
+    out = health_stream(stream, jobs, "job", "instance", "ts", "up", "id", 1800, "1 minute", start=t0 + dt.timedelta(seconds=1))
+    got = {(r.step, r.job): (r.up, r.status) for r in run_available_now(spark, out, root + "/out", root + "/ck", rocksdb=True).collect()}
+    want = {}
+    for job in ("api", "db", "ghost"):
+        for n in range(1, 8):  # the watermark ends at 3:59
+            step = t0 + dt.timedelta(seconds=1800 * n)
+            newest = {}
+            for i, ts, j, instance, up in rows:
+                if j == job and step - dt.timedelta(seconds=1800) < ts <= step:
+                    newest[instance or ""] = max(newest.get(instance or "", (t0, -1, None)), (ts, i, up), key=lambda x: x[:2])
+            ups = [x[2] for x in newest.values() if x[2] is not None]
+            total = sum(ups) if ups else None
+            want[(step, job)] = (total, "Offline" if total is None else "green" if total >= 1 else "red")
+    assert got == want
