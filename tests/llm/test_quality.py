@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -138,3 +139,23 @@ def test_only_chosen_features_reach_the_driver(spark, monkeypatch):
     texts = [(1, "one line here\nand a second")] * 500 + [(2, "a\nb\nc"), (3, "x\n" * 900)]
     Q.fit(docs(spark, texts), spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int"), max_lines=20)
     assert sum(collected) == 5 * 4 * len(Q.FEATURES)
+
+
+def test_training_time_does_not_follow_the_longest_document(spark):
+    """A labelled text of 100,000 lines gives a bounded run of lines, in chains of bounded length; both labels are trained."""
+    rows = [(1, "\n".join(f"A line number {k} of some length, and a full stop." for k in range(100_000)))]
+    rows += [(k, "\n".join(["buy now!!! $$$ ###"] * 30)) for k in range(2, 12)] + [(k, "A good sentence stands here alone.\nAnother one follows it.") for k in range(12, 22)]
+    labels = spark.createDataFrame([(k, int(k == 1 or k >= 12)) for k in range(1, 22)], "doc_id bigint, quality int")
+    began = time.time()
+    field = Q.fit(docs(spark, rows), labels)
+    assert time.time() - began < 60 and field.unary.any()
+    kept = {r["doc_id"]: r["content_share"] for r in Q.quality(docs(spark, rows[:3] + rows[-2:], ""), field, keep=["doc_id"]).collect()}
+    assert kept[1] > 0.9 > 0.5 > kept[2] and kept[20] > 0.9
+
+
+def test_chains_are_cut_and_runs_are_bounded():
+    sizes, owner = Q.stretches(np.array([3, 10, 0, 5]), 5)
+    assert sizes.tolist() == [3, 5, 5, 5] and owner.tolist() == [0, 1, 1, 3]
+    lines = [[k] for k in range(50)]
+    run = Q.run_of(lines, b"some text", 7)
+    assert len(run) == 7 and run[0] in lines and run == lines[run[0][0]:run[0][0] + 7] and Q.run_of(lines, b"x", 50) == lines
