@@ -16,27 +16,45 @@ from rivulet.llm.queries import toxicity_lexicon
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.7 or more go; the lexicon is learned from the labelled documents of this stage."""
+    """Documents scored 0.7 or more go; the lexicon is learned from the labelled documents of this stage.
+
+    Null and empty texts stay; repeated rows are judged each; an empty table stays empty.
+    """
     return toxicity.drop_toxic(docs, toxicity_lexicon(docs, table(spark, sf_dir, "labels")))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and long ones far from every language learned."""
+    """Documents without a letter go, and those further from every language learned than their length explains.
+
+    Null and empty texts go; equal cosines go to the first language by name; repeated rows are judged each; an empty table
+    stays empty.
+    """
     return language_hd.drop_unidentified(docs, language_hd.learn(docs, where=crc_part(F.col("doc_id"), 4) != 2))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays (the least doc_id)."""
+    """One row of each SimHash component stays: of the least doc_id (null last), then of the least text hash.
+
+    Null and empty texts are one component; rows that share an id or have none are judged each by its text; of equal rows one
+    stays; an empty table stays empty.
+    """
     return simhash_tiles.drop_near_duplicates(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark window go."""
+    """Documents with a benchmark window go.
+
+    Null and empty texts stay; benchmark rows with a null id or text are passed over; repeated rows are judged each; an empty
+    table stays empty.
+    """
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents that are left, with their sequences."""
+    """The pieces of the documents that are left, with their sequences.
+
+    Null texts are empty; repeated rows and rows without id are packed each; an empty table gives no rows.
+    """
     return packing.pack(docs)
 
 
