@@ -18,7 +18,7 @@ from rivulet.plans.countries import countries_silver, gold_countries_enriched
 from rivulet.plans.silver import population_silver, rates_silver, wine_silver
 from rivulet.sinks.files import CSV_OPTIONS, append_audit, write, write_observed, write_versioned
 from rivulet.sinks.jdbc import load_plan
-from rivulet.sources.files import _exists, read_first_available, whole_rows
+from rivulet.sources.files import FILE_ORDER, _exists, read_first_available, whole_rows, with_file_order
 
 
 log = logging.getLogger("rivulet")
@@ -28,6 +28,11 @@ def optional_parquet(spark: SparkSession, path: str | None) -> DataFrame | None:
     return spark.read.parquet(path) if path and _exists(spark, path) else None
 
 
+def first_by(raw: DataFrame, order_by: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """The frame and the columns that say which row comes first: those given, or the place in the files."""
+    return (raw, order_by) if order_by else (with_file_order(raw), [FILE_ORDER])
+
+
 def books_silver_step(spark: SparkSession, raw_csv: str, out_path: str, rates_path: str | None = None,
                       fmt: str = "csv") -> int:
     """Raw scraped CSV -> cleaned silver.  ``fmt="parquet"`` is the better
@@ -41,10 +46,10 @@ def books_silver_step(spark: SparkSession, raw_csv: str, out_path: str, rates_pa
     return int(m["rows"])
 
 
-def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, order_by: list[str], as_of=None) -> int:
-    """``order_by`` names the columns that decide which duplicate of an iso3 is the first."""
-    return write(countries_silver(spark.read.parquet(raw_path), as_of, order_by), out_path, partition_by=["region"],
-                 skip_empty=True)
+def countries_silver_step(spark: SparkSession, raw_path: str, out_path: str, order_by: list[str] | None = None, as_of=None) -> int:
+    """The first of an iso3's duplicates stays: by the columns of ``order_by``, else as the raw files hold them."""
+    raw, order = first_by(spark.read.parquet(raw_path), order_by)
+    return write(countries_silver(raw, as_of, order).drop(FILE_ORDER), out_path, partition_by=["region"], skip_empty=True)
 
 
 def population_silver_step(spark: SparkSession, raw_path: str, silver_root: str, audit_root: str,
@@ -67,9 +72,10 @@ def rates_silver_step(spark: SparkSession, raw_path: str, out_path: str, as_of=N
     return write(rates_silver(spark.read.parquet(raw_path), as_of), out_path, skip_empty=True)
 
 
-def wine_silver_step(spark: SparkSession, raw_path: str, out_path: str, order_by: list[str], as_of=None) -> int:
-    """``order_by`` names the columns that decide which duplicate of a title is the first."""
-    return write(wine_silver(spark.read.parquet(raw_path), as_of, order_by), out_path, partition_by=["country"])
+def wine_silver_step(spark: SparkSession, raw_path: str, out_path: str, order_by: list[str] | None = None, as_of=None) -> int:
+    """The first of a title's duplicates stays: by the columns of ``order_by``, else as the raw files hold them."""
+    raw, order = first_by(spark.read.parquet(raw_path), order_by)
+    return write(wine_silver(raw, as_of, order).drop(FILE_ORDER), out_path, partition_by=["country"])
 
 
 def gold_books_step(spark: SparkSession, silver_path: str, gold_root: str, rates_path: str | None = None,

@@ -101,3 +101,18 @@ def test_book_links(spark):
     assert [r.url for r in book_links(pages).collect()] == [
         "https://books.toscrape.com/catalogue/a-light-in-the-attic_1000/index.html",
         "https://books.toscrape.com/catalogue/tipping-the-velvet_999/index.html"]
+
+
+def test_silver_steps_keep_the_first_row_of_the_files(spark, tmp_dir):
+    """Without an order the first duplicate is the one the raw files hold first, whatever its values."""
+    at = lambda p: os.path.join(tmp_dir, p)
+    schema = "name string, region string, population long, area double, currency_codes string, iso2 string, iso3 string"
+    rows = [("Zeta", "R", 5, 1.0, "KES", "KE", "KEN"), ("Alpha", "R", 6, 1.0, "KES", "KE", "KEN"), ("Mid", "R", 7, 1.0, "TZS", "TZ", "TZA")]
+    write(spark.createDataFrame(rows, schema).coalesce(1), at("countries"))
+    assert countries_silver_step(spark, at("countries"), at("silver")) == 2
+    got = spark.read.parquet(at("silver"))
+    assert sorted(r.name for r in got.collect()) == ["Mid", "Zeta"] and "_file_order" not in got.columns
+    wine = spark.createDataFrame([("w", "FR", "v", "9", "1"), ("w", "FR", "v", "2", "8")], "title string, country string, variety string, price string, points string")
+    write(wine.coalesce(1), at("wine"))
+    assert wine_silver_step(spark, at("wine"), at("wine_silver")) == 1
+    assert [r.price for r in spark.read.parquet(at("wine_silver")).collect()] == [9.0]
