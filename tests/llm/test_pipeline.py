@@ -18,7 +18,7 @@ def test_run_equals_the_operators_one_by_one(spark):
     scored = toxicity.score(docs, toxicity_lexicon(docs, labels), keep=["doc_id"])
     docs = docs.join(scored.filter("predicted = 0"), "doc_id", "left_semi")
     told = language_hd.identify(docs, language_hd.learn(docs, where=C.crc_part(docs["doc_id"], 4) != 2), keep=["doc_id"])
-    docs = docs.join(told.filter("lang_pred <> 'und' and (n_letters < 200 or score >= 0.25)"), "doc_id", "left_semi")
+    docs = docs.join(told.filter("lang_pred <> 'und' and score >= 0.25 - 3 / sqrt(n_letters)"), "doc_id", "left_semi")
     found = simhash_tiles.simhash_components(docs)
     docs = docs.join(found.filter("doc_id = component_id"), "doc_id", "left_semi")
     clean = decontaminate.contamination(docs, bench, keep=["doc_id"]).filter("not contaminated")
@@ -47,5 +47,5 @@ def test_stages_take_awkward_and_empty_tables(spark, tmp_dir):
 
 def test_registered_queries():
     import __spark_entry__ as entry
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
