@@ -386,10 +386,10 @@ def health_status(vector: DataFrame, job: str, value: str, step_seconds: int, jo
     if jobs is not None:
         listed = jobs.select(F.col(job)).distinct().select(job, F.lit(None).cast(per_job.schema["_p"].dataType).alias("_p"), F.lit(True).alias("_listed"))
         per_job = (per_job.withColumn("_listed", F.lit(False)).unionByName(listed).groupBy(job)
-                   .agg(F.max("_p").alias("_p"), F.max("_listed").alias("_listed")))
+                   .agg(F.flatten(F.collect_list("_p")).alias("_p"), F.max("_listed").alias("_listed")))
     everywhere = Window.partitionBy()
     lo = us_of(start) if start is not None else F.min(F.get("_p", F.lit(0))["us"]).over(everywhere)
-    hi = us_of(end) if end is not None else F.max(F.element_at("_p", -1)["us"]).over(everywhere) + F.lit(extra_steps * st)
+    hi = us_of(end) if end is not None else F.max(F.try_element_at("_p", F.lit(-1))["us"]).over(everywhere) + F.lit(extra_steps * st)
     grid = per_job.withColumns({"_lo": _ceil_div(lo, st) * st, "_hi": hi}).filter("_lo <= _hi" + (" and _listed" if jobs is not None else ""))
     inside = F.filter(F.coalesce("_p", F.array().cast(per_job.schema["_p"].dataType)), lambda p: p["us"].between(F.col("_lo"), F.col("_hi")))
     begin = F.struct(F.col("_lo").alias("us"), F.lit(None).cast(sums.schema[out].dataType).alias("up"))

@@ -31,8 +31,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
     By default files are split between tasks and a record is a line.  A line that leaves a quote open is a
     part of a record that spans lines; it is marked too, with the file's other such lines, never cut to what stands before the
-    break.  Pass ``multiline=True`` where quoted fields may span lines: they are read whole, by one task a file.
+    break.  Pass ``multiline=True`` where quoted fields may span lines: they are read whole, by one task a file, as
+    are files in another encoding than UTF-8.
     """
+    multiline = multiline or str(options.get("encoding", "UTF-8")).upper() not in ("UTF-8", "UTF8")
     opts = {"header": "true", "escape": '"', "encoding": "UTF-8", "multiLine": str(multiline).lower(), **options}
     if schema is None:
         schema = T.StructType([T.StructField(f.name, T.StringType()) for f in spark.read.options(**opts).csv(path).schema])

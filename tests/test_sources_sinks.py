@@ -287,6 +287,9 @@ def test_no_csv_value_is_cut(spark, tmp_dir):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
     good, bad = csv_rejects(read_csv(spark, path))  # by lines: what spans lines is rejected, not cut
     assert sorted((r.url, r.description) for r in good.collect() if r.url.startswith("u")) == [("u3", "plain"), ("u4", None), ("u5", "comma, only")]
+    with open(os.path.join(tmp_dir, "latin.csv"), "wb") as f:
+        f.write('a,b\n1,"é\nü"\n'.encode("latin-1"))
+    assert [tuple(r) for r in csv_rejects(read_csv(spark, os.path.join(tmp_dir, "latin.csv"), encoding="ISO-8859-1"))[0].collect()] == [("1", "é\nü")]
     lines = [r[-1] for r in bad.collect()]
     assert 'u1,"two' in lines and 'lines"' in lines and 'with blank lines"' in lines
 
