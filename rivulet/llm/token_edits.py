@@ -57,6 +57,16 @@ class Counter:
         self.longest = max(map(len, special), default=0)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
+    def pieces(self, text: str) -> list[str]:
+        """All pieces of the text."""
+        out: list[str] = []
+        at = 0
+        for found in self.special.finditer(text) if self.special else ():
+            out += splitter().findall(text, at, found.start())
+            out.append(found.group())
+            at = found.end()
+        return out + splitter().findall(text, at) if at else splitter().findall(text)
+
     def split(self, text: str, begin: int = 0) -> Iterator[str]:
         """Pieces of the text from ``begin`` on, which must be a border: special tokens, and pre-tokens between them."""
         at = begin
@@ -129,7 +139,7 @@ class Document:
     def __init__(self, text: str, count: Counter, chars: list[int] | None = None, tokens: list[int] | None = None):
         self.text, self.count, self.reencoded = text, count, 0
         if chars is None or tokens is None:
-            chars, tokens = leaves_of(list(count.split(text)), count)
+            chars, tokens = leaves_of(count.pieces(text), count)
         self.tree = SegmentTree(chars, tokens)
 
     @property
@@ -181,7 +191,7 @@ def build_trees(df: DataFrame, text_col: str = "text", vocabulary: str | None =
         count = Counter(vocabulary)
 
         def work(texts: list[bytes | None]) -> list:
-            found = [leaves_of(list(count.split((t or b"").decode("utf-8", "replace"))), count) for t in texts]
+            found = [leaves_of(count.pieces((t or b"").decode("utf-8", "replace")), count) for t in texts]
             return [[c for c, _ in found], [t for _, t in found], [sum(t) for _, t in found]]
         return work
     return append_columns(df, text_col, make, [("leaf_chars", "array<int>"), ("leaf_tokens", "array<int>"), ("n_tokens", "bigint")], keep=keep)

@@ -35,7 +35,7 @@ def test_special_tokens_are_leaves_of_their_own():
     bits = BITS + [SPECIAL, SPECIAL[:5], SPECIAL[5:], "<", "|", ">", "<|", "!!!!!!!!!!!!!!!!!!!!"]
     for _ in range(600):
         d = E.Document("".join(r.choice(bits) for _ in range(r.randint(0, 500))), count)
-        assert d.n_tokens == full(count, d.text)
+        assert d.n_tokens == full(count, d.text) and count.pieces(d.text) == list(count.split(d.text))
         for _ in range(4):
             d.edit(r.randint(0, len(d.text)), r.choice([0, 0, 1, 5, 13]), "".join(r.choice(bits) for _ in range(r.randint(0, 3))))
             assert d.n_tokens == full(count, d.text)
