@@ -29,6 +29,7 @@ import html
 import math
 import os
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -268,19 +269,32 @@ def neighbours(versions: DataFrame) -> DataFrame:
             .select("host", "path", side(F.col("before")).alias("before"), side(F.col("behind")).alias("behind")))
 
 
-FIELDS = [("lines", "array<string>"), ("levels", "array<int>"), ("links", "array<int>"), ("hashes", "binary")]
+#: What a page takes to its neighbours: its lines (compressed; a line holds no line break), a byte of level and link for each, and their hashes.
+FIELDS = [("lines", "binary"), ("marks", "binary"), ("hashes", "binary")]
+
+
+def packed_lines(lines: list[tuple[str, int, bool]]) -> bytes:
+    """The lines that may stay; the others are empty."""
+    inside = any(level in (MAIN, ARTICLE) for _, level, _ in lines)
+    return zlib.compress("\n".join("" if level == FURNITURE or inside and level == OUTSIDE else t for t, level, _ in lines).encode(), 3)
 
 
 def line_columns():
     def work(pages: list[bytes | None]) -> list:
         found = [page_lines(p.decode()) if p else [] for p in pages]
-        return [[[t if level != FURNITURE else "" for t, level, _ in page] for page in found],
-                [[level for _, level, _ in page] for page in found], [[int(link) for *_, link in page] for page in found],
+        return [[packed_lines(page) for page in found], [bytes(2 * level + link for _, level, link in page) for page in found],
                 [b"".join(xxhash.xxh64_digest(t.encode()) for t, *_ in page) for page in found]]
 
     return work
 
 
+def hash_column():
+    def work(pages: list[bytes | None]) -> list:
+        return [[b"".join(xxhash.xxh64_digest(t.encode()) for t, *_ in page_lines(p.decode())) if p else b"" for p in pages]]
+
+    return work
+
+
 def split_hashes(data: bytes | None) -> list[bytes]:
     return [data[i:i + 8] for i in range(0, len(data or b""), 8)]
 
@@ -305,18 +319,19 @@ def main_texts(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     given = pages.select(F.lower(parts[0]).alias("host"), F.regexp_replace(parts[1], "/+$", "").alias("path"),
                          *[col(n).alias(k) for n, k in zip(keep, kept)], col(html_col).alias("html"))
     lined = append_columns(given, "html", line_columns, FIELDS, keep=["host", "path", *kept])
-    hashed = append_columns(given.select("host", "path", "html"), "html", line_columns, FIELDS, keep=["host", "path"]).select("host", "path", "hashes")
+    hashed = append_columns(given.select("host", "path", "html"), "html", hash_column, [("hashes", "binary")], keep=["host", "path"])
     joined = lined.join(neighbours(hashed), ["host", "path"], "left")
     schema = T.StructType([joined.schema[k] for k in kept] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for path, lines, levels, links, hashes, before, behind in zip(*(batch.column(n).to_pylist() for n in (
-                    "path", "lines", "levels", "links", "hashes", "before", "behind"))):
+            for path, lines, marks, hashes, before, behind in zip(*(batch.column(n).to_pylist() for n in (
+                    "path", "lines", "marks", "hashes", "before", "behind"))):
                 sides = [(x["path"], split_hashes(x["hashes"])) if x else None for x in (before, behind)]
                 common = shared(split_hashes(hashes), nearest(path, *sides))
-                texts.append(main_text(lines, levels, [bool(x) for x in links], common))
+                given = zlib.decompress(lines).decode().split("\n") if marks else []
+                texts.append(main_text(given, [m >> 1 for m in marks], [bool(m & 1) for m in marks], common))
             yield pa.RecordBatch.from_arrays([batch.column(k) for k in kept] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=[*kept, "text", "n_chars"])
 
