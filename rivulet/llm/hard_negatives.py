@@ -95,6 +95,25 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([max(-TOP, min(TOP, x)) for x in exact], np.int64)
 
 
+def scores_of(overlap: np.ndarray, q: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, row, score) of the pairs that overlap.
+
+    Where more than a quarter of the pairs between the anchors and rows concerned overlap, one matrix product of whole numbers
+    (exact below 2^53) serves them; else, or for larger numbers, each pair is multiplied by itself.
+    """
+    a, b = np.nonzero(overlap)
+    some_a, some_b = np.flatnonzero(overlap.any(axis=1)), np.flatnonzero(overlap.any(axis=0))
+    left, right = q[some_a], rows[some_b].astype(np.float64)
+    largest = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(q.shape[1], 1)
+    if largest < 2 ** 53 and 4 * len(a) > len(some_a) * len(some_b):
+        places_a, places_b = np.zeros(overlap.shape[0], np.int64), np.zeros(overlap.shape[1], np.int64)
+        places_a[some_a], places_b[some_b] = np.arange(len(some_a)), np.arange(len(some_b))
+        return a, b, (left @ right.T)[places_a[a], places_b[b]].astype(np.int64)
+    step = max(1, NUMBERS // max(q.shape[1], 1))
+    got = [inner_products(q[a[i:i + step]], rows[b[i:i + step]].astype(np.float64)) for i in range(0, len(a), step)]
+    return a, b, np.concatenate(got) if got else np.zeros(0, np.int64)
+
+
 def firsts(keys: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the first ``k`` of each key, by falling score, then rising id; in that order."""
     order = np.lexsort((ids, -scores, keys))
@@ -138,10 +157,7 @@ class Part:
             if same:
                 for i, own in enumerate(ids):
                     overlap[i] &= (self.ids[start:stop] != own) | self.null_id[start:stop]
-            a, b = np.nonzero(overlap)
-            step = max(1, NUMBERS // max(q.shape[1], 1))
-            got = [inner_products(q[a[i:i + step]], self.q[start + b[i:i + step]].astype(np.float64)) for i in range(0, len(a), step)]
-            s = np.concatenate(got) if got else np.zeros(0, np.int64)
+            a, b, s = scores_of(overlap, q, self.q[start:stop])
             for w in range(width):
                 fits = (s >= lows[a, w]) & (s <= highs[a, w])
                 keys = np.concatenate([keys, a[fits] * width + w])

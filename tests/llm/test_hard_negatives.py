@@ -94,3 +94,12 @@ def test_bounds_leave_pairs_out():
     same = np.equal.outer(np.arange(300) % 6, np.arange(300) % 6)
     floor = 0.8 * (q @ q.T)[same].min()
     assert (upper >= floor).mean() < 0.5 and (upper[same] >= floor).all()
+
+
+def test_pairs_are_scored_alike_by_product_and_by_pair():
+    r = np.random.default_rng(7)
+    q, rows = np.floor(r.normal(size=(9, 5)) * 300), np.floor(r.normal(size=(40, 5)) * 300).astype("<i4")
+    for share in (0.0, 0.02, 0.9, 1.0):
+        overlap = r.random((9, 40)) < share
+        a, b, s = H.scores_of(overlap, q, rows)
+        assert (np.stack([a, b]) == np.stack(np.nonzero(overlap))).all() and (s == (q @ rows.T)[a, b]).all()
