@@ -33,7 +33,7 @@ from rivulet.plans.books import books_silver, gold_books_analytics, gold_books_d
 from rivulet.plans.countries import countries_silver, gold_countries_enriched
 from rivulet.plans.load import upsert_versioned
 from rivulet.plans.silver import population_silver, wine_silver
-from rivulet.session import ensure_checkpoint_dir
+from rivulet.session import own_folder
 from rivulet.sinks.files import append_audit, publish, write_csv, write_versioned
 from rivulet.sources.files import _fs_and_path, csv_rejects, read_csv, read_latest_version
 
@@ -955,8 +955,8 @@ def bi_sql_avg_price_by_category(spark, sf):
 
 # ------------------------------------------------- writes read back (sinks)
 def _io_root(spark, tag: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivulet-io/{tag}-{uuid.uuid4().hex[:10]}"
+    """A fresh folder under this application's folder in the shared checkpoint folder."""
+    return f"{own_folder(spark)}/io/{tag}-{uuid.uuid4().hex[:10]}"
 
 
 @register("versioned_latest", f"""

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from rivulet.operators.dedup import dedup_first
 from rivulet.operators.upsert import upsert
+from rivulet.session import delete_path
 from rivulet.sinks.files import LOAD_AUDIT_SCHEMA, load_audit_row, write, write_versioned
-from rivulet.sources.files import _exists, _fs_and_path, has_files, latest_version_path, newest_dataset, read_latest_version
+from rivulet.sources.files import _exists, has_files, latest_version_path, newest_dataset, read_latest_version
 
 # --- fixed values: key and updated columns of the population table --------
 POPULATION_KEYS = ("country_iso2", "year")
@@ -63,8 +64,7 @@ def upsert_versioned(spark: SparkSession, batch: DataFrame, table_root: str, aud
         merged = batch
     path, rows = write_versioned(merged, table_root, stamp)
     write(load_audit_row(spark, table_name, loaded, source_path or path, source), audit_root, mode="append")
-    fs, p = _fs_and_path(spark, staging)
-    fs.delete(p, True)
+    delete_path(spark, staging)
     return path, rows
 
 
@@ -133,8 +133,7 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, root: str, keys: Se
         write(merged, root, partition_by=[column], options={"partitionOverwriteMode": "dynamic"})
     if audit_root:
         write(load_audit_row(spark, table_name, rows, source_path or staging, source), audit_root, mode="append")
-    fs, p = _fs_and_path(spark, staging)
-    fs.delete(p, True)
+    delete_path(spark, staging)
     return touched
 
 

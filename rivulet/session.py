@@ -8,14 +8,18 @@ from __future__ import annotations
 
 import atexit
 import io
+import logging
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
+log = logging.getLogger("rivulet")
+
 # Settings the operators are written against.  ANSI stays on (Spark 4 default):
 # text -> number goes through try_cast, division through try_divide.
 DEFAULT_CONF = {
@@ -68,11 +72,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def own_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint folder, for tables between steps; deleted when the driver's process ends."""
+    context = spark.sparkContext
+    folder = getattr(context, "_rivulet_folder", None)
+    if folder is None:
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivulet/{context.applicationId}-{uuid.uuid4().hex}"
+        atexit.register(_delete, context._jvm, context._jsc.hadoopConfiguration(), folder)
+        context._rivulet_folder = folder
+    return folder
+
+
+def _delete(jvm, conf, path: str) -> None:
+    try:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    except (Py4JError, OSError) as e:  # the JVM may have ended before the driver's Python
+        log.warning("%s was not deleted: %s", path, e)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system; a missing one is no error."""
+    _delete(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python this package, once per context, as ``--py-files`` would.
 
     The archive goes through the shared checkpoint folder, so a task on any
-    machine can import the operators.
+    machine can import the operators however the driver came to know them.
     """
     context = spark.sparkContext
     if getattr(context, "_rivulet_shipped", False):
@@ -84,7 +112,7 @@ def ship_package(spark: SparkSession) -> None:
             for name in sorted(n for n in names if n.endswith(".py")):
                 path = os.path.join(folder, name)
                 z.write(path, os.path.relpath(path, os.path.dirname(package)))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivulet-code/{uuid.uuid4().hex}/rivulet.zip"
+    path = f"{own_folder(spark)}/code-{uuid.uuid4().hex}/rivulet.zip"
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
     out.write(data.getvalue())
