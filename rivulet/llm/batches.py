@@ -9,24 +9,16 @@ what the word rules of the operators ask for.
 
 from __future__ import annotations
 
-import atexit
-import io
-import logging
-import os
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.session import ensure_checkpoint_dir
-
-log = logging.getLogger(__name__)
+from rivulet.session import delete_path, own_folder, ship_package
 
 SLICE_BYTES = 4 << 20
 
@@ -48,31 +40,6 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per context, as ``--py-files`` would.
-
-    The archive goes through the shared checkpoint folder, so a task on any
-    machine can import the operators however the driver came to know them.
-    """
-    context = spark.sparkContext
-    if getattr(context, "_rivulet_shipped", False):
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        for folder, _, names in os.walk(package):
-            for name in sorted(n for n in names if n.endswith(".py")):
-                path = os.path.join(folder, name)
-                z.write(path, os.path.relpath(path, os.path.dirname(package)))
-    path = f"{own_folder(spark)}/code-{uuid.uuid4().hex}/rivulet.zip"
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
-    out.write(data.getvalue())
-    out.close()
-    context.addPyFile(path)
-    context._rivulet_shipped = True
-
-
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` on executors that have this package."""
     ship_package(df.sparkSession)
@@ -120,26 +87,6 @@ def append_columns(df: DataFrame, text_col: str, make: Callable[[], Callable[[li
     return map_batches(source, run, schema).toDF(*names, *[n for n, _ in fields])
 
 
-def own_folder(spark: SparkSession) -> str:
-    """This application's folder below the shared checkpoint folder; it is deleted when the driver's process ends."""
-    context = spark.sparkContext
-    folder = getattr(context, "_rivulet_folder", None)
-    if folder is None:
-        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{context.applicationId}-{uuid.uuid4().hex}"
-        jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
-        atexit.register(_delete, jvm, conf, folder)
-        context._rivulet_folder = folder
-    return folder
-
-
-def _delete(jvm, conf, path: str) -> None:
-    try:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
-    except (Py4JError, OSError) as e:  # the JVM may have ended before the driver's Python
-        log.warning("%s was not deleted: %s", path, e)
-
-
 def save_and_reread(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
     """Write to the cluster's shared checkpoint folder as Parquet and read it back: cuts lineage, computes once.
 
@@ -155,8 +102,7 @@ def save_and_reread(df: DataFrame, label: str, by: list[str] | None = None) -> D
 
 def drop_saved(saved: DataFrame) -> None:
     """Delete what :func:`save_and_reread` wrote; no later job may read it."""
-    context = saved.sparkSession.sparkContext
-    _delete(context._jvm, context._jsc.hadoopConfiguration(), saved._rivulet_path)
+    delete_path(saved.sparkSession, saved._rivulet_path)
 
 
 def crc_part(id_col: Column, parts: int) -> Column:
