@@ -7,6 +7,7 @@ Computed columns carry the same names on both sides.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -33,7 +34,7 @@ from rivulet.plans.books import books_silver, gold_books_analytics, gold_books_d
 from rivulet.plans.countries import countries_silver, gold_countries_enriched
 from rivulet.plans.load import upsert_versioned
 from rivulet.plans.silver import population_silver, wine_silver
-from rivulet.session import own_folder
+from rivulet.session import ensure_checkpoint_dir, own_folder
 from rivulet.sinks.files import append_audit, publish, write_csv, write_versioned
 from rivulet.sources.files import _fs_and_path, csv_rejects, read_csv, read_latest_version
 
@@ -780,19 +781,23 @@ def metric_series_count(spark, sf):
 
 @register("metric_recent_6h", f"""
 WITH {_SAMPLES_SQL}
-SELECT job, instance, value AS last, ts AS last_ts FROM s
+SELECT job, instance, counter AS last, ts AS last_ts FROM c
 WHERE ts > (SELECT MAX(ts) FROM events) - INTERVAL 6 HOUR
 QUALIFY ROW_NUMBER() OVER (PARTITION BY job, instance ORDER BY ts DESC, event_id DESC) = 1
 """)
 def metric_recent_6h(spark, sf):
-    """The newest raw gauge sample of each series in the last six hours.
+    """The newest counter reading of each series in the last six hours; the counter runs from the first sample on.
 
     The dashboard's end time is known before the query is planned, so the
-    range is a literal that reaches the scan.
+    range is a literal that reaches the scan; what the counter holds at the range's
+    begin is summed from the whole history before, one row a series.
     """
     events = _t(spark, sf, "events")
-    now = events.agg(F.max("ts")).first()[0]  # from the files' statistics alone
-    return M.last_value(M.recent(_samples(spark, sf), "ts", now, 6 * 3600), ["job", "instance"], "ts", "value", "event_id")
+    now = events.agg(F.max("ts")).first()[0] or dt.datetime(1970, 1, 1)  # from the files' statistics alone
+    s = _samples(spark, sf)
+    ensure_checkpoint_dir(spark)
+    before = M.increase_before(s, ["job", "instance"], "ts", "inc", now, 6 * 3600).checkpoint()
+    return M.last_counter(M.recent(s, "ts", now, 6 * 3600), before, ["job", "instance"], "ts", "inc", "event_id")
 
 
 @register("stream_rate", _RATE_SQL + """

@@ -367,6 +367,39 @@ def recent(df: DataFrame, ts: str, now: _dt.datetime, seconds: int) -> DataFrame
     return df.filter((F.col(ts) > border(now - _dt.timedelta(seconds=seconds))) & (F.col(ts) <= border(now)))
 
 
+def increase_before(df: DataFrame, series: Sequence[str], ts: str, increment: str, now: _dt.datetime, seconds: int) -> DataFrame:
+    """What :func:`recent` leaves out, summed: (series, increment) of all samples up to ``now - seconds``."""
+    kind = df.schema[ts].dataType.simpleString()
+    border = F.lit((now - _dt.timedelta(seconds=seconds)).isoformat(sep=" ")).cast(kind)
+    return df.filter(F.col(ts) <= border).groupBy(*series).agg(F.sum(increment).alias(increment))
+
+
+def last_counter(recent_samples: DataFrame, before: DataFrame, series: Sequence[str], ts: str, increment: str, tiebreak: str,
+                 out: str = "last") -> DataFrame:
+    """The running sum of ``increment`` at each series' newest recent sample, in (ts, tiebreak) order with null tiebreaks last.
+
+    ``before`` holds the sums of the samples before the recent ones (:func:`increase_before`).  The sum at the
+    newest sample is that of all samples, but for those that share its time and have no tiebreak where it has one.
+    Partial aggregation only, no window over samples; a series without a recent sample has no row.
+    """
+    series = list(series)
+    ranked = F.col(tiebreak).isNotNull()
+    inc = F.col(increment)
+    moments = recent_samples.groupBy(*series, epoch_micros(recent_samples, ts).alias("_us")).agg(
+        F.sum(inc).alias("_sum"), F.count(inc).alias("_n"), F.count_if(ranked).alias("_ranked"),
+        F.sum(F.when(~ranked, inc)).alias("_tail"), F.count(F.when(~ranked, inc)).alias("_tail_n"))
+    moments = moments.select(*series, "_us", "_sum", "_n", F.when(F.col("_ranked") > 0, F.coalesce("_tail", F.lit(0))).otherwise(0).alias("_tail"),
+                             F.when(F.col("_ranked") > 0, F.col("_tail_n")).otherwise(0).alias("_tail_n"))
+    past = before.select(*series, F.lit(None).cast("long").alias("_us"), F.col(increment).alias("_sum"),
+                         F.when(F.col(increment).isNotNull(), 1).otherwise(0).cast("long").alias("_n"),
+                         F.lit(0).cast("long").alias("_tail"), F.lit(0).cast("long").alias("_tail_n"))
+    at = moments.unionByName(past).groupBy(*series).agg(
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.max("_us").alias("_us"),
+        F.max_by("_tail", "_us").alias("_tail"), F.max_by("_tail_n", "_us").alias("_tail_n"))
+    reading = F.when(F.col("_n") > F.col("_tail_n"), F.col("_sum") - F.col("_tail"))
+    return at.filter("_us is not null").select(*series, reading.cast("double").alias(out), _ts_from_micros(recent_samples, ts, F.col("_us")).alias("last_ts"))
+
+
 def health_status(vector: DataFrame, job: str, value: str, step_seconds: int, jobs: DataFrame | None = None,
                   start: Column | None = None, end: Column | None = None, out: str = "up", extra_steps: int = 0) -> DataFrame:
     """``sum(up) by (job)`` per step with a traffic-light status.

@@ -226,3 +226,15 @@ def test_null_labels_and_null_increments(spark):
     df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, job string, inc long")
     got = {r.id: (r.job, r.counter) for r in M.counter_from_increments(df, ["job"], "ts", "inc", "id").collect()}
     assert got == {1: ("", 1), 2: ("", 1), 3: ("", 3)}
+
+
+def test_recent_counter_runs_from_the_first_sample(spark, tmp_dir):
+    """The counter of the last six hours holds the whole history; a null id comes last among samples of one time."""
+    import __spark_entry__ as E
+    rows = [(1, "2024-01-01 00:00:00", 4, "click", 5.0), (2, "2024-01-09 01:00:00", 4, "click", 2.5), (None, "2024-01-09 01:00:00", 4, "click", 1.0),
+            (4, "2024-01-01 00:00:00", 4, "view", 7.0), (5, "2024-01-09 05:00:00", 1, None, None), (6, None, 4, "click", 3.0),
+            (7, "2024-01-09 04:00:00", 0, "click", 1.5), (8, "2024-01-09 05:00:00", 5, "error", 0.25)]
+    df = spark.createDataFrame([(*r, None) for r in rows], "event_id long, ts string, user_id long, event_type string, value double, props string")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    got = sorted((r.job, r.instance, r["last"], str(r.last_ts)) for r in E.queries()["metric_recent_6h"](spark, tmp_dir).collect())
+    assert got == [("", "1", None, "2024-01-09 05:00:00"), ("click", "0", 1000.0, "2024-01-09 04:00:00"), ("error", "1", 25.0, "2024-01-09 05:00:00")]
