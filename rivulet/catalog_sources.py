@@ -10,7 +10,7 @@ from rivulet import fixtures as fx
 from rivulet.catalog import ORACLE, _R, _io_root, _rnd, _t, _upsert_inputs, in_time_order, register
 from rivulet.functions.clean import clean_availability, version_stamp
 from rivulet.operators.dedup import dedup_file_order
-from rivulet.operators.elements import select
+from rivulet.operators.elements import select, spread
 from rivulet.operators.filters import is_empty
 from rivulet.operators.flatten import flatten_rates, split_countries, split_observations, split_rates
 from rivulet.operators.joins import latest_per_key
@@ -68,7 +68,7 @@ SELECT p_partkey, 'in ' || p_name || ' deep' || p_size || ' tail' AS first_box,
 """)
 def html_nested(spark, sf):
     """Boxes inside boxes of the same tag, and articles with and without a link before one that is an advertisement."""
-    page = fx.nested_pages(_t(spark, sf, "part"))
+    page = spread(fx.nested_pages(_t(spark, sf, "part")))
     ship_package(spark)
     found = page.select("p_partkey", select(F.col("html"), {"box": ("div.box", "text"), "href": ("article.pod h3 a", "@href")}).alias("s"))
     return found.select("p_partkey", F.get("s.box", 0).alias("first_box"), F.size("s.box").alias("boxes"), F.get("s.href", 0).alias("link"))

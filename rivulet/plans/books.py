@@ -11,7 +11,7 @@ from rivulet.functions.clean import (
 from rivulet.operators import html as H
 from rivulet.operators.aggregates import category_stats
 from rivulet.operators.columns import rename_existing
-from rivulet.operators.elements import select
+from rivulet.operators.elements import select, spread
 from rivulet.operators.joins import scalar_enrich
 from rivulet.session import ship_package
 
@@ -40,7 +40,7 @@ def book_links(pages: DataFrame, html_col: str = "html", base: str = SITE_BASE)
     """
     ship_package(pages.sparkSession)
     links = select(F.col(html_col), {"href": ("article.product_pod h3 a", "@href")})["href"]
-    return pages.select(F.explode(links).alias("href")).filter("href is not null").select(
+    return spread(pages.select(html_col)).select(links.alias("links")).select(F.explode("links").alias("href")).filter("href is not null").select(
         F.concat(F.lit(base + "catalogue/"), F.replace(F.col("href"), F.lit("../../"), F.lit(""))).alias("url"))
 
 
@@ -57,11 +57,14 @@ def book_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     instead of failing the run.  Fields: title (h1 of the main block),
     category (third breadcrumb item, default "Books"), description (the
     paragraph after ``#product_description``), the product-table values, and
-    the absolute URL of the active image.  Each page is parsed once; nested elements are balanced.
+    the absolute URL of the active image.  Either frame parses each page once, in tasks over all cores; nested elements are balanced.
     """
     ship_package(pages.sparkSession)
-    df = pages.select(F.col(url_col).alias("url"), select(F.col(html_col), PRODUCT_FIELDS, tables="table").alias("p"))
-    good, bad = H.split_valid(df, F.size("p.main") > 0, F.when(F.col("p.main").isNotNull(), F.lit("invalid page structure: no product_main block")))
+    dealt = spread(pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")))
+    split = lambda p: H.split_valid(dealt.select("url", p.alias("p")), F.size("p.main") > 0, F.when(
+        F.col("p.main").isNotNull(), F.lit("invalid page structure: no product_main block")))
+    good = split(select(F.col("html"), PRODUCT_FIELDS, tables="table"))[0]
+    bad = split(select(F.col("html"), {"main": PRODUCT_FIELDS["main"]}))[1]
     first = lambda name: F.get(F.col(f"p.{name}"), 0)
     fields = {
         "url": F.col("url"),

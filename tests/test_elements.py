@@ -99,3 +99,16 @@ def test_records_with_nested_blocks(spark):
     row = good.first()
     assert (row.titre, row.description, row.categorie) == ("Title x", "Real text", "Books")
     assert [(r.url, r.reject_reason) for r in bad.collect()] == [("v", "missing input")]
+
+
+def test_pages_of_one_file_are_parsed_once_and_by_all_cores(spark, tmp_dir):
+    from rivulet.plans.books import book_links, book_records
+    path = f"{tmp_dir}/pages"
+    page = F.when(F.col("id") % 2 == 0, "<div class='product_main'><h1>t</h1></div><article class=product_pod><h3><a href=x>").otherwise("<p>")
+    spark.range(200).select(F.col("id").cast("string").alias("url"), page.alias("html")).coalesce(1).write.parquet(path)
+    good, bad = book_records(spark.read.parquet(path))
+    for df, rows in ((good, 100), (bad, 100), (book_links(spark.read.parquet(path)), 100)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        per_task = df.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in per_task) == rows and len(per_task) > 4
