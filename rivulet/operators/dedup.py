@@ -22,12 +22,37 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
               .filter(F.col("_rn") == 1).drop("_rn"))
 
 
+#: About as many rows a task sorts or hashes at once; a split of a well compressed file may hold many times as many.
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
+def dedup_first_spread(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], place: Column, rows: int) -> DataFrame:
+    """:func:`dedup_first` of ``rows`` rows, with about ``ROWS_PER_TASK`` of them in a task, however they were read.
+
+    Up to that many rows it is the same.  More are dealt to tasks by a hash of ``place``, which tells rows
+    apart; each task keeps its first row per key, so a key that most rows share is spread like
+    any other, and those rows are then dealt by key.
+    """
+    n = tasks_for(rows)
+    if n == 1:
+        return dedup_first(df, keys, order)
+    # more groups than tasks, so that the tasks get about the same number of them
+    dealt = df.withColumn("_group", F.pmod(F.xxhash64(place), F.lit(64 * n))).repartition(n, "_group")
+    some = dedup_first(dealt, [*keys, "_group"], order).drop("_group")
+    return dedup_first(some.repartition(n, *keys), keys, order)
+
+
 def dedup_file_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep the first row per key in the order of the files it was read from (as a reader of one file would).
 
-    ``df`` reads files and has not been shuffled; see :func:`rivulet.sources.files.with_file_order`.
+    ``df`` reads files and has not been shuffled; see :func:`rivulet.sources.files.with_file_order`.  The rows are
+    counted first (for Parquet in the files' footers), so that the number of tasks follows them.
     """
-    return dedup_first(with_file_order(df), keys, [FILE_ORDER]).drop(FILE_ORDER)
+    return dedup_first_spread(with_file_order(df), keys, [FILE_ORDER], F.col(FILE_ORDER), df.count()).drop(FILE_ORDER)
 
 
 def first_in_file_order(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.operators.dedup import dedup_first
+from rivulet.operators.dedup import dedup_first_spread, tasks_for
 from rivulet.operators.upsert import upsert
 from rivulet.session import delete_path
 from rivulet.sinks.files import LOAD_AUDIT_SCHEMA, load_audit_row, write, write_versioned
@@ -122,15 +122,21 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, root: str, keys: Se
     part = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
     rows = write(batch.withColumn(column, part), staging)
     staged = spark.read.parquet(staging)
-    batch_size_checked(staged, keys)
+    # dealt by key before grouping: the split of a well compressed file may hold any number of rows
+    batch_size_checked(staged.repartition(tasks_for(rows), *keys), keys)
     touched = sorted(r[0] for r in staged.select(column).distinct().collect())  # ``parts`` at most
+    total = rows
     if _partitions(spark, root) is None:
         merged = staged
     else:
         current = spark.read.parquet(root).filter(F.col(column).isin(touched))
-        merged = upsert(current.drop(column), staged.drop(column), keys, update_cols).withColumn(column, part)
+        total += current.count()  # from the files' footers
+        merged = upsert(current.drop(column).repartition(tasks_for(total), *keys), staged.drop(column), keys, update_cols).withColumn(column, part)
     if touched:
-        write(merged, root, partition_by=[column], options={"partitionOverwriteMode": "dynamic"})
+        # a task writes about one piece of one partition, and a partition has more pieces the more rows there are
+        pieces = -(-tasks_for(total) // len(touched))
+        piece = F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(pieces))
+        write(merged.repartition(len(touched) * pieces, column, piece), root, partition_by=[column], options={"partitionOverwriteMode": "dynamic"}, dealt=True)
     if audit_root:
         write(load_audit_row(spark, table_name, rows, source_path or staging, source), audit_root, mode="append")
     delete_path(spark, staging)
@@ -148,11 +154,16 @@ def load_incremental(spark: SparkSession, source_root: str, schema: T.StructType
     replaces itself, so a batch that is repeated after a failure counts once.
     """
     def put(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("_row", F.monotonically_increasing_id())
-        last = dedup_first(numbered, keys, [F.desc("_modified"), F.desc("_file"), F.desc("_row")]).drop("_modified", "_file", "_row")
         staging = f"{checkpoint.rstrip('/')}-staging/batch_id={batch_id}"
-        upsert_partitions(batch.sparkSession, last, table_root, keys, update_cols, staging, parts)
-        row = load_audit_row(batch.sparkSession, table_name, batch.count(), source_root, f"batch {batch_id}")
+        # the batch is read once, into a table of numbered rows; a micro-batch's own session plans without adaptive
+        # execution, so the caller's session goes on from there
+        rows = write(batch.withColumn("_row", F.monotonically_increasing_id()), f"{staging}-rows")
+        numbered = spark.read.parquet(f"{staging}-rows")
+        order = [F.desc("_modified"), F.desc("_file"), F.desc("_row")]
+        last = dedup_first_spread(numbered, keys, order, F.col("_row"), rows).drop("_modified", "_file", "_row")
+        upsert_partitions(spark, last, table_root, keys, update_cols, staging, parts)
+        delete_path(spark, f"{staging}-rows")
+        row = load_audit_row(spark, table_name, rows, source_root, f"batch {batch_id}")
         write(row, f"{audit_root.rstrip('/')}/batch_id={batch_id}")
 
     stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").load(source_root)

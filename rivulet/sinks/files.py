@@ -29,15 +29,16 @@ LOAD_AUDIT_SCHEMA = "table_name string, rows_loaded long, source string, file_pa
 
 def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column] | None = None,
                    fmt: str = "parquet", mode: str = "overwrite", partition_by: Sequence[str] = (),
-                   options: Mapping[str, str] | None = None) -> dict:
+                   options: Mapping[str, str] | None = None, dealt: bool = False) -> dict:
     """Write and return ``{"rows": n, **metrics}`` observed during the write
     itself (one pass; each task's update is applied once, retries included).
 
     A partitioned write is rebalanced by the partition columns first: small partitions end in
     one file each, and a large one is split over tasks by the advisory size, so no task holds a whole hot region.
+    ``dealt`` says that the caller has dealt the rows to tasks that way already.
     """
     obs = Observation("write")
-    if partition_by:
+    if partition_by and not dealt:
         df = df.hint("rebalance", *partition_by)
     exprs = [F.count(F.lit(1)).alias("rows")] + [e.alias(k) for k, e in (metrics or {}).items()]
     w = df.observe(obs, *exprs).write.mode(mode).format(fmt)
@@ -51,7 +52,7 @@ def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column] | Non
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
           partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None,
-          skip_empty: bool = False) -> int:
+          skip_empty: bool = False, dealt: bool = False) -> int:
     """Write and return the number of rows written (observed during the write).
 
     ``skip_empty`` leaves the target untouched when the input has no row
@@ -60,7 +61,7 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     if skip_empty and df.isEmpty():
         log.warning("no rows for %s: nothing written", path)
         return 0
-    return int(write_observed(df, path, None, fmt, mode, partition_by, options).get("rows", 0))
+    return int(write_observed(df, path, None, fmt, mode, partition_by, options, dealt).get("rows", 0))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:

@@ -315,3 +315,35 @@ def test_stream_audit_counts_each_batch(spark, tmp_dir):
     for _ in range(2):  # a second run finds nothing new
         audit = write_stream_audited(stream(), at("out"), at("audit"), "t", at("state"))
         assert sorted(r.rows for r in audit.collect() if r.rows) == [30, 30, 30] and spark.read.parquet(at("out")).count() == 90
+
+
+def test_incremental_load_of_one_dense_file_is_dealt_by_rows(spark, tmp_dir, monkeypatch):
+    """A file that one task reads is merged by as many tasks as its rows ask for, a key that half of them share included."""
+    from rivulet.operators import dedup
+    from rivulet.plans import load as L
+    monkeypatch.setattr(dedup, "ROWS_PER_TASK", 100)
+    checked, check = [], L.batch_size_checked
+    monkeypatch.setattr(L, "batch_size_checked", lambda df, keys: checked.append(df.rdd.getNumPartitions()) or check(df, keys))
+    at = lambda *p: os.path.join(tmp_dir, *p)
+    rows = spark.range(2000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").cast("string").alias("v"))
+    for name, df, tasks in (("a", rows, 11), ("b", rows.filter("k > 0").withColumn("v", F.lit("new")), 10)):
+        df.coalesce(1).write.parquet(at("raw", name))
+        audit = load_incremental(spark, at("raw"), "k long, v string", at("table"), at("audit"), at("state"), "t", ["k"], ["v"], parts=3)
+        assert checked.pop() == tasks
+    got = {r.k: r.v for r in read_partitions(spark, at("table")).collect()}
+    assert got == {-1: "1998", **{k: "new" for k in range(1, 2000, 2)}} and sorted(r.rows_loaded for r in audit.collect()) == [1000, 2000]
+    assert read_partitions(spark, at("table")).count() == 1001
+
+
+def test_file_order_of_one_dense_file_is_dealt_by_rows(spark, tmp_dir, monkeypatch):
+    """Rows of one split go to several tasks before they are sorted; the first row per key stays the same."""
+    from rivulet.operators import dedup
+    path = os.path.join(tmp_dir, "dense")
+    spark.range(3000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 50).alias("k"), (F.col("id") * 7 % 3001).alias("v")).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    whole = sorted(map(tuple, dedup_file_order(df, ["k"]).collect()), key=repr)
+    monkeypatch.setattr(dedup, "ROWS_PER_TASK", 200)
+    spread = dedup_file_order(df, ["k"])
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("REPARTITION_BY_NUM") > plan.rindex("Sort [")  # nothing is sorted where the file is read
+    assert sorted(map(tuple, spread.collect()), key=repr) == whole and len(whole) == 51
