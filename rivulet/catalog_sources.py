@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rivulet import fixtures as fx
 from rivulet.catalog import ORACLE, _R, _io_root, _rnd, _t, _upsert_inputs, in_time_order, register
 from rivulet.functions.clean import clean_availability, version_stamp
-from rivulet.operators.dedup import dedup_file_order
+from rivulet.operators.dedup import dedup_file_order, tasks_for
 from rivulet.operators.elements import select, spread
 from rivulet.operators.filters import is_empty
 from rivulet.operators.flatten import flatten_rates, split_countries, split_observations, split_rates
@@ -333,7 +333,8 @@ def q_dedup_file_order(spark, sf):
     """The first order of each customer as it stands in several part files, whatever tasks read them."""
     root = _io_root(spark, "file-order")
     o = _t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", (F.col("o_orderkey") % 7).alias("r"))
-    write(o.repartitionByRange(5, "r", F.desc("o_orderkey")).sortWithinPartitions("r", F.desc("o_orderkey")).drop("r"), root)
+    files = max(5, tasks_for(o.count()))  # as many part files as keep a task's sort small
+    write(o.repartitionByRange(files, "r", F.desc("o_orderkey")).sortWithinPartitions("r", F.desc("o_orderkey")).drop("r"), root)
     return dedup_file_order(spark.read.parquet(root), ["o_custkey"])
 
 
