@@ -1,6 +1,6 @@
 """Phrase collocations by dynamic itemset counting.
 
-Documents are dealt once into shards that are scanned in a cycle, one shard a
+Documents are dealt once into shards, as chunks of numbered words, that are scanned in a cycle, one shard a
 step.  Words are counted from the first step; a longer phrase becomes active in
 the step after both its subphrases (all but its last word, all but its first)
 have been seen ``min_count`` times so far, whatever its length and whichever
@@ -10,12 +10,14 @@ that can be frequent, and several lengths are counted in the same scan.
 Which phrases are active must be known to every task.  Tasks get one table of
 fixed size a length: a phrase has two slots, each holding the first step in
 which a phrase of that slot reached the threshold, and counts as reaching it in the later of
-the two.  Slots never change once set, so a phrase that shares both with others starts at a fixed step
-too, is counted for a full cycle like any other, and has its right count, which is below the
-threshold if it should not have started.  Counts are exact at every table size.
-
-The counts so far are one table in the shared folder; phrases that completed
-their cycle below the threshold leave it.
+the two (or when its subphrases did, if that was later).  Slots never change once set, so a phrase that shares both
+with others starts at a fixed step too.
+
+Most phrases never reach the threshold, so the cycle counts hashes, not texts: 48 bits of hash and 16 of count,
+sorted arrays of which are the rows that tasks exchange.  Phrases of equal hash are counted as one, which can only mark more
+slots.  A phrase whose slots are set needs no more counting, and one that completed its cycle below the threshold
+cannot be frequent; both leave the counts so far.  After the cycle one scan counts the texts of the phrases with set
+slots, all others being infrequent, so the counts returned are exact at every table size and for every hash.
 """
 
 from __future__ import annotations
@@ -41,12 +43,41 @@ SHARDS = 4
 #: Slots of one length's table (a byte each), as a power of two.
 SLOT_BITS = 24
 NEVER = 255
-CHUNK_BYTES = 4 << 20
+#: Text in one dealt chunk, and in all chunks that a task has begun.
+CHUNK_BYTES = 2 << 20
+BEGUN_BYTES = 32 << 20
+#: Words that a task counts together.
+WORDS_AT_ONCE = 3 << 20
+#: Hashes are dealt to so many groups, as a power of two, by their first bits.
+PART_BITS = 8
+#: The last bits of a counted hash are its count, which stops at their maximum.
+MOST = (1 << 16) - 1
 #: Lower case for A-Z; ``.`` for the ends of pieces ``[.,;:!?\x0A-\x0D]``; a space for a tab.
 FOLD = bytes(0x2E if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 END = b"."
 
-COUNTED = "lang string, n int, phrase string, start int, f bigint"
+DEALT = "shard int, lang string, carry int, words binary, ids binary"
+COUNTED = "part int, n int, start int, hashes binary"
+EXACT = "lang string, n int, phrase string, f bigint"
+
+
+class Tables:
+    """Slot tables of all lengths; mostly empty or mostly repeated bytes, so pickled compressed."""
+
+    def __init__(self, max_words: int, bits: int):
+        self.of, self.bits = [np.full(1 << bits, NEVER, np.uint8) for _ in range(max_words)], bits
+
+    def __getstate__(self):
+        return self.bits, [zlib.compress(t, 1) for t in self.of]
+
+    def __setstate__(self, state):
+        self.bits, packed = state
+        self.of = [np.frombuffer(zlib.decompress(t), np.uint8) for t in packed]
+
+    def reached(self, n: int, hashes: np.ndarray) -> np.ndarray:
+        """The step in which each phrase of n words counts as having reached the threshold (``NEVER`` if not yet)."""
+        a, b = slots_of(hashes, self.bits)
+        return np.maximum(self.of[n - 1][a], self.of[n - 1][b]).astype(np.int16)
 
 
 def chunks(text: bytes, carry: int, size: int = CHUNK_BYTES) -> Iterator[tuple[list[bytes], int]]:
@@ -61,6 +92,14 @@ def chunks(text: bytes, carry: int, size: int = CHUNK_BYTES) -> Iterator[tuple[l
         kept, at = tokens[-carry:] if carry else [], stop
 
 
+def numbering() -> dict[bytes, int]:
+    """Numbers words as they are looked up; a piece's end is 0."""
+    index: dict[bytes, int] = defaultdict()
+    index.default_factory = index.__len__
+    index[END]  # noqa: B018
+    return index
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """64-bit hash of a phrase and the word behind it."""
     x = a * np.uint64(0x9E3779B97F4A7C15) + b
@@ -68,134 +107,211 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def seed_of(lang: str, seeds: dict[str, int]) -> int:
-    if lang not in seeds:
-        seeds[lang] = xxhash.xxh64_intdigest(lang.encode())
-    return seeds[lang]
-
-
 def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    seed = seed_of(lang, {})
+    seed = xxhash.xxh64_intdigest(lang.encode())
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
 def slots_of(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << bits) - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
-
+    """Two slots, which the bits of the count do not change."""
+    x = hashes >> np.uint64(16)
+    return (x & np.uint64((1 << bits) - 1)).astype(np.int64), ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
-def reached(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    """The step in which each phrase counts as having reached the threshold (``NEVER`` if not yet)."""
-    a, b = slots_of(hashes, bits)
-    return np.maximum(table[a], table[b]).astype(np.int16)
 
-
-def count_chunk(lang: str, tokens: list[bytes], carry: int, tables: list[np.ndarray], bits: int, step: int, shards: int,
-                max_words: int) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
-    """(words in a phrase, phrases, start steps, counts) of the phrases active in this step."""
-    index: dict[bytes, int] = defaultdict()
-    index.default_factory = index.__len__
-    index[END]  # noqa: B018  number 0
-    ids = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
-    words = list(index)
-    size = len(words)
-    if step < shards:
-        counts = np.bincount(ids[carry:], minlength=size)
-        seen = np.flatnonzero(counts[1:]) + 1
-        yield 1, [words[i] for i in seen], np.zeros(len(seen), np.int32), counts[seen]
-        yield 0, [b""], np.zeros(1, np.int32), np.array([counts[1:].sum()])
-    whole = ids != 0
-    of_word = word_hashes(lang, words)
-    hashes, since = of_word[ids], reached(tables[0], of_word, bits)[ids]
-    for k in range(2, max_words + 1):
-        if len(ids) < k:
-            return
-        whole = whole[:-1] & (ids[k - 1:] != 0)
-        start = np.maximum(since[:-1], since[1:]) + 1
-        active = whole & (start <= step) & (step < start + shards)
-        active[:max(carry - k + 1, 0)] = False
-        at = np.flatnonzero(active)
-        if len(at):
-            if size ** k < 2 ** 63:
-                key = ids[at]
-                for j in range(1, k):
-                    key = key * size + ids[at + j]
-                keys, counts = np.unique(key, return_counts=True)
-                digits = []
-                for _ in range(k):
-                    keys, digit = np.divmod(keys, size)
-                    digits.append(digit)
-                parts = np.array(digits[::-1])
-            else:
-                parts, counts = np.unique(np.stack([ids[at + j] for j in range(k)]), axis=1, return_counts=True)
-            phrases = [b" ".join([words[i] for i in p]) for p in parts.T.tolist()] if k > 2 else \
-                [words[a] + b" " + words[b] for a, b in zip(parts[0].tolist(), parts[1].tolist())]
-            # a phrase's start follows from its words, so any of its places tells it
-            of_phrase = of_word[parts]
-            head, tail = of_phrase[0], of_phrase[1]
-            for j in range(1, k - 1):
-                head, tail = mixed(head, of_phrase[j]), mixed(tail, of_phrase[j + 1])
-            table = tables[k - 2]
-            starts = np.maximum(reached(table, head, bits), reached(table, tail, bits)) + 1
-            yield k, phrases, starts.astype(np.int32), counts
-        if k < max_words:
-            hashes = mixed(hashes[:-1], of_word[ids[k - 1:]])
-            since = reached(tables[k - 1], hashes, bits)
-
-
-def counted(shard: DataFrame, shared: Broadcast, bits: int, step: int, shards: int, max_words: int) -> DataFrame:
-    """Counts of the active phrases in one shard, one row a phrase, chunk and task; not yet summed."""
+def deal(given: DataFrame, max_words: int) -> DataFrame:
+    """Chunks of texts (shard, lang, text): distinct words, joined by spaces, and the number of each word of the text in turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
+        begun: dict[tuple[int, str], list[bytes]] = defaultdict(list)
+        sizes: dict[tuple[int, str], int] = defaultdict(int)
+
+        def written(key: tuple[int, str]) -> Iterator[pa.RecordBatch]:
+            del sizes[key]
+            for tokens, carry in chunks(END.join(begun.pop(key)), max_words - 1):
+                index = numbering()
+                ids = np.fromiter(map(index.__getitem__, tokens), np.int32, len(tokens))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.string()), pa.array([carry], pa.int32()),
+                     pa.array([b" ".join(index)], pa.binary()), pa.array([ids.tobytes()], pa.binary())],
+                    names=["shard", "lang", "carry", "words", "ids"])
+
         for batch in batches:
-            for piece in slices(batch, 1, CHUNK_BYTES):
-                texts: dict[str, list[bytes]] = {}
-                for lang, text in zip(piece.column(0).to_pylist(), piece.column(1).cast(pa.binary()).to_pylist()):
+            for piece in slices(batch, 2, CHUNK_BYTES):
+                for shard, lang, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), piece.column(2).cast(pa.binary()).to_pylist()):
                     if text:
-                        texts.setdefault(lang, []).append(text)
-                for lang, found in texts.items():
-                    for tokens, carry in chunks(END.join(found), max_words - 1):
-                        for n, phrases, starts, counts in count_chunk(lang, tokens, carry, tables, bits, step, shards, max_words):
-                            m = len(phrases)
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([lang], pa.string()).take(pa.array(np.zeros(m, np.int64))), pa.array(np.full(m, n, np.int32)),
-                                 pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(starts), pa.array(counts.astype(np.int64))],
-                                names=["lang", "n", "phrase", "start", "f"])
+                        key = shard, lang
+                        begun[key].append(text)
+                        sizes[key] += len(text)
+                        if sizes[key] >= CHUNK_BYTES:
+                            yield from written(key)
+                if sum(sizes.values()) >= BEGUN_BYTES:
+                    for key in list(sizes):
+                        yield from written(key)
+        for key in list(sizes):
+            yield from written(key)
 
-    return map_batches(shard.select("lang", "text"), run, COUNTED)
+    return map_batches(given.select("shard", "lang", "text"), run, DEALT)
 
 
-def mark(tables: list[np.ndarray], new: DataFrame, bits: int, step: int) -> bool:
-    """Set the slots of the phrases that reached the threshold in this step; whether there were any.
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
+    """Dealt chunks (lang, carry, words, ids), about ``WORDS_AT_ONCE`` words at a time, each language by itself.
+
+    Gives the language, its distinct words, their numbers in the order of the text (an end between two chunks), and
+    which of these places are new (not carried over).
+    """
+
+    def joined(lang: str, rows: list[tuple[int, bytes, np.ndarray]]) -> tuple[str, list[bytes], np.ndarray, np.ndarray]:
+        index = numbering()
+        ids, new = [], []
+        for carry, words, numbers in rows:
+            ids += [np.fromiter(map(index.__getitem__, words.split(b" ")), np.int32)[numbers], np.zeros(1, np.int32)]
+            new.append(np.arange(len(numbers) + 1) >= carry)
+        return lang, list(index), np.concatenate(ids), np.concatenate(new)
+
+    waiting: dict[str, list[tuple[int, bytes, np.ndarray]]] = defaultdict(list)
+    size = 0
+    for batch in batches:
+        for lang, carry, words, ids in zip(*batch.columns):
+            numbers = np.frombuffer(ids.as_py(), np.int32)
+            waiting[lang.as_py()].append((carry.as_py(), words.as_py(), numbers))
+            size += len(numbers)
+            if size >= WORDS_AT_ONCE:
+                for key in list(waiting):
+                    yield joined(key, waiting.pop(key))
+                size = 0
+    for key in list(waiting):
+        yield joined(key, waiting.pop(key))
+
+
+def places(lang: str, words: list[bytes], ids: np.ndarray, tables: Tables) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(words in a phrase, places of first words, hashes, steps in which its subphrases had reached the threshold) of the phrases whose subphrases have."""
+    of_word = word_hashes(lang, words)
+    since = tables.reached(1, of_word)
+    since[0] = NEVER
+    hashes, since = of_word[ids], since[ids]
+    at = np.flatnonzero(ids)
+    yield 1, at, hashes[at], np.full(len(at), -1, np.int16)
+    for k in range(2, min(len(tables.of), len(ids)) + 1):
+        both = np.maximum(since[:-1], since[1:])
+        at = np.flatnonzero(both < NEVER)
+        found, both = mixed(hashes[at], of_word[ids[at + k - 1]]), both[at]
+        yield k, at, found, both
+        if k < len(tables.of):
+            size = len(since) - 1
+            hashes, since = np.zeros(size, np.uint64), np.full(size, NEVER, np.int16)
+            hashes[at], since[at] = found, np.maximum(tables.reached(k, found), both)
+
+
+def counted(shard: DataFrame, shared: Broadcast, step: int, shards: int) -> DataFrame:
+    """Hashes, with their counts, of the phrases active in this step that have not reached the threshold; not yet summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = shared.value
+        edges = np.arange(1, 1 << PART_BITS, dtype=np.uint64) << np.uint64(64 - PART_BITS)
+        for lang, words, ids, new in together(batches):
+            for k, at, hashes, both in places(lang, words, ids, tables):
+                start = both + 1
+                active = new[at + k - 1] & (start <= step) & (step < start + shards)
+                hashes, start = hashes[active], start[active]
+                for s in np.unique(start).tolist():
+                    found, times = np.unique(hashes[start == s], return_counts=True)
+                    open_ = tables.reached(k, found) == NEVER
+                    packed = (found[open_] & np.uint64(~MOST & (2 ** 64 - 1))) | np.minimum(times[open_], MOST).astype(np.uint64)
+                    dealt = [(p, e.tobytes()) for p, e in enumerate(np.split(packed, np.searchsorted(packed, edges))) if len(e)]
+                    m = len(dealt)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p for p, _ in dealt], pa.int32()), pa.array(np.full(m, k, np.int32)), pa.array(np.full(m, s, np.int32)),
+                         pa.array([e for _, e in dealt], pa.binary())], names=["part", "n", "start", "hashes"])
+
+    return map_batches(shard.select("lang", "carry", "words", "ids"), run, COUNTED)
+
+
+def summed(rows: DataFrame, step: int, shards: int, min_count: int) -> DataFrame:
+    """Hashes that reached the threshold (``done``), and those below it whose cycle goes on, with their counts so far."""
+    need = min(min_count, MOST)
+
+    def run(group: pa.Table) -> pa.Table:
+        given: dict[tuple[int, int], list[bytes]] = defaultdict(list)
+        for n, start, hashes in zip(group.column("n").to_pylist(), group.column("start").to_pylist(), group.column("hashes").to_pylist()):
+            given[n, start].append(hashes)
+        out = []
+        for n, start in list(given):
+            e = np.sort(np.frombuffer(b"".join(given.pop((n, start))), np.uint64))
+            first = np.flatnonzero(np.concatenate([[True], (e[1:] ^ e[:-1]) > np.uint64(MOST)]))
+            total = np.add.reduceat(e & np.uint64(MOST), first)
+            hashes = e[first] & np.uint64(~MOST & (2 ** 64 - 1))
+            done = total >= need
+            out.append((n, start, True, hashes[done]))
+            if start + shards - 1 > step:
+                out.append((n, start, False, (hashes | total)[~done]))
+        out = [(n, start, done, hashes.tobytes()) for n, start, done, hashes in out if len(hashes)]
+        n, start, done, hashes = zip(*out) if out else ([],) * 4
+        return pa.table([pa.array([group.column("part")[0].as_py()] * len(out), pa.int32()), pa.array(n, pa.int32()), pa.array(start, pa.int32()),
+                         pa.array(hashes, pa.binary()), pa.array(done, pa.bool_())], names=["part", "n", "start", "hashes", "done"])
+
+    return rows.groupBy("part").applyInArrow(run, f"{COUNTED}, done boolean")
+
+
+def mark(tables: Tables, done: DataFrame, step: int) -> bool:
+    """Set the slots of the phrases that reached the threshold in this step; whether that lets longer phrases start.
 
     The slots come as bitmaps, so the driver gets at most two bits for each slot of the tables, however many phrases there are.
     """
+    bits = tables.bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds: dict[str, int] = {}
         for batch in batches:
-            langs, phrases = batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.binary()).to_pylist()
-            lengths = batch.column("n").to_numpy()
-            for n in np.unique(lengths):
-                rows = np.flatnonzero(lengths == n)
-                each = (xxhash.xxh64_intdigest(w, seed_of(langs[i], seeds)) for i in rows for w in phrases[i].split(b" "))
-                h = np.fromiter(each, np.uint64, len(rows) * n).reshape(len(rows), n)
-                total = h[:, 0]
-                for i in range(1, n):
-                    total = mixed(total, h[:, i])
-                found = np.concatenate(slots_of(total, bits))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), n, np.int32)), pa.array(found + 1)], names=["n", "slot"])
-
-    found = (map_batches(new.select("lang", "n", "phrase"), run, "n int, slot bigint")
+            for n, hashes in zip(*batch.columns):
+                found = np.concatenate(slots_of(np.frombuffer(hashes.as_py(), np.uint64), bits))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), n.as_py(), np.int32)), pa.array(found + 1)], names=["n", "slot"])
+
+    found = (map_batches(done.select("n", "hashes"), run, "n int, slot bigint")
              .groupBy("n", F.bitmap_bucket_number("slot").alias("bucket"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect())
+    longer = False
     for row in found:
         bitmap = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
         slots = (row["bucket"] - 1) * 32768 + np.flatnonzero(bitmap)
-        table = tables[row["n"] - 1]
-        table[slots[table[slots] == NEVER]] = step
-    return bool(found)
+        table = tables.of[row["n"] - 1]
+        slots = slots[table[slots] == NEVER]
+        table[slots] = step
+        longer |= len(slots) > 0 and row["n"] < len(tables.of)
+    return longer
+
+
+def count_texts(lang: str, words: list[bytes], ids: np.ndarray, new: np.ndarray, tables: Tables) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(words in a phrase, phrases, counts) of the phrases with set slots; 0 words: the number of all words."""
+    yield 0, [b""], np.array([np.count_nonzero(ids[new])])
+    size = len(words)
+    for k, at, hashes, _ in places(lang, words, ids, tables):
+        at = at[new[at + k - 1] & (tables.reached(k, hashes) != NEVER)]
+        if size ** k < 2 ** 63:
+            key = ids[at].astype(np.int64)
+            for j in range(1, k):
+                key = key * size + ids[at + j]
+            keys, counts = np.unique(key, return_counts=True)
+            digits = []
+            for _ in range(k):
+                keys, digit = np.divmod(keys, size)
+                digits.append(digit)
+            parts = digits[::-1]
+        else:
+            parts, counts = np.unique(np.stack([ids[at + j] for j in range(k)]), axis=1, return_counts=True)
+        yield k, [b" ".join(p) for p in zip(*([words[i] for i in p.tolist()] for p in parts))], counts
+
+
+def texts_counted(dealt: DataFrame, shared: Broadcast) -> DataFrame:
+    """Texts and counts of the phrases with set slots; not yet summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words, ids, new in together(batches):
+            for n, phrases, counts in count_texts(lang, words, ids, new, shared.value):
+                m = len(phrases)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()).take(pa.array(np.zeros(m, np.int64))), pa.array(np.full(m, n, np.int32)),
+                     pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64))], names=["lang", "n", "phrase", "f"])
+
+    return map_batches(dealt.select("lang", "carry", "words", "ids"), run, EXACT)
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 10, max_words: int = 3,
@@ -208,31 +324,32 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         raise ValueError("shards * max_words must stay below 255")
     given = docs.select(F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"), col(text_col).cast("string").alias("text"))
     # dealt by row, not by text, so that copies spread over the shards
-    dealt = save_and_reread(given.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int")),
-                            "phrases-shards", by=["shard"])
+    given = given.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
+    dealt = save_and_reread(deal(given, max_words), "phrases-shards", by=["shard"])
     context = docs.sparkSession.sparkContext
-    tables = [np.full(1 << slot_bits, NEVER, np.uint8) for _ in range(max_words - 1)]
+    tables = Tables(max_words, slot_bits)
     state, last, step = None, -1, 0
     while step <= last + shards:
-        # mostly empty or mostly repeated bytes, so compressed; gone from all machines after the step
-        shared = context.broadcast([zlib.compress(t, 1) for t in tables])
-        rows = (counted(dealt.filter(F.col("shard") == step % shards), shared, slot_bits, step, shards, max_words)
-                .withColumn("since", F.lit(None).cast("int")))
+        shared = context.broadcast(tables)
+        rows = counted(dealt.filter(F.col("shard") == step % shards), shared, step, shards)
         if state is not None:
-            rows = rows.unionByName(state)
-        total = (rows.groupBy("lang", "n", "phrase", "start").agg(F.sum("f").alias("f"), F.min("since").alias("since"))
-                 .withColumn("since", F.coalesce("since", F.when((F.col("f") >= min_count) & (F.col("n") > 0), F.lit(step)))))
-        unfinished = F.col("start") + shards - 1 > step
-        older, state = state, save_and_reread(total.filter(unfinished | F.col("since").isNotNull() | (F.col("n") == 0)), "phrases-counts")
-        shared.destroy()
+            rows = rows.unionByName(state.filter("not done").drop("done"))
+        older, state = state, save_and_reread(summed(rows, step, shards, min_count), "phrases-counts", by=["done"])
+        shared.destroy()  # gone from all machines after the step
         if older is not None:
             drop_saved(older)
-        if mark(tables, state.filter((F.col("since") == step) & (F.col("n") < max_words)), slot_bits, step):
+        if mark(tables, state.filter("done"), step):
             last = step
         step += 1
-    drop_saved(dealt)
     log.info("%d steps of %d shards", step, shards)
-    return state.filter((F.col("f") >= min_count) | (F.col("n") == 0)).select("lang", "n", "phrase", "f")
+    shared = context.broadcast(tables)
+    total = texts_counted(dealt, shared).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
+    found = save_and_reread(total.filter((F.col("f") >= min_count) | (F.col("n") == 0)), "phrases-found")
+    shared.destroy()
+    drop_saved(dealt)
+    if state is not None:
+        drop_saved(state)
+    return found
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 10, max_words: int = 3,

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from rivulet.llm import collocations as C
@@ -101,3 +102,44 @@ def test_chunks_carry_words_over():
                     if len(gram) == k and C.END not in gram and i + k > carry:
                         total[b" ".join(gram)] += 1
     assert got == want and want[b"one two three"] == 400
+
+
+def test_rare_phrases_leave_no_rows_of_their_own(spark, monkeypatch):
+    """Phrases of frequent words that are rare themselves are counted as hashes: no table between steps has a row for each."""
+    r = random.Random(4)
+    rows = [(f"w{r.randrange(200)} w{r.randrange(200)}", "en") for _ in range(20000)] + [("often here", "en")] * 12
+    sizes, save = [], C.save_and_reread
+
+    def saved(df, label, **kw):
+        out = save(df, label, **kw)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "save_and_reread", saved)
+    assert run(spark, rows) == brute(rows)
+    assert len([p for p, f in grams(rows)["en"].items() if f < 10]) > 10000 and max(sizes) < 3000
+
+
+def numbered(text):
+    index = C.numbering()
+    ids = [index[t] for tokens, _ in C.chunks(text.encode(), 0) for t in tokens]
+    return list(index), np.array(ids, np.int32)
+
+
+def test_texts_are_told_apart_whose_hashes_are_equal(monkeypatch):
+    monkeypatch.setattr(C, "mixed", lambda a, b: np.zeros_like(a))
+    text = "one two three. four five one two three " * 12
+    tables = C.Tables(3, 8)
+    for t in tables.of:
+        t[:] = 0
+    words, ids = numbered(text)
+    got = {p.decode(): f for k, phrases, counts in C.count_texts("en", words, ids, np.ones(len(ids), bool), tables) if k for p, f in zip(phrases, counts.tolist())}
+    assert got == grams([(text, "en")])["en"]
+
+
+def test_counts_of_hashes_stop_at_their_maximum(spark):
+    """A word found more often than a hash can count, and a threshold above that."""
+    rows = [("hot line " * 1000, "en")] * 140 + [("cold line", "en")]
+    f = {r.phrase: r.f for r in C.frequent_phrases(spark.createDataFrame([(t, lang) for t, lang in rows], "text string, lang string"),
+                                                   min_count=70000, slot_bits=16).filter("n > 0").collect()}
+    assert f == {p: n for p, n in grams(rows)["en"].items() if n >= 70000}
