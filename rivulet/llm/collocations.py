@@ -11,13 +11,14 @@ Which phrases are active must be known to every task.  Tasks get one table of
 fixed size a length: a phrase has two slots, each holding the first step in
 which a phrase of that slot reached the threshold, and counts as reaching it in the later of
 the two (or when its subphrases did, if that was later).  Slots never change once set, so a phrase that shares both
-with others starts at a fixed step too.
+with others starts at a fixed step too.  A second table has eight bits for each slot, two of which a phrase that reached
+the threshold sets; it is full eight times later.
 
 Most phrases never reach the threshold, so the cycle counts hashes, not texts: 48 bits of hash and 16 of count,
 sorted arrays of which are the rows that tasks exchange.  Phrases of equal hash are counted as one, which can only mark more
-slots.  A phrase whose slots are set needs no more counting, and one that completed its cycle below the threshold
+bits.  A phrase whose bits are set needs no more counting, and one that completed its cycle below the threshold
 cannot be frequent; both leave the counts so far.  After the cycle one scan counts the texts of the phrases with set
-slots, all others being infrequent, so the counts returned are exact at every table size and for every hash.
+bits, all others being infrequent, so the counts returned are exact at every table size and for every hash.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ NEVER = 255
 CHUNK_BYTES = 2 << 20
 BEGUN_BYTES = 32 << 20
 #: Words that a task counts together.
-WORDS_AT_ONCE = 3 << 20
+WORDS_AT_ONCE = 2 << 20
 #: Hashes are dealt to so many groups, as a power of two, by their first bits.
 PART_BITS = 8
 #: The last bits of a counted hash are its count, which stops at their maximum.
@@ -62,22 +63,31 @@ EXACT = "lang string, n int, phrase string, f bigint"
 
 
 class Tables:
-    """Slot tables of all lengths; mostly empty or mostly repeated bytes, so pickled compressed."""
+    """One table a length for the tasks; mostly empty or mostly repeated bytes, so pickled compressed."""
 
-    def __init__(self, max_words: int, bits: int):
-        self.of, self.bits = [np.full(1 << bits, NEVER, np.uint8) for _ in range(max_words)], bits
+    def __init__(self, of: list[np.ndarray]):
+        self.of = of
 
     def __getstate__(self):
-        return self.bits, [zlib.compress(t, 1) for t in self.of]
+        return [zlib.compress(t, 1) for t in self.of]
 
     def __setstate__(self, state):
-        self.bits, packed = state
-        self.of = [np.frombuffer(zlib.decompress(t), np.uint8) for t in packed]
+        self.of = [np.frombuffer(zlib.decompress(t), np.uint8) for t in state]
 
     def reached(self, n: int, hashes: np.ndarray) -> np.ndarray:
         """The step in which each phrase of n words counts as having reached the threshold (``NEVER`` if not yet)."""
-        a, b = slots_of(hashes, self.bits)
-        return np.maximum(self.of[n - 1][a], self.of[n - 1][b]).astype(np.int16)
+        table = self.of[n - 1]
+        a, b = bits_of(hashes, len(table))
+        return np.maximum(table[a >> 3], table[b >> 3]).astype(np.int16)
+
+
+class Marks(Tables):
+    """Which phrases reached the threshold, in any step: a table has eight bits in the place of each slot's step."""
+
+    def reached(self, n: int, hashes: np.ndarray) -> np.ndarray:
+        table = self.of[n - 1]
+        a, b = bits_of(hashes, len(table))
+        return np.where((table[a >> 3] >> (a & 7)) & (table[b >> 3] >> (b & 7)) & 1, 0, NEVER).astype(np.int16)
 
 
 def chunks(text: bytes, carry: int, size: int = CHUNK_BYTES) -> Iterator[tuple[list[bytes], int]]:
@@ -112,10 +122,19 @@ def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def slots_of(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two slots, which the bits of the count do not change."""
-    x = hashes >> np.uint64(16)
-    return (x & np.uint64((1 << bits) - 1)).astype(np.int64), ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+def block_bits(slots: int) -> int:
+    """The first bits of a hash that name the block of a table that both its slots are in: hashes of one part share a block."""
+    return min(PART_BITS, slots.bit_length() - 1)
+
+
+def bits_of(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of a table of so many slots of eight, which the count in a hash does not change."""
+    block = block_bits(slots)
+    inside = slots.bit_length() + 2 - block
+    first = (hashes >> np.uint64(64 - block)) << np.uint64(inside) if block else np.uint64(0)
+    x = (hashes >> np.uint64(16)) * np.uint64(0x9E3779B97F4A7C15)
+    a, b = x >> np.uint64(64 - inside), (x >> np.uint64(64 - 2 * inside)) & np.uint64((1 << inside) - 1)
+    return (a | first).astype(np.int64), (b | first).astype(np.int64)
 
 
 def deal(given: DataFrame, max_words: int) -> DataFrame:
@@ -203,7 +222,7 @@ def places(lang: str, words: list[bytes], ids: np.ndarray, tables: Tables) -> It
 
 
 def counted(shard: DataFrame, shared: Broadcast, step: int, shards: int) -> DataFrame:
-    """Hashes, with their counts, of the phrases active in this step that have not reached the threshold; not yet summed."""
+    """Hashes, with their counts, of the phrases active in this step; not yet summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value
@@ -215,8 +234,7 @@ def counted(shard: DataFrame, shared: Broadcast, step: int, shards: int) -> Data
                 hashes, start = hashes[active], start[active]
                 for s in np.unique(start).tolist():
                     found, times = np.unique(hashes[start == s], return_counts=True)
-                    open_ = tables.reached(k, found) == NEVER
-                    packed = (found[open_] & np.uint64(~MOST & (2 ** 64 - 1))) | np.minimum(times[open_], MOST).astype(np.uint64)
+                    packed = (found & np.uint64(~MOST & (2 ** 64 - 1))) | np.minimum(times, MOST).astype(np.uint64)
                     dealt = [(p, e.tobytes()) for p, e in enumerate(np.split(packed, np.searchsorted(packed, edges))) if len(e)]
                     m = len(dealt)
                     yield pa.RecordBatch.from_arrays(
@@ -226,25 +244,28 @@ def counted(shard: DataFrame, shared: Broadcast, step: int, shards: int) -> Data
     return map_batches(shard.select("lang", "carry", "words", "ids"), run, COUNTED)
 
 
-def summed(rows: DataFrame, step: int, shards: int, min_count: int) -> DataFrame:
-    """Hashes that reached the threshold (``done``), and those below it whose cycle goes on, with their counts so far."""
-    need = min(min_count, MOST)
+def summed(rows: DataFrame, step: int, shards: int, min_count: int, slots: int) -> DataFrame:
+    """Hashes below the threshold whose cycle goes on, with their counts so far; of those that reached it (``done``) the bits of their block, compressed."""
+    need, block = min(min_count, MOST), slots >> block_bits(slots)
 
     def run(group: pa.Table) -> pa.Table:
         given: dict[tuple[int, int], list[bytes]] = defaultdict(list)
         for n, start, hashes in zip(group.column("n").to_pylist(), group.column("start").to_pylist(), group.column("hashes").to_pylist()):
             given[n, start].append(hashes)
-        out = []
+        out, marks = [], {}
         for n, start in list(given):
             e = np.sort(np.frombuffer(b"".join(given.pop((n, start))), np.uint64))
             first = np.flatnonzero(np.concatenate([[True], (e[1:] ^ e[:-1]) > np.uint64(MOST)]))
             total = np.add.reduceat(e & np.uint64(MOST), first)
             hashes = e[first] & np.uint64(~MOST & (2 ** 64 - 1))
             done = total >= need
-            out.append((n, start, True, hashes[done]))
-            if start + shards - 1 > step:
-                out.append((n, start, False, (hashes | total)[~done]))
-        out = [(n, start, done, hashes.tobytes()) for n, start, done, hashes in out if len(hashes)]
+            if done.any():
+                flags = marks.setdefault(n, np.zeros(8 * block, bool))
+                for bits in bits_of(hashes[done], slots):
+                    flags[bits & (8 * block - 1)] = True
+            if start + shards - 1 > step and not done.all():
+                out.append((n, start, False, (hashes | total)[~done].tobytes()))
+        out += [(n, step, True, zlib.compress(np.packbits(flags, bitorder="little"), 1)) for n, flags in marks.items()]
         n, start, done, hashes = zip(*out) if out else ([],) * 4
         return pa.table([pa.array([group.column("part")[0].as_py()] * len(out), pa.int32()), pa.array(n, pa.int32()), pa.array(start, pa.int32()),
                          pa.array(hashes, pa.binary()), pa.array(done, pa.bool_())], names=["part", "n", "start", "hashes", "done"])
@@ -252,35 +273,25 @@ def summed(rows: DataFrame, step: int, shards: int, min_count: int) -> DataFrame
     return rows.groupBy("part").applyInArrow(run, f"{COUNTED}, done boolean")
 
 
-def mark(tables: Tables, done: DataFrame, step: int) -> bool:
-    """Set the slots of the phrases that reached the threshold in this step; whether that lets longer phrases start.
+def mark(steps: list[np.ndarray], marks: list[np.ndarray], done: DataFrame, step: int) -> bool:
+    """Set the slots and bits of the phrases that reached the threshold in this step; whether that lets longer phrases start.
 
-    The slots come as bitmaps, so the driver gets at most two bits for each slot of the tables, however many phrases there are.
+    The driver gets at most eight bits for each slot of the tables, however many phrases there are.
     """
-    bits = tables.bits
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n, hashes in zip(*batch.columns):
-                found = np.concatenate(slots_of(np.frombuffer(hashes.as_py(), np.uint64), bits))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), n.as_py(), np.int32)), pa.array(found + 1)], names=["n", "slot"])
-
-    found = (map_batches(done.select("n", "hashes"), run, "n int, slot bigint")
-             .groupBy("n", F.bitmap_bucket_number("slot").alias("bucket"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect())
     longer = False
-    for row in found:
-        bitmap = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
-        slots = (row["bucket"] - 1) * 32768 + np.flatnonzero(bitmap)
-        table = tables.of[row["n"] - 1]
-        slots = slots[table[slots] == NEVER]
-        table[slots] = step
-        longer |= len(slots) > 0 and row["n"] < len(tables.of)
+    for row in done.select("part", "n", "hashes").collect():
+        bits = np.frombuffer(zlib.decompress(bytes(row["hashes"])), np.uint8)
+        first = len(bits) * (row["part"] >> (PART_BITS - block_bits(len(marks[0]))))
+        marks[row["n"] - 1][first:first + len(bits)] |= bits
+        table = steps[row["n"] - 1][first:first + len(bits)]
+        new = (bits != 0) & (table == NEVER)
+        table[new] = step
+        longer |= row["n"] < len(steps) and bool(new.any())
     return longer
 
 
 def count_texts(lang: str, words: list[bytes], ids: np.ndarray, new: np.ndarray, tables: Tables) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(words in a phrase, phrases, counts) of the phrases with set slots; 0 words: the number of all words."""
+    """(words in a phrase, phrases, counts) of the phrases with set bits; 0 words: the number of all words."""
     yield 0, [b""], np.array([np.count_nonzero(ids[new])])
     size = len(words)
     for k, at, hashes, _ in places(lang, words, ids, tables):
@@ -301,7 +312,7 @@ def count_texts(lang: str, words: list[bytes], ids: np.ndarray, new: np.ndarray,
 
 
 def texts_counted(dealt: DataFrame, shared: Broadcast) -> DataFrame:
-    """Texts and counts of the phrases with set slots; not yet summed."""
+    """Texts and counts of the phrases with set bits; not yet summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, ids, new in together(batches):
@@ -327,22 +338,22 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     given = given.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
     dealt = save_and_reread(deal(given, max_words), "phrases-shards", by=["shard"])
     context = docs.sparkSession.sparkContext
-    tables = Tables(max_words, slot_bits)
+    steps, marks = ([np.full(1 << slot_bits, empty, np.uint8) for _ in range(max_words)] for empty in (NEVER, 0))
     state, last, step = None, -1, 0
     while step <= last + shards:
-        shared = context.broadcast(tables)
+        shared = context.broadcast(Tables(steps))
         rows = counted(dealt.filter(F.col("shard") == step % shards), shared, step, shards)
         if state is not None:
             rows = rows.unionByName(state.filter("not done").drop("done"))
-        older, state = state, save_and_reread(summed(rows, step, shards, min_count), "phrases-counts", by=["done"])
+        older, state = state, save_and_reread(summed(rows, step, shards, min_count, 1 << slot_bits), "phrases-counts", by=["done"])
         shared.destroy()  # gone from all machines after the step
         if older is not None:
             drop_saved(older)
-        if mark(tables, state.filter("done"), step):
+        if mark(steps, marks, state.filter("done"), step):
             last = step
         step += 1
     log.info("%d steps of %d shards", step, shards)
-    shared = context.broadcast(tables)
+    shared = context.broadcast(Marks(marks))
     total = texts_counted(dealt, shared).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
     found = save_and_reread(total.filter((F.col("f") >= min_count) | (F.col("n") == 0)), "phrases-found")
     shared.destroy()

@@ -129,9 +129,7 @@ def numbered(text):
 def test_texts_are_told_apart_whose_hashes_are_equal(monkeypatch):
     monkeypatch.setattr(C, "mixed", lambda a, b: np.zeros_like(a))
     text = "one two three. four five one two three " * 12
-    tables = C.Tables(3, 8)
-    for t in tables.of:
-        t[:] = 0
+    tables = C.Marks([np.full(256, 255, np.uint8) for _ in range(3)])
     words, ids = numbered(text)
     got = {p.decode(): f for k, phrases, counts in C.count_texts("en", words, ids, np.ones(len(ids), bool), tables) if k for p, f in zip(phrases, counts.tolist())}
     assert got == grams([(text, "en")])["en"]
@@ -143,3 +141,15 @@ def test_counts_of_hashes_stop_at_their_maximum(spark):
     f = {r.phrase: r.f for r in C.frequent_phrases(spark.createDataFrame([(t, lang) for t, lang in rows], "text string, lang string"),
                                                    min_count=70000, slot_bits=16).filter("n > 0").collect()}
     assert f == {p: n for p, n in grams(rows)["en"].items() if n >= 70000}
+
+
+@pytest.mark.parametrize("bits", [0, 4, 8, 12])
+def test_bits_of_a_part_lie_in_its_block(bits):
+    """Both bits lie within the table and in the block that the part's row of bits is for, and the count does not move them."""
+    hashes = np.sort(np.random.default_rng(bits).integers(0, 2 ** 63, 5000, dtype=np.uint64) * np.uint64(2))
+    size = 8 * (1 << bits >> C.block_bits(1 << bits))
+    part = (hashes >> np.uint64(64 - C.PART_BITS)).astype(np.int64)
+    for found, other in zip(C.bits_of(hashes, 1 << bits), C.bits_of(hashes | np.uint64(C.MOST), 1 << bits)):
+        assert (found == other).all() and found.min() >= 0 and found.max() < 8 << bits
+        assert (found // size == part >> (C.PART_BITS - C.block_bits(1 << bits))).all()
+        assert len(np.unique(found)) > min(4 << bits, 3000)
